@@ -100,4 +100,4 @@ def money_text(value: Column | str) -> Column:
 
 def split_list(text: Column | str) -> Column:
     """Comma list to array: trimmed, empty items dropped."""
-    return F.filter(F.transform(F.split(_col(text), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(_col(text), ","), lambda x: F.trim(x)), lambda x: x != "")

@@ -277,7 +277,7 @@ FROM listing GROUP BY 1""",
 oracle(
     "price_label",
     (),
-    """SELECT l_orderkey, l_linenumber, l_partkey,
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey,
        CASE WHEN v < 1 THEN '$' || format('{:,.4f}', v) ELSE '$' || format('{:,.2f}', v) END AS label
 FROM (SELECT *, l_extendedprice * l_tax AS v FROM lineitem)""",
 )
