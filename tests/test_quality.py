@@ -1,0 +1,145 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tickloom.operators import quality as Q
+from tickloom.plans import checks
+
+T0 = dt.datetime(2024, 1, 1)
+DAY = dt.date(2024, 1, 1)
+
+
+def failures(spark, df, *found, **more):
+    return {r["check"]: r.failures for r in Q.run_checks({"t": df, **more}, found).collect()}
+
+
+def test_suite_has_52_declared_checks_by_type():
+    assert len(checks.DECLARED) == 52
+    kinds = (checks.NOT_NULL, checks.UNIQUE, checks.RANGES, checks.RELATIONSHIPS, checks.EXPRESSIONS)
+    assert [len(k) for k in kinds] == [33, 9, 5, 4, 1]
+    assert len(checks.full_suite()) == 56
+
+
+def test_row_checks_clean_and_planted(spark):
+    df = spark.createDataFrame([(1, 50.0), (None, 101.0), (3, -1.0), (4, None)], "k int, v double")
+    got = failures(
+        spark, df, Q.not_null("t", "k"), Q.accepted_range("t", "v", 0, 100), Q.accepted_range("t", "v", 0), Q.expression_is_true("t", "v >= 0")
+    )
+    assert list(got.values()) == [1, 2, 1, 1]
+    clean = failures(spark, df.where("v = 50"), Q.not_null("t", "k"), Q.accepted_range("t", "v", 0, 100))
+    assert set(clean.values()) == {0}
+
+
+def test_row_checks_of_a_table_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(5).write.parquet(path)
+    report = Q.run_checks({"t": spark.read.parquet(path)}, [Q.not_null("t", "id"), Q.accepted_range("t", "id", 0, 3)])
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [r.failures for r in report.collect()] == [0, 1]
+
+
+def test_unique_counts_values_and_skips_nulls(spark):
+    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (2,), (3,), (None,), (None,)], "k int")
+    assert failures(spark, df, Q.unique("t", "k")) == {"unique(k)": 2}
+
+
+def test_relationship_counts_child_rows(spark):
+    child = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    parent = spark.createDataFrame([("a",)], "k string")
+    got = failures(spark, child, Q.relationship("t", "k", "p", "k"), p=parent)
+    assert list(got.values()) == [2]
+
+
+def test_checks_on_an_empty_table_report_zero(spark):
+    df = spark.createDataFrame([], "k string, v double")
+    got = failures(spark, df, Q.not_null("t", "k"), Q.unique("t", "k"), Q.relationship("t", "k", "t", "k"))
+    assert list(got.values()) == [0, 0, 0]
+
+
+def test_enforce(spark):
+    df = spark.createDataFrame([(None,)], "k string")
+    report = Q.run_checks({"t": df}, [Q.not_null("t", "k")])
+    with pytest.raises(Q.QualityError, match=r"t\.not_null\(k\): 1"):
+        Q.enforce(report)
+    assert Q.enforce(report, fail_fast=False) == [("t", "not_null(k)", 1)]
+
+
+def test_singular_checks(spark):
+    at = [T0 + dt.timedelta(minutes=i) for i in range(4)]
+    prices = spark.createDataFrame(
+        [("a", at[0], 10.0), ("a", at[1], 16.0), ("a", at[2], 0.0), ("b", at[3], 5.0)],
+        "coin_id string, recorded_at timestamp, price_usd double",
+    )
+    got = Q.run_checks(
+        {"stg_prices": prices},
+        [checks.price_spikes(), checks.price_positive(), checks.not_in_future(as_of=F.lit("2024-01-01 00:02:30").cast("timestamp"))],
+    )
+    assert {r["check"]: r.failures for r in got.collect()} == {
+        "price_spike": 2,
+        "price_positive": 1,
+        "timestamp_not_in_future": 1,
+    }
+
+
+def fact(spark, data):
+    return spark.createDataFrame(data, "report_date date, coin_id string")
+
+
+def test_missing_expected_looks_at_the_latest_day_only(spark):
+    df = fact(spark, [(DAY, "bitcoin"), (DAY, "ethereum"), (DAY + dt.timedelta(1), "bitcoin")])
+    assert rows(Q.missing_expected(Q.expected_keys(spark, "bitcoin, ethereum,"), df)) == [("ethereum",)]
+    assert rows(Q.run_checks({"fct_crypto_daily": df}, [checks.latest_day_complete()])) == [
+        ("fct_crypto_daily", "latest_day_has_expected_coins", 1)
+    ]
+
+
+def test_day_completeness(spark):
+    df = fact(spark, [(DAY, "bitcoin"), (DAY, "solana")])
+    wanted = Q.expected_keys(spark, "ethereum,bitcoin,cardano")
+    r = Q.day_completeness(df, wanted, DAY).first()
+    assert (r.row_count, r.distinct_coin_count, r.coin_ids, r.missing_coins, r.status) == (
+        2,
+        2,
+        ["bitcoin", "solana"],
+        ["cardano", "ethereum"],
+        "incomplete",
+    )
+    assert Q.day_completeness(df, wanted, "2024-02-01").first().status == "empty"
+    Q.require_complete_day(df, Q.expected_keys(spark, "bitcoin"), DAY)
+    with pytest.raises(Q.QualityError, match="cardano, ethereum"):
+        Q.require_complete_day(df, wanted, DAY)
+
+
+@pytest.mark.parametrize("minutes,status", [(5, "fresh"), (10, "fresh"), (11, "delayed")])
+def test_freshness(spark, minutes, status):
+    df = spark.createDataFrame([(T0,)], "event_time timestamp")
+    as_of = F.lit((T0 + dt.timedelta(minutes=minutes)).isoformat(sep=" ")).cast("timestamp")
+    r = Q.freshness(df, as_of=as_of).first()
+    assert (r.status, r.age_seconds, r.recent_rows) == (status, minutes * 60, int(status == "fresh"))
+
+
+def test_freshness_of_an_empty_sink(spark):
+    df = spark.createDataFrame([], "event_time timestamp")
+    assert Q.freshness(df).first().status == "empty"
+    with pytest.raises(Q.QualityError, match="empty"):
+        Q.require_fresh(df)
+
+
+def test_row_counts_and_empty_source(spark):
+    got = rows(Q.row_counts({"a": spark.range(3), "b": spark.range(0)}))
+    assert got == [("a", 3, "ok"), ("b", 0, "empty")]
+    with pytest.raises(Q.QualityError, match="feed returned no rows"):
+        Q.require_rows(spark.range(0), "feed")
+
+
+def test_partition_gate_counts_non_blank_lines(spark, tmp_path):
+    f = tmp_path / "data.jsonl"
+    f.write_text('{"a":1}\n\n  \n{"a":2}\n')
+    assert Q.require_partition_rows(spark, str(f)) == 2
+    f.write_text("\n \n")
+    with pytest.raises(Q.QualityError):
+        Q.require_partition_rows(spark, str(f))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        Q.require_partition_rows(spark, str(tmp_path / "absent.jsonl"))

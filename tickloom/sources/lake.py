@@ -20,9 +20,9 @@ DAY_IN_PATH = "/(?:dt=)?([0-9]{4}-[0-9]{2}-[0-9]{2})/"
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
     """JSONL files or globs such as ``raw/<source>/*/data.jsonl``; bad lines stay visible on request."""
-    fields = schema.add(CORRUPT, "string") if keep_corrupt and CORRUPT not in schema.names else schema
+    corrupt = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
     return (
-        spark.read.schema(T.StructType(list(fields)))
+        spark.read.schema(T.StructType([*schema.fields, *corrupt]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
@@ -37,11 +37,13 @@ def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType) -> D
     """Every ``*.json*`` file below a folder, by line or as a whole document.
 
     ``.jsonl`` files and Spark's own ``part-*`` files hold one record per line. The test
-    on the file name is settled before any file is opened. Unreadable files and records
-    are skipped.
+    on the file name is settled before any file is opened. Files and records that are no
+    JSON are skipped; a record with one field of the wrong type stays, that field NULL.
     """
     fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     by_line = F.col("_metadata.file_name").rlike(r"\.jsonl$|^part-")
+    some_field = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in schema.names])
+    readable = some_field | F.col(CORRUPT).isNull()
 
     def load(whole: bool) -> DataFrame:
         rows = (
@@ -54,14 +56,14 @@ def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType) -> D
             .option("ignoreCorruptFiles", "true")
             .json(folder)
         )
-        return rows.where(~by_line if whole else by_line).where(F.col(CORRUPT).isNull()).select(*schema.names)
+        return rows.where(~by_line if whole else by_line).where(readable).select(*schema.names)
 
     return load(whole=False).unionByName(load(whole=True))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as text, one payload per row, for the flatten functions."""
-    return spark.read.option("wholetext", "true").text(path).withColumnRenamed("value", "payload")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.quality import QualityError, counted
+from tickloom.session import path_exists
 from tickloom.sources.lake import read_json_lines, read_mixed_json
 
 
@@ -73,7 +74,7 @@ def compact(
     The scan already packs small files into splits, so narrowing the number of tasks is
     enough; no shuffle. Returns the number of rows, 0 when there was nothing to do.
     """
-    size = folder_bytes(spark, folder, "*.json*")
+    size = folder_bytes(spark, folder, "*.json*") if path_exists(spark, folder) else 0
     if size == 0:
         return 0
     n = max(1, ceil(size * json_to_parquet / target_bytes))
