@@ -62,10 +62,13 @@ def ticker(symbol: Column | str, names: dict[str, str] | None = None) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(symbol)), F.upper(symbol))
 
 
-def mentions(title: Column | str, patterns: tuple[str, ...]) -> Column:
-    """True where the lower-cased title holds any of the substrings."""
-    lowered = F.lower(_col(title))
-    return reduce(lambda a, b: a | b, [lowered.contains(p) for p in patterns])
+def mentions(lowered_title: Column | str, patterns: tuple[str, ...]) -> Column:
+    """True where a lower-cased title holds any of the substrings.
+
+    A pattern that contains another one can add nothing and is not searched for.
+    """
+    needed = [p for p in patterns if not any(q != p and q in p for q in patterns)]
+    return reduce(lambda a, b: a | b, [_col(lowered_title).contains(p) for p in needed])
 
 
 def sentiment_score(index_value: Column | str, posts: Column | str, engagement: Column | str) -> Column:

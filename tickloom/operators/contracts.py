@@ -1,17 +1,20 @@
 """Record contracts: coerce, check, split into valid and quarantined rows.
 
-Built-in expressions only; a record's problems become an ``_errors`` array column.
+Built-in expressions only. Whether a record passes is one cheap predicate; what is wrong
+with it, and its original text, are worked out for failing records alone.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import safe_bigint
 
+OK = "_ok"
 ERRORS = "_errors"
 RECORD = "_record"
 
@@ -34,22 +37,34 @@ class Field:
             return safe_bigint(raw)
         return raw.try_cast(self.type)
 
-    def problem(self, raw: Column, value: Column) -> Column:
-        """The first problem of this field as text, NULL if there is none."""
+    def accepts(self, raw: Column, value: Column) -> Column:
+        """Whether the field is fine. Names the coerced value once, so it is parsed once."""
         if self.any_value:
-            return F.lit(None).cast("string")
-        checks = F.when(raw.isNotNull() & value.isNull(), f"{self.name}: not a {self.type}")
-        if not self.optional:
-            checks = checks.when(raw.isNull(), f"{self.name}: missing")
+            return F.lit(True)
+        if self.type == "string":
+            fine = F.length(value) >= self.min_length if self.min_length is not None else raw.isNotNull()
+        elif self.ge is None and self.le is None:
+            fine = value.isNotNull()
+        elif self.type == "double":
+            # NaN sorts above infinity, so the range leaves it out.
+            low = float("-inf") if self.ge is None else float(self.ge)
+            fine = value.between(low, float("inf") if self.le is None else float(self.le))
+        else:
+            low, high = (self.ge, self.le)
+            fine = (value >= low if low is not None else F.lit(True)) & (value <= high if high is not None else F.lit(True))
+        fine = F.coalesce(fine, F.lit(False))
+        return raw.isNull() | fine if self.optional else fine
+
+    def problem(self, raw: Column, value: Column) -> Column:
+        """What is wrong with a field that is not accepted, as text."""
+        text = F.when(raw.isNull(), f"{self.name}: missing").when(value.isNull(), f"{self.name}: not a {self.type}")
         if self.min_length is not None:
-            checks = checks.when(F.length(value) < self.min_length, f"{self.name}: too short")
-        # NaN fails every bound; Spark itself would order it above all numbers.
-        bad_number = F.isnan(value) if self.type == "double" else F.lit(False)
-        if self.ge is not None:
-            checks = checks.when(bad_number | (value < self.ge), f"{self.name}: below {self.ge:g}")
+            text = text.when(F.length(value) < self.min_length, f"{self.name}: too short")
         if self.le is not None:
-            checks = checks.when(bad_number | (value > self.le), f"{self.name}: above {self.le:g}")
-        return checks
+            text = text.when(value > self.le, f"{self.name}: above {self.le:g}")
+        if self.ge is not None:
+            text = text.otherwise(f"{self.name}: below {self.ge:g}")
+        return F.when(~self.accepts(raw, value), text)
 
 
 @dataclass(frozen=True)
@@ -101,24 +116,29 @@ TRENDING = Contract(
 
 
 def annotate(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Contract columns coerced to their types, plus ``_errors`` and, for bad rows, ``_record``.
+    """Contract columns coerced to their types, plus ``_ok`` and, for bad rows, ``_errors`` and ``_record``.
 
     ``_record`` is the original row as JSON. Columns outside the contract and ``keep``
     are dropped; a column the frame lacks counts as an absent field.
     """
-    raws = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None).cast("string") for f in contract.fields}
-    values, problems = {}, []
+    values, accepted, problems = [], [], []
     for f in contract.fields:
-        present = f.name in df.columns
-        values[f.name] = f.coerced(raws[f.name]) if present or not f.optional else F.lit(f.default).cast(f.type)
-        problems.append(f.problem(raws[f.name], values[f.name]))
-    errors = F.array_compact(F.array(*problems))
+        if f.name in df.columns or not f.optional:
+            raw = F.col(f.name) if f.name in df.columns else F.lit(None).cast("string")
+            value = f.coerced(raw)
+            accepted.append(f.accepts(raw, value))
+            problems.append(f.problem(raw, value))
+        else:
+            value = F.lit(f.default).cast(f.type)
+        values.append(value.alias(f.name))
+    ok = reduce(lambda a, b: a & b, accepted)
     original = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     return df.select(
-        *[values[f.name].alias(f.name) for f in contract.fields],
+        *values,
         *keep,
-        errors.alias(ERRORS),
-        F.when(F.size(errors) > 0, original).alias(RECORD),
+        ok.alias(OK),
+        F.when(~ok, F.array_compact(F.array(*problems))).alias(ERRORS),
+        F.when(~ok, original).alias(RECORD),
     )
 
 
@@ -139,11 +159,11 @@ def parse_json_records(df: DataFrame, json_col: str, contract: Contract) -> Data
 
 
 def valid_records(annotated: DataFrame) -> DataFrame:
-    return annotated.where(F.size(ERRORS) == 0).drop(ERRORS, RECORD)
+    return annotated.where(OK).drop(OK, ERRORS, RECORD)
 
 
 def quarantined_records(annotated: DataFrame) -> DataFrame:
-    return annotated.where(F.size(ERRORS) > 0).select(RECORD, ERRORS)
+    return annotated.where(~F.col(OK)).select(RECORD, ERRORS)
 
 
 class AllRecordsInvalid(ValueError):
@@ -157,15 +177,15 @@ def land(df: DataFrame, contract: Contract, path: str, day_col: str | None = Non
     parsed once and nothing is dropped. Raises when no record is valid.
     """
     seen = Observation()
-    bad = F.size(ERRORS) > 0
     checked = (
         annotate(df, contract, (day_col,) if day_col and day_col in df.columns else ())
         .observe(
             seen,
             F.count(F.lit(1)).alias("records"),
-            F.count_if(bad).alias("quarantined"),
+            F.count_if(~F.col(OK)).alias("quarantined"),
         )
-        .withColumn("status", F.when(bad, "quarantined").otherwise("valid"))
+        .withColumn("status", F.when(F.col(OK), "valid").otherwise("quarantined"))
+        .drop(OK)
     )
     parts = ["status", day_col] if day_col else ["status"]
     checked.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)

@@ -103,11 +103,13 @@ def mention_counts(
     posts: DataFrame, day: str = "dt", title: str = "title", patterns: dict[str, tuple[str, ...]] | None = None
 ) -> DataFrame:
     """Posts per day whose title mentions each ticker, in one pass."""
+    # Lower-cased once per post: a projection is not merged into a reader that uses it repeatedly.
+    lowered = posts.select(F.col(day).alias("report_date"), F.lower(title).alias("_title"))
     counts = [
-        F.count_if(mentions(title, words)).alias(f"{token.lower()}_mentions")
+        F.count_if(mentions("_title", words)).alias(f"{token.lower()}_mentions")
         for token, words in (patterns or V.MENTION_PATTERNS).items()
     ]
-    return posts.groupBy(F.col(day).alias("report_date")).agg(*counts)
+    return lowered.groupBy("report_date").agg(*counts)
 
 
 def ordered_mention_counts(counts: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ _VIEWS = {
                price, moment, dt
         FROM prices""",
     "drifting": f"""
-        SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k, event_type, value - 5 AS price,
+        SELECT event_id, user_id % 15 AS k, event_type, value - 5 AS price,
                strftime(ts, {_TS}) AS timestamp, strftime(ts, '%Y-%m-%d') AS ingestion_date
         FROM events""",
     "turns": """
