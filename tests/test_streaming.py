@@ -1,4 +1,5 @@
 import json
+import os
 
 from conftest import rows
 from pyspark.sql import types as T
@@ -11,11 +12,16 @@ from tickloom.streaming import trades
 TEXT = T.StructType([T.StructField("value", T.StringType())])
 HOUR = 3600_000
 T0 = 1704067200_000
+landed = 0
 
 
 def land(folder, name, messages):
     folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text("\n".join(json.dumps(m) if m else "" for m in messages))
+    # Files are taken in order of modification time; make that the order of landing.
+    global landed
+    landed += 1
+    os.utime(folder / name, (1_700_000_000 + landed, 1_700_000_000 + landed))
 
 
 def ticks(spark, folder, **kw):

@@ -18,17 +18,20 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
-def distinct_ticks(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+def distinct_ticks(df: DataFrame, key: str, ts: str, value: str, identified: bool = False) -> DataFrame:
     """One row per (key, ts), the one with the highest value.
 
     Grouping on the two typed columns with a fixed-width buffer keeps this a hash
     aggregate. Rows without key or time have no identity of their own and collapse
-    into a single row: latest time first, then highest value.
+    into a single row: latest time first, then highest value. ``identified`` promises
+    there are none, which saves looking for them.
     """
-    identified = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    ticks = df.where(identified).groupBy(key, ts).agg(F.max(value).alias(value))
+    if identified:
+        return df.groupBy(key, ts).agg(F.max(value).alias(value))
+    has_identity = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    ticks = df.where(has_identity).groupBy(key, ts).agg(F.max(value).alias(value))
     unidentified = (
-        df.where(~identified)
+        df.where(~has_identity)
         .select(key, ts, value)
         .orderBy(
             F.col(ts).desc_nulls_last(),

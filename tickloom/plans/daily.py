@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from tickloom import schemas
 from tickloom.operators import merge as M
 from tickloom.operators import quality as Q
 from tickloom.plans import checks, marts, staging
-from tickloom.session import scratch_dir
+from tickloom.session import stored
 from tickloom.sources.lake import Sources
 
 RAW = ("raw_prices", "raw_posts", "raw_index", "raw_trending")
@@ -50,81 +49,119 @@ def since_landed(raw: DataFrame, start: dt.date | None, day: str = "dt", slack_d
 
 
 def staged(sources: Sources, start: dt.date | None = None) -> dict[str, DataFrame]:
+    """Staging frames with the columns the facts and checks use."""
     raw = {name: since_landed(sources(name), start) for name in RAW}
     return {
-        "stg_prices": staging.stage_prices(raw["raw_prices"]),
+        "stg_prices": staging.stage_prices(raw["raw_prices"], gated=sources.gated),
         "stg_posts": staging.stage_posts(raw["raw_posts"], with_title=False),
         "stg_index": staging.stage_index(raw["raw_index"]),
-        "stg_trending": staging.stage_trending(raw["raw_trending"]),
+        "stg_trending": staging.stage_trending(raw["raw_trending"], with_details=False),
     }
 
 
-def crypto_daily_updates(stg: dict[str, DataFrame], bounds: M.Bounds) -> DataFrame:
-    return marts.crypto_daily(
-        marts.daily_price(stg["stg_prices"], bounds), marts.daily_posts(stg["stg_posts"], bounds), bounds
-    )
+@dataclass(frozen=True)
+class Days:
+    """What the facts are made of: one row per day, or per coin and day."""
 
+    prices: DataFrame
+    posts: DataFrame
+    index: DataFrame
+    trending: DataFrame
 
-def market_insights_updates(stg: dict[str, DataFrame], bounds: M.Bounds) -> DataFrame:
-    return marts.market_insights(
-        marts.daily_price(stg["stg_prices"], bounds),
-        marts.daily_posts(stg["stg_posts"], bounds),
-        stg["stg_index"],
-        stg["stg_trending"],
-        bounds,
-    )
+    @classmethod
+    def of(cls, stg: dict[str, DataFrame], bounds: M.Bounds = M.Bounds()) -> Days:
+        return cls(
+            marts.daily_price(stg["stg_prices"], bounds),
+            marts.daily_posts(stg["stg_posts"], bounds),
+            stg["stg_index"],
+            stg["stg_trending"],
+        )
 
+    def since(self, start: dt.date | None) -> Days:
+        return Days(*[M.within(df, "report_date", start) for df in (self.prices, self.posts, self.index, self.trending)])
 
-def refresh(
-    spark: SparkSession,
-    fact: M.Fact,
-    updates: Callable[[dict[str, DataFrame], M.Bounds], DataFrame],
-    lookback: Callable[[dt.date | None], M.Bounds],
-    sources: Sources,
-    full_refresh: bool = False,
-) -> None:
-    """Full build on first run or request, otherwise recompute the lookback days and merge."""
-    latest = None if full_refresh else fact.watermark(spark)
-    bounds = lookback(latest)
-    rows = updates(staged(sources, bounds.read_from), bounds)
-    if latest is None:
+
+def crypto_daily_rows(days: Days, bounds: M.Bounds) -> DataFrame:
+    days = days.since(bounds.read_from)
+    return marts.crypto_daily(days.prices, days.posts, bounds)
+
+
+def market_insights_rows(days: Days, bounds: M.Bounds) -> DataFrame:
+    days = days.since(bounds.read_from)
+    return marts.market_insights(days.prices, days.posts, days.index, days.trending, bounds)
+
+
+def _store(spark: SparkSession, fact: M.Fact, rows: DataFrame, replace: bool) -> None:
+    if replace:
         fact.replace(rows)
     else:
         M.upsert(spark, fact, rows)
 
 
-def refresh_crypto_daily(spark, warehouse: Warehouse, sources: Sources, full_refresh: bool = False) -> None:
-    refresh(spark, warehouse.crypto_daily, crypto_daily_updates, M.short_lookback, sources, full_refresh)
+def refresh_crypto_daily(
+    spark: SparkSession, warehouse: Warehouse, sources: Sources, full_refresh: bool = False
+) -> None:
+    """Full build on first run or request, otherwise recompute the lookback days and merge."""
+    fact = warehouse.crypto_daily
+    latest = None if full_refresh else fact.watermark(spark)
+    bounds = M.short_lookback(latest)
+    days = Days.of(staged(sources, bounds.read_from), bounds)
+    _store(spark, fact, crypto_daily_rows(days, bounds), replace=latest is None)
 
 
 def refresh_market_insights(
-    spark, warehouse: Warehouse, sources: Sources, full_refresh: bool = False, emit_lookback_days: int = 0
+    spark: SparkSession,
+    warehouse: Warehouse,
+    sources: Sources,
+    full_refresh: bool = False,
+    emit_lookback_days: int = 0,
 ) -> None:
-    refresh(
-        spark,
-        warehouse.market_insights,
-        market_insights_updates,
-        lambda latest: M.long_lookback(latest, emit_days=emit_lookback_days),
-        sources,
-        full_refresh,
-    )
+    """The same for the insights, reading far enough back to fill the rolling windows."""
+    fact = warehouse.market_insights
+    latest = None if full_refresh else fact.watermark(spark)
+    bounds = M.long_lookback(latest, emit_days=emit_lookback_days)
+    days = Days.of(staged(sources, bounds.read_from), bounds)
+    _store(spark, fact, market_insights_rows(days, bounds), replace=latest is None)
+
+
+def _write_both(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    sources: Sources,
+    daily_bounds: M.Bounds,
+    insight_bounds: M.Bounds,
+    replace: tuple[bool, bool],
+) -> None:
+    """Both facts from one pass over the raw ticks and posts.
+
+    Their per-day aggregates go to scratch first, over the wider of the two read ranges.
+    """
+    starts = (daily_bounds.read_from, insight_bounds.read_from)
+    start = None if None in starts else min(starts)
+    read = Days.of(staged(sources, start), M.Bounds(read_from=start))
+    days = Days(stored(spark, read.prices, "day-prices"), stored(spark, read.posts, "day-posts"), read.index, read.trending)
+    _store(spark, warehouse.crypto_daily, crypto_daily_rows(days, daily_bounds), replace[0])
+    _store(spark, warehouse.market_insights, market_insights_rows(days, insight_bounds), replace[1])
 
 
 def build_dimensions(spark: SparkSession, warehouse: Warehouse, sources: Sources) -> None:
-    """Both dimensions are rebuilt: dates from the stored fact, coins from staged prices."""
+    """Both dimensions are rebuilt: dates from the stored fact, coins from the prices."""
     marts.dim_date(warehouse.crypto_daily.read(spark)).write.mode("overwrite").parquet(warehouse.dim("dim_date"))
-    coins = marts.dim_coin(staging.stage_prices(sources("raw_prices")))
+    raw = sources("raw_prices")
+    coins = marts.dim_coin_of_raw(raw) if sources.gated else marts.dim_coin(staging.stage_prices(raw))
     coins.write.mode("overwrite").parquet(warehouse.dim("dim_coin"))
 
 
 def backfill(spark: SparkSession, warehouse: Warehouse, sources: Sources, start: dt.date, end: dt.date) -> None:
     """Rebuild [start, end] from bronze and merge it, including later days whose windows changed."""
-    for fact, rolling, updates in (
-        (warehouse.crypto_daily, False, crypto_daily_updates),
-        (warehouse.market_insights, True, market_insights_updates),
-    ):
-        bounds = M.backfill_bounds(start, end, rolling)
-        M.upsert(spark, fact, updates(staged(sources, bounds.read_from), bounds))
+    _write_both(
+        spark,
+        warehouse,
+        sources,
+        M.backfill_bounds(start, end, rolling=False),
+        M.backfill_bounds(start, end, rolling=True),
+        replace=(False, False),
+    )
 
 
 def backfill_last(spark: SparkSession, warehouse: Warehouse, sources: Sources, days: int, today: dt.date) -> None:
@@ -133,8 +170,16 @@ def backfill_last(spark: SparkSession, warehouse: Warehouse, sources: Sources, d
 
 def build(spark: SparkSession, warehouse: Warehouse, sources: Sources, full_refresh: bool = False) -> None:
     """Facts, then the dimensions that depend on them."""
-    refresh_crypto_daily(spark, warehouse, sources, full_refresh)
-    refresh_market_insights(spark, warehouse, sources, full_refresh)
+    facts = (warehouse.crypto_daily, warehouse.market_insights)
+    latest = [None if full_refresh else fact.watermark(spark) for fact in facts]
+    _write_both(
+        spark,
+        warehouse,
+        sources,
+        M.short_lookback(latest[0]),
+        M.long_lookback(latest[1]),
+        replace=(latest[0] is None, latest[1] is None),
+    )
     build_dimensions(spark, warehouse, sources)
 
 
@@ -144,14 +189,9 @@ def tables(spark: SparkSession, warehouse: Warehouse, sources: Sources) -> dict[
     The suite reads each staged table several times, so those are written once to scratch
     instead of being deduplicated again for every check.
     """
-    stored = {}
-    for name, df in staged(sources).items():
-        path = scratch_dir(spark, name)
-        df.write.parquet(path)
-        stored[name] = spark.read.schema(df.schema).parquet(path)
     return {
         **{name: sources(name) for name in RAW},
-        **stored,
+        **{name: stored(spark, df, name) for name, df in staged(sources).items()},
         "fct_crypto_daily": warehouse.crypto_daily.read(spark),
         "fct_market_insights": warehouse.market_insights.read(spark),
         "dim_date": spark.read.parquet(warehouse.dim("dim_date")),

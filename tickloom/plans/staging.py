@@ -9,9 +9,12 @@ from tickloom.functions.columns import utc_text
 from tickloom.operators.dedup import distinct_ticks, latest_per_key
 
 
-def stage_prices(raw: DataFrame) -> DataFrame:
+def stage_prices(raw: DataFrame, gated: bool = False) -> DataFrame:
     """One row per coin and instant, the highest price winning.
 
+    ``gated`` says the rows passed the price contract, which rejects a missing symbol or
+    timestamp.
+
     The text id is a function of (coin, instant), so it is built after deduplication,
     for surviving rows only. A bound on ``recorded_at`` set by a caller reaches the scan:
     it is a grouping column.
@@ -21,7 +24,7 @@ def stage_prices(raw: DataFrame) -> DataFrame:
         F.col("price").cast("double").alias("price_usd"),
         F.col("timestamp").cast("timestamp").alias("recorded_at"),
     )
-    ticks = distinct_ticks(typed, "coin_id", "recorded_at", "price_usd")
+    ticks = distinct_ticks(typed, "coin_id", "recorded_at", "price_usd", identified=gated)
     return ticks.select(
         F.concat("coin_id", F.lit("_"), utc_text("recorded_at")).alias("record_id"),
         "coin_id",
@@ -60,19 +63,26 @@ def stage_index(raw: DataFrame) -> DataFrame:
     return last.select(F.col("report_date").cast("string").alias("record_id"), *last.columns)
 
 
-def stage_trending(raw: DataFrame) -> DataFrame:
-    """Last trending entry of every coin and day."""
+def stage_trending(raw: DataFrame, with_details: bool = True) -> DataFrame:
+    """Last trending entry of every coin and day, the highest score on a tie.
+
+    Name, ticker and rank come after the score in that order, so leaving them out
+    changes no other column.
+    """
     at = F.col("timestamp").cast("timestamp")
-    typed = raw.select(
-        F.lower("coin_id").alias("coin_id"),
-        "name",
+    details = [
+        F.col("name"),
         F.upper("symbol").alias("symbol"),
         F.col("market_cap_rank").cast("bigint").alias("market_cap_rank"),
+    ]
+    typed = raw.select(
+        F.lower("coin_id").alias("coin_id"),
+        *(details if with_details else []),
         F.col("score").cast("bigint").alias("trending_score"),
         at.alias("recorded_at"),
         F.to_date(at).alias("report_date"),
     )
-    last = latest_per_key(typed, ["coin_id", "report_date"], ["recorded_at"])
+    last = latest_per_key(typed, ["coin_id", "report_date"], ["recorded_at", "trending_score"])
     return last.select(
         F.concat("coin_id", F.lit("_"), F.col("report_date").cast("string")).alias("record_id"), *last.columns
     )

@@ -46,7 +46,7 @@ _VIEWS = {
     "trend_days": """
         SELECT DISTINCT ON (coin_id, CAST(moment AS DATE)) *, CAST(moment AS DATE) AS report_date
         FROM trend_rows
-        ORDER BY coin_id, CAST(moment AS DATE), moment DESC, name DESC, symbol DESC, market_cap_rank DESC, score DESC""",
+        ORDER BY coin_id, CAST(moment AS DATE), moment DESC, score DESC, name DESC, symbol DESC, market_cap_rank DESC""",
     "price_days": """
         SELECT CAST(recorded_at AS DATE) AS report_date, coin_id, avg(price_usd) AS avg_price, count(*) AS ticks
         FROM ticks GROUP BY ALL""",

@@ -64,7 +64,7 @@ def query(fn: Query) -> Query:
 
 @query
 def stg_prices_dedup(spark, d):
-    return staging.stage_prices(sample.prices(spark, d))
+    return _ticks(spark, d)
 
 
 @query
@@ -82,8 +82,12 @@ def stg_trending_dedup(spark, d):
     return staging.stage_trending(sample.trending(spark, d))
 
 
+def _ticks(spark, d):
+    return staging.stage_prices(sample.prices(spark, d), gated=True)
+
+
 def _prices(spark, d):
-    return marts.daily_price(staging.stage_prices(sample.prices(spark, d)))
+    return marts.daily_price(_ticks(spark, d))
 
 
 def _posts(spark, d):
@@ -95,7 +99,7 @@ def _index(spark, d):
 
 
 def _trending(spark, d):
-    return staging.stage_trending(sample.trending(spark, d))
+    return staging.stage_trending(sample.trending(spark, d), with_details=False)
 
 
 def _crypto_daily(spark, d):
@@ -161,7 +165,7 @@ def rolling_avg_7(spark, d):
 @query
 def rolling_corr_7(spark, d):
     """Price against the number of distinct ticks of the day."""
-    ticks = staging.stage_prices(sample.prices(spark, d))
+    ticks = _ticks(spark, d)
     days = ticks.groupBy(F.to_date("recorded_at").alias("report_date"), "coin_id").agg(
         F.avg("price_usd").alias("avg_price"), F.count(F.lit(1)).alias("ticks")
     )
@@ -183,7 +187,7 @@ def is_trending_flag(spark, d):
 
 @query
 def dim_coin(spark, d):
-    return marts.dim_coin(staging.stage_prices(sample.prices(spark, d)))
+    return marts.dim_coin_of_raw(sample.prices(spark, d))
 
 
 @query
@@ -359,7 +363,7 @@ def dq_expression(spark, d):
 
 @query
 def dq_price_spike(spark, d):
-    ticks = staging.stage_prices(sample.prices(spark, d)).select("coin_id", "recorded_at", "price_usd")
+    ticks = _ticks(spark, d).select("coin_id", "recorded_at", "price_usd")
     return jumps(with_previous(ticks, "coin_id", "recorded_at", "price_usd"), "price_usd")
 
 
@@ -367,13 +371,13 @@ def dq_price_spike(spark, d):
 def dq_price_positive(spark, d):
     """Events below one, standing for prices that are not positive."""
     shifted = sample.prices(spark, d).withColumn("price", F.col("price") - 1)
-    return staging.stage_prices(shifted).where(checks.price_positive().failing())
+    return staging.stage_prices(shifted, gated=True).where(checks.price_positive().failing())
 
 
 @query
 def dq_not_future(spark, d):
     late = checks.not_in_future(as_of=F.lit("2024-01-29 12:00:00").cast("timestamp"))
-    return staging.stage_prices(sample.prices(spark, d)).where(late.failing())
+    return _ticks(spark, d).where(late.failing())
 
 
 @query
@@ -569,12 +573,7 @@ def _latest_landed(spark, d) -> dt.date:
 def _until(spark, d, day: dt.date):
     """The sources as they were when only price days up to ``day`` had landed."""
     s = sample.sources(spark, d)
-    return lake.Sources(
-        raw_prices=lambda: s("raw_prices").where(F.col("dt") <= F.lit(day)),
-        raw_posts=lambda: s("raw_posts"),
-        raw_index=lambda: s("raw_index"),
-        raw_trending=lambda: s("raw_trending"),
-    )
+    return s.replaced(raw_prices=lambda: s("raw_prices").where(F.col("dt") <= F.lit(day)))
 
 
 @query
@@ -618,12 +617,8 @@ def backfill_range(spark, d):
     good = sample.sources(spark, d)
     start, end = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
     wrong = F.col("dt").between(F.lit(start), F.lit(end))
-    broken = lake.Sources(
-        raw_prices=lambda: good("raw_prices").withColumn("price", F.when(wrong, F.col("price") * 2).otherwise(F.col("price"))),
-        raw_posts=lambda: good("raw_posts"),
-        raw_index=lambda: good("raw_index"),
-        raw_trending=lambda: good("raw_trending"),
-    )
+    doubled = F.when(wrong, F.col("price") * 2).otherwise(F.col("price"))
+    broken = good.replaced(raw_prices=lambda: good("raw_prices").withColumn("price", doubled))
     daily.refresh_crypto_daily(spark, warehouse, broken)
     daily.refresh_market_insights(spark, warehouse, broken)
     daily.backfill(spark, warehouse, good, start, end)
@@ -634,7 +629,7 @@ def backfill_range(spark, d):
 def reappend_idempotent(spark, d):
     """Staging the raw rows appended twice."""
     raw = sample.prices(spark, d)
-    return staging.stage_prices(raw.unionByName(raw))
+    return staging.stage_prices(raw.unionByName(raw), gated=True)
 
 
 # Lake files.

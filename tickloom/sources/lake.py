@@ -130,9 +130,13 @@ def refresh_lake_table(spark: SparkSession, database: str, table: str, schema: T
 
 
 class Sources:
-    """Named raw sources, resolved lazily so plans depend on names, not on locations."""
+    """Named raw sources, resolved lazily so plans depend on names, not on locations.
 
-    def __init__(self, **loaders: Callable[[], DataFrame]):
+    ``gated`` says their rows passed the record contracts.
+    """
+
+    def __init__(self, gated: bool = False, **loaders: Callable[[], DataFrame]):
+        self.gated = gated
         self._loaders = loaders
 
     def __call__(self, name: str) -> DataFrame:
@@ -141,6 +145,10 @@ class Sources:
     def names(self) -> list[str]:
         return list(self._loaders)
 
+    def replaced(self, **loaders: Callable[[], DataFrame]) -> Sources:
+        """The same sources with some of them swapped."""
+        return Sources(self.gated, **{**self._loaders, **loaders})
+
 
 def replay(df: DataFrame, days: int, today: dt.date, day: str = "dt") -> DataFrame:
     """The last ``days`` landed days of a source."""

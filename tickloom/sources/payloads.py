@@ -14,19 +14,26 @@ from tickloom import schemas
 from tickloom.functions.columns import SECOND_FORMAT, epoch_text, safe_bigint
 
 
-def _fetched(at: Column | None) -> tuple[Column, Column]:
+def _stamped(df: DataFrame, at: Column | None) -> DataFrame:
+    """Fetch time as text columns, set once per document before it is unfolded."""
     at = F.current_timestamp() if at is None else at
-    return (
-        F.date_format(at, SECOND_FORMAT).alias("timestamp"),
-        F.date_format(at, "yyyy-MM-dd").alias("ingestion_date"),
-    )
+    stamped = df.withColumn("_fetched", F.date_format(at, SECOND_FORMAT))
+    return stamped.withColumn("_fetched_day", F.substring("_fetched", 1, 10))
 
 
 def flatten_prices(df: DataFrame, col: str = "payload", fetched_at: Column | None = None) -> DataFrame:
     """{coin: {usd}} to one row per coin, stamped with the fetch time."""
-    ts, day = _fetched(fetched_at)
     entries = F.explode(F.from_json(col, schemas.PRICE_PAYLOAD)).alias("symbol", "quote")
-    return df.select("*", entries).select("symbol", F.col("quote.usd").alias("price"), ts, day)
+    return (
+        _stamped(df, fetched_at)
+        .select("_fetched", "_fetched_day", entries)
+        .select(
+            "symbol",
+            F.col("quote.usd").alias("price"),
+            F.col("_fetched").alias("timestamp"),
+            F.col("_fetched_day").alias("ingestion_date"),
+        )
+    )
 
 
 def flatten_index(df: DataFrame, col: str = "payload") -> DataFrame:
@@ -52,11 +59,17 @@ def flatten_posts(df: DataFrame, col: str = "payload") -> DataFrame:
 
 def flatten_trending(df: DataFrame, col: str = "payload", fetched_at: Column | None = None) -> DataFrame:
     """coins[].item to one row per coin; entries without an item, or with an empty one, are skipped."""
-    ts, day = _fetched(fetched_at)
-    items = df.select("*", F.explode(F.from_json(col, schemas.TRENDING_PAYLOAD)["coins"]["item"]).alias("item"))
+    unfolded = F.explode(F.from_json(col, schemas.TRENDING_PAYLOAD)["coins"]["item"]).alias("item")
+    items = _stamped(df, fetched_at).select("_fetched", "_fetched_day", unfolded)
     any_field = F.coalesce(*[F.col(f"item.{c}").cast("string") for c in ("id", "name", "symbol", "market_cap_rank", "score")])
     return items.where(any_field.isNotNull()).select(
-        F.col("item.id").alias("coin_id"), "item.name", "item.symbol", "item.market_cap_rank", "item.score", ts, day
+        F.col("item.id").alias("coin_id"),
+        "item.name",
+        "item.symbol",
+        "item.market_cap_rank",
+        "item.score",
+        F.col("_fetched").alias("timestamp"),
+        F.col("_fetched_day").alias("ingestion_date"),
     )
 
 

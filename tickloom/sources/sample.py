@@ -36,7 +36,8 @@ def _uneven_day(key: str):
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
+    """Price rows as the contract lets them through: symbol and time are present."""
+    return events(spark, sf_dir).where("event_type is not null and ts is not null").select(
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
         F.date_trunc("HOUR", "ts").alias("timestamp"),
@@ -92,6 +93,7 @@ def lake_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(
+        gated=True,
         raw_prices=lambda: prices(spark, sf_dir),
         raw_posts=lambda: posts(spark, sf_dir),
         raw_index=lambda: index(spark, sf_dir),
