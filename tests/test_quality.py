@@ -52,6 +52,14 @@ def test_relationship_counts_child_rows(spark):
     assert list(got.values()) == [2]
 
 
+def test_relationship_reduces_both_sides_before_the_join(spark):
+    df = Q.orphans(spark.range(9), "id", spark.range(5), "id")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    join = next(i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line)
+    assert sum("Aggregate" in line for line in plan.splitlines()[join:]) == 2
+    assert rows(df) == [(5, 1), (6, 1), (7, 1), (8, 1)]
+
+
 def test_checks_on_an_empty_table_report_zero(spark):
     df = spark.createDataFrame([], "k string, v double")
     got = failures(spark, df, Q.not_null("t", "k"), Q.unique("t", "k"), Q.relationship("t", "k", "t", "k"))

@@ -20,16 +20,17 @@ def plain_lag(df):
     return df.withColumn("prev_price", F.lag("price_usd").over(w))
 
 
-@pytest.mark.parametrize("bucket", ["MINUTE", "HOUR", "DAY"])
-def test_same_as_a_key_wide_lag(spark, bucket):
+@pytest.mark.parametrize("buckets", [(), ("HOUR",), ("MINUTE", "DAY"), ("SECOND", "HOUR"), ("SECOND", "MINUTE", "HOUR")])
+def test_same_as_a_key_wide_lag(spark, buckets):
     rnd = random.Random(3)
     data = {}
     for _ in range(600):
         coin = rnd.choice(["hot"] * 8 + ["cold", "rare"])
-        at = T0 + dt.timedelta(seconds=rnd.randrange(86400 * 4) if rnd.random() < 0.9 else rnd.randrange(60))
+        spread = 86400 * 4 if rnd.random() < 0.8 else 60
+        at = T0 + dt.timedelta(seconds=rnd.randrange(spread), microseconds=rnd.choice([0, 5, 500000]))
         data[coin, at] = rnd.choice([None, 0.0, rnd.uniform(1, 100)])
     df = ticks(spark, [(c, t, p) for (c, t), p in data.items()]).repartition(5)
-    got = with_previous(df, "coin_id", "recorded_at", "price_usd", bucket=bucket)
+    got = with_previous(df, "coin_id", "recorded_at", "price_usd", buckets=buckets)
     assert rows(got) == rows(plain_lag(df))
 
 
@@ -41,8 +42,9 @@ def test_null_time_and_null_key(spark):
 def test_tick_rows_never_pass_a_key_wide_window(spark):
     df = ticks(spark, [("a", T0, 1.0)])
     plan = with_previous(df, "coin_id", "recorded_at", "price_usd")._jdf.queryExecution().optimizedPlan().toString()
-    lag = next(line for line in plan.splitlines() if "lag(price_usd" in line)
-    assert "_bucket" in lag.split("windowspecdefinition(")[1]
+    keys = [line.split("windowspecdefinition(")[1].split("ASC")[0] for line in plan.splitlines() if "lag(price_usd" in line]
+    # Ticks by second, seconds by hour, and only hours by coin alone.
+    assert ["_second" in k or "_hour" in k for k in keys] == [True, True, False]
 
 
 def test_jumps(spark):

@@ -188,7 +188,9 @@ def land(df: DataFrame, contract: Contract, path: str, day_col: str | None = Non
         .drop(OK)
     )
     parts = ["status", day_col] if day_col else ["status"]
-    checked.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    if day_col:  # one file per task and day otherwise
+        checked = checked.hint("rebalance", *parts)
+    checked.write.mode("overwrite").partitionBy(*parts).parquet(path)
     counts = {"records": seen.get["records"], "quarantined": seen.get["quarantined"]}
     if counts["records"] == counts["quarantined"]:
         raise AllRecordsInvalid(f"{contract.name}: all {counts['records']} records failed the contract")

@@ -75,10 +75,14 @@ def duplicated(df: DataFrame, column: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child values missing in the parent, with their row counts."""
+    """Child values missing in the parent, with their row counts. Each side joins one row per value.
+
+    Written as an outer join: an anti join would be pushed below the aggregate and meet
+    the child rows unreduced.
+    """
     counts = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    keys = parent.select(F.col(parent_column).alias(column))
-    return counts.join(keys, column, "left_anti")
+    keys = parent.select(F.col(parent_column).alias(column)).distinct().withColumn("_present", F.lit(True))
+    return counts.join(keys, column, "left").where(F.col("_present").isNull()).drop("_present")
 
 
 def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:

@@ -7,33 +7,41 @@ from pyspark.sql import functions as F
 
 
 def with_previous(
-    df: DataFrame, key: str, ts: str, value: str, out: str = "prev_price", bucket: str = "HOUR"
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    out: str = "prev_price",
+    buckets: tuple[str, ...] = ("SECOND", "HOUR"),
 ) -> DataFrame:
-    """``lag(value)`` per key ordered by time, without a key-wide tick window.
+    """``lag(value)`` per key ordered by time, without a key-wide window over ticks.
 
-    Ticks are windowed per (key, time bucket). The last tick of each bucket is handed
-    to the key's next non-empty bucket as an extra row that sorts before all of its
-    ticks; only those one-row-per-bucket summaries pass through a key-wide window.
-    Needs (key, ts) to be unique, which the staged ticks are.
+    Ticks are windowed per (key, time bucket); each bucket gets one extra leading row with
+    the last value before it. Those values come from the buckets' own last ticks, lagged
+    the same way over the next coarser bucket, and over the whole key at the end.
+
+    (key, ts) must be unique, which bounds every window: with the default at most a
+    million microsecond ticks in a second, 3,600 seconds in an hour, and the hours of a
+    series. For ticks at whole seconds ``("HOUR",)`` is bounded just as well and cheaper.
     """
     cols = [*df.columns, out]
-    ticks = df.withColumn("_bucket", F.date_trunc(bucket, ts)).withColumn("_carried", F.lit(False))
-
-    last = ticks.groupBy(key, "_bucket").agg(
-        F.max(ts).alias(ts), F.max_by(value, F.coalesce(ts, F.timestamp_seconds(F.lit(0)))).alias(value)
+    in_time = F.col(ts).asc_nulls_first()
+    if not buckets:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(in_time))).select(*cols)
+
+    bucket = f"_{buckets[0].lower()}"
+    ticks = df.withColumn(bucket, F.date_trunc(buckets[0], ts)).withColumn("_lead_in", F.lit(False))
+    # max_by skips rows without an order value; a tick without time is alone in its bucket.
+    order = F.coalesce(ts, F.timestamp_seconds(F.lit(0)))
+    last = ticks.groupBy(key, bucket).agg(F.max(ts).alias(ts), F.max_by(value, order).alias(value))
+    lead_in = with_previous(last, key, ts, value, "_before", buckets[1:]).select(
+        key, bucket, F.col("_before").alias(value), F.lit(True).alias("_lead_in")
     )
-    following = F.lead("_bucket").over(Window.partitionBy(key).orderBy(F.col("_bucket").asc_nulls_first()))
-    carried = (
-        last.withColumn("_bucket", following)
-        .where(F.col("_bucket").isNotNull())
-        .withColumn("_carried", F.lit(True))
-    )
-
-    in_bucket = Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc_nulls_first())
+    in_bucket = Window.partitionBy(key, bucket).orderBy(F.col("_lead_in").desc(), in_time)
     return (
-        ticks.unionByName(carried, allowMissingColumns=True)
+        ticks.unionByName(lead_in, allowMissingColumns=True)
         .withColumn(out, F.lag(value).over(in_bucket))
-        .where(~F.col("_carried"))
+        .where(~F.col("_lead_in"))
         .select(*cols)
     )
 

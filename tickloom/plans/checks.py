@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import fixed_values as V
@@ -52,15 +52,17 @@ EXPRESSIONS = [Q.expression_is_true("fct_crypto_daily", "avg_price >= 0")]
 DECLARED = NOT_NULL + UNIQUE + RANGES + RELATIONSHIPS + EXPRESSIONS
 
 
+def spiking_ticks(stg_prices: DataFrame) -> DataFrame:
+    """Ticks more than half away from the coin's previous tick.
+
+    Price rows carry whole-second times, so an hour holds at most 3,600 ticks of a coin.
+    """
+    ticks = stg_prices.select("coin_id", "recorded_at", "price_usd")
+    return jumps(with_previous(ticks, "coin_id", "recorded_at", "price_usd", buckets=("HOUR",)), "price_usd")
+
+
 def price_spikes(table: str = "stg_prices") -> Q.FrameCheck:
-    return Q.FrameCheck(
-        table,
-        "price_spike",
-        lambda t: jumps(
-            with_previous(t[table].select("coin_id", "recorded_at", "price_usd"), "coin_id", "recorded_at", "price_usd"),
-            "price_usd",
-        ),
-    )
+    return Q.FrameCheck(table, "price_spike", lambda t: spiking_ticks(t[table]))
 
 
 def price_positive(table: str = "stg_prices") -> Q.RowCheck:

@@ -470,6 +470,13 @@ oracle(
 FROM (SELECT *, lag(price_usd) OVER (PARTITION BY coin_id ORDER BY recorded_at) AS before FROM ticks)
 WHERE before <> 0 AND abs(price_usd - before) / before > 0.5""",
 )
+oracle(
+    "previous_event",
+    (),
+    f"""SELECT coin_id, strftime(ts, {_TS}) AS ts, round(value, 6) AS value, round(previous, 6) AS previous
+FROM (SELECT *, lag(value) OVER (PARTITION BY coin_id ORDER BY ts) AS previous
+      FROM (SELECT event_type AS coin_id, ts, max(value) AS value FROM events GROUP BY ALL))""",
+)
 oracle(
     "dq_price_positive",
     ("ticks",),

@@ -17,11 +17,11 @@ from tickloom.operators import contracts as K
 from tickloom.operators import merge as M
 from tickloom.operators import quality as Q
 from tickloom.operators import serving as S
-from tickloom.operators.dedup import latest_per_key
+from tickloom.operators.dedup import distinct_ticks, latest_per_key
 from tickloom.operators.joins import left_with_defaults
-from tickloom.operators.ticks import jumps, with_previous
+from tickloom.operators.ticks import with_previous
 from tickloom.plans import checks, daily, marts, staging
-from tickloom.session import prepare, scratch_dir
+from tickloom.session import fit_shuffles, path_bytes, prepare, scratch_dir
 from tickloom.sources import lake, payloads, sample, sinks
 from tickloom.streaming import trades
 
@@ -53,7 +53,8 @@ def shown(df: DataFrame) -> DataFrame:
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return shown(fn(prepare(spark), sf_dir))
+        fit_shuffles(prepare(spark), path_bytes(spark, sf_dir))
+        return shown(fn(spark, sf_dir))
 
     QUERIES[fn.__name__] = run
     return run
@@ -363,8 +364,15 @@ def dq_expression(spark, d):
 
 @query
 def dq_price_spike(spark, d):
-    ticks = _ticks(spark, d).select("coin_id", "recorded_at", "price_usd")
-    return jumps(with_previous(ticks, "coin_id", "recorded_at", "price_usd"), "price_usd")
+    return checks.spiking_ticks(_ticks(spark, d))
+
+
+@query
+def previous_event(spark, d):
+    """Every distinct event time of a type next to the value before it, at full precision."""
+    e = sample.events(spark, d).where("event_type is not null and ts is not null")
+    ticks = distinct_ticks(e.withColumnRenamed("event_type", "coin_id"), "coin_id", "ts", "value", identified=True)
+    return with_previous(ticks, "coin_id", "ts", "value", "previous")
 
 
 @query
@@ -715,7 +723,8 @@ EVENT_SCHEMA = T.StructType(
 
 
 def _messages(spark, d):
-    e = trades.file_stream(spark, d, EVENT_SCHEMA, "parquet", glob="events.parquet")
+    # A glob finds a single file as well as a folder of part files.
+    e = trades.file_stream(spark, f"{d}/{{events}}.parquet", EVENT_SCHEMA, "parquet")
     message = F.struct(
         F.unix_millis(F.col("ts").cast("timestamp")).alias("E"),
         F.col("event_type").alias("s"),

@@ -59,6 +59,25 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size below a path, from the filesystem's own summary."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(where).getLength()
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20, most: int = 20_000) -> int:
+    """Start shuffles with enough partitions for the input.
+
+    Adaptive execution merges partitions that turn out small but never adds any, so the
+    first number has to suit the data. It is only ever raised above the session's own.
+    """
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(own, min(most, -(-input_bytes // per_partition)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whatever filesystem the path names."""
     jvm = spark.sparkContext._jvm
