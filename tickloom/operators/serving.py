@@ -68,6 +68,11 @@ def index_badge(value: Column | str) -> Column:
     return band(value, 35, 65, ("red", "yellow", "green"))
 
 
+def latest_index(index: DataFrame) -> DataFrame:
+    """The newest index reading with its badge."""
+    return index_history(index, 1).select("value", "value_classification", index_badge("value").alias("badge"), "dt")
+
+
 def relabelled(prices: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """Lake prices with the symbol shown as a ticker."""
     return prices.select(ticker("symbol", names).alias("symbol"), "price", "timestamp", "dt")

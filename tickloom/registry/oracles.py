@@ -259,6 +259,13 @@ oracle(
     """SELECT value, count(*) AS n, CASE WHEN value < 35 THEN 'red' WHEN value > 65 THEN 'green' ELSE 'yellow' END AS badge
 FROM readings GROUP BY value""",
 )
+oracle(
+    "fng_latest",
+    ("readings",),
+    """SELECT value, class AS value_classification,
+       CASE WHEN value < 35 THEN 'red' WHEN value > 65 THEN 'green' ELSE 'yellow' END AS badge, CAST(dt AS VARCHAR) AS dt
+FROM readings ORDER BY readings.dt DESC, sec DESC, value DESC, class DESC LIMIT 1""",
+)
 oracle(
     "prices_ordered_relabelled",
     ("listing",),
@@ -632,6 +639,14 @@ oracle(
        CAST(NULL AS VARCHAR) AS created_utc, CASE WHEN turn % 2 = 0 THEN '' ELSE '/u' END AS url FROM turns""",
 )
 
+oracle(
+    "bronze_daily_price",
+    (),
+    """SELECT strftime(sec, '%Y-%m-%d') AS report_date, coin_id, round(avg(p), 6) AS avg_price
+FROM (SELECT lower(event_type) AS coin_id, date_trunc('second', ts) AS sec, max(value - 5) AS p
+      FROM events WHERE value - 5 >= 0 GROUP BY 1, 2) GROUP BY 1, 2""",
+)
+
 # Incremental facts and lake files.
 oracle(
     "upsert_no_delete",

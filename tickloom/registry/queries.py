@@ -20,7 +20,7 @@ from tickloom.operators import serving as S
 from tickloom.operators.dedup import distinct_ticks, latest_per_key
 from tickloom.operators.joins import left_with_defaults
 from tickloom.operators.ticks import with_previous
-from tickloom.plans import checks, daily, marts, staging
+from tickloom.plans import checks, daily, ingest, marts, staging
 from tickloom.session import fit_shuffles, path_bytes, prepare, scratch_dir
 from tickloom.sources import lake, payloads, sample, sinks
 from tickloom.streaming import trades
@@ -224,6 +224,11 @@ def fng_band(spark, d):
     return sample.index(spark, d).groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("badge", S.index_badge("value"))
 
 
+@query
+def fng_latest(spark, d):
+    return S.latest_index(sample.index(spark, d))
+
+
 @query
 def prices_ordered_relabelled(spark, d):
     return S.price_listing(sample.prices(spark, d), sample.NAMES)
@@ -571,6 +576,17 @@ def contract_json_defaults(spark, d):
     return K.valid_records(K.annotate(rows, K.POSTS))
 
 
+@query
+def bronze_daily_price(spark, d):
+    """Payloads through contract and bronze into staging and the daily average."""
+    quotes = F.map_from_arrays(F.array("event_type"), F.array(F.struct((F.col("value") - 5).alias("usd"))))
+    docs = sample.events(spark, d).select("ts", F.to_json(quotes).alias("payload"))
+    root = scratch_dir(spark, "bronze")
+    ingest.ingest("raw_prices", docs, root, dt.date(2024, 2, 1), fetched_at=F.col("ts"))
+    raw = ingest.bronze(spark, root)("raw_prices")
+    return marts.daily_price(staging.stage_prices(raw, gated=True))
+
+
 # Incremental facts.
 
 

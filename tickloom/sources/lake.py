@@ -88,15 +88,16 @@ def read_day_folders(
     fmt: str = "parquet",
     start: dt.date | None = None,
     end: dt.date | None = None,
+    below: str = "",
 ) -> DataFrame:
-    """Layout ``root/yyyy-MM-dd/``; ``dt`` is taken from the path.
+    """Layout ``root/yyyy-MM-dd/[below]``; ``dt`` is taken from the path.
 
     A known range only lists its own folders; days without a folder are skipped. Without
     one, a filter on ``dt`` still prunes files, since it depends on the file path alone.
     """
     day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_IN_PATH, 1))
     rows = spark.read.schema(schema).format(fmt).option("recursiveFileLookup", "true")
-    return rows.load(f"{root}/{day_folders(start, end)}").select(*schema.names, day.alias("dt"))
+    return rows.load(f"{root}/{day_folders(start, end)}/{below}".rstrip("/")).select(*schema.names, day.alias("dt"))
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
