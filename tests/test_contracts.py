@@ -59,6 +59,13 @@ def test_absent_column_gets_default_and_null_stays_null(spark):
     assert rows(K.valid_records(df)) == [("a", None, 0, None, "")]
 
 
+def test_absent_required_column_fails_every_row(spark):
+    df = judged(spark, K.INDEX, [("1", "c", "d")], "value string, value_classification string, ingestion_date string")
+    assert [r[K.ERRORS] for r in K.quarantined_records(df).collect()] == [["timestamp: missing"]]
+    nulls = judged(spark, K.INDEX, [("1", "c", None, "d")], "value string, value_classification string, timestamp string, ingestion_date string")
+    assert K.valid_records(nulls).count() == 1
+
+
 def test_json_records_absent_or_null(spark):
     df = spark.createDataFrame(
         [('{"id": "a"}',), ('{"id": "b", "title": null, "score": null, "url": "u"}',), ('{"id": ""}',)], "j string"
@@ -75,6 +82,13 @@ def test_land_counts_and_keeps_everything(spark, tmp_path):
     assert dict(rows(back.groupBy("status").count())) == {"valid": 1, "quarantined": 2}
 
 
+def test_land_by_day(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    data = [("a", "1", "t", f"2024-01-0{i % 3 + 1}") for i in range(30)] + [("", "1", "t", "2024-01-01")]
+    assert K.land(spark.createDataFrame(data, PRICE), K.PRICES, path, "ingestion_date") == {"records": 31, "quarantined": 1}
+    assert spark.read.parquet(f"{path}/status=valid/ingestion_date=2024-01-02").count() == 10
+
+
 def test_land_raises_when_all_invalid_or_empty(spark, tmp_path):
     bad = spark.createDataFrame([("", "1", "t", "d")], PRICE)
     with pytest.raises(K.AllRecordsInvalid):

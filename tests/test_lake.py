@@ -52,6 +52,14 @@ def test_mixed_json_by_suffix_and_bad_files(spark, tmp_path):
     assert df.count() == 7
 
 
+def test_mixed_json_without_schema_keeps_drifting_columns(spark, tmp_path):
+    write(tmp_path / "a/one.jsonl", '{"symbol": "a", "price": 1.5}\n{"symbol": "b", "venue": "x"}\n')
+    write(tmp_path / "a/two.json", '[{"symbol": "c", "rank": 3}]')
+    df = lake.read_mixed_json(spark, str(tmp_path / "a"))
+    assert rows(df.select("symbol", "price", "venue", "rank")) == [("a", 1.5, None, None), ("b", None, "x", None), ("c", None, None, 3)]
+    assert sinks.compact(spark, str(tmp_path / "a"), str(tmp_path / "out")) == 3
+
+
 def test_mixed_json_reads_spark_written_lines_whole(spark, tmp_path):
     path = sinks.save_day(spark.range(100).selectExpr("cast(id as string) symbol", "1.0D price"), str(tmp_path), "coingecko", "2024-01-01")
     assert path.endswith("/coingecko/2024-01-01")
@@ -196,8 +204,10 @@ def test_post_payload(spark):
 
 def test_trending_payload_skips_empty_items(spark):
     item = {"id": "a", "name": "A", "symbol": "AA", "market_cap_rank": None, "score": 0}
-    df = payloads.flatten_trending(docs(spark, {"coins": [{"item": item}, {"item": {}}, {}]}), fetched_at=at())
+    df = payloads.flatten_trending(docs(spark, {"coins": [{"item": item}, {"item": {}}, {}, {"item": None}]}), fetched_at=at())
     assert rows(df) == [("a", "A", "AA", None, 0, "2024-01-05 10:00:00", "2024-01-05")]
+    unknown = payloads.flatten_trending(docs(spark, {"coins": [{"item": {"id": None, "x": 1}}]}), fetched_at=at())
+    assert rows(unknown.select("coin_id")) == [(None,)]
 
 
 def test_trades_skip_empty_messages(spark):

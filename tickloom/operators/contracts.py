@@ -123,13 +123,15 @@ def annotate(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> D
     """
     values, accepted, problems = [], [], []
     for f in contract.fields:
-        if f.name in df.columns or not f.optional:
-            raw = F.col(f.name) if f.name in df.columns else F.lit(None).cast("string")
+        if f.name in df.columns:
+            raw = F.col(f.name)
             value = f.coerced(raw)
             accepted.append(f.accepts(raw, value))
             problems.append(f.problem(raw, value))
         else:
             value = F.lit(f.default).cast(f.type)
+            accepted.append(F.lit(f.optional))
+            problems.append(F.lit(None if f.optional else f"{f.name}: missing"))
         values.append(value.alias(f.name))
     ok = reduce(lambda a, b: a & b, accepted)
     original = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
@@ -176,20 +178,15 @@ def land(df: DataFrame, contract: Contract, path: str, day_col: str | None = Non
     The folder is split by ``status=valid`` / ``status=quarantined``, so the source is
     parsed once and nothing is dropped. Raises when no record is valid.
     """
-    seen = Observation()
-    checked = (
-        annotate(df, contract, (day_col,) if day_col and day_col in df.columns else ())
-        .observe(
-            seen,
-            F.count(F.lit(1)).alias("records"),
-            F.count_if(~F.col(OK)).alias("quarantined"),
-        )
-        .withColumn("status", F.when(F.col(OK), "valid").otherwise("quarantined"))
-        .drop(OK)
-    )
     parts = ["status", day_col] if day_col else ["status"]
+    checked = annotate(df, contract, (day_col,) if day_col and day_col in df.columns else ())
+    checked = checked.withColumn("status", F.when(F.col(OK), "valid").otherwise("quarantined")).drop(OK)
     if day_col:  # one file per task and day otherwise
         checked = checked.hint("rebalance", *parts)
+    # Counted in the writing stage, whose tasks report once even when stages before it are repeated.
+    seen = Observation()
+    bad = F.count_if(F.col("status") == "quarantined")
+    checked = checked.observe(seen, F.count(F.lit(1)).alias("records"), bad.alias("quarantined"))
     checked.write.mode("overwrite").partitionBy(*parts).parquet(path)
     counts = {"records": seen.get["records"], "quarantined": seen.get["quarantined"]}
     if counts["records"] == counts["quarantined"]:

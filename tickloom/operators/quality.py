@@ -10,9 +10,11 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.columns import split_list
+
 
 @dataclass(frozen=True)
 class RowCheck:
@@ -139,7 +141,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def require_partition_rows(spark, path: str) -> int:
+def require_partition_rows(spark: SparkSession, path: str) -> int:
     """Non-blank line count of a landed JSONL folder or file; raises on a missing path or zero."""
     lines = spark.read.text(path).where(F.trim("value") != "")
     n = lines.count()
@@ -154,10 +156,9 @@ def missing_expected(expected: DataFrame, fact: DataFrame, key: str = "coin_id",
     return expected.join(fact.where(F.col(day) == latest).select(key).distinct(), key, "left_anti")
 
 
-def expected_keys(spark, csv: str, key: str = "coin_id") -> DataFrame:
+def expected_keys(spark: SparkSession, csv: str, key: str = "coin_id") -> DataFrame:
     """Literal relation from a comma list."""
-    items = [x.strip() for x in csv.split(",") if x.strip()]
-    return spark.createDataFrame([(x,) for x in items], f"{key} string")
+    return spark.range(1).select(F.explode(split_list(F.lit(csv))).alias(key))
 
 
 def day_completeness(fact: DataFrame, expected: DataFrame, report_date) -> DataFrame:

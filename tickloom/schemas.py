@@ -61,7 +61,5 @@ POST_PAYLOAD = (
     "struct<data: struct<children: array<struct<data: struct<"
     "id: string, title: string, score: bigint, created_utc: string, url: string>>>>>"
 )
-TRENDING_PAYLOAD = (
-    "struct<coins: array<struct<item: struct<"
-    "id: string, name: string, symbol: string, market_cap_rank: bigint, score: bigint>>>>"
-)
+TRENDING_PAYLOAD = "struct<coins: array<struct<item: string>>>"  # an item's JSON text
+TRENDING_ITEM = "struct<id: string, name: string, symbol: string, market_cap_rank: bigint, score: bigint>"

@@ -33,32 +33,38 @@ def read_required_json_lines(spark: SparkSession, path: str, schema: T.StructTyp
     return require_rows(read_json_lines(spark, path, schema), path)
 
 
-def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
     """Every ``*.json*`` file below a folder, by line or as a whole document.
 
     ``.jsonl`` files and Spark's own ``part-*`` files hold one record per line. The test
     on the file name is settled before any file is opened. Files and records that are no
     JSON are skipped; a record with one field of the wrong type stays, that field NULL.
+
+    Without a schema the columns are those found in the files, at the price of reading
+    them twice; both kinds are then united by column name.
     """
-    fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     by_line = F.col("_metadata.file_name").rlike(r"\.jsonl$|^part-")
-    some_field = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in schema.names])
-    readable = some_field | F.col(CORRUPT).isNull()
 
     def load(whole: bool) -> DataFrame:
-        rows = (
-            spark.read.schema(fields)
-            .option("recursiveFileLookup", "true")
+        reader = (
+            spark.read.option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.json*")
             .option("multiLine", str(whole).lower())
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("ignoreCorruptFiles", "true")
-            .json(folder)
         )
-        return rows.where(~by_line if whole else by_line).where(readable).select(*schema.names)
-
-    return load(whole=False).unionByName(load(whole=True))
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        rows = reader.json(folder)
+        names = [c for c in rows.columns if c != CORRUPT]
+        rows = rows.where(~by_line if whole else by_line)
+        if CORRUPT in rows.columns:
+            some_field = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in names], F.lit(False))
+            rows = rows.where(some_field | F.col(CORRUPT).isNull())
+        return rows.select(*names)
+
+    return load(whole=False).unionByName(load(whole=True), allowMissingColumns=True)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ document lacks become NULL and are judged by the contract, not here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import fixed_values as V
@@ -58,11 +58,13 @@ def flatten_posts(df: DataFrame, col: str = "payload") -> DataFrame:
 
 
 def flatten_trending(df: DataFrame, col: str = "payload", fetched_at: Column | None = None) -> DataFrame:
-    """coins[].item to one row per coin; entries without an item, or with an empty one, are skipped."""
-    unfolded = F.explode(F.from_json(col, schemas.TRENDING_PAYLOAD)["coins"]["item"]).alias("item")
-    items = _stamped(df, fetched_at).select("_fetched", "_fetched_day", unfolded)
-    any_field = F.coalesce(*[F.col(f"item.{c}").cast("string") for c in ("id", "name", "symbol", "market_cap_rank", "score")])
-    return items.where(any_field.isNotNull()).select(
+    """coins[].item to one row per coin; entries without an item, or with an empty one, are skipped.
+
+    An item that has keys but none of the known ones stays, for the contract to reject.
+    """
+    entries = F.explode(F.from_json(col, schemas.TRENDING_PAYLOAD)["coins"]["item"]).alias("_item")
+    items = _stamped(df, fetched_at).select("_fetched", "_fetched_day", entries).where("_item <> '{}'")
+    return items.withColumn("item", F.from_json("_item", schemas.TRENDING_ITEM)).select(
         F.col("item.id").alias("coin_id"),
         "item.name",
         "item.symbol",
@@ -83,16 +85,23 @@ def flatten_trades(df: DataFrame, col: str = "payload") -> DataFrame:
     )
 
 
-def fallback_posts(spark, at: Column | None = None) -> DataFrame:
+def fallback_posts(spark: SparkSession, at: Column | None = None) -> DataFrame:
     """Two placeholder posts whose ids carry the day."""
     at = F.current_timestamp() if at is None else at
-    base = spark.createDataFrame(list(V.FALLBACK_POSTS), "coin string, title string, url string")
-    return base.select(
-        F.format_string("fallback-%s-%s", "coin", F.date_format(at, "yyyyMMdd")).alias("id"),
-        "title",
-        F.lit(1).cast("bigint").alias("score"),
-        F.date_format(at, SECOND_FORMAT).alias("created_utc"),
-        "url",
+    listed = [
+        F.struct(F.lit(coin).alias("coin"), F.lit(title).alias("title"), F.lit(url).alias("url"))
+        for coin, title, url in V.FALLBACK_POSTS
+    ]
+    return (
+        spark.range(1)
+        .select(F.inline(F.array(*listed)))
+        .select(
+            F.format_string("fallback-%s-%s", "coin", F.date_format(at, "yyyyMMdd")).alias("id"),
+            "title",
+            F.lit(1).cast("bigint").alias("score"),
+            F.date_format(at, SECOND_FORMAT).alias("created_utc"),
+            "url",
+        )
     )
 
 

@@ -65,7 +65,7 @@ def compact(
     spark: SparkSession,
     folder: str,
     out: str,
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     target_bytes: int = 256 << 20,
     json_to_parquet: float = 0.3,
 ) -> int:
