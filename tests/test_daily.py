@@ -116,6 +116,15 @@ def test_run_passes_clean_data_and_all_checks(spark, tmp_path):
     assert rows(spark.read.parquet(w.dim("dim_date")), "date")[0] == (DAY0, 2024, 1, 1)
 
 
+def test_checks_limited_to_recent_landings(spark, tmp_path):
+    src = sources(spark, range(6))
+    w = built(spark, tmp_path, src)
+    recent = daily.tables(spark, w, src, DAY0 + dt.timedelta(days=4))
+    assert recent["raw_prices"].select("dt").distinct().count() == 3  # two days and one of slack
+    assert recent["stg_prices"].count() == 12
+    assert recent["fct_crypto_daily"].count() == 12
+
+
 def test_run_stops_on_a_missing_coin_and_on_an_empty_source(spark, tmp_path):
     with pytest.raises(Q.QualityError, match="latest_day_has_expected_coins"):
         daily.run(spark, daily.Warehouse(str(tmp_path / "a")), sources(spark, range(4), skip={("ethereum", 3)}))

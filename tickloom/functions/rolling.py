@@ -18,11 +18,14 @@ def rolling_mean(value: str, window: WindowSpec) -> Column:
     return F.avg(value).over(window)
 
 
-def rolling_corr(x: str, y: str, window: WindowSpec, flat_value: float | None = 0.0) -> Column:
-    """Pearson correlation per frame; ``flat_value`` where it is undefined.
-
-    ``corr() OVER`` divides by zero under ANSI when either side is constant, so the
-    quotient is spelled out. A pair counts only if both sides are present.
+def rolling_corr(
+    x: str, y: str, window: WindowSpec, flat_value: float = 0.0, short_value: float = 0.0
+) -> Column:
+    """Pearson correlation per frame.
+
+    ``flat_value`` stands where a side is constant, ``short_value`` where a frame holds
+    fewer than two pairs; a pair counts only if both sides are present. ``corr() OVER``
+    divides by zero under ANSI when a side is constant, so the quotient is spelled out.
     """
     xs = F.when(F.col(y).isNotNull(), F.col(x)).cast("double")
     ys = F.when(F.col(x).isNotNull(), F.col(y)).cast("double")
@@ -30,7 +33,10 @@ def rolling_corr(x: str, y: str, window: WindowSpec, flat_value: float | None =
         F.covar_pop(xs, ys).over(window),
         F.stddev_pop(xs).over(window) * F.stddev_pop(ys).over(window),
     )
-    return value if flat_value is None else F.coalesce(value, F.lit(flat_value))
+    value = F.coalesce(value, F.lit(flat_value))
+    if flat_value == short_value:
+        return value
+    return F.when(F.count(xs).over(window) < 2, F.lit(short_value)).otherwise(value)
 
 
 def full_window_mean(value: str, window: WindowSpec, rows: int = 7) -> Column:

@@ -179,7 +179,8 @@ def land(df: DataFrame, contract: Contract, path: str, day_col: str | None = Non
     parsed once and nothing is dropped. Raises when no record is valid.
     """
     parts = ["status", day_col] if day_col else ["status"]
-    checked = annotate(df, contract, (day_col,) if day_col and day_col in df.columns else ())
+    own = {f.name for f in contract.fields}
+    checked = annotate(df, contract, (day_col,) if day_col and day_col not in own else ())
     checked = checked.withColumn("status", F.when(F.col(OK), "valid").otherwise("quarantined")).drop(OK)
     if day_col:  # one file per task and day otherwise
         checked = checked.hint("rebalance", *parts)

@@ -38,7 +38,10 @@ def index_history(index: DataFrame, n: int = 90, dedup: bool = False) -> DataFra
     ``dedup`` keeps one row per event day instead of every fetched copy.
     """
     rows = index.select(
-        F.col("value").cast("int").alias("value"), "value_classification", "dt", F.col("timestamp").cast("bigint").alias("timestamp")
+        F.col("value").cast("int").alias("value"),
+        "value_classification",
+        "dt",
+        F.col("timestamp").cast("bigint").alias("timestamp"),
     )
     if dedup:
         day = F.to_date(F.timestamp_seconds("timestamp"))

@@ -61,8 +61,12 @@ def market_insights(
     stg_index: DataFrame,
     stg_trending: DataFrame,
     bounds: Bounds = Bounds(),
+    flat_corr: float = 0.0,
 ) -> DataFrame:
-    """Daily price, discussion, index and trending state with score and 7-row rolling metrics."""
+    """Daily price, discussion, index and trending state with score and 7-row rolling metrics.
+
+    ``flat_corr`` is the correlation where price or discussion did not move within a frame.
+    """
     index = within(stg_index, "report_date", bounds.read_from).select("report_date", "fng_value", "fng_classification")
     trending = within(stg_trending, "report_date", bounds.read_from).select("report_date", "coin_id", "trending_score")
 
@@ -92,7 +96,7 @@ def market_insights(
         sentiment_score("fng_value", "reddit_posts", "reddit_engagement").alias("sentiment_score"),
         rolling_mean("avg_price", week).alias("avg_price_7d"),
         rolling_mean("reddit_posts", week).alias("avg_reddit_posts_7d"),
-        rolling_corr("avg_price", "reddit_posts", week).alias("price_social_corr_7d"),
+        rolling_corr("avg_price", "reddit_posts", week, flat_corr).alias("price_social_corr_7d"),
     )
     return within(rows, "report_date", bounds.emit_from, bounds.emit_to)
 

@@ -305,7 +305,8 @@ def field_aggregates(spark, d):
 @query
 def dq_not_null(spark, d):
     """Customers with their order totals: NULL where there is no order."""
-    spent = sample.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("spent"))
+    by_customer = sample.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
+    spent = by_customer.agg(F.sum("o_totalprice").alias("spent"))
     wide = sample.table(spark, d, "customer").join(spent, "c_custkey", "left")
     found = Q.run_checks({"customer": wide}, [Q.not_null("customer", c) for c in ("c_custkey", "c_name", "spent")])
     sources = sample.sources(spark, d)
@@ -498,9 +499,8 @@ def json_trending_flatten(spark, d):
         F.upper("event_type").alias("symbol"),
         (F.col("user_id") % 15).alias("score"),
     )
-    docs = sample.events(spark, d).select(
-        "ts", F.to_json(F.struct(F.array(F.struct(item.alias("item")), F.struct(F.when(F.lit(False), item).alias("item"))).alias("coins"))).alias("payload")
-    )
+    coins = F.array(F.struct(item.alias("item")), F.struct(F.when(F.lit(False), item).alias("item")))
+    docs = sample.events(spark, d).select("ts", F.to_json(F.struct(coins.alias("coins"))).alias("payload"))
     return payloads.flatten_trending(docs, fetched_at=F.col("ts"))
 
 
@@ -683,23 +683,26 @@ def external_table(spark, d):
     path = scratch_dir(spark, "table")
     rows = sample.prices(spark, d).withColumn("timestamp", F.date_format("timestamp", C.SECOND_FORMAT))
     rows.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
-    name = lake.register_lake_table(spark, f"lake_{path[-32:]}", "coingecko_prices", path)
+    name = lake.register_lake_table(spark, f"lake_{path[-32:]}", "coingecko_prices", path, database_location=f"{path}-db")
     return spark.table(name).groupBy("dt", "symbol").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("high"))
 
 
 @query
 def union_by_name(spark, d):
     """Customers and suppliers under the union of their columns."""
-    c = sample.table(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
-    s = sample.table(spark, d, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
-    return lake.union_by_name([c, s])
+    names = {"c_name": "name", "c_acctbal": "balance", "c_mktsegment": "segment"}
+    customers = sample.table(spark, d, "customer").select(*names).withColumnsRenamed(names)
+    names = {"s_acctbal": "balance", "s_name": "name", "s_nationkey": "nation"}
+    suppliers = sample.table(spark, d, "supplier").select(*names).withColumnsRenamed(names)
+    return lake.union_by_name([customers, suppliers])
 
 
 @query
 def compaction(spark, d):
     """Posts written as JSON lines, compacted to Parquet and read back whole."""
     raw, out = scratch_dir(spark, "small"), scratch_dir(spark, "compact")
-    sinks.save_day(sample.posts(spark, d).withColumn("created_utc", F.date_format("created_utc", C.SECOND_FORMAT)), raw, "posts", "2024-01-01")
+    posts = sample.posts(spark, d).withColumn("created_utc", F.date_format("created_utc", C.SECOND_FORMAT))
+    sinks.save_day(posts, raw, "posts", "2024-01-01")
     sinks.compact(spark, raw, out, schemas.RAW_POSTS)
     return spark.read.schema(schemas.RAW_POSTS).parquet(out)
 

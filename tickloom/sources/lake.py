@@ -111,11 +111,19 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> Da
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("dt", T.DateType())])).parquet(root)
 
 
-def register_lake_table(spark: SparkSession, database: str, table: str, root: str, schema: T.StructType | None = None) -> str:
+def register_lake_table(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    root: str,
+    schema: T.StructType | None = None,
+    database_location: str | None = None,
+) -> str:
     """Create database and external partitioned table if missing, then pick up new day folders."""
     fields = schema or schemas.LAKE_TABLES[table]
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    at = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({cols}, dt DATE) "
         f"USING parquet PARTITIONED BY (dt) LOCATION '{root}'"
