@@ -131,15 +131,15 @@ def oracle(name: str, views: tuple[str, ...], sql: str) -> None:
     ORACLES[name] = f"WITH {prefix}\n{sql}" if prefix else sql
 
 
-_FACT_ROW = """record_id, CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 6) AS avg_price,
+_FACT_ROW = """record_id, CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price,
        posts AS reddit_posts, engagement AS reddit_score"""
-_INSIGHT_ROW = """record_id, CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 6) AS avg_price,
+_INSIGHT_ROW = """record_id, CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price,
        posts AS reddit_posts, engagement AS reddit_engagement, fng AS fng_value, class AS fng_classification,
-       is_trending, trend AS trending_score, score AS sentiment_score, round(price_7, 6) AS avg_price_7d,
-       round(posts_7, 6) AS avg_reddit_posts_7d,
-       CASE WHEN corr_7 IS NULL OR isnan(corr_7) THEN 0.0 ELSE round(corr_7, 6) END AS price_social_corr_7d"""
+       is_trending, trend AS trending_score, score AS sentiment_score, round(price_7, 8) AS avg_price_7d,
+       round(posts_7, 8) AS avg_reddit_posts_7d,
+       CASE WHEN corr_7 IS NULL OR isnan(corr_7) THEN 0.0 ELSE round(corr_7, 8) END AS price_social_corr_7d"""
 _TICK_ROW = f"""coin_id || '_' || strftime(recorded_at, {_TS}) || '+00' AS record_id, coin_id,
-       round(price_usd, 6) AS price_usd, strftime(recorded_at, {_TS}) AS recorded_at"""
+       round(price_usd, 8) AS price_usd, strftime(recorded_at, {_TS}) AS recorded_at"""
 
 oracle("stg_prices_dedup", ("ticks",), f"SELECT {_TICK_ROW} FROM ticks")
 oracle("reappend_idempotent", ("ticks",), f"SELECT {_TICK_ROW} FROM ticks")
@@ -165,7 +165,7 @@ FROM trend_days""",
 oracle(
     "daily_avg_price",
     ("price_days",),
-    "SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 6) AS avg_price FROM price_days",
+    "SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price FROM price_days",
 )
 oracle(
     "daily_posts",
@@ -179,7 +179,7 @@ for _name in ("fct_market_insights", "inc_insights_emit_max", "backfill_range"):
 oracle(
     "left_join_defaults",
     (),
-    """SELECT c_custkey, c_mktsegment, ifnull(n, 0) AS orders, round(ifnull(s, 0.0), 6) AS spent, n IS NOT NULL AS has_orders
+    """SELECT c_custkey, c_mktsegment, ifnull(n, 0) AS orders, round(ifnull(s, 0.0), 8) AS spent, n IS NOT NULL AS has_orders
 FROM customer LEFT JOIN (SELECT o_custkey, count(o_orderkey) AS n, sum(o_totalprice) AS s FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
 )
 oracle(
@@ -198,15 +198,15 @@ oracle(
 oracle(
     "rolling_avg_7",
     ("price_days",),
-    """SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 6) AS avg_price,
-       round(avg(avg_price) OVER (PARTITION BY coin_id ORDER BY report_date ROWS 6 PRECEDING), 6) AS avg_price_7d
+    """SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price,
+       round(avg(avg_price) OVER (PARTITION BY coin_id ORDER BY report_date ROWS 6 PRECEDING), 8) AS avg_price_7d
 FROM price_days""",
 )
 oracle(
     "rolling_corr_7",
     ("price_days",),
-    """SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 6) AS avg_price, ticks,
-       CASE WHEN c IS NULL OR isnan(c) THEN 0.0 ELSE round(c, 6) END AS corr_7d
+    """SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price, ticks,
+       CASE WHEN c IS NULL OR isnan(c) THEN 0.0 ELSE round(c, 8) END AS corr_7d
 FROM (SELECT *, corr(avg_price, ticks) OVER (PARTITION BY coin_id ORDER BY report_date ROWS 6 PRECEDING) AS c FROM price_days)""",
 )
 oracle(
@@ -228,7 +228,7 @@ oracle(
 oracle(
     "api_latest_10",
     ("fact",),
-    """SELECT CAST(report_date AS VARCHAR) AS date, coin_id AS coin, round(avg_price, 6) AS price,
+    """SELECT CAST(report_date AS VARCHAR) AS date, coin_id AS coin, round(avg_price, 8) AS price,
        posts AS reddit_posts, engagement AS reddit_score
 FROM fact WHERE coin_id = 'click' ORDER BY report_date DESC LIMIT 10""",
 )
@@ -249,7 +249,7 @@ oracle(
     "fng_ma7_full_window",
     ("index_days",),
     f"""SELECT value, class AS value_classification, CAST(dt AS VARCHAR) AS dt, sec AS timestamp,
-       CASE WHEN count(*) OVER w = 7 THEN round(avg(value) OVER w, 6) END AS ma
+       CASE WHEN count(*) OVER w = 7 THEN round(avg(value) OVER w, 8) END AS ma
 FROM (SELECT * FROM ({_DEDUPED}) ORDER BY dt DESC LIMIT 30) x
 WINDOW w AS (ORDER BY x.dt ROWS 6 PRECEDING)""",
 )
@@ -269,7 +269,7 @@ FROM readings ORDER BY readings.dt DESC, sec DESC, value DESC, class DESC LIMIT
 oracle(
     "prices_ordered_relabelled",
     ("listing",),
-    f"""SELECT symbol, round(price, 6) AS price, strftime(moment, {_TS}) AS timestamp, CAST(dt AS VARCHAR) AS dt
+    f"""SELECT symbol, round(price, 8) AS price, strftime(moment, {_TS}) AS timestamp, CAST(dt AS VARCHAR) AS dt
 FROM listing l ORDER BY l.dt DESC, l.moment DESC, l.symbol, l.price DESC""",
 )
 oracle(
@@ -323,7 +323,7 @@ oracle(
 oracle(
     "price_vs_mentions",
     ("prices", "said"),
-    """SELECT CAST(report_date AS VARCHAR) AS report_date, round(p, 6) AS avg_price, ifnull(eth_mentions, 0) AS mention_count
+    """SELECT CAST(report_date AS VARCHAR) AS report_date, round(p, 8) AS avg_price, ifnull(eth_mentions, 0) AS mention_count
 FROM (SELECT dt AS report_date, avg(price) AS p FROM prices WHERE symbol = 'click' GROUP BY dt) x
 LEFT JOIN said USING (report_date) ORDER BY report_date DESC LIMIT 15""",
 )
@@ -331,11 +331,11 @@ oracle("has_mentions", ("said",), "SELECT sum(none_mentions) > 0 AS has_mentions
 oracle(
     "dod_change",
     ("fact",),
-    """SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 6) AS avg_price,
-       round((avg_price - lag(avg_price) OVER c) / lag(avg_price) OVER c, 6) AS change_1d,
-       round((avg_price - lag(avg_price, 7) OVER c) / lag(avg_price, 7) OVER c, 6) AS change_7d,
-       round(avg(avg_price) OVER w - 2 * stddev_pop(avg_price) OVER w, 6) AS band_low,
-       round(avg(avg_price) OVER w + 2 * stddev_pop(avg_price) OVER w, 6) AS band_high
+    """SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price,
+       round((avg_price - lag(avg_price) OVER c) / lag(avg_price) OVER c, 8) AS change_1d,
+       round((avg_price - lag(avg_price, 7) OVER c) / lag(avg_price, 7) OVER c, 8) AS change_7d,
+       round(avg(avg_price) OVER w - 2 * stddev_pop(avg_price) OVER w, 8) AS band_low,
+       round(avg(avg_price) OVER w + 2 * stddev_pop(avg_price) OVER w, 8) AS band_high
 FROM fact WINDOW c AS (PARTITION BY coin_id ORDER BY report_date),
      w AS (PARTITION BY coin_id ORDER BY report_date ROWS 6 PRECEDING)""",
 )
@@ -343,20 +343,20 @@ oracle(
     "engagement_share",
     ("wide",),
     """SELECT coin_id, is_trending, CAST(sum(engagement) AS BIGINT) AS engagement,
-       round(sum(engagement)::DOUBLE / (SELECT sum(engagement) FROM wide), 6) AS share
+       round(sum(engagement)::DOUBLE / (SELECT sum(engagement) FROM wide), 8) AS share
 FROM wide GROUP BY 1, 2""",
 )
 oracle(
     "engagement_per_post",
     ("fact",),
     """SELECT CAST(report_date AS VARCHAR) AS report_date, max(posts) AS posts, max(engagement) AS engagement,
-       CASE WHEN max(posts) > 0 THEN round(max(engagement) / max(posts), 6) END AS engagement_per_post
+       CASE WHEN max(posts) > 0 THEN round(max(engagement) / max(posts), 8) END AS engagement_per_post
 FROM fact GROUP BY report_date""",
 )
 oracle(
     "score_bands",
     ("insights",),
-    """SELECT coin_id, round(avg(score), 6) AS avg_score,
+    """SELECT coin_id, round(avg(score), 8) AS avg_score,
        CASE WHEN avg(score) >= 70 THEN 'Bullish' WHEN avg(score) < 30 THEN 'Bearish' ELSE 'Neutral' END AS band
 FROM insights GROUP BY coin_id""",
 )
@@ -364,10 +364,10 @@ oracle(
     "field_aggregates",
     ("insights",),
     """SELECT coin_id, CAST(sum(posts) AS BIGINT) AS sum_reddit_posts, CAST(sum(engagement) AS BIGINT) AS sum_reddit_engagement,
-       round(avg(avg_price), 6) AS mean_avg_price, round(avg(fng), 6) AS mean_fng_value,
-       round(avg(trend), 6) AS mean_trending_score, round(avg(score), 6) AS mean_sentiment_score,
-       round(avg(price_7), 6) AS mean_avg_price_7d, round(avg(posts_7), 6) AS mean_avg_reddit_posts_7d,
-       round(avg(CASE WHEN corr_7 IS NULL OR isnan(corr_7) THEN 0.0 ELSE corr_7 END), 6) AS mean_price_social_corr_7d
+       round(avg(avg_price), 8) AS mean_avg_price, round(avg(fng), 8) AS mean_fng_value,
+       round(avg(trend), 8) AS mean_trending_score, round(avg(score), 8) AS mean_sentiment_score,
+       round(avg(price_7), 8) AS mean_avg_price_7d, round(avg(posts_7), 8) AS mean_avg_reddit_posts_7d,
+       round(avg(CASE WHEN corr_7 IS NULL OR isnan(corr_7) THEN 0.0 ELSE corr_7 END), 8) AS mean_price_social_corr_7d
 FROM insights GROUP BY coin_id""",
 )
 
@@ -473,21 +473,21 @@ oracle(
 oracle(
     "dq_price_spike",
     ("ticks",),
-    f"""SELECT coin_id, strftime(recorded_at, {_TS}) AS recorded_at, round(price_usd, 6) AS price_usd, round(before, 6) AS prev_price
+    f"""SELECT coin_id, strftime(recorded_at, {_TS}) AS recorded_at, round(price_usd, 8) AS price_usd, round(before, 8) AS prev_price
 FROM (SELECT *, lag(price_usd) OVER (PARTITION BY coin_id ORDER BY recorded_at) AS before FROM ticks)
 WHERE before <> 0 AND abs(price_usd - before) / before > 0.5""",
 )
 oracle(
     "previous_event",
     (),
-    f"""SELECT coin_id, strftime(ts, {_TS}) AS ts, round(value, 6) AS value, round(previous, 6) AS previous
+    f"""SELECT coin_id, strftime(ts, {_TS}) AS ts, round(value, 8) AS value, round(previous, 8) AS previous
 FROM (SELECT *, lag(value) OVER (PARTITION BY coin_id ORDER BY ts) AS previous
       FROM (SELECT event_type AS coin_id, ts, max(value) AS value FROM events GROUP BY ALL))""",
 )
 oracle(
     "dq_price_positive",
     ("ticks",),
-    f"""SELECT record_id, coin_id, round(p, 6) AS price_usd, recorded_at FROM (
+    f"""SELECT record_id, coin_id, round(p, 8) AS price_usd, recorded_at FROM (
   SELECT coin_id || '_' || strftime(moment, {_TS}) || '+00' AS record_id, coin_id, max(price - 1) AS p, strftime(moment, {_TS}) AS recorded_at
   FROM (SELECT lower(symbol) AS coin_id, moment, price FROM prices) GROUP BY coin_id, moment) WHERE p <= 0""",
 )
@@ -579,7 +579,7 @@ oracle("dq_full_suite", ("insights",), _report(*_suite()))
 oracle(
     "json_map_flatten",
     (),
-    f"""SELECT symbol, round(price, 6) AS price, strftime(ts, {_TS}) AS timestamp, strftime(ts, '%Y-%m-%d') AS ingestion_date FROM (
+    f"""SELECT symbol, round(price, 8) AS price, strftime(ts, {_TS}) AS timestamp, strftime(ts, '%Y-%m-%d') AS ingestion_date FROM (
   SELECT event_type AS symbol, value AS price, ts FROM events
   UNION ALL SELECT event_type || '_k', CAST(props->>'$.k' AS DOUBLE), ts FROM events)""",
 )
@@ -619,7 +619,7 @@ _PROBLEMS = """nullif(concat_ws(',', CASE k WHEN 7 THEN 'symbol: too short' WHEN
 oracle(
     "contract_valid",
     ("drifting",),
-    f"""SELECT event_type AS symbol, round(price, 6) AS price, timestamp, ingestion_date, event_id
+    f"""SELECT event_type AS symbol, round(price, 8) AS price, timestamp, ingestion_date, event_id
 FROM drifting WHERE {_PROBLEMS} IS NULL""",
 )
 oracle(
@@ -642,7 +642,7 @@ oracle(
 oracle(
     "bronze_daily_price",
     (),
-    """SELECT strftime(sec, '%Y-%m-%d') AS report_date, coin_id, round(avg(p), 6) AS avg_price
+    """SELECT strftime(sec, '%Y-%m-%d') AS report_date, coin_id, round(avg(p), 8) AS avg_price
 FROM (SELECT lower(event_type) AS coin_id, date_trunc('second', ts) AS sec, max(value - 5) AS p
       FROM events WHERE value - 5 >= 0 GROUP BY 1, 2) GROUP BY 1, 2""",
 )
@@ -651,28 +651,28 @@ FROM (SELECT lower(event_type) AS coin_id, date_trunc('second', ts) AS sec, max(
 oracle(
     "upsert_no_delete",
     ("fact",),
-    """SELECT record_id, CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 6) AS avg_price,
+    """SELECT record_id, CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price,
        posts AS reddit_posts, engagement + CASE WHEN posts > 0 AND coin_id <> 'newcoin' THEN 1 ELSE 0 END AS reddit_score
 FROM (SELECT * FROM fact
       UNION ALL SELECT md5('newcoin-' || CAST(report_date AS VARCHAR)), report_date, 'newcoin', avg_price, posts, engagement
       FROM fact WHERE coin_id = 'view')""",
 )
-oracle("jsonl_roundtrip", ("prices",), f"SELECT symbol, round(price, 6) AS price, strftime(moment, {_TS}) AS timestamp FROM prices")
+oracle("jsonl_roundtrip", ("prices",), f"SELECT symbol, round(price, 8) AS price, strftime(moment, {_TS}) AS timestamp FROM prices")
 oracle(
     "path_date_partition",
     (),
-    """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2""",
+    """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type, count(*) AS n, round(sum(value), 8) AS total FROM events GROUP BY 1, 2""",
 )
 oracle(
     "external_table",
     ("prices",),
-    "SELECT CAST(dt AS VARCHAR) AS dt, symbol, count(*) AS n, round(max(price), 6) AS high FROM prices GROUP BY prices.dt, symbol",
+    "SELECT CAST(dt AS VARCHAR) AS dt, symbol, count(*) AS n, round(max(price), 8) AS high FROM prices GROUP BY prices.dt, symbol",
 )
 oracle(
     "union_by_name",
     (),
-    """SELECT c_name AS name, round(c_acctbal, 6) AS balance, c_mktsegment AS segment, CAST(NULL AS BIGINT) AS nation FROM customer
-UNION ALL SELECT s_name, round(s_acctbal, 6), NULL, CAST(s_nationkey AS BIGINT) FROM supplier""",
+    """SELECT c_name AS name, round(c_acctbal, 8) AS balance, c_mktsegment AS segment, CAST(NULL AS BIGINT) AS nation FROM customer
+UNION ALL SELECT s_name, round(s_acctbal, 8), NULL, CAST(s_nationkey AS BIGINT) FROM supplier""",
 )
 oracle(
     "compaction",
@@ -687,7 +687,7 @@ oracle(
 oracle(
     "latest_row_per_key",
     (),
-    """SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, round(o_totalprice, 6) AS o_totalprice
+    """SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, round(o_totalprice, 8) AS o_totalprice
 FROM orders ORDER BY o_custkey, o_orderdate DESC, o_orderkey DESC""",
 )
 
@@ -695,17 +695,17 @@ FROM orders ORDER BY o_custkey, o_orderdate DESC, o_orderkey DESC""",
 oracle(
     "stream_trades_append",
     ("messages",),
-    f"SELECT strftime(event_time, {_TS}) AS event_time, symbol, round(price, 6) AS price FROM messages",
+    f"SELECT strftime(event_time, {_TS}) AS event_time, symbol, round(price, 8) AS price FROM messages",
 )
 oracle(
     "stream_dedup",
     ("closed",),
-    f"SELECT strftime(event_time, {_TS}) AS event_time, symbol, round(price, 6) AS price FROM closed c",
+    f"SELECT strftime(event_time, {_TS}) AS event_time, symbol, round(price, 8) AS price FROM closed c",
 )
 oracle(
     "stream_daily_avg",
     ("closed",),
-    """SELECT strftime(event_time, '%Y-%m-%d') AS report_date, symbol AS coin_id, round(avg(price), 6) AS avg_price
+    """SELECT strftime(event_time, '%Y-%m-%d') AS report_date, symbol AS coin_id, round(avg(price), 8) AS avg_price
 FROM closed WHERE date_trunc('day', event_time) + INTERVAL 1 DAY <= (SELECT max(event_time) FROM closed)
 GROUP BY 1, 2""",
 )

@@ -32,7 +32,7 @@ AS_OF = "2024-01-31 00:00:00"
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Values in a form both engines print alike: days and times as text, doubles to 6 places."""
+    """Values in a form both engines print alike: days and times as text, doubles to 8 places."""
     out = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
@@ -41,7 +41,7 @@ def shown(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6)
+            c = F.round(c, 8)
         elif isinstance(f.dataType, T.ArrayType):
             c = F.array_join(c, ",")
         elif isinstance(f.dataType, T.IntegerType):

@@ -19,8 +19,16 @@ NAMES = {"click": "CLK", "view": "VW"}
 MENTIONS = {"ETH": ("eth",), "DOT": ("dot", "polkadot"), "THE": ("the ", "der "), "NONE": ("qqqq", "bitcoin")}
 
 
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its files are listed once per application, not once per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(path)
+    return _tables[key]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
