@@ -3,6 +3,8 @@ import json
 
 import pytest
 from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickloom import schemas
@@ -190,6 +192,19 @@ def test_price_payload_file(spark, tmp_path):
     ]
 
 
+def test_older_snapshots(spark, tmp_path):
+    write(tmp_path / "coins/2024-01-01/data.json", json.dumps({"bitcoin": {"usd": 10}}, indent=2))
+    write(tmp_path / "coins/2024-01-02/data.json", json.dumps({"bitcoin": {"usd": 11.5}}, indent=2))
+    got = rows(payloads.read_price_snapshots(spark, str(tmp_path / "coins")), "ingestion_date")
+    assert got == [("bitcoin", 10.0, "2024-01-01 00:00:00", "2024-01-01"), ("bitcoin", 11.5, "2024-01-02 00:00:00", "2024-01-02")]
+
+    post = {"id": "a", "title": "t", "score": 1, "created_utc": 1775602830.0, "url": "u"}
+    write(tmp_path / "posts/2024-01-01/data.json", json.dumps([post, {**post, "id": "b", "created_utc": None}], indent=2))
+    write(tmp_path / "posts/2024-01-02/data.jsonl", json.dumps({**post, "id": "c", "created_utc": "2024-01-02 01:02:03"}))
+    got = rows(payloads.read_post_snapshots(spark, str(tmp_path / "posts")).select("id", "created_utc"))
+    assert got == [("a", "2026-04-07 23:00:30"), ("b", None), ("c", "2024-01-02 01:02:03")]
+
+
 def test_index_payload_drops_unreadable_items(spark):
     item = {"value": "30", "value_classification": "Fear", "timestamp": "1704067200"}
     df = payloads.flatten_index(docs(spark, {"data": [item, {**item, "value": "x"}, {**item, "timestamp": None}, {}]}, {}, {"data": []}))
@@ -224,3 +239,31 @@ def test_fallback_only_when_empty(spark):
     ]
     some = fallback.withColumn("id", F.lit("x")).limit(1)
     assert [r.id for r in payloads.or_fallback(some, fallback).collect()] == ["x"]
+
+
+def expand(glob):
+    """Brace alternatives of a pattern without other wildcards."""
+    start = glob.find("{")
+    if start < 0:
+        return {glob}
+    depth, parts, last = 0, [], start + 1
+    for i in range(start, len(glob)):
+        if glob[i] == "{":
+            depth += 1
+        elif glob[i] == "," and depth == 1:
+            parts.append(glob[last:i])
+            last = i + 1
+        elif glob[i] == "}":
+            depth -= 1
+            if depth == 0:
+                parts.append(glob[last:i])
+                return {x for p in parts for x in expand(glob[:start] + p + glob[i + 1 :])}
+    raise AssertionError(glob)
+
+
+@given(st.dates(dt.date(2020, 1, 1), dt.date(2026, 12, 31)), st.integers(0, 400))
+@settings(max_examples=40, deadline=None)
+def test_day_globs_name_exactly_the_range(start, days):
+    wanted = {start + dt.timedelta(days=i) for i in range(days + 1)}
+    got = expand(lake.day_folders(start, start + dt.timedelta(days=days)))
+    assert got == {f"{d}" for d in wanted} | {f"dt={d}" for d in wanted}

@@ -88,3 +88,18 @@ def test_bounds():
     assert M.backfill_bounds(dt.date(2024, 1, 9), dt.date(2024, 1, 10), rolling=True) == M.Bounds(
         D1, dt.date(2024, 1, 9), dt.date(2024, 1, 16)
     )
+
+
+def test_random_upserts_against_a_dict(spark, fact):
+    import random
+
+    rnd, model = random.Random(11), {}
+    for _ in range(4):
+        update = {}
+        for _ in range(rnd.randrange(1, 12)):
+            k = f"k{rnd.randrange(15)}"
+            # A key belongs to one day, as record ids hash the day.
+            update[k] = (k, dt.date(2024, 1, 1 + int(k[1:]) % 4), rnd.choice("xyz"), round(rnd.random(), 3))
+        model.update(update)
+        M.upsert(spark, fact, frame(spark, *update.values()))
+        assert stored(spark, fact) == sorted((k, d, p) for k, d, _, p in model.values())

@@ -69,7 +69,7 @@ def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType | Non
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as text, one payload per row, for the flatten functions."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
+    return spark.read.text(path, wholetext=True).select("_metadata", F.col("value").alias("payload"))
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tickloom import fixed_values as V
 from tickloom import schemas
 from tickloom.functions.columns import SECOND_FORMAT, epoch_text, safe_bigint
+from tickloom.sources.lake import DAY_FOLDER, DAY_IN_PATH, read_documents, read_mixed_json
 
 
 def _stamped(df: DataFrame, at: Column | None) -> DataFrame:
@@ -57,6 +58,19 @@ def flatten_posts(df: DataFrame, col: str = "payload") -> DataFrame:
     return post.withColumn("created_utc", epoch_text("created_utc"))
 
 
+def read_price_snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """Older bronze days that hold the nested price payload itself, stamped with their folder's day."""
+    docs = read_documents(spark, f"{root}/{DAY_FOLDER}/*.json")
+    day = F.to_timestamp(F.regexp_extract(F.col("_metadata.file_path"), DAY_IN_PATH, 1))
+    return flatten_prices(docs.select("payload", day.alias("_at")), fetched_at=F.col("_at"))
+
+
+def read_post_snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """Bronze posts of any age: creation times as epoch numbers become text, text stays."""
+    posts = read_mixed_json(spark, root, schemas.RAW_POSTS)
+    return posts.withColumn("created_utc", F.coalesce(epoch_text("created_utc"), "created_utc"))
+
+
 def flatten_trending(df: DataFrame, col: str = "payload", fetched_at: Column | None = None) -> DataFrame:
     """coins[].item to one row per coin; entries without an item, or with an empty one, are skipped.
 
