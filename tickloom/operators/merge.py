@@ -74,6 +74,8 @@ def assert_unique(updates: DataFrame, key: str) -> None:
 def upsert(spark: SparkSession, fact: Fact, updates: DataFrame) -> None:
     """Merge ``updates`` into a fact on its key, rewriting only the days they touch.
 
+    A key must determine its day, as the record ids do, which hash it.
+
     The updates are computed once into a scratch table: the uniqueness test, the list of
     touched days (one small value per day) and the merge read that table, so a lost
     executor re-reads files instead of recomputing the marts. The rewritten days are
