@@ -20,7 +20,7 @@ def plain_lag(df):
     return df.withColumn("prev_price", F.lag("price_usd").over(w))
 
 
-@pytest.mark.parametrize("buckets", [(), ("HOUR",), ("MINUTE", "DAY"), ("SECOND", "HOUR"), ("SECOND", "MINUTE", "HOUR")])
+@pytest.mark.parametrize("buckets", [(), ("HOUR",), ("MINUTE",), ("MINUTE", "DAY"), ("SECOND", "HOUR"), ("SECOND", "MINUTE", "HOUR")])
 def test_same_as_a_key_wide_lag(spark, buckets):
     rnd = random.Random(3)
     data = {}

@@ -22,7 +22,7 @@ def with_previous(
 
     (key, ts) must be unique, which bounds every window: with the default at most a
     million microsecond ticks in a second, 3,600 seconds in an hour, and the hours of a
-    series. For ticks at whole seconds ``("HOUR",)`` is bounded just as well and cheaper.
+    series. For ticks at whole seconds ``("MINUTE",)`` is bounded just as well and cheaper.
     """
     cols = [*df.columns, out]
     in_time = F.col(ts).asc_nulls_first()

@@ -55,10 +55,11 @@ DECLARED = NOT_NULL + UNIQUE + RANGES + RELATIONSHIPS + EXPRESSIONS
 def spiking_ticks(stg_prices: DataFrame) -> DataFrame:
     """Ticks more than half away from the coin's previous tick.
 
-    Price rows carry whole-second times, so an hour holds at most 3,600 ticks of a coin.
+    Feeds stamp whole seconds, so a minute holds at most 60 ticks of a coin, and the
+    coin-wide step sees at most half a million minutes per year.
     """
     ticks = stg_prices.select("coin_id", "recorded_at", "price_usd")
-    return jumps(with_previous(ticks, "coin_id", "recorded_at", "price_usd", buckets=("HOUR",)), "price_usd")
+    return jumps(with_previous(ticks, "coin_id", "recorded_at", "price_usd", buckets=("MINUTE",)), "price_usd")
 
 
 def price_spikes(table: str = "stg_prices") -> Q.FrameCheck:
