@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.session import path_exists, scratch_dir
+from tickloom.session import path_exists, stored
 
 
 class DuplicateKeys(ValueError):
@@ -65,10 +65,14 @@ def merged(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return updates.unionByName(kept)
 
 
-def assert_unique(updates: DataFrame, key: str) -> None:
-    twice = updates.groupBy(key).count().where("count > 1").select(key).first()
-    if twice:
-        raise DuplicateKeys(f"{key} = {twice[0]} occurs more than once in the update set")
+def touched_days(updates: DataFrame, key: str, day: str) -> list[dt.date | None]:
+    """The days of an update set; raises if one of them holds a key twice. One row per day is collected."""
+    per_key = updates.groupBy(day, key).agg(F.count(F.lit(1)).alias("n"))
+    per_day = per_key.groupBy(day).agg(F.max("n").alias("most"), F.max_by(key, "n").alias("key")).collect()
+    for r in per_day:
+        if r["most"] > 1:
+            raise DuplicateKeys(f"{key} = {r['key']} occurs {r['most']} times in the update set")
+    return [r[day] for r in per_day]
 
 
 def upsert(spark: SparkSession, fact: Fact, updates: DataFrame) -> None:
@@ -76,27 +80,20 @@ def upsert(spark: SparkSession, fact: Fact, updates: DataFrame) -> None:
 
     A key must determine its day, as the record ids do, which hash it.
 
-    The updates are computed once into a scratch table: the uniqueness test, the list of
-    touched days (one small value per day) and the merge read that table, so a lost
-    executor re-reads files instead of recomputing the marts. The rewritten days are
-    staged by the dynamic-overwrite commit and swapped in when all tasks are done, so the
-    target can be read while its next version is written.
+    The updates are computed once into a scratch table; the list of touched days and the
+    merge read that table, so a lost executor re-reads files instead of recomputing the
+    marts. The rewritten days are staged by the dynamic-overwrite commit and swapped in
+    when all tasks are done, so the target can be read while its next version is written.
     """
+    new = stored(spark, updates.select(*fact.schema.names), "updates")
+    days = touched_days(new, fact.key, fact.day)
     if not fact.exists(spark):
-        assert_unique(updates, fact.key)
-        fact.replace(updates)
-        return
-    staged = scratch_dir(spark, "updates")
-    updates.select(*fact.schema.names).write.parquet(staged)
-    new = spark.read.schema(fact.schema).parquet(staged)
-    assert_unique(new, fact.key)
-    days = [r[0] for r in new.select(fact.day).distinct().collect()]
-    if not days:
-        return
-    touched = F.col(fact.day).isin([d for d in days if d is not None])
-    if None in days:
-        touched = touched | F.col(fact.day).isNull()
-    fact.replace_days(merged(fact.read(spark).where(touched), new, fact.key))
+        fact.replace(new)
+    elif days:
+        touched = F.col(fact.day).isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col(fact.day).isNull()
+        fact.replace_days(merged(fact.read(spark).where(touched), new, fact.key))
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,7 @@ def newest(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
 
 
-def coin_history(fact: DataFrame, coin_id: str, n: int = 10) -> DataFrame:
+def coin_history(fact: DataFrame, coin_id: str = "bitcoin", n: int = 10) -> DataFrame:
     """The newest ``n`` days of one coin, shaped for the price endpoint."""
     return fact.sparkSession.sql(
         """
