@@ -69,6 +69,16 @@ def test_empty_and_all_invalid_feeds_raise(spark, tmp_path):
         ingest.ingest("raw_prices", docs(spark, {"a": {"usd": -1}}), str(tmp_path), DAYS[0])
 
 
+def test_numbers_that_are_none_are_quarantined(spark, tmp_path):
+    posts = [{"data": {"id": "a", "score": "many"}}, {"data": {"id": "b", "score": None}}, {"data": {"id": "c", "score": 2.0}}]
+    counts = ingest.ingest("raw_posts", docs(spark, {"data": {"children": posts}}), str(tmp_path), DAYS[0])
+    assert counts == {"records": 3, "quarantined": 1}
+    assert rows(ingest.bronze(spark, str(tmp_path))("raw_posts").select("id", "score")) == [("b", None), ("c", 2)]
+    item = {"id": "a", "name": "A", "symbol": "a", "market_cap_rank": "n/a"}
+    counts = ingest.ingest("raw_trending", docs(spark, {"coins": [{"item": item}, {"item": {**item, "market_cap_rank": 3}}]}), str(tmp_path), DAYS[0])
+    assert counts == {"records": 2, "quarantined": 1}
+
+
 def test_posts_fall_back(spark, tmp_path):
     at = F.lit("2024-01-01 00:00:00").cast("timestamp")
     counts = ingest.ingest_posts_or_fallback(spark, docs(spark, {"data": {"children": []}}), str(tmp_path), DAYS[0], at=at)

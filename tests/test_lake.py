@@ -214,13 +214,13 @@ def test_index_payload_drops_unreadable_items(spark):
 def test_post_payload(spark):
     post = {"id": "a", "title": 'Say "hi"\n', "score": 3, "created_utc": 1775602830.0, "url": "u"}
     df = payloads.flatten_posts(docs(spark, {"data": {"children": [{"data": post}, {"data": {"id": "b", "created_utc": "x"}}]}}, {"data": {}}))
-    assert rows(df) == [("a", 'Say "hi"\n', 3, "2026-04-07 23:00:30", "u"), ("b", None, None, None, None)]
+    assert rows(df) == [("a", 'Say "hi"\n', "3", "2026-04-07 23:00:30", "u"), ("b", None, None, None, None)]
 
 
 def test_trending_payload_skips_empty_items(spark):
     item = {"id": "a", "name": "A", "symbol": "AA", "market_cap_rank": None, "score": 0}
     df = payloads.flatten_trending(docs(spark, {"coins": [{"item": item}, {"item": {}}, {}, {"item": None}]}), fetched_at=at())
-    assert rows(df) == [("a", "A", "AA", None, 0, "2024-01-05 10:00:00", "2024-01-05")]
+    assert rows(df) == [("a", "A", "AA", None, "0", "2024-01-05 10:00:00", "2024-01-05")]
     unknown = payloads.flatten_trending(docs(spark, {"coins": [{"item": {"id": None, "x": 1}}]}), fetched_at=at())
     assert rows(unknown.select("coin_id")) == [(None,)]
 

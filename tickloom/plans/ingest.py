@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom import schemas
@@ -50,7 +51,8 @@ def ingest_posts_or_fallback(
 ) -> dict[str, int]:
     """Posts, or the placeholder posts when the feed has none."""
     feed = FEEDS["raw_posts"]
-    rows = payloads.or_fallback(feed.flatten(documents), payloads.fallback_posts(spark, **options))
+    fallback = payloads.fallback_posts(spark, **options).withColumn("score", F.col("score").cast("string"))
+    rows = payloads.or_fallback(feed.flatten(documents), fallback)
     return K.land(rows, feed.contract, f"{root}/{feed.folder}/{day}")
 
 

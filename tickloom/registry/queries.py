@@ -487,7 +487,7 @@ def json_posts_flatten(spark, d):
     docs = sample.table(spark, d, "conversations").select(
         F.to_json(F.struct(F.struct(children.alias("children")).alias("data"))).alias("payload")
     )
-    return payloads.flatten_posts(docs)
+    return K.valid_records(K.annotate(payloads.flatten_posts(docs), K.POSTS))
 
 
 @query
@@ -501,7 +501,7 @@ def json_trending_flatten(spark, d):
     )
     coins = F.array(F.struct(item.alias("item")), F.struct(F.when(F.lit(False), item).alias("item")))
     docs = sample.events(spark, d).select("ts", F.to_json(F.struct(coins.alias("coins"))).alias("payload"))
-    return payloads.flatten_trending(docs, fetched_at=F.col("ts"))
+    return K.valid_records(K.annotate(payloads.flatten_trending(docs, fetched_at=F.col("ts")), K.TRENDING))
 
 
 @query
@@ -622,8 +622,8 @@ def inc_insights_emit_max(spark, d):
 def upsert_no_delete(spark, d):
     """Days with posts get a new score, one coin is new, everything else must survive."""
     fact = daily.Warehouse(scratch_dir(spark, "upsert")).crypto_daily
-    rows = _crypto_daily(spark, d)
-    fact.replace(rows)
+    fact.replace(_crypto_daily(spark, d))
+    rows = fact.read(spark)
     changed = rows.where("reddit_posts > 0").withColumn("reddit_score", F.col("reddit_score") + 1)
     added = (
         rows.where("coin_id = 'view'")

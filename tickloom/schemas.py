@@ -54,12 +54,11 @@ FCT_MARKET_INSIGHTS = _struct(
     price_social_corr_7d=D,
 )
 
-# API payloads before flattening.
+# API payloads before flattening. Whole numbers stay text: the contract coerces or rejects them.
 PRICE_PAYLOAD = "map<string, struct<usd: double>>"
 INDEX_PAYLOAD = "struct<data: array<struct<value: string, value_classification: string, timestamp: string>>>"
 POST_PAYLOAD = (
     "struct<data: struct<children: array<struct<data: struct<"
-    "id: string, title: string, score: bigint, created_utc: string, url: string>>>>>"
+    "id: string, title: string, score: string, created_utc: string, url: string>>>>>"
 )
-TRENDING_PAYLOAD = "struct<coins: array<struct<item: string>>>"  # an item's JSON text
-TRENDING_ITEM = "struct<id: string, name: string, symbol: string, market_cap_rank: bigint, score: bigint>"
+TRENDING_PAYLOAD = "struct<coins: array<struct<item: map<string, string>>>>"

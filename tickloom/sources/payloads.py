@@ -76,14 +76,11 @@ def flatten_trending(df: DataFrame, col: str = "payload", fetched_at: Column | N
 
     An item that has keys but none of the known ones stays, for the contract to reject.
     """
-    entries = F.explode(F.from_json(col, schemas.TRENDING_PAYLOAD)["coins"]["item"]).alias("_item")
-    items = _stamped(df, fetched_at).select("_fetched", "_fetched_day", entries).where("_item <> '{}'")
-    return items.withColumn("item", F.from_json("_item", schemas.TRENDING_ITEM)).select(
-        F.col("item.id").alias("coin_id"),
-        "item.name",
-        "item.symbol",
-        "item.market_cap_rank",
-        "item.score",
+    entries = F.explode(F.from_json(col, schemas.TRENDING_PAYLOAD)["coins"]["item"]).alias("item")
+    items = _stamped(df, fetched_at).select("_fetched", "_fetched_day", entries).where(F.size("item") > 0)
+    return items.select(
+        F.col("item")["id"].alias("coin_id"),
+        *[F.col("item")[c].alias(c) for c in ("name", "symbol", "market_cap_rank", "score")],
         F.col("_fetched").alias("timestamp"),
         F.col("_fetched_day").alias("ingestion_date"),
     )
