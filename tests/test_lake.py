@@ -109,25 +109,6 @@ def test_day_filter_prunes_files(spark, tmp_path):
     assert 0 < read < len(df.inputFiles())
 
 
-def test_external_table_discovers_days_and_columns(spark, tmp_path):
-    root = str(tmp_path / "t")
-    base = schemas.LAKE_TABLES["coingecko_prices"]
-    spark.createDataFrame([("a", 1.0, "t")], base).write.parquet(f"{root}/dt=2024-01-01")
-    name = lake.register_lake_table(spark, "lake_test", "coingecko_prices", root)
-    assert rows(spark.table(name).selectExpr("symbol", "cast(dt as string)")) == [("a", "2024-01-01")]
-    spark.createDataFrame([("b", 2.0, "t", "eur")], "symbol string, price double, timestamp string, currency string").write.parquet(f"{root}/dt=2024-01-02")
-    from pyspark.sql import types as T
-
-    wider = T.StructType([*base.fields, T.StructField("currency", T.StringType())])
-    lake.register_lake_table(spark, "lake_test", "coingecko_prices", root, wider)
-    assert rows(spark.table(name).selectExpr("symbol", "currency", "cast(dt as string)")) == [
-        ("a", None, "2024-01-01"),
-        ("b", "eur", "2024-01-02"),
-    ]
-    plan = spark.table(name).where("dt = '2024-01-02'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
-
-
 def test_partitioned_read(spark, tmp_path):
     base = schemas.LAKE_TABLES["coingecko_prices"]
     spark.createDataFrame([("a", 1.0, "t")], base).write.parquet(f"{tmp_path}/dt=2024-01-01")

@@ -22,7 +22,7 @@ from tickloom.operators.joins import left_with_defaults
 from tickloom.operators.ticks import with_previous
 from tickloom.plans import checks, daily, ingest, marts, staging
 from tickloom.session import fit_shuffles, path_bytes, prepare, scratch_dir
-from tickloom.sources import lake, payloads, sample, sinks
+from tickloom.sources import catalog, lake, payloads, sample, sinks
 from tickloom.streaming import trades
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -683,7 +683,7 @@ def external_table(spark, d):
     path = scratch_dir(spark, "table")
     rows = sample.prices(spark, d).withColumn("timestamp", F.date_format("timestamp", C.SECOND_FORMAT))
     rows.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
-    name = lake.register_lake_table(spark, f"lake_{path[-32:]}", "coingecko_prices", path, database_location=f"{path}-db")
+    name = catalog.register_lake_table(spark, f"lake_{path[-32:]}", "coingecko_prices", path, database_location=f"{path}-db")
     return spark.table(name).groupBy("dt", "symbol").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("high"))
 
 

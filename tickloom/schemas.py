@@ -54,6 +54,9 @@ FCT_MARKET_INSIGHTS = _struct(
     price_social_corr_7d=D,
 )
 
+DIM_COIN = _struct(coin_id=S)
+DIM_DATE = _struct(date=DAY, year=L, month=L, day=L)
+
 # API payloads before flattening. Whole numbers stay text: the contract coerces or rejects them.
 PRICE_PAYLOAD = "map<string, struct<usd: double>>"
 INDEX_PAYLOAD = "struct<data: array<struct<value: string, value_classification: string, timestamp: string>>>"

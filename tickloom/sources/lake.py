@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom import schemas
 from tickloom.operators.quality import require_rows
 
 CORRUPT = "_corrupt_record"
@@ -111,39 +110,6 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> Da
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("dt", T.DateType())])).parquet(root)
 
 
-def register_lake_table(
-    spark: SparkSession,
-    database: str,
-    table: str,
-    root: str,
-    schema: T.StructType | None = None,
-    database_location: str | None = None,
-) -> str:
-    """Create database and external partitioned table if missing, then pick up new day folders."""
-    fields = schema or schemas.LAKE_TABLES[table]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    at = f" LOCATION '{database_location}'" if database_location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({cols}, dt DATE) "
-        f"USING parquet PARTITIONED BY (dt) LOCATION '{root}'"
-    )
-    return refresh_lake_table(spark, database, table, fields)
-
-
-def refresh_lake_table(spark: SparkSession, database: str, table: str, schema: T.StructType) -> str:
-    """Update in place: add columns the schema has gained and register new day folders."""
-    name = f"`{database}`.`{table}`"
-    known = set(spark.table(name).columns)
-    gained = [f for f in schema if f.name not in known]
-    if gained:
-        spark.sql(
-            f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in gained)})"
-        )
-    spark.sql(f"MSCK REPAIR TABLE {name}")
-    return name
-
-
 class Sources:
     """Named raw sources, resolved lazily so plans depend on names, not on locations.
 
