@@ -118,6 +118,11 @@ def test_partitioned_read(spark, tmp_path):
 def test_publish_and_append_raise_on_zero_rows(spark, tmp_path):
     write(tmp_path / "d.jsonl", line("a", 1.0))
     assert sinks.publish_parquet(spark, str(tmp_path / "d.jsonl"), str(tmp_path / "p"), PRICES) == 1
+    write(tmp_path / "b.jsonl", line("a", 1.0) + "{broken\n")
+    with pytest.raises(Exception, match="unreadable record"):
+        sinks.publish_parquet(spark, str(tmp_path / "b.jsonl"), str(tmp_path / "b"), PRICES)
+    write(tmp_path / "n.jsonl", line("a", "n/a"))
+    assert sinks.publish_parquet(spark, str(tmp_path / "n.jsonl"), str(tmp_path / "n"), PRICES) == 1
     write(tmp_path / "e.jsonl", "")
     with pytest.raises(QualityError):
         sinks.publish_parquet(spark, str(tmp_path / "e.jsonl"), str(tmp_path / "q"), PRICES)

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +17,17 @@ DAY_FOLDER = "{dt=,}[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 DAY_IN_PATH = "/(?:dt=)?([0-9]{4}-[0-9]{2}-[0-9]{2})/"
 
 
+def _readable(names: list[str]) -> Column:
+    """A record is JSON unless it was set aside whole; one with a mistyped field still has others."""
+    some_field = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in names], F.lit(False))
+    return some_field | F.col(CORRUPT).isNull()
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
-    """JSONL files or globs such as ``raw/<source>/*/data.jsonl``; bad lines stay visible on request."""
+    """JSONL files or globs such as ``raw/<source>/*/data.jsonl``.
+
+    A line that is no JSON becomes a row of NULLs, its text visible on request.
+    """
     corrupt = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
     return (
         spark.read.schema(T.StructType([*schema.fields, *corrupt]))
@@ -28,8 +37,15 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, keep_c
     )
 
 
+def read_strict_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The same, but a line that is no JSON fails the job."""
+    rows = read_json_lines(spark, path, schema, keep_corrupt=True)
+    checked = F.assert_true(_readable(schema.names), F.concat(F.lit("unreadable record: "), F.col(CORRUPT)))
+    return rows.where(checked.isNull()).select(*schema.names)
+
+
 def read_required_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return require_rows(read_json_lines(spark, path, schema), path)
+    return require_rows(read_strict_json_lines(spark, path, schema), path)
 
 
 def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
@@ -59,8 +75,7 @@ def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType | Non
         names = [c for c in rows.columns if c != CORRUPT]
         rows = rows.where(~by_line if whole else by_line)
         if CORRUPT in rows.columns:
-            some_field = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in names], F.lit(False))
-            rows = rows.where(some_field | F.col(CORRUPT).isNull())
+            rows = rows.where(_readable(names))
         return rows.select(*names)
 
     return load(whole=False).unionByName(load(whole=True), allowMissingColumns=True)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators.quality import QualityError, counted
 from tickloom.session import path_exists
-from tickloom.sources.lake import read_json_lines, read_mixed_json
+from tickloom.sources.lake import read_mixed_json, read_strict_json_lines
 
 
 def save_day(df: DataFrame, root: str, source: str, day: str) -> str:
@@ -33,8 +33,8 @@ def save_days(df: DataFrame, path: str, day: str = "dt") -> None:
 
 
 def publish_parquet(spark: SparkSession, json_path: str, parquet_path: str, schema: T.StructType) -> int:
-    """JSONL to Snappy Parquet; raises when there was nothing to convert."""
-    rows, seen = counted(read_json_lines(spark, json_path, schema))
+    """JSONL to Snappy Parquet; raises on a broken line and when there was nothing to convert."""
+    rows, seen = counted(read_strict_json_lines(spark, json_path, schema))
     rows.write.mode("overwrite").option("compression", "snappy").parquet(parquet_path)
     if seen.get["rows"] == 0:
         raise QualityError(f"no records in {json_path}")
