@@ -1,0 +1,189 @@
+"""Token shards, cached counts and byte-level BPE against the libraries on whole texts."""
+
+import base64
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tickloom.llm import byte_bpe, token_counts, token_shards
+from tickloom.llm.common import scratch
+from tickloom.llm.pieces import PieceCache
+
+WORD, BYTE, RANKS = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    with open(RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def odd_texts():
+    r = random.Random(7)
+    parts = ["a", "ab", "ha", "  ", " ", "\n", "\n\n", "\t", "é", "中文", "ا", "\U0001f600", "12", "--", "==", "'s", "'", "<|endoftext|>"]
+    parts += ["\x1c", "\x85", "\xa0", " ", "The", " the", "aba", "é", "́", "ΑΣ", "İ"]
+    mixed = ["".join(r.choice(parts) for _ in range(r.randint(0, 50))) for _ in range(1500)]
+    runs = [x * k for x in ("a", "ab", "aba", "-", " ", "\n", "0", "é") for k in (1, 2, 3, 7, 20, 65)]
+    return mixed + runs
+
+
+@pytest.mark.parametrize("path, spaced", [(WORD, False), (BYTE, True)])
+def test_pieces_give_the_ids_of_whole_texts(odd_texts, path, spaced):
+    library = Tokenizer.from_file(path)
+    cache = PieceCache(library, lambda _, e: e.ids, most=500, spaced=spaced)  # small: it is refilled often
+    for at in range(0, len(odd_texts), 100):
+        part = odd_texts[at : at + 100]
+        got = [[i for ids in x for i in ids] for x in cache.values(part)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in part]
+        assert len(cache.rest) <= 500 + sum(len(t.split(" ")) for t in part)
+
+
+def test_byte_bpe_ids_are_those_of_the_rank_file(odd_texts, reference):
+    bpe = byte_bpe.load(RANKS, P.PATTERN)
+    cache = PieceCache(bpe.library, bpe.ids)
+    for text, parts in zip(odd_texts, cache.values(odd_texts)):
+        ids = [i for x in parts for i in x]
+        assert ids == reference.encode_ordinary(text)
+        assert bpe.decode(ids) == text.encode()
+
+
+def test_merging_by_definition(odd_texts, reference):
+    bpe = byte_bpe.load(RANKS, P.PATTERN)
+    assert bpe.unsure
+    for text in odd_texts[:300]:
+        assert bpe.merged(text) == reference.encode_ordinary(text)
+
+
+def test_offsets_cover_the_characters(odd_texts):
+    bpe = byte_bpe.load(RANKS, P.PATTERN)
+    for text in odd_texts[:400]:
+        ids = bpe.merged(text)
+        spans = bpe.offsets(text, ids)
+        for i, (start, end) in zip(ids, spans):
+            token = bpe.bytes_of[i]
+            assert token in text[start:end].encode() and end - start <= len(token)
+        assert (spans[0][0], spans[-1][1]) == (0, len(text)) if ids else text == ""
+        assert all(a[1] in (b[0], b[0] + 1) for a, b in zip(spans, spans[1:]))
+
+
+def test_encode_decode_frames(edge, nothing, reference):
+    rows = byte_bpe.encode(edge, RANKS, offsets=True)
+    texts = {r.doc_id: r.text or "" for r in edge.collect()}
+    for r in rows.collect():
+        assert r.ids == reference.encode_ordinary(texts[r.doc_id])
+        assert len(r.ids) == len(r.starts) == len(r.ends)
+    back = {r.doc_id: (bytes(r.bytes), r.text) for r in byte_bpe.decode(rows, RANKS).collect()}
+    assert back == {k: (v.encode(), v) for k, v in texts.items()}
+    digests = byte_bpe.digests(byte_bpe.round_trip(edge, RANKS)).collect()
+    assert len(digests) == edge.count()
+    for r in digests:
+        ids = reference.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    assert byte_bpe.encode(nothing, RANKS).count() == 0 == byte_bpe.round_trip(nothing, RANKS).count()
+
+
+def test_split_characters_decode_once_whole(spark):
+    bpe = byte_bpe.load(RANKS, P.PATTERN)
+    ids = bpe.merged("\U0001f9ff")
+    assert len(ids) > 1
+    rows = spark.createDataFrame([(1, ids), (2, ids[:1]), (3, None)], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.text for r in byte_bpe.decode(rows, RANKS).collect()}
+    assert got[1] == "\U0001f9ff" and "�" in got[2] and got[3] == ""
+
+
+def test_counts_and_cache(spark, edge, nothing, frame):
+    library = Tokenizer.from_file(BYTE)
+    cache = scratch(spark, "counts")
+    got = sorted(tuple(r) for r in token_counts.count_tokens(edge, BYTE, cache).collect() if r.doc_id)
+    want = [(r.doc_id, len((r.text or "").encode()), len(library.encode(r.text or "", add_special_tokens=False))) for r in edge.collect()]
+    assert got == sorted(w for w in want if w[0])
+    stored = spark.read.parquet(cache)
+    assert stored.count() == stored.select("content").distinct().count() == 5  # distinct contents; null is empty
+    # A second run over known and new content appends the new content alone.
+    more = frame((1, "The quick brown fox jumps over the lazy dog. It was not amused."), (9, "new words"))
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(more, BYTE, cache).collect()} == {1: got[0][2], 9: 2}
+    assert spark.read.parquet(cache).count() == 6
+    # Another tokenizer has counts of its own.
+    token_counts.count_tokens(more, WORD, cache).collect()
+    assert spark.read.parquet(cache).count() == 8
+    assert token_counts.count_tokens(nothing, BYTE).count() == 0
+
+
+def test_stored_counts_are_used(spark, frame):
+    cache = scratch(spark, "counts")
+    docs = frame((1, "some text"))
+    row = docs.select(token_counts.content().alias("content"), F.lit(token_counts.version(BYTE)).alias("tokenizer"), F.lit(77).cast("long").alias("n_tokens"))
+    row.write.parquet(cache)
+    assert token_counts.count_tokens(docs, BYTE, cache).first().n_tokens == 77
+
+
+@pytest.mark.parametrize("frame_tokens", [7, 1 << 18])
+def test_shards_round_trip(spark, edge, frame_tokens):
+    library = Tokenizer.from_file(WORD)
+    folder = scratch(spark, "shards")
+    manifest = [r.asDict() for r in token_shards.write_shards(edge.where("doc_id <> 6 or doc_id is null"), WORD, folder, end_id=1, shards=3, frame_tokens=frame_tokens).collect()]
+    got = sorted(((r.doc_id is not None, r.doc_id), r.start, r.n_tokens, bytes(r.ids)) for r in token_shards.read_shards(spark, folder).collect())
+    want, start = [], 0
+    rows = sorted(((r.doc_id is not None, r.doc_id), r.text or "") for r in edge.collect() if r.doc_id != 6)
+    for key, text in rows:
+        ids = library.encode(text, add_special_tokens=False).ids + [1]
+        want.append((key, start, len(ids), np.array(ids, dtype="<u4").tobytes()))
+        start += len(ids)
+    assert got == sorted(want)
+    assert sum(m["n_docs"] for m in manifest) == len(rows)
+    found = token_shards.read_documents(manifest, {1, 3, 99})
+    assert {k: v.tolist() for k, v in found.items()} == {1: library.encode(rows[1][1], add_special_tokens=False).ids + [1], 3: [1]}
+
+
+def test_damage_is_found(spark, frame, tmp_path):
+    folder = scratch(spark, "shards")
+    path = token_shards.write_shards(frame((1, "some words here")), WORD, folder, shards=1).first()["path"]
+    where, name = token_shards.place(path)
+    with where.open_input_file(name) as f:
+        data = bytearray(f.read())
+    copy = tmp_path / "shard.bin"
+    copy.write_bytes(data)
+    with open(copy, "rb") as f:
+        reader = token_shards.ShardReader(f, len(data), 2)
+        assert reader.ids(0, 3).tolist() == Tokenizer.from_file(WORD).encode("some words here", add_special_tokens=False).ids
+        reader.frames[0, 2] ^= 1
+        reader.kept = (-1, b"")
+        with pytest.raises(ValueError, match="checksum"):
+            reader.ids(0, 1)
+    import zstandard
+
+    assert len(zstandard.ZstdDecompressor().decompressobj().decompress(bytes(data))) == 6  # any reader finds the first frame
+
+
+def test_shards_of_nothing(spark, nothing):
+    folder = scratch(spark, "shards")
+    assert token_shards.write_shards(nothing, WORD, folder).count() == 0
+    assert token_shards.read_shards(spark, folder).count() == 0
+
+
+def test_queries_against_libraries(spark, sf_dir, reference):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    word, byte = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    start, want = 0, []
+    for d, t in sorted(docs.items()):
+        ids = word.encode(t, add_special_tokens=False).ids + [1]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in token_shards.op1_token_shards(spark, sf_dir).collect()) == want
+    counts = {d: len(byte.encode(t, add_special_tokens=False)) for d, t in docs.items()}
+    assert {tuple(r) for r in token_counts.op5_token_counts(spark, sf_dir).collect()} == {(d, len(t.encode()), counts[d], counts[d] > 512) for d, t in docs.items()}
+    for r in byte_bpe.op7_byte_bpe(spark, sf_dir).collect():
+        ids = reference.encode_ordinary(docs[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
