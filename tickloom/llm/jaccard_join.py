@@ -5,8 +5,9 @@ by prefixes under several global token orders. Under any total order two sets wi
 similarity of at least t share a token among the first n - ceil(t n) + 1 of each, so a pair must
 pass for every order:
 
-* order 1 puts tokens that many documents share last (by hash within). It forms the candidates, as
-  rare tokens make short lists; lengths and positions of the shared token are tested in the join.
+* order 1 puts rare tokens first: first those made of rare words, and last of all those that many
+  prefixes share. It forms the candidates, as rare tokens make short lists; lengths and positions of
+  the shared token are tested in the join.
 * orders 2 and 3 are two permutations of the tokens. A candidate whose prefixes have no token in
   common under either is dropped before the sets themselves are compared.
 
@@ -15,17 +16,20 @@ up: each member meets the list's leader (the one with the token furthest in fron
 connected groups matter, members in the leader's group are settled. What is left meets the list in
 blocks of bounded size, compared by one sparse-to-dense product each, and a block returns at most a
 spanning forest of its links. No partner is dropped and no list is cut: the split into lists, leaders
-and blocks only decides where a pair is looked at. Which tokens count as shared by many affects
-order 1 alone; any choice gives the same result, and at most ``MOST_SHARED`` of them are sent out.
+and blocks only decides where a pair is looked at. Which words and tokens count as common affects
+order 1 alone; any choice gives the same result. The tables of common words (at most 2**16 can have
+a share of 2**-16) and of shared tokens (``MOST_SHARED``) that are sent to all tasks are bounded.
 
 Words and sets are those of the contract: letters A to Z in lower case, ``size`` words per shingle, a
 shorter text is one shingle, null or blank text has an empty set and links with nothing. Shingles
-are 64-bit hashes, classes 128-bit hashes of their sets. Repeated rows each get a row. An empty table
-gives an empty result. Only ``doc_id`` and ``text`` are read.
+are 63-bit hashes, classes 128-bit hashes of their sets. Sets are not stored or sent: they are larger
+than the texts they come from and do not compress, so texts travel and are cut up where they meet.
+Repeated rows each get a row. An empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,8 @@ from tickloom.llm.common import bytes_of, column, documents, find_package, per_r
 LONG_LIST = 16
 MOST_SHARED = 1 << 18
 FILTER_BITS = 1 << 24
+#: Words with a share of all words above 2**-COMMON_BITS are common; their class is 0 to 15.
+COMMON_BITS = 16
 BLOCK_TOKENS = 1 << 15
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -49,29 +55,68 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+class _Words(dict):
+    """Hash of a word, its class in the low four bits; a bounded table of those seen."""
+
+    def __init__(self, classes: dict[bytes, int], most: int):
+        super().__init__()
+        self.classes, self.most = classes, most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word) & ~15 | self.classes.get(word, 0)
+        return h
+
+
 class Shingler:
-    """Sets of shingle hashes, ascending. Hashes of words are kept in a bounded table."""
+    """Sets of shingles in order 1, as far as words settle it: the classes of a shingle's words are its leading bits."""
 
-    def __init__(self, size: int, most_words: int = 500_000):
-        self.size, self.most, self.words = size, most_words, {}
+    def __init__(self, size: int, classes: dict[bytes, int], most_words: int = 500_000):
+        self.size, self.words = size, _Words(classes, most_words)
         self.weights = mixed(np.arange(1, size + 1, dtype=np.uint64) * _K[0]) | np.uint64(1)
 
     def tokens(self, text: bytes) -> np.ndarray:
         words = text.lower().split()  # of bytes: A to Z, and white space as in the contract
         if not words:
             return np.zeros(0, dtype=np.int64)
-        known = self.words
-        if len(known) > self.most:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        h = np.fromiter(map(self.words.__getitem__, words), dtype=np.uint64, count=len(words))
         n = min(self.size, len(h))
-        total = np.full(len(h) - n + 1, n, dtype=np.uint64)
+        many = len(h) - n + 1
+        common = (h & np.uint64(15)).astype(np.int64)
+        total, rank = np.full(many, n, dtype=np.uint64), np.zeros(many, dtype=np.int64)
         for i in range(n):
-            total += h[i : len(h) - n + 1 + i] * self.weights[i]
-        return np.unique(mixed(total).view(np.int64))
+            total += h[i : many + i] * self.weights[i]
+            rank += common[i : many + i]
+        return np.unique((mixed(total) >> np.uint64(7)).view(np.int64) | np.minimum(rank, 63) << 57)
+
+
+def common_words(docs: DataFrame) -> dict[bytes, int]:
+    """Class 0 to 15 of every common word, by the logarithm of its share of all words.
+
+    Each task reports its words with a share above half the limit, 2**17 at most.
+    """
+    find_package(docs.sparkSession)
+
+    def run(batches):
+        counts: Counter = Counter()
+        for batch in slices(batches):
+            for text in bytes_of(batch):
+                counts.update(text.lower().split())
+            if len(counts) > 2_000_000:  # rare words go; the common ones have long been counted
+                counts = Counter({w: c for w, c in counts.items() if c > 1})
+        total = sum(counts.values())
+        own = [(w, c) for w, c in counts.items() if c << COMMON_BITS + 1 > total]
+        cols = [pa.array([w for w, _ in own], type=pa.binary()), pa.array([c for _, c in own], type=pa.int64())]
+        yield pa.RecordBatch.from_arrays(cols, names=["word", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], type=pa.binary()), pa.array([total], type=pa.int64())], names=["word", "c"])
+
+    found = docs.select(column("text").alias("text")).mapInArrow(run, "word binary, c long")
+    counts = stored(found.groupBy("word").agg(F.sum("c").alias("c")), "words")
+    total = counts.where("word IS NULL").agg(F.sum("c")).first()[0] or 0
+    top = counts.where(F.col("word").isNotNull() & (F.col("c") * (1 << COMMON_BITS) > total)).toArrow()
+    share = np.log2(np.maximum(1, top["c"].to_numpy()) / max(1, total))
+    return dict(zip(top["word"].to_pylist(), np.clip(COMMON_BITS + share, 0, 15).astype(int).tolist()))
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -88,12 +133,12 @@ def _class_of(tokens: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None
 
 
-def with_prefix(docs: DataFrame, size: int, percent: int, shared: np.ndarray | None = None) -> DataFrame:
-    """``doc_id, n, class, prefix``: the prefix under order 1, given the tokens that many documents share."""
+def with_prefix(docs: DataFrame, size: int, percent: int, words, shared: np.ndarray | None = None) -> DataFrame:
+    """``doc_id, hash, n, class, prefix``: the prefix under order 1, given the common words and the shared tokens."""
     late = docs.sparkSession.sparkContext.broadcast(shared) if shared is not None else None
 
     def make():
-        shingler = Shingler(size)
+        shingler = Shingler(size, words.value)
 
         def run(batch):
             out = {"n": [], "class": [], "prefix": []}
@@ -113,7 +158,14 @@ def with_prefix(docs: DataFrame, size: int, percent: int, shared: np.ndarray | N
 
         return run
 
-    return per_row(docs, make, [("doc_id", "doc_id"), ("text", "text")], "n long, class binary, prefix array<long>")
+    keep = [("doc_id", "doc_id"), ("hash", "hash"), ("text", "text")]
+    return per_row(named(docs), make, keep, "n long, class binary, prefix array<long>")
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and a hash of the text, which tells rows that repeat an id apart."""
+    rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").alias("text"))
+    return rows.withColumn("hash", F.xxhash64("text"))
 
 
 def shared_tokens(prefixes: DataFrame, long_list: int, most: int) -> np.ndarray:
@@ -160,49 +212,72 @@ def bits_of(ids: DataFrame, slot: Column, bits: int) -> np.ndarray:
     return out
 
 
-def sets_of(docs: DataFrame, needed: DataFrame, size: int, percent: int, bits: int) -> DataFrame:
-    """``cid, n, tokens, second, third`` of the ``needed`` classes (``cid, class, stands``), from the texts again.
+def texts_of_classes(docs: DataFrame, needed: DataFrame, bits: int) -> DataFrame:
+    """``cid, text`` of the ``needed`` classes (``cid, stands, hash``).
 
-    Sets are large and few are needed: a bitmap over the ids of the rows that stand for them keeps
-    other texts from being cut up; what it lets through by chance the join drops.
+    A bitmap over the rows that stand for them keeps other texts out of the shuffle; what it lets
+    through by chance the join drops.
     """
-    slot = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(bits)).cast("long")
-    bitmap = docs.sparkSession.sparkContext.broadcast(bits_of(needed.select(F.col("stands").alias("doc_id")), slot, bits))
-    find_package(docs.sparkSession)
-    rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").alias("text")).withColumn("slot", slot)
+    slot = F.pmod(F.xxhash64(F.col("doc_id"), F.col("hash")), F.lit(bits)).cast("long")
+    of_needed = needed.select(F.col("stands").alias("doc_id"), "hash")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bits_of(of_needed, slot, bits))
+    rows = named(docs).withColumn("slot", slot)
 
     def run(batches):
-        shingler, names = Shingler(size), ["doc_id", "class", "tokens", "second", "third"]
         for batch in slices(batches, 2048):
             slots = batch.column("slot").to_numpy()
-            keep = pa.array((bitmap.value[slots >> 6] >> (slots & 63)) & 1 == 1)
-            for part in slices([batch.filter(keep)], 256):
-                tokens = [shingler.tokens(t) for t in bytes_of(part)]
-                lengths = [prefix_length(len(t), percent) for t in tokens]
-                longs = pa.list_(pa.int64())
-                cols = [
-                    part.column("doc_id"),
-                    pa.array([_class_of(t) for t in tokens], type=pa.binary()),
-                    pa.array(tokens, type=longs),
-                    pa.array([first_under(t, 1, n) for t, n in zip(tokens, lengths)], type=longs),
-                    pa.array([first_under(t, 3, n) for t, n in zip(tokens, lengths)], type=longs),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    made = rows.mapInArrow(run, "doc_id long, class binary, tokens array<long>, second array<long>, third array<long>")
-    same = (made["class"] == needed["class"]) & made["doc_id"].eqNullSafe(needed["stands"])
-    found = made.join(needed, same).select("cid", F.size("tokens").cast("long").alias("n"), "tokens", "second", "third")
-    return stored(found.dropDuplicates(["cid"]), "sets")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+            yield batch.filter(pa.array((bitmap.value[slots >> 6] >> (slots & 63)) & 1 == 1)).drop_columns(["slot"])
+
+    kept = rows.mapInArrow(run, "doc_id long, text string, hash long").alias("k")
+    want = needed.select("cid", "stands", F.col("hash").alias("own"))
+    same = (F.col("k.hash") == F.col("own")) & F.col("k.doc_id").eqNullSafe(F.col("stands"))
+    return kept.join(want, same).select("cid", "text").dropDuplicates(["cid"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, words) -> DataFrame:
     """The pairs that pass the other orders and then are similar indeed."""
-    a = sets.select(*(F.col(c).alias(f"a_{c}") for c in sets.columns))
-    b = sets.select(*(F.col(c).alias(f"b_{c}") for c in sets.columns))
-    met = pairs.join(a, F.col("x") == F.col("a_cid")).join(b, F.col("y") == F.col("b_cid"))
-    passed = met.where(F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third"))
-    both = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
-    return passed.where(100 * both >= percent * (F.col("a_n") + F.col("b_n") - both)).select("x", "y")
+    a = texts.select(F.col("cid").alias("a_cid"), F.col("text").alias("a"))
+    b = texts.select(F.col("cid").alias("b_cid"), F.col("text").alias("b"))
+    met = pairs.join(a, F.col("x") == F.col("a_cid")).join(b, F.col("y") == F.col("b_cid")).select("x", "y", "a", "b")
+
+    def run(batches):
+        shingler = Shingler(size, words.value)
+        known: dict[int, tuple] = {}
+
+        def parts(cid, text):
+            if cid not in known:
+                if len(known) >= 512:
+                    known.clear()
+                tokens = shingler.tokens(text)
+                length = prefix_length(len(tokens), percent)
+                known[cid] = (first_under(tokens, 1, length), first_under(tokens, 3, length), tokens)
+            return known[cid]
+
+        for batch in slices(batches, 256):
+            keep = []
+            rows = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), bytes_of(batch, "a"), bytes_of(batch, "b"))
+            for x, y, one, other in rows:
+                p, q = parts(x, one), parts(y, other)
+                keep.append(meet(p[0], q[0]) > 0 and meet(p[1], q[1]) > 0 and similar(p[2], q[2], percent))
+            yield batch.select(["x", "y"]).filter(pa.array(keep, type=pa.bool_()))
+
+    return met.mapInArrow(run, "x long, y long")
+
+
+def meet(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of common tokens of two ascending sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return 0
+    place = np.searchsorted(b, a)
+    place[place == len(b)] = 0
+    return int(np.count_nonzero(b[place] == a))
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = meet(a, b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -256,52 +331,61 @@ def _forest(x: list, y: list, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def unsettled_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, block_tokens: int) -> DataFrame:
-    """Links ``x, y`` of members outside their leader's group with any member of the list."""
+def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``leader, cid, n, root, open``: lists in which some member is outside its leader's group; open says which."""
     of = roots.select(F.col("node").alias("cid"), "root")
     lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("lead_root"))
     known = members.join(of, "cid", "left").join(lead, "leader", "left")
     known = known.select("leader", "cid", "n", F.coalesce("root", "cid").alias("root"), F.coalesce("lead_root", "leader").alias("lead_root"))
-    known = stored(known, "known")
-    open_lists = known.where("root <> lead_root").groupBy("leader").agg(F.sum("n").alias("open"))
-    sizes = known.groupBy("leader").agg(F.sum("n").alias("all")).join(open_lists, "leader")
+    known = stored(known.select("leader", "cid", "n", "root", (F.col("root") != F.col("lead_root")).alias("open")), "known")
+    return known.join(known.where("open").select("leader").distinct(), "leader", "left_semi")
+
+
+def block_links(lists: DataFrame, texts: DataFrame, size: int, percent: int, words, block_tokens: int) -> DataFrame:
+    """Links ``x, y`` of the open members of lists with any member of their list."""
+    sizes = lists.groupBy("leader").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("open"), F.col("n"))).alias("opened"))
 
     def blocks(rows: DataFrame, of_size: str, name: str) -> DataFrame:
         count = F.ceil(F.col(of_size) / F.lit(block_tokens)).cast("long")
         own = rows.join(sizes, "leader").withColumn("block", F.pmod(F.xxhash64("cid"), count))
-        full = own.join(sets.select("cid", "tokens"), "cid")
-        return full.groupBy("leader", "block").agg(F.collect_list(F.struct("cid", "root", "tokens")).alias(name)).drop("block")
+        full = own.join(texts, "cid")
+        return full.groupBy("leader", "block").agg(F.collect_list(F.struct("cid", "root", "text")).alias(name)).drop("block")
 
-    x = blocks(known.where("root <> lead_root"), "open", "xs")
-    y = blocks(known, "all", "ys")
-    met = x.join(y, "leader").select("xs", "ys").repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    x, y = blocks(lists.where("open"), "opened", "xs"), blocks(lists, "all", "ys")
+    met = x.join(y, "leader").select("xs", "ys").repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
+        shingler = Shingler(size, words.value)
         for batch in slices(batches, 1):
-            xs, ys = ([(r["cid"], r["root"], np.array(r["tokens"], dtype=np.int64)) for r in batch.column(c)[0].as_py()] for c in ("xs", "ys"))
+            xs, ys = ([(r["cid"], r["root"], shingler.tokens(r["text"].encode())) for r in batch.column(c)[0].as_py()] for c in ("xs", "ys"))
             found = _forest(xs, ys, percent)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in ([a for a, _ in found], [b for _, b in found])], names=["x", "y"])
 
     return met.mapInArrow(run, "x long, y long")
 
 
-def groups(docs: DataFrame, size: int = 5, percent: int = 80, long_list: int = LONG_LIST) -> DataFrame:
+def groups(docs: DataFrame, size: int = 5, percent: int = 80, long_list: int = LONG_LIST, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``; the id is the smallest of the row's group."""
     spark = docs.sparkSession
     find_package(spark)
-    rows = stored(with_prefix(docs, size, percent).withColumn("doc_id", F.col("doc_id").cast("long")), "prefixes")
+    words = spark.sparkContext.broadcast(common_words(docs))
+    rows = stored(with_prefix(docs, size, percent, words), "prefixes")
     late = shared_tokens(rows, long_list, MOST_SHARED)
-    ordered = with_prefix(docs, size, percent, late).withColumn("doc_id", F.col("doc_id").cast("long")) if len(late) else rows
+    ordered = with_prefix(docs, size, percent, words, late) if len(late) else rows
     each = ordered.where("n > 0").dropDuplicates(["class"]).withColumn("cid", F.monotonically_increasing_id())
     classes = stored(each.withColumnRenamed("doc_id", "stands"), "classes")
     pairs, members = candidates(classes, percent, long_list)
-    ids = pairs.select(F.col("x").alias("cid")).unionByName(pairs.select(F.col("y").alias("cid"))).unionByName(members.select("cid")).distinct()
-    needed = stored(classes.select("cid", "class", "stands").join(ids, "cid"), "needed")
-    sets = sets_of(docs, needed, size, percent, FILTER_BITS)
-    links = stored(verified(pairs, sets, percent), "links")
+
+    def texts(cids: DataFrame) -> DataFrame:
+        needed = stored(classes.select("cid", "stands", "hash").join(cids.distinct(), "cid"), "needed")
+        return texts_of_classes(docs, needed, FILTER_BITS)
+
+    ends = pairs.select(F.col("x").alias("cid")).unionByName(pairs.select(F.col("y").alias("cid")))
+    links = stored(verified(pairs, texts(ends), size, percent, words), "links")
     roots = components(links)
-    more = stored(unsettled_links(members, roots, sets, percent, BLOCK_TOKENS), "more-links")
-    if not more.isEmpty():
+    lists = stored(unsettled(members, roots), "unsettled")
+    if not lists.isEmpty():
+        more = stored(block_links(lists, stored(texts(lists.select("cid")), "texts"), size, percent, words, block_tokens), "more-links")
         roots = components(links.unionByName(more))
     least = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     own = classes.select("cid", "class").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
