@@ -30,8 +30,8 @@ def reference():
 def odd_texts():
     r = random.Random(7)
     parts = ["a", "ab", "ha", "  ", " ", "\n", "\n\n", "\t", "é", "中文", "ا", "\U0001f600", "12", "--", "==", "'s", "'", "<|endoftext|>"]
-    parts += ["\x1c", "\x85", "\xa0", " ", "The", " the", "aba", "é", "́", "ΑΣ", "İ"]
-    mixed = ["".join(r.choice(parts) for _ in range(r.randint(0, 50))) for _ in range(1500)]
+    parts += [".", ",", "word.", "\nNext", "a.\n", "9,", "é.", "<|ENDOFTEXT|>", "<|startoftext|>", "\x1c", "\x85", "\xa0", " ", "The", " the", "aba", "é", "́", "ΑΣ", "İ"]
+    mixed = ["".join(r.choice(parts) for _ in range(r.randint(0, 50))) for _ in range(3000)]
     runs = [x * k for x in ("a", "ab", "aba", "-", " ", "\n", "0", "é") for k in (1, 2, 3, 7, 20, 65)]
     return mixed + runs
 
@@ -39,18 +39,18 @@ def odd_texts():
 @pytest.mark.parametrize("path, spaced", [(WORD, False), (BYTE, True)])
 def test_pieces_give_the_ids_of_whole_texts(odd_texts, path, spaced):
     library = Tokenizer.from_file(path)
-    cache = PieceCache(library, lambda _, e: e.ids, most=500, spaced=spaced)  # small: it is refilled often
+    cache = PieceCache(library, lambda _, ids: ids, spaced, most=500)  # small: refilled often
     for at in range(0, len(odd_texts), 100):
         part = odd_texts[at : at + 100]
-        got = [[i for ids in x for i in ids] for x in cache.values(part)]
+        got = [[i for ids in x for i in ids] for x in cache.values([t.encode() for t in part])]
         assert got == [library.encode(t, add_special_tokens=False).ids for t in part]
         assert len(cache.rest) <= 500 + sum(len(t.split(" ")) for t in part)
 
 
 def test_byte_bpe_ids_are_those_of_the_rank_file(odd_texts, reference):
     bpe = byte_bpe.load(RANKS, P.PATTERN)
-    cache = PieceCache(bpe.library, bpe.ids)
-    for text, parts in zip(odd_texts, cache.values(odd_texts)):
+    cache = PieceCache(bpe.library, bpe.settled)
+    for text, parts in zip(odd_texts, cache.values([t.encode() for t in odd_texts])):
         ids = [i for x in parts for i in x]
         assert ids == reference.encode_ordinary(text)
         assert bpe.decode(ids) == text.encode()

@@ -15,6 +15,7 @@ Ids unknown to the vocabulary make decoding fail. Only ``doc_id`` and ``text`` a
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from tickloom.llm.common import documents, per_row, texts_of
-from tickloom.llm.pieces import PieceCache
+from tickloom.llm.common import bytes_of, documents, per_row, texts_of
+from tickloom.llm.pieces import PieceCache, shared_cache
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -82,9 +83,9 @@ class ByteBpe:
             out += [self.ranks[p] for p in parts]
         return out
 
-    def ids(self, piece: str, encoding) -> list[int]:
+    def settled(self, piece: str, ids: list[int]) -> list[int]:
         """The library's ids, settled by the definition where the order of pairs could matter."""
-        return self.merged(piece) if self.unsure and not self.unsure.isdisjoint(encoding.ids) else encoding.ids
+        return ids if self.unsure.isdisjoint(ids) else self.merged(piece)
 
     def offsets(self, text: str, ids: list[int]) -> list[tuple[int, int]]:
         """Character span of each id: a character split over ids belongs to the span of each of them."""
@@ -103,9 +104,12 @@ def load(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def _ids_of(bpe: ByteBpe):
-    cache = PieceCache(bpe.library, lambda piece, e: np.array(bpe.ids(piece, e), dtype=np.int32).tobytes())
-    return lambda batch: [np.frombuffer(b"".join(x), dtype=np.int32) for x in cache.values(texts_of(batch))]
+def _ids_of(bpe: ByteBpe, path: str, pattern: str):
+    def value(piece, ids):
+        return array("i", bpe.settled(piece, ids)).tobytes()
+
+    cache = shared_cache((path, pattern), lambda: PieceCache(bpe.library, value))
+    return lambda batch: [np.frombuffer(b"".join(x), dtype=np.int32) for x in cache.values(bytes_of(batch))]
 
 
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, offsets: bool = False) -> DataFrame:
@@ -113,7 +117,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
 
     def make():
         bpe = load(path, pattern)
-        of = _ids_of(bpe)
+        of = _ids_of(bpe, path, pattern)
 
         def run(batch):
             ids = of(batch)
@@ -149,7 +153,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
 
     def make():
         bpe = load(path, pattern)
-        of = _ids_of(bpe)
+        of = _ids_of(bpe, path, pattern)
 
         def run(batch):
             ids = of(batch)

@@ -61,7 +61,7 @@ def bytes_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return pc.fill_null(batch.column(name).cast(pa.binary()), b"").to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that lists made from one stay small."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -1,21 +1,27 @@
-"""Tokenizers over Arrow batches, each distinct piece of text encoded once per cache fill.
+"""Tokenizers over Arrow batches, each distinct piece of text encoded once while it is remembered.
 
 A tokenizer that splits text before its merges never lets a token reach from a visible character
-into the white space after it. Text may therefore be cut before a space that follows a visible
-character, and the pieces encoded apart: their ids, joined, are those of the whole text. Pieces
-repeat far more often than texts do, so a bounded cache takes most of the work off the library.
+into the white space after it, nor from a letter into a full stop or comma after it. Text may
+therefore be cut at such places and the pieces encoded apart: their ids, joined, are those of the
+whole text. Pieces repeat far more often than texts do, so a bounded memory of them takes most of
+the work off the library. It lives as long as its Python worker, over all tasks the worker runs.
 """
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Hashable
 from functools import lru_cache
 
-from tokenizers import Tokenizer
+# Spark runs one task a core; the library's own threads would only get in the way.
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+from tokenizers import Tokenizer  # noqa: E402
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+_SPACE_CUT = re.compile(r"(?<=\S)(?= )")
+_LINE_CUT = re.compile(r"(?<=\S)(?=\n)")
 
 
 @lru_cache(maxsize=4)
@@ -23,50 +29,109 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def line_parts(piece: str) -> list[str]:
+    """``piece`` cut before line ends that follow a visible character, and after a line end that stands alone."""
+    out = []
+    for part in _LINE_CUT.split(piece):
+        if len(part) > 1 and part[0] == "\n" and not part[1].isspace():
+            out += ["\n", part[1:]]
+        else:
+            out.append(part)
+    return out
+
+
 class PieceCache:
-    """Values of pieces under one tokenizer. ``value`` turns the library's encoding into what is kept."""
-
-    def __init__(self, library: Tokenizer, value: Callable, most: int = 400_000, spaced: bool = True):
-        """``spaced``: a space belongs to the word behind it; else spaces never show in the ids."""
-        self.library, self.value, self.most = library, value, most
-        self.lead = " " if spaced else ""
-        self.first: dict[str, object] = {}
-        self.rest: dict[str, object] = {} if spaced else self.first
-
-    def _fill(self, cache: dict, words: set[str], lead: str) -> None:
-        missing = [w for w in words if w not in cache]
-        if len(cache) + len(missing) > self.most:  # keep the values this batch needs, drop the others
+    """Values of pieces under one tokenizer. Values are joined by ``+``.
+
+    ``value`` turns the ids of an encoded piece into what is kept. ``spaced``: a space belongs to the
+    word behind it; else white space never shows in the ids, and neither does the case of the
+    letters A to Z. ``rest`` holds words behind a space (without it), ``first`` all other pieces;
+    without spaced words they are one.
+    """
+
+    def __init__(self, library: Tokenizer, value: Callable, spaced: bool = True, most: int = 700_000):
+        self.library, self.value, self.spaced, self.most = library, value, spaced, most
+        self.first: dict[str | bytes, object] = {}
+        self.rest: dict[str | bytes, object] = {} if spaced else self.first
+
+    def _encode(self, cache: dict, missing: list, lead: str) -> None:
+        for at in range(0, len(missing), 1024):
+            part = missing[at : at + 1024]
+            texts = [lead + w for w in part] if self.spaced else [w.decode() for w in part]
+            for word, encoding in zip(part, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+                cache[word] = self.value(lead + word if self.spaced else word, encoding.ids)
+
+    def _room(self, cache: dict, words: set) -> None:
+        """Make room: what this batch needs stays, and with it the common words."""
+        if len(cache) + len(words) > self.most:
             kept = {w: cache[w] for w in words if w in cache}
             cache.clear()
             cache.update(kept)
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            found = self.library.encode_batch([lead + w for w in part], add_special_tokens=False)
-            for word, encoding in zip(part, found):
-                cache[word] = self.value(lead + word, encoding)
-
-    def pieces(self, text: str) -> list[str]:
-        """The first piece as it is, the others without the space they begin with."""
-        if self.lead and _SPACE_AFTER_SPACE.search(text):
-            head, *tail = _CUT.split(text)
+
+    def _fill(self, cache: dict, words: set, lead: str) -> None:
+        """Values for ``words``. A full stop or comma behind a letter or digit is encoded apart, and so are lines."""
+        self._room(cache, words)
+        ends = b".," if isinstance(next(iter(words), ""), bytes) else ".,"
+        whole, stems, tails, cut, lines = set(), set(), set(), [], []
+        for w in words - cache.keys():
+            if lead and "\n" in w:
+                lines.append((w, line_parts(lead + w)))
+                continue
+            stem = w.rstrip(ends)
+            if len(stem) < len(w) and stem and stem[-1:].isascii() and stem[-1:].isalnum():
+                tail = w[len(stem) :]
+                stems.add(stem)
+                tails.add(tail)
+                cut.append((w, stem, tail))
+            else:
+                whole.add(w)
+        for _, parts in lines:
+            if parts[0].startswith(lead):
+                stems.add(parts[0][len(lead) :])
+                tails.update(parts[1:])
+            else:
+                tails.update(parts)
+        self._encode(cache, list((whole | stems) - cache.keys()), lead)
+        self._encode(self.first, list(tails - self.first.keys()), "")
+        for w, stem, tail in cut:
+            cache[w] = cache[stem] + self.first[tail]
+        for w, parts in lines:
+            value = cache[parts[0][len(lead) :]] if parts[0].startswith(lead) else self.first[parts[0]]
+            for x in parts[1:]:
+                value = value + self.first[x]
+            cache[w] = value
+
+    def pieces(self, text: bytes) -> list:
+        """Spaced: the first piece as it is, the others without the space they begin with. Else: words in lower case."""
+        if not self.spaced:
+            # Strings of special tokens are matched as they are written.
+            return (text if b"<|" in text else text.lower()).split() or [b""]
+        whole = text.decode()
+        if _SPACE_AFTER_SPACE.search(whole):
+            head, *tail = _SPACE_CUT.split(whole)
             return [head, *(x[1:] for x in tail)]
-        return text.split(" ")
+        return whole.split(" ")
 
-    def values(self, texts: list[str]) -> list[list]:
+    def values(self, texts: list[bytes]) -> list[list]:
         """Per text the values of its pieces, in order."""
         cut = [self.pieces(t) for t in texts]
         if self.first is self.rest:
-            need = set()
-            for words in cut:
-                need.update(words)
-            self._fill(self.rest, need, self.lead)
+            self._fill(self.rest, set().union(*cut), "")
             get = self.rest.__getitem__
             return [list(map(get, words)) for words in cut]
-        need, heads = set(), set()
-        for words in cut:
-            heads.add(words[0])
-            need.update(words[1:])
-        self._fill(self.first, heads, "")
-        self._fill(self.rest, need, self.lead)
+        self._room(self.first, heads := {words[0] for words in cut})
+        self._fill(self.rest, set().union(*(words[1:] for words in cut)), " ")
+        self._encode(self.first, list(heads - self.first.keys()), "")
         get = self.rest.__getitem__
         return [[self.first[words[0]], *map(get, words[1:])] for words in cut]
+
+
+_SHARED: dict[Hashable, PieceCache] = {}
+
+
+def shared_cache(key: Hashable, make: Callable[[], PieceCache]) -> PieceCache:
+    """This worker's cache for ``key``; another key's is let go."""
+    if key not in _SHARED:
+        _SHARED.clear()
+        _SHARED[key] = make()
+    return _SHARED[key]

@@ -17,8 +17,8 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import column, per_row, scratch
-from tickloom.llm.pieces import PieceCache, tokenizer
+from tickloom.llm.common import bytes_of, column, documents, per_row, scratch
+from tickloom.llm.pieces import PieceCache, shared_cache, tokenizer
 from tickloom.session import path_exists
 
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
@@ -39,14 +39,8 @@ def encoded(rows: DataFrame, path: str) -> DataFrame:
     """``content`` and the library's number of tokens of each row's text."""
 
     def make():
-        cache = PieceCache(tokenizer(path), lambda _, e: len(e))
-
-        def count(batch):
-            from tickloom.llm.common import texts_of
-
-            return {"n_tokens": [sum(x) for x in cache.values(texts_of(batch))]}
-
-        return count
+        cache = shared_cache(("counts", path), lambda: PieceCache(tokenizer(path), lambda _, ids: len(ids)))
+        return lambda batch: {"n_tokens": [sum(x) for x in cache.values(bytes_of(batch))]}
 
     return per_row(rows, make, [("content", "content"), ("text", "text")], "n_tokens long")
 
@@ -81,7 +75,5 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None) -> DataFr
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str, limit: int = 512) -> DataFrame:
-    from tickloom.llm.common import documents
-
     out = count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

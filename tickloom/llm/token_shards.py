@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import column, documents, find_package, scratch, slices, texts_of
-from tickloom.llm.pieces import PieceCache, tokenizer
+from tickloom.llm.common import bytes_of, column, documents, find_package, scratch, slices
+from tickloom.llm.pieces import PieceCache, shared_cache, tokenizer
 
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_TOKENS = 1 << 18
@@ -141,17 +142,18 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches):
-        kind = f"<u{width}"
-        cache = PieceCache(tokenizer(tokenizer_path), lambda _, e: np.array(e.ids, dtype=kind).tobytes(), spaced=False)
+        kind, code = f"<u{width}", {2: "H", 4: "I"}[width]
+        make = lambda: PieceCache(tokenizer(tokenizer_path), lambda _, ids: array(code, ids).tobytes(), spaced=False)
+        cache = shared_cache(("ids", tokenizer_path), make)
         end = b"" if end_id is None else np.array([end_id], dtype=kind).tobytes()
         path, out, n, first, last = f"{folder}/shard-{uuid.uuid4().hex}.zst", None, 0, None, None
-        for batch in slices(batches):
+        for batch in slices(batches, 256):
             if out is None and batch.num_rows:
                 where, name = place(path)
                 where.create_dir(name.rpartition("/")[0], recursive=True)
                 out = where.open_output_stream(name, compression=None)
                 shard = ShardWriter(out, width, frame_tokens)
-            for doc_id, parts in zip(batch.column("doc_id").to_pylist(), cache.values(texts_of(batch))):
+            for doc_id, parts in zip(batch.column("doc_id").to_pylist(), cache.values(bytes_of(batch))):
                 shard.add(doc_id, b"".join(parts) + end)
                 first, last, n = doc_id if not n else first, doc_id, n + 1
         if out is not None:
