@@ -1,0 +1,137 @@
+"""The Jaccard join against all pairs that share a token."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tickloom.llm import jaccard_join as jj
+
+
+def brute(docs, size, percent):
+    """(n_shingles, component) per document, from all pairs that share a shingle."""
+    sets = {}
+    for d, text in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[d] = frozenset(zip(*(words[i:] for i in range(size)))) if len(words) >= size else frozenset([tuple(words)] if words else [])
+    parent = {d: d for d in sets}
+
+    def top(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    lists = defaultdict(list)
+    for d, s in sets.items():
+        met = Counter(x for t in s for x in lists[t])
+        for x, both in met.items():
+            if 100 * both >= percent * (len(s) + len(sets[x]) - both):
+                a, b = top(d), top(x)
+                parent[max(a, b)] = min(a, b)
+        for t in s:
+            lists[t].append(d)
+    return {d: (len(s), top(d)) for d, s in sets.items()}
+
+
+def joined(docs, **kw):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in jj.groups(docs, **kw).collect()}
+
+
+def near_copies(seed, groups, copies, length, edits):
+    """Texts in groups: a template each, and copies of it with words replaced; one passage stands in many texts."""
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)] + ["the", "of", "and"] * 300
+    passage = " ".join(r.choice(vocabulary) for _ in range(30))
+    out = []
+    for g in range(groups):
+        template = [r.choice(vocabulary) for _ in range(r.randint(length // 2, length))]
+        for _ in range(copies if g == 0 else r.randint(1, 6)):
+            words = list(template)
+            for _ in range(r.randint(0, edits)):
+                words[r.randrange(len(words))] = r.choice(vocabulary)
+            text = " ".join(words)
+            out.append(f"{text} {passage}" if r.random() < 0.5 else text.title())
+    r.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80), (3, 60)])
+@pytest.mark.parametrize("long_list, block_tokens", [(16, 1 << 15), (2, 300)])
+def test_against_all_pairs(frame, size, percent, long_list, block_tokens):
+    """Short lists, leaders and blocks all come to bear when lists of three are long already."""
+    docs = near_copies(size, 30, 60, 120, 9)
+    assert joined(frame(*docs), size=size, percent=percent, long_list=long_list, block_tokens=block_tokens) == brute(docs, size, percent)
+
+
+def test_edge_cases(edge, frame, nothing):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.groups(edge, 3, 90).collect()}
+    assert jj.groups(edge, 3, 90).count() == edge.count()
+    assert got[1] == got[5] == (11, 1)  # equal texts under two ids, one of them twice
+    assert got[2] == (0, 2) and got[3] == (0, 3) and got[4] == (0, 4)
+    assert got[6][1] == 6 and got[None][0] == 7
+    assert jj.groups(nothing).count() == 0 == jj.keep_first(nothing).count()
+    short = [(7, "one two"), (3, "ONE  two"), (5, "one"), (9, "one two three"), (8, "x"), (2, "X")]
+    assert joined(frame(*short), size=3, percent=90) == brute(short, 3, 90) == {7: (1, 3), 3: (1, 3), 5: (1, 5), 9: (1, 9), 8: (1, 2), 2: (1, 2)}
+
+
+def test_one_id_with_two_texts(frame):
+    docs = frame((1, "a b c d e f"), (1, "u v w x y z"), (2, "a b c d e f"), (0, "u v w x y z"))
+    got = sorted((r.doc_id, r.component_id) for r in jj.groups(docs, 3, 90).collect())
+    assert got == [(0, 0), (1, 0), (1, 1), (2, 1)]
+
+
+def test_exact_threshold(frame):
+    """Nine of ten shingles shared: linked at 90 of 100, not above."""
+    words = [f"w{i}" for i in range(21)]
+    one, other = " ".join(words[:20]), " ".join(words[:21])  # 18 and 19 shingles, 18 shared: 94.7 %
+    docs = [(1, one), (2, other)]
+    assert joined(frame(*docs), size=3, percent=94)[2] == (19, 1)
+    assert joined(frame(*docs), size=3, percent=95)[2] == (19, 2)
+
+
+def test_keep_first(frame, edge):
+    kept = jj.keep_first(edge, 3, 90)
+    assert kept.columns == edge.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 3, 4, 6]
+    docs = near_copies(4, 12, 20, 100, 3)
+    want = brute(docs, 5, 80)
+    assert {r.doc_id for r in jj.keep_first(frame(*docs)).collect()} == {c for _, c in want.values()}
+
+
+def test_prefixes_of_similar_sets_meet_under_every_order():
+    r = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(r.integers(1, 80))
+        a = np.unique(r.integers(-(1 << 62), 1 << 62, n))
+        keep = a[r.random(len(a)) < 0.95]
+        b = np.unique(np.concatenate([keep, r.integers(-(1 << 62), 1 << 62, int(r.integers(0, 5)))]))
+        if len(b) and jj.similar(a, b, 80):
+            p, q = jj.prefix_length(len(a), 80), jj.prefix_length(len(b), 80)
+            assert jj.meet(a[:p], b[:q])
+            for order in (1, 3):
+                assert jj.meet(jj.first_under(a, order, p), jj.first_under(b, order, q))
+
+
+def test_components(spark):
+    r = random.Random(9)
+    for edges in ([], [(1, 2)], [(i, i + 1) for i in range(40)], [(r.randint(0, 60), r.randint(61, 120)) for _ in range(70)]):
+        parent = {}
+
+        def top(v):
+            while parent.setdefault(v, v) != v:
+                v = parent[v]
+            return v
+
+        for a, b in edges:
+            x, y = top(a), top(b)
+            parent[max(x, y)] = min(x, y)
+        got = {x.node: x.root for x in jj.components(spark.createDataFrame(edges, "x long, y long")).collect()}
+        assert got == {v: top(v) for v in list(parent)}
+
+
+def test_query_against_all_pairs(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.op9_jaccard_join(spark, sf_dir).collect()}
+    assert got == brute(docs, 3, 90)

@@ -32,7 +32,12 @@ from tickloom.session import path_exists
 ARRIVAL = "doc_id long, digest string, locator string"
 #: Rows of one digest that one task compares.
 PART = 1000
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk, with a small write buffer a partition: its log is allocated ahead at the buffer's size.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -62,8 +67,8 @@ def run_stream(spark: SparkSession, arrivals: str, state: str, bytes_a_batch: in
     A session of its own carries the state store's settings, so the caller's are left alone.
     """
     own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    own.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    for key, value in STATE_CONF.items():
+        own.conf.set(key, value)
     rows = own.readStream.schema(ARRIVAL).option("maxBytesPerTrigger", bytes_a_batch).parquet(f"{arrivals}/*")
     kept = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "locator")).alias("stays"), F.count("*").alias("group_size"))
     query = kept.writeStream.format("noop").outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start()
@@ -73,7 +78,8 @@ def run_stream(spark: SparkSession, arrivals: str, state: str, bytes_a_batch: in
 def read_state(spark: SparkSession, state: str) -> DataFrame:
     """``digest, keep_id, locator, group_size``: the keyed state after its last batch."""
     own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE_CONF.items():
+        own.conf.set(key, value)
     if not path_exists(spark, f"{state}/state/0"):
         return spark.createDataFrame([], "digest string, keep_id long, locator string, group_size long")
     rows = own.read.format("statestore").load(state)

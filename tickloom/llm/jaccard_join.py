@@ -12,7 +12,7 @@ pass for every order:
   common under either is dropped before the sets themselves are compared.
 
 A list of at most ``LONG_LIST`` classes under a token yields its pairs. A longer one is never paired
-up: each member meets the list's leader (the one with the token furthest in front), and since only
+up: each member meets the list's leader (the one that shares most tokens with others), and since only
 connected groups matter, members in the leader's group are settled. What is left meets the list in
 blocks of bounded size, compared by one sparse-to-dense product each, and a block returns at most a
 spanning forest of its links. No partner is dropped and no list is cut: the split into lists, leaders
@@ -193,9 +193,11 @@ def candidates(classes: DataFrame, percent: int, long_list: int) -> tuple[DataFr
     short = lists.where(F.col("c") <= long_list)
     pairs = short.alias("a").join(short.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.cid") < F.col("b.cid")) & viable(percent))
     pairs = pairs.select(F.col("a.cid").alias("x"), F.col("b.cid").alias("y"))
-    long = lists.where(F.col("c") > long_list)
-    lead = long.groupBy("token").agg(F.min(F.struct("pos", "cid", "n")).alias("l"))
-    lead = lead.select("token", "l.cid", "l.n", "l.pos")
+    # The member that shares most of its prefix leads: it leads most lists of its neighbourhood.
+    shared = lists.groupBy("cid").agg(F.count("*").alias("shared"))
+    long = lists.where(F.col("c") > long_list).join(shared, "cid")
+    lead = long.groupBy("token").agg(F.max(F.struct("shared", (-F.col("cid")).alias("back"), "n", "pos")).alias("l"))
+    lead = lead.select("token", (-F.col("l.back")).alias("cid"), "l.n", "l.pos")
     met = long.alias("a").join(lead.alias("b"), F.col("a.token") == F.col("b.token"))
     members = stored(met.select(F.col("b.cid").alias("leader"), F.col("a.cid").alias("cid"), F.col("a.n").alias("n")).distinct(), "members")
     star = met.where((F.col("a.cid") != F.col("b.cid")) & viable(percent))
@@ -212,33 +214,39 @@ def bits_of(ids: DataFrame, slot: Column, bits: int) -> np.ndarray:
     return out
 
 
-def texts_of_classes(docs: DataFrame, needed: DataFrame, bits: int) -> DataFrame:
-    """``cid, text`` of the ``needed`` classes (``cid, stands, hash``).
+class Texts:
+    """Texts of the ``needed`` classes (``cid, stands, hash``), to be joined to rows that name a class.
 
-    A bitmap over the rows that stand for them keeps other texts out of the shuffle; what it lets
-    through by chance the join drops.
+    A bitmap over the rows that stand for them keeps other texts out; what it lets through by chance
+    the joins drop. Rows that repeat id and text come through as often as they are there.
     """
-    slot = F.pmod(F.xxhash64(F.col("doc_id"), F.col("hash")), F.lit(bits)).cast("long")
-    of_needed = needed.select(F.col("stands").alias("doc_id"), "hash")
-    bitmap = docs.sparkSession.sparkContext.broadcast(bits_of(of_needed, slot, bits))
-    rows = named(docs).withColumn("slot", slot)
 
-    def run(batches):
-        for batch in slices(batches, 2048):
-            slots = batch.column("slot").to_numpy()
-            yield batch.filter(pa.array((bitmap.value[slots >> 6] >> (slots & 63)) & 1 == 1)).drop_columns(["slot"])
+    def __init__(self, docs: DataFrame, needed: DataFrame, bits: int):
+        slot = F.pmod(F.xxhash64(F.col("doc_id"), F.col("hash")), F.lit(bits)).cast("long")
+        self.needed = stored(needed.select("cid", "stands", "hash"), "needed")
+        of_needed = self.needed.select(F.col("stands").alias("doc_id"), "hash")
+        bitmap = docs.sparkSession.sparkContext.broadcast(bits_of(of_needed, slot, bits))
+
+        def run(batches):
+            for batch in slices(batches, 2048):
+                slots = batch.column("slot").to_numpy()
+                yield batch.filter(pa.array((bitmap.value[slots >> 6] >> (slots & 63)) & 1 == 1)).drop_columns(["slot"])
 
-    kept = rows.mapInArrow(run, "doc_id long, text string, hash long").alias("k")
-    want = needed.select("cid", "stands", F.col("hash").alias("own"))
-    same = (F.col("k.hash") == F.col("own")) & F.col("k.doc_id").eqNullSafe(F.col("stands"))
-    return kept.join(want, same).select("cid", "text").dropDuplicates(["cid"])
+        rows = named(docs).withColumn("slot", slot)
+        self.kept = stored(rows.mapInArrow(run, "doc_id long, text string, hash long"), "texts")
 
+    def join(self, rows: DataFrame, cid: str, name: str) -> DataFrame:
+        """``rows`` with the text of the class in column ``cid`` as ``name``: one shuffle of the texts."""
+        want = self.needed.select(F.col("cid").alias("_cid"), F.col("stands").alias("_stands"), F.col("hash").alias("_want"))
+        found = rows.join(want, F.col(cid) == F.col("_cid"))
+        kept = self.kept.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("text").alias(name))
+        met = found.join(kept, (F.col("_want") == F.col("_hash")) & F.col("_stands").eqNullSafe(F.col("_id")))
+        return met.select(*rows.columns, name)
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, words) -> DataFrame:
+
+def verified(pairs: DataFrame, texts: Texts, size: int, percent: int, words) -> DataFrame:
     """The pairs that pass the other orders and then are similar indeed."""
-    a = texts.select(F.col("cid").alias("a_cid"), F.col("text").alias("a"))
-    b = texts.select(F.col("cid").alias("b_cid"), F.col("text").alias("b"))
-    met = pairs.join(a, F.col("x") == F.col("a_cid")).join(b, F.col("y") == F.col("b_cid")).select("x", "y", "a", "b")
+    met = texts.join(texts.join(pairs, "x", "a"), "y", "b")
 
     def run(batches):
         shingler = Shingler(size, words.value)
@@ -302,6 +310,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def _forest(x: list, y: list, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between two blocks of (cid, root, tokens), groups they have already taken as one."""
+    if not x or not y:
+        return []
     tx, ty = np.concatenate([t for _, _, t in x]), np.concatenate([t for _, _, t in y])
     common = np.intersect1d(tx, ty)
 
@@ -341,27 +351,31 @@ def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return known.join(known.where("open").select("leader").distinct(), "leader", "left_semi")
 
 
-def block_links(lists: DataFrame, texts: DataFrame, size: int, percent: int, words, block_tokens: int) -> DataFrame:
-    """Links ``x, y`` of the open members of lists with any member of their list."""
-    sizes = lists.groupBy("leader").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("open"), F.col("n"))).alias("opened"))
-
-    def blocks(rows: DataFrame, of_size: str, name: str) -> DataFrame:
-        count = F.ceil(F.col(of_size) / F.lit(block_tokens)).cast("long")
-        own = rows.join(sizes, "leader").withColumn("block", F.pmod(F.xxhash64("cid"), count))
-        full = own.join(texts, "cid")
-        return full.groupBy("leader", "block").agg(F.collect_list(F.struct("cid", "root", "text")).alias(name)).drop("block")
+def block_links(lists: DataFrame, texts: Texts, size: int, percent: int, words, block_tokens: int) -> DataFrame:
+    """Links ``x, y`` of the open members of lists with any member of their list.
 
-    x, y = blocks(lists.where("open"), "opened", "xs"), blocks(lists, "all", "ys")
-    met = x.join(y, "leader").select("xs", "ys").repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    def run(batches):
+    Open members and all members are dealt into blocks of bounded size by a hash; each pair of an open
+    block and a block meets in one group. A list that fits one block travels once.
+    """
+    opened = F.sum(F.when(F.col("open"), F.col("n")))
+    many = lambda total: F.ceil(total / F.lit(block_tokens)).cast("long")
+    sizes = lists.groupBy("leader").agg(many(opened).alias("nx"), many(F.sum("n")).alias("ny"))
+    rows = lists.join(sizes, "leader")
+    mine = lambda count: F.pmod(F.xxhash64("cid"), F.col(count))
+    each = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    one = (F.col("nx") == 1) & (F.col("ny") == 1)
+    among = rows.select("leader", each("nx").alias("bx"), mine("ny").alias("by"), "cid", "root", (F.col("open") & one).alias("left"), F.lit(True).alias("right"))
+    more = rows.where(F.col("open") & ~one)
+    more = more.select("leader", mine("nx").alias("bx"), each("ny").alias("by"), "cid", "root", F.lit(True).alias("left"), F.lit(False).alias("right"))
+
+    def run(table: pa.Table) -> pa.Table:
         shingler = Shingler(size, words.value)
-        for batch in slices(batches, 1):
-            xs, ys = ([(r["cid"], r["root"], shingler.tokens(r["text"].encode())) for r in batch.column(c)[0].as_py()] for c in ("xs", "ys"))
-            found = _forest(xs, ys, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in ([a for a, _ in found], [b for _, b in found])], names=["x", "y"])
+        rows = [(r["cid"], r["root"], shingler.tokens(r["text"].encode()), r["left"], r["right"]) for r in table.to_pylist()]
+        found = _forest([r[:3] for r in rows if r[3]], [r[:3] for r in rows if r[4]], percent)
+        return pa.table([pa.array(c, type=pa.int64()) for c in ([a for a, _ in found], [b for _, b in found])], names=["x", "y"])
 
-    return met.mapInArrow(run, "x long, y long")
+    met = texts.join(among.unionByName(more), "cid", "text")
+    return met.groupBy("leader", "bx", "by").applyInArrow(run, "x long, y long")
 
 
 def groups(docs: DataFrame, size: int = 5, percent: int = 80, long_list: int = LONG_LIST, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -376,16 +390,15 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, long_list: int = L
     classes = stored(each.withColumnRenamed("doc_id", "stands"), "classes")
     pairs, members = candidates(classes, percent, long_list)
 
-    def texts(cids: DataFrame) -> DataFrame:
-        needed = stored(classes.select("cid", "stands", "hash").join(cids.distinct(), "cid"), "needed")
-        return texts_of_classes(docs, needed, FILTER_BITS)
+    def texts(cids: DataFrame) -> Texts:
+        return Texts(docs, classes.select("cid", "stands", "hash").join(cids.distinct(), "cid"), FILTER_BITS)
 
     ends = pairs.select(F.col("x").alias("cid")).unionByName(pairs.select(F.col("y").alias("cid")))
     links = stored(verified(pairs, texts(ends), size, percent, words), "links")
     roots = components(links)
     lists = stored(unsettled(members, roots), "unsettled")
     if not lists.isEmpty():
-        more = stored(block_links(lists, stored(texts(lists.select("cid")), "texts"), size, percent, words, block_tokens), "more-links")
+        more = stored(block_links(lists, texts(lists.select("cid")), size, percent, words, block_tokens), "more-links")
         roots = components(links.unionByName(more))
     least = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     own = classes.select("cid", "class").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
