@@ -49,7 +49,7 @@ class PieceCache:
     without spaced words they are one.
     """
 
-    def __init__(self, library: Tokenizer, value: Callable, spaced: bool = True, most: int = 700_000):
+    def __init__(self, library: Tokenizer, value: Callable, spaced: bool = True, most: int = 1_000_000):
         self.library, self.value, self.spaced, self.most = library, value, spaced, most
         self.first: dict[str | bytes, object] = {}
         self.rest: dict[str | bytes, object] = {} if spaced else self.first
@@ -73,7 +73,7 @@ class PieceCache:
         self._room(cache, words)
         ends = b".," if isinstance(next(iter(words), ""), bytes) else ".,"
         whole, stems, tails, cut, lines = set(), set(), set(), [], []
-        for w in words - cache.keys():
+        for w in words.difference(cache):
             if lead and "\n" in w:
                 lines.append((w, line_parts(lead + w)))
                 continue
@@ -91,8 +91,8 @@ class PieceCache:
                 tails.update(parts[1:])
             else:
                 tails.update(parts)
-        self._encode(cache, list((whole | stems) - cache.keys()), lead)
-        self._encode(self.first, list(tails - self.first.keys()), "")
+        self._encode(cache, list((whole | stems).difference(cache)), lead)
+        self._encode(self.first, list(tails.difference(self.first)), "")
         for w, stem, tail in cut:
             cache[w] = cache[stem] + self.first[tail]
         for w, parts in lines:
@@ -121,7 +121,7 @@ class PieceCache:
             return [list(map(get, words)) for words in cut]
         self._room(self.first, heads := {words[0] for words in cut})
         self._fill(self.rest, set().union(*(words[1:] for words in cut)), " ")
-        self._encode(self.first, list(heads - self.first.keys()), "")
+        self._encode(self.first, list(heads.difference(self.first)), "")
         get = self.rest.__getitem__
         return [[self.first[words[0]], *map(get, words[1:])] for words in cut]
 
