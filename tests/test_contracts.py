@@ -89,6 +89,29 @@ def test_land_by_day(spark, tmp_path):
     assert spark.read.parquet(f"{path}/status=valid/ingestion_date=2024-01-02").count() == 10
 
 
+def test_unparsable_records_keep_their_text(spark):
+    df = spark.createDataFrame([('{"id": "a"}',), ("{broken",), ('{"id": ""}',)], "j string")
+    bad = K.quarantined_records(K.annotate(K.parse_json_records(df, "j", K.POSTS), K.POSTS))
+    assert sorted(r[K.RECORD] for r in bad.collect()) == sorted(["{broken", '{"id": ""}'])
+
+
+def test_a_bad_batch_leaves_the_good_day_alone(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    good = spark.createDataFrame([("a", "1", "t", "d")], PRICE)
+    K.land(good, K.PRICES, path)
+    with pytest.raises(K.AllRecordsInvalid):
+        K.land(spark.createDataFrame([("", "1", "t", "d")], PRICE), K.PRICES, path)
+    assert rows(spark.read.parquet(path).select("symbol", "status")) == [("a", "valid")]
+    assert [p.name for p in tmp_path.iterdir()] == ["landed"]
+
+
+def test_unreadable_texts_are_quarantined_and_counted(spark, tmp_path):
+    texts = spark.createDataFrame([("{x", ["document: not a JSON object"])], f"{K.RECORD} string, {K.ERRORS} array<string>")
+    counts = K.land(spark.createDataFrame([("a", "1", "t", "d")], PRICE), K.PRICES, str(tmp_path / "l"), unreadable=texts)
+    assert counts == {"records": 2, "quarantined": 1}
+    assert rows(spark.read.parquet(str(tmp_path / "l")).where("status = 'quarantined'").select(K.RECORD)) == [("{x",)]
+
+
 def test_land_raises_when_all_invalid_or_empty(spark, tmp_path):
     bad = spark.createDataFrame([("", "1", "t", "d")], PRICE)
     with pytest.raises(K.AllRecordsInvalid):

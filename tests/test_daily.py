@@ -126,10 +126,50 @@ def test_checks_limited_to_recent_landings(spark, tmp_path):
 
 
 def test_run_stops_on_a_missing_coin_and_on_an_empty_source(spark, tmp_path):
+    day3 = DAY0 + dt.timedelta(days=3)
     with pytest.raises(Q.QualityError, match="latest_day_has_expected_coins"):
-        daily.run(spark, daily.Warehouse(str(tmp_path / "a")), sources(spark, range(4), skip={("ethereum", 3)}))
+        daily.run(spark, daily.Warehouse(str(tmp_path / "a")), sources(spark, range(4), skip={("ethereum", 3)}), report_date=day3)
     with pytest.raises(Q.QualityError, match="raw_prices returned no rows"):
-        daily.run(spark, daily.Warehouse(str(tmp_path / "b")), sources(spark, []))
+        daily.run(spark, daily.Warehouse(str(tmp_path / "b")), sources(spark, []), report_date=day3)
+
+
+def test_run_needs_rows_of_its_day(spark, tmp_path):
+    with pytest.raises(Q.QualityError, match="raw_prices of 2024-01-10 returned no rows"):
+        daily.run(spark, daily.Warehouse(str(tmp_path / "a")), sources(spark, range(4)), report_date=dt.date(2024, 1, 10))
+    with pytest.raises(Q.QualityError, match="returned no rows"):  # today, unless told otherwise
+        daily.run(spark, daily.Warehouse(str(tmp_path / "b")), sources(spark, range(4)))
+
+
+def test_run_stages_raw_ticks_once_and_leaves_no_scratch(spark, tmp_path):
+    import os
+
+    src, staged = sources(spark, range(4)), []
+    original = daily.staged
+
+    def counting(*args):
+        staged.append(args)
+        return original(*args)
+
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(f"{root}/{spark.sparkContext.applicationId}")) if os.path.isdir(f"{root}/{spark.sparkContext.applicationId}") else set()
+    daily.staged = counting
+    try:
+        daily.run(spark, daily.Warehouse(str(tmp_path)), src, report_date=DAY0 + dt.timedelta(days=3))
+    finally:
+        daily.staged = original
+    assert len(staged) == 1
+    assert set(os.listdir(f"{root}/{spark.sparkContext.applicationId}")) <= before
+
+
+def test_backfill_reaches_the_dimensions(spark, tmp_path):
+    from tickloom.plans import checks
+
+    w = built(spark, tmp_path, sources(spark, range(10, 14)))
+    every = sources(spark, range(14))
+    daily.backfill(spark, w, every, DAY0, DAY0 + dt.timedelta(days=9))
+    report = Q.run_checks(daily.tables(spark, w, every), checks.RELATIONSHIPS)
+    assert [r.failures for r in report.collect()] == [0, 0, 0, 0]
+    assert spark.read.parquet(w.dim("dim_date")).count() == 14
 
 
 def test_bronze_is_pruned_before_staging(spark):

@@ -54,6 +54,23 @@ def test_mixed_json_by_suffix_and_bad_files(spark, tmp_path):
     assert df.count() == 7
 
 
+def test_mixed_json_goes_by_content(spark, tmp_path):
+    import gzip
+
+    write(tmp_path / "a/x.json", line("a", 1.0) + line("b", 2.0) + line("c", 3.0))
+    (tmp_path / "a/y.jsonl.gz").write_bytes(gzip.compress((line("d", 4.0) + line("e", 5.0)).encode()))
+    write(tmp_path / "a/z.jsonl", json.dumps(json.loads(line("f", 6.0)), indent=2))
+    write(tmp_path / "a/one.json", "[" + line("g", 7.0).strip() + "," + line("h", 8.0).strip() + "]")
+    write(tmp_path / "a/half.jsonl", line("i", 9.0) + "{broken\n[1\n")
+    write(tmp_path / "a/none.json", "{\n broken")
+    mixed = lake.MixedJson(spark, str(tmp_path / "a"))
+    assert rows(mixed.rows(PRICES).select("symbol", "price")) == [(c, float(i + 1)) for i, c in enumerate("abcdefghi")]
+    assert sorted((f.rsplit("/", 1)[1], n) for f, n in rows(mixed.skipped())) == [("half.jsonl", 2), ("none.json", 2)]
+    report = sinks.compact_report(spark, str(tmp_path / "a"), str(tmp_path / "out"), PRICES)
+    assert report == {"rows": 9, "skipped_lines": 4, "skipped_files": 2}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 9
+
+
 def test_mixed_json_without_schema_keeps_drifting_columns(spark, tmp_path):
     write(tmp_path / "a/one.jsonl", '{"symbol": "a", "price": 1.5}\n{"symbol": "b", "venue": "x"}\n')
     write(tmp_path / "a/two.json", '[{"symbol": "c", "rank": 3}]')
@@ -125,7 +142,8 @@ def test_publish_and_append_raise_on_zero_rows(spark, tmp_path):
     assert sinks.publish_parquet(spark, str(tmp_path / "n.jsonl"), str(tmp_path / "n"), PRICES) == 1
     write(tmp_path / "e.jsonl", "")
     with pytest.raises(QualityError):
-        sinks.publish_parquet(spark, str(tmp_path / "e.jsonl"), str(tmp_path / "q"), PRICES)
+        sinks.publish_parquet(spark, str(tmp_path / "e.jsonl"), str(tmp_path / "p"), PRICES)
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 1  # as it was
     assert sinks.append_checked(spark.range(2), str(tmp_path / "r")) == 2
     assert sinks.append_checked(spark.range(3), str(tmp_path / "r")) == 3
     assert spark.read.parquet(str(tmp_path / "r")).count() == 5
@@ -169,11 +187,11 @@ def at():
 
 
 def test_price_payload_file(spark, tmp_path):
-    write(tmp_path / "data.json", json.dumps({"bitcoin": {"usd": 71285}, "dogecoin": {"usd": 0.093316}, "x": {}}, indent=2))
+    write(tmp_path / "data.json", json.dumps({"bitcoin": {"usd": 123456}, "dogecoin": {"usd": 0.25}, "x": {}}, indent=2))
     df = payloads.flatten_prices(lake.read_documents(spark, str(tmp_path / "data.json")), fetched_at=at())
     assert rows(df) == [
-        ("bitcoin", 71285.0, "2024-01-05 10:00:00", "2024-01-05"),
-        ("dogecoin", 0.093316, "2024-01-05 10:00:00", "2024-01-05"),
+        ("bitcoin", "123456", "2024-01-05 10:00:00", "2024-01-05"),
+        ("dogecoin", "0.25", "2024-01-05 10:00:00", "2024-01-05"),
         ("x", None, "2024-01-05 10:00:00", "2024-01-05"),
     ]
 
@@ -182,13 +200,13 @@ def test_older_snapshots(spark, tmp_path):
     write(tmp_path / "coins/2024-01-01/data.json", json.dumps({"bitcoin": {"usd": 10}}, indent=2))
     write(tmp_path / "coins/2024-01-02/data.json", json.dumps({"bitcoin": {"usd": 11.5}}, indent=2))
     got = rows(payloads.read_price_snapshots(spark, str(tmp_path / "coins")), "ingestion_date")
-    assert got == [("bitcoin", 10.0, "2024-01-01 00:00:00", "2024-01-01"), ("bitcoin", 11.5, "2024-01-02 00:00:00", "2024-01-02")]
+    assert got == [("bitcoin", "10", "2024-01-01 00:00:00", "2024-01-01"), ("bitcoin", "11.5", "2024-01-02 00:00:00", "2024-01-02")]
 
-    post = {"id": "a", "title": "t", "score": 1, "created_utc": 1775602830.0, "url": "u"}
+    post = {"id": "a", "title": "t", "score": 1, "created_utc": 1800000000.0, "url": "u"}
     write(tmp_path / "posts/2024-01-01/data.json", json.dumps([post, {**post, "id": "b", "created_utc": None}], indent=2))
     write(tmp_path / "posts/2024-01-02/data.jsonl", json.dumps({**post, "id": "c", "created_utc": "2024-01-02 01:02:03"}))
     got = rows(payloads.read_post_snapshots(spark, str(tmp_path / "posts")).select("id", "created_utc"))
-    assert got == [("a", "2026-04-07 23:00:30"), ("b", None), ("c", "2024-01-02 01:02:03")]
+    assert got == [("a", "2027-01-15 08:00:00"), ("b", None), ("c", "2024-01-02 01:02:03")]
 
 
 def test_index_payload_drops_unreadable_items(spark):
@@ -197,10 +215,30 @@ def test_index_payload_drops_unreadable_items(spark):
     assert rows(df) == [(30, "Fear", 1704067200, "2024-01-01")]
 
 
+def test_index_values_are_read_by_their_kind(spark):
+    """Text has to be a whole number, a number is cut towards zero, true is one."""
+    kinds = ['"12"', '" +7 "', '"1_0"', '"12.0"', "12.7", "-12.7", "12", "1e2", "true", "null", '""', "[1]"]
+    items = ", ".join(f'{{"value": {v}, "value_classification": "c{i:02d}", "timestamp": "60"}}' for i, v in enumerate(kinds))
+    got = rows(payloads.flatten_index(docs(spark, f'{{"data": [{items}]}}')).select("value_classification", "value"))
+    assert got == [("c00", 12), ("c01", 7), ("c02", 10), ("c04", 12), ("c05", -12), ("c06", 12), ("c07", 100), ("c08", 1)]
+
+
+def test_broken_documents_are_found(spark):
+    df = docs(spark, {"bitcoin": {"usd": "5.5"}}, "{broken", "[1]", "", "{}")
+    assert rows(payloads.flatten_prices(df, fetched_at=at()).select("symbol", "price")) == [("bitcoin", "5.5")]
+    assert sorted(r["_record"] for r in payloads.broken_documents(df).collect()) == ["", "[1]", "{broken"]
+
+
+def test_bad_trades_are_set_aside(spark):
+    df = docs(spark, {"E": 0, "s": "A", "p": "1"}, {"E": 0, "s": "A", "p": "x"}, {"E": 10**18, "s": "A", "p": "1"}, {"s": "A", "p": "1"}, "{}", "", "{x")
+    assert payloads.flatten_trades(df).count() == 1
+    assert payloads.rejected_trades(df).count() == 4
+
+
 def test_post_payload(spark):
-    post = {"id": "a", "title": 'Say "hi"\n', "score": 3, "created_utc": 1775602830.0, "url": "u"}
+    post = {"id": "a", "title": 'Say "hi"\n', "score": 3, "created_utc": 1800000000.0, "url": "u"}
     df = payloads.flatten_posts(docs(spark, {"data": {"children": [{"data": post}, {"data": {"id": "b", "created_utc": "x"}}]}}, {"data": {}}))
-    assert rows(df) == [("a", 'Say "hi"\n', "3", "2026-04-07 23:00:30", "u"), ("b", None, None, None, None)]
+    assert rows(df) == [("a", 'Say "hi"\n', "3", "2027-01-15 08:00:00", "u"), ("b", None, None, None, None)]
 
 
 def test_trending_payload_skips_empty_items(spark):

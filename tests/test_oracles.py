@@ -4,8 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from tickloom.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +14,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -47,6 +47,26 @@ def safe_bigint(c: Column | str) -> Column:
     return F.coalesce(c.cast("string").try_cast("bigint"), whole)
 
 
+def json_int(v: Column | str) -> Column:
+    """A JSON value (variant) as a whole number, else NULL.
+
+    Quoted text has to be the digits of a whole number, with a sign or blanks around at most; a
+    number is cut towards zero; true and false are 1 and 0.
+    """
+    v = _col(v)
+    kind = F.schema_of_variant(v)
+    text = F.trim(F.try_variant_get(v, "$", "string"))
+    digits = F.when(text.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.translate(text, "_", "")).try_cast("bigint")
+    number = F.try_variant_get(v, "$", "double")
+    cut = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).try_cast("bigint")
+    return (
+        F.when(kind == "STRING", digits)
+        .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint"))
+        .when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint"))
+        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), cut)
+    )
+
+
 def epoch_text(seconds: Column | str) -> Column:
     """Epoch seconds (possibly fractional text) as 'yyyy-MM-dd HH:mm:ss', else NULL."""
     value = safe_double(seconds)

@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import safe_bigint
+from tickloom.session import beside, delete_path, swap
 
 OK = "_ok"
 ERRORS = "_errors"
 RECORD = "_record"
+#: Text a record was parsed from, where there is one.
+SOURCE = "_source"
 
 
 @dataclass(frozen=True)
@@ -118,8 +121,9 @@ TRENDING = Contract(
 def annotate(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> DataFrame:
     """Contract columns coerced to their types, plus ``_ok`` and, for bad rows, ``_errors`` and ``_record``.
 
-    ``_record`` is the original row as JSON. Columns outside the contract and ``keep``
-    are dropped; a column the frame lacks counts as an absent field.
+    ``_record`` is the original: the text in ``_source`` if the frame has it, else the row as
+    JSON. Columns outside the contract and ``keep`` are dropped; a column the frame lacks counts
+    as an absent field.
     """
     values, accepted, problems = [], [], []
     for f in contract.fields:
@@ -134,7 +138,8 @@ def annotate(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> D
             problems.append(F.lit(None if f.optional else f"{f.name}: missing"))
         values.append(value.alias(f.name))
     ok = reduce(lambda a, b: a & b, accepted)
-    original = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    row = F.to_json(F.struct(*[c for c in df.columns if c != SOURCE]), {"ignoreNullFields": "false"})
+    original = F.coalesce(F.col(SOURCE), row) if SOURCE in df.columns else row
     return df.select(
         *values,
         *keep,
@@ -145,10 +150,13 @@ def annotate(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> D
 
 
 def parse_json_records(df: DataFrame, json_col: str, contract: Contract) -> DataFrame:
-    """JSON text rows to raw string columns, defaults filled only where the key is absent."""
+    """JSON text rows to raw string columns, defaults filled only where the key is absent.
+
+    The text itself is kept as ``_source``, so a record that fails is set aside as it came.
+    """
     ddl = ", ".join(f"`{f.name}` string" for f in contract.fields)
     parsed = df.select(
-        F.from_json(json_col, ddl).alias("_r"), F.json_object_keys(json_col).alias("_keys")
+        F.from_json(json_col, ddl).alias("_r"), F.json_object_keys(json_col).alias("_keys"), F.col(json_col).alias(SOURCE)
     )
     out = []
     for f in contract.fields:
@@ -157,7 +165,7 @@ def parse_json_records(df: DataFrame, json_col: str, contract: Contract) -> Data
             absent = ~F.array_contains("_keys", f.name)
             value = F.when(absent, F.lit(str(f.default))).otherwise(value)
         out.append(value.alias(f.name))
-    return parsed.select(*out)
+    return parsed.select(*out, SOURCE)
 
 
 def valid_records(annotated: DataFrame) -> DataFrame:
@@ -172,24 +180,38 @@ class AllRecordsInvalid(ValueError):
     """Every record of a source failed its contract."""
 
 
-def land(df: DataFrame, contract: Contract, path: str, day_col: str | None = None) -> dict[str, int]:
+def land(
+    df: DataFrame, contract: Contract, path: str, day_col: str | None = None, unreadable: DataFrame | None = None
+) -> dict[str, int]:
     """Write valid and quarantined rows side by side in one pass and count them.
 
     The folder is split by ``status=valid`` / ``status=quarantined``, so the source is
-    parsed once and nothing is dropped. Raises when no record is valid.
+    parsed once and nothing is dropped. ``unreadable`` holds texts (``_record``, ``_errors``) that
+    gave no record at all; they are quarantined and counted as well.
+
+    Everything is written beside the target first and takes its place when it is complete.
+    Raises when no record is valid, and then leaves the target as it was.
     """
     parts = ["status", day_col] if day_col else ["status"]
     own = {f.name for f in contract.fields}
     checked = annotate(df, contract, (day_col,) if day_col and day_col not in own else ())
     checked = checked.withColumn("status", F.when(F.col(OK), "valid").otherwise("quarantined")).drop(OK)
+    if unreadable is not None:
+        texts = unreadable.select(RECORD, ERRORS).withColumn("status", F.lit("quarantined"))
+        checked = checked.unionByName(texts, allowMissingColumns=True)
     if day_col:  # one file per task and day otherwise
         checked = checked.hint("rebalance", *parts)
     # Counted in the writing stage, whose tasks report once even when stages before it are repeated.
     seen = Observation()
     bad = F.count_if(F.col("status") == "quarantined")
     checked = checked.observe(seen, F.count(F.lit(1)).alias("records"), bad.alias("quarantined"))
-    checked.write.mode("overwrite").partitionBy(*parts).parquet(path)
-    counts = {"records": seen.get["records"], "quarantined": seen.get["quarantined"]}
-    if counts["records"] == counts["quarantined"]:
-        raise AllRecordsInvalid(f"{contract.name}: all {counts['records']} records failed the contract")
+    spark, staged = df.sparkSession, beside(path)
+    try:
+        checked.write.partitionBy(*parts).parquet(staged)
+        counts = {"records": seen.get["records"], "quarantined": seen.get["quarantined"]}
+        if counts["records"] == counts["quarantined"]:
+            raise AllRecordsInvalid(f"{contract.name}: all {counts['records']} records failed the contract")
+        swap(spark, staged, path)
+    finally:
+        delete_path(spark, staged)
     return counts

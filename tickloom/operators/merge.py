@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.session import path_exists, stored
+from tickloom.session import child_names, path_exists, scratch_space, stored
 
 
 class DuplicateKeys(ValueError):
@@ -33,10 +33,16 @@ class Fact:
         return path_exists(spark, self.path)
 
     def watermark(self, spark: SparkSession) -> dt.date | None:
-        """Latest stored day; NULL-only or missing tables give None. Reads the partition column only."""
-        if not self.exists(spark):
-            return None
-        return self.read(spark).agg(F.max(self.day)).first()[0]
+        """Latest stored day; NULL-only or missing tables give None.
+
+        Taken from the names of the day folders, newest first, until one holds a data file: no file is opened.
+        """
+        prefix = f"{self.day}="
+        days = [n.removeprefix(prefix) for n in child_names(spark, self.path) if n.startswith(prefix)]
+        for day in sorted((d for d in days if d[:1].isdigit()), reverse=True):
+            if any(n[0] not in "._" for n in child_names(spark, f"{self.path}/{prefix}{day}")):
+                return dt.date.fromisoformat(day)
+        return None
 
     def replace(self, df: DataFrame) -> None:
         """Full refresh."""
@@ -85,15 +91,16 @@ def upsert(spark: SparkSession, fact: Fact, updates: DataFrame) -> None:
     marts. The rewritten days are staged by the dynamic-overwrite commit and swapped in
     when all tasks are done, so the target can be read while its next version is written.
     """
-    new = stored(spark, updates.select(*fact.schema.names), "updates")
-    days = touched_days(new, fact.key, fact.day)
-    if not fact.exists(spark):
-        fact.replace(new)
-    elif days:
-        touched = F.col(fact.day).isin([d for d in days if d is not None])
-        if None in days:
-            touched = touched | F.col(fact.day).isNull()
-        fact.replace_days(merged(fact.read(spark).where(touched), new, fact.key))
+    with scratch_space(spark, "upsert") as space:
+        new = stored(spark, updates.select(*fact.schema.names), "updates", space)
+        days = touched_days(new, fact.key, fact.day)
+        if not fact.exists(spark):
+            fact.replace(new)
+        elif days:
+            touched = F.col(fact.day).isin([d for d in days if d is not None])
+            if None in days:
+                touched = touched | F.col(fact.day).isNull()
+            fact.replace_days(merged(fact.read(spark).where(touched), new, fact.key))
 
 
 @dataclass(frozen=True)

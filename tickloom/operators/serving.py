@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom import fixed_values as V
 from tickloom.functions.columns import band, mentions, money_text, ticker
 from tickloom.functions.rolling import full_window_mean
+from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.joins import left_with_defaults
 
 
@@ -44,13 +45,8 @@ def index_history(index: DataFrame, n: int = 90, dedup: bool = False) -> DataFra
         F.col("timestamp").cast("bigint").alias("timestamp"),
     )
     if dedup:
-        day = F.to_date(F.timestamp_seconds("timestamp"))
-        packed = F.struct("timestamp", "dt", "value", "value_classification")
-        rows = (
-            rows.groupBy(day.alias("_day"))
-            .agg(F.max(packed).alias("r"))
-            .select("r.value", "r.value_classification", "r.dt", "r.timestamp")
-        )
+        daily = rows.withColumn("_day", F.to_date(F.timestamp_seconds("timestamp")))
+        rows = latest_per_key(daily, ["_day"], ["timestamp", "dt", "value", "value_classification"]).drop("_day")
     return rows.orderBy(
         F.col("dt").desc(), F.col("timestamp").desc(), F.col("value").desc(), F.col("value_classification").desc()
     ).limit(n)
@@ -101,10 +97,8 @@ def price_listing(prices: DataFrame, names: dict[str, str] | None = None) -> Dat
 
 def latest_prices(listing: DataFrame) -> DataFrame:
     """Newest price per symbol with its label; the higher price wins a tie."""
-    newest_first = F.struct("dt", "timestamp", "price")
-    return listing.groupBy(F.upper("symbol").alias("symbol")).agg(F.max(newest_first).alias("r")).select(
-        "symbol", F.col("r.price").alias("price"), "r.dt", "r.timestamp", money_text("r.price").alias("price_label")
-    )
+    rows = listing.select(F.upper("symbol").alias("symbol"), "price", "dt", "timestamp")
+    return latest_per_key(rows, ["symbol"], ["dt", "timestamp", "price"]).withColumn("price_label", money_text("price"))
 
 
 def mention_counts(
@@ -185,7 +179,8 @@ def engagement_per_post(fact: DataFrame, posts: str = "reddit_posts", score: str
 def engagement_share(insights: DataFrame) -> DataFrame:
     """Engagement by coin and trending flag, with its share of the total."""
     groups = insights.groupBy("coin_id", "is_trending").agg(F.sum("reddit_engagement").alias("engagement"))
-    total = insights.agg(F.sum("reddit_engagement").alias("t")).select("t").scalar()
+    # The window holds one row per coin and flag.
+    total = F.sum("engagement").over(Window.partitionBy())
     return groups.withColumn("share", F.try_divide(F.col("engagement").cast("double"), total))
 
 

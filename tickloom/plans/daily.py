@@ -6,13 +6,14 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom import fixed_values as V
 from tickloom import schemas
 from tickloom.operators import merge as M
 from tickloom.operators import quality as Q
 from tickloom.plans import checks, marts, staging
-from tickloom.session import stored
+from tickloom.session import beside, delete_path, path_exists, scratch_space, stored, swap
 from tickloom.sources.lake import Sources
 
 RAW = ("raw_prices", "raw_posts", "raw_index", "raw_trending")
@@ -124,76 +125,98 @@ def refresh_market_insights(
     _store(spark, fact, market_insights_rows(days, bounds), replace=latest is None)
 
 
+def _start(*bounds: M.Bounds) -> dt.date | None:
+    """The first day any of the bounds reads; None if one is unbounded."""
+    days = [b.read_from for b in bounds]
+    return None if None in days else min(days)
+
+
+def store_staged(
+    spark: SparkSession, sources: Sources, start: dt.date | None, space: str
+) -> dict[str, DataFrame]:
+    """Staging written once to the scratch space, for everything that reads it: facts, dimensions, checks."""
+    return {name: stored(spark, df, name, space) for name, df in staged(sources, start).items()}
+
+
 def _write_both(
     spark: SparkSession,
     warehouse: Warehouse,
-    sources: Sources,
+    stg: dict[str, DataFrame],
     daily_bounds: M.Bounds,
     insight_bounds: M.Bounds,
     replace: tuple[bool, bool],
+    space: str,
 ) -> None:
-    """Both facts from one pass over the raw ticks and posts.
-
-    Their per-day aggregates go to scratch first, over the wider of the two read ranges.
-    """
-    starts = (daily_bounds.read_from, insight_bounds.read_from)
-    start = None if None in starts else min(starts)
-    read = Days.of(staged(sources, start), M.Bounds(read_from=start))
-    days = Days(stored(spark, read.prices, "day-prices"), stored(spark, read.posts, "day-posts"), read.index, read.trending)
+    """Both facts from one pass over the staged ticks and posts, by way of their per-day aggregates."""
+    read = Days.of(stg, M.Bounds(read_from=_start(daily_bounds, insight_bounds)))
+    prices, posts = stored(spark, read.prices, "day-prices", space), stored(spark, read.posts, "day-posts", space)
+    days = Days(prices, posts, read.index, read.trending)
     _store(spark, warehouse.crypto_daily, crypto_daily_rows(days, daily_bounds), replace[0])
     _store(spark, warehouse.market_insights, market_insights_rows(days, insight_bounds), replace[1])
 
 
-def build_dimensions(spark: SparkSession, warehouse: Warehouse, sources: Sources) -> None:
-    """Both dimensions are rebuilt: dates from the stored fact, coins from the prices."""
-    marts.dim_date(warehouse.crypto_daily.read(spark)).write.mode("overwrite").parquet(warehouse.dim("dim_date"))
-    raw = sources("raw_prices")
-    coins = marts.dim_coin_of_raw(raw) if sources.gated else marts.dim_coin(staging.stage_prices(raw))
-    coins.write.mode("overwrite").parquet(warehouse.dim("dim_coin"))
+def _replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Replace a small table that ``df`` may itself read."""
+    new = beside(path)
+    try:
+        df.coalesce(1).write.parquet(new)
+        swap(spark, new, path)
+    finally:
+        delete_path(spark, new)
+
+
+def update_dimensions(spark: SparkSession, warehouse: Warehouse, stg_prices: DataFrame, replace: bool) -> None:
+    """Dates from the stored fact; coins from the staged prices, added to the known ones unless all is rebuilt."""
+    _replace_table(spark, marts.dim_date(warehouse.crypto_daily.read(spark)), warehouse.dim("dim_date"))
+    coins, path = marts.dim_coin(stg_prices), warehouse.dim("dim_coin")
+    if not replace and path_exists(spark, path):
+        coins = spark.read.schema(schemas.DIM_COIN).parquet(path).unionByName(coins).distinct()
+    _replace_table(spark, coins, path)
 
 
 def backfill(spark: SparkSession, warehouse: Warehouse, sources: Sources, start: dt.date, end: dt.date) -> None:
-    """Rebuild [start, end] from bronze and merge it, including later days whose windows changed."""
-    _write_both(
-        spark,
-        warehouse,
-        sources,
-        M.backfill_bounds(start, end, rolling=False),
-        M.backfill_bounds(start, end, rolling=True),
-        replace=(False, False),
-    )
+    """Rebuild [start, end] from bronze and merge it, including later days whose windows changed, and the dimensions."""
+    bounds = M.backfill_bounds(start, end, rolling=False), M.backfill_bounds(start, end, rolling=True)
+    with scratch_space(spark, "backfill") as space:
+        stg = store_staged(spark, sources, _start(*bounds), space)
+        _write_both(spark, warehouse, stg, *bounds, replace=(False, False), space=space)
+        update_dimensions(spark, warehouse, stg["stg_prices"], replace=False)
 
 
 def backfill_last(spark: SparkSession, warehouse: Warehouse, sources: Sources, days: int, today: dt.date) -> None:
     backfill(spark, warehouse, sources, today - dt.timedelta(days=days), today)
 
 
-def build(spark: SparkSession, warehouse: Warehouse, sources: Sources, full_refresh: bool = False) -> None:
-    """Facts, then the dimensions that depend on them."""
+def _next_bounds(spark: SparkSession, warehouse: Warehouse, full_refresh: bool) -> tuple[M.Bounds, M.Bounds, tuple[bool, bool]]:
+    """What the two facts read and emit next, and whether each is replaced."""
     facts = (warehouse.crypto_daily, warehouse.market_insights)
     latest = [None if full_refresh else fact.watermark(spark) for fact in facts]
-    _write_both(
-        spark,
-        warehouse,
-        sources,
-        M.short_lookback(latest[0]),
-        M.long_lookback(latest[1]),
-        replace=(latest[0] is None, latest[1] is None),
-    )
-    build_dimensions(spark, warehouse, sources)
+    return M.short_lookback(latest[0]), M.long_lookback(latest[1]), (latest[0] is None, latest[1] is None)
+
+
+def build(spark: SparkSession, warehouse: Warehouse, sources: Sources, full_refresh: bool = False) -> None:
+    """Facts, then the dimensions that depend on them."""
+    *bounds, replace = _next_bounds(spark, warehouse, full_refresh)
+    with scratch_space(spark, "build") as space:
+        stg = store_staged(spark, sources, _start(*bounds), space)
+        _write_both(spark, warehouse, stg, *bounds, replace=replace, space=space)
+        update_dimensions(spark, warehouse, stg["stg_prices"], replace=replace[0])
 
 
 def tables(
-    spark: SparkSession, warehouse: Warehouse, sources: Sources, landed_from: dt.date | None = None
+    spark: SparkSession,
+    warehouse: Warehouse,
+    sources: Sources,
+    landed_from: dt.date | None = None,
+    stg: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Everything the quality suite looks at: the facts whole, raw and staged rows from ``landed_from`` on.
 
-    The suite reads each staged table several times, so those are written once to scratch
-    instead of being deduplicated again for every check.
+    The suite reads each staged table several times: give the stored ones as ``stg``.
     """
     return {
         **{name: since_landed(sources(name), landed_from) for name in RAW},
-        **{name: stored(spark, df, name) for name, df in staged(sources, landed_from).items()},
+        **(staged(sources, landed_from) if stg is None else stg),
         "fct_crypto_daily": warehouse.crypto_daily.read(spark),
         "fct_market_insights": warehouse.market_insights.read(spark),
         "dim_date": spark.read.parquet(warehouse.dim("dim_date")),
@@ -210,17 +233,29 @@ def run(
     report_date: dt.date | None = None,
     check_from: dt.date | None = None,
 ) -> DataFrame:
-    """Raw gate, facts, dimensions, checks, final gate; stops at the first that fails.
+    """Raw gates, facts, dimensions, checks, final gate; stops at the first that fails.
 
-    Raw and staged rows are checked whole unless ``check_from`` limits them to what landed
-    since; the facts are always checked whole.
+    ``report_date`` is the day the run is for, today (UTC) unless given: every source must have
+    landed rows on it, and the fact must hold the expected coins on it. Raw and staged rows are
+    checked whole unless ``check_from`` limits them to what landed since; the facts are always
+    checked whole. Raw ticks are staged once, for facts, dimensions and checks. Returns the report
+    as a local frame, one row per check.
     """
+    day = report_date or dt.datetime.now(dt.timezone.utc).date()
     for name in RAW:
-        Q.require_rows(sources(name), name)
-    build(spark, warehouse, sources, full_refresh)
-    report = Q.run_checks(tables(spark, warehouse, sources, check_from), checks.full_suite(expected))
-    Q.enforce(report)
-    if report_date is not None:
-        fact = warehouse.crypto_daily.read(spark)
-        Q.require_complete_day(fact, Q.expected_keys(spark, expected), report_date)
-    return report
+        raw = sources(name)
+        Q.require_rows(raw, name)
+        if "dt" in raw.columns:
+            Q.require_rows(raw.where(F.col("dt") == F.lit(day)), f"{name} of {day}")
+    *bounds, replace = _next_bounds(spark, warehouse, full_refresh)
+    start = _start(*bounds, M.Bounds(read_from=check_from))
+    with scratch_space(spark, "run") as space:
+        stg = store_staged(spark, sources, start, space)
+        _write_both(spark, warehouse, stg, *bounds, replace=replace, space=space)
+        update_dimensions(spark, warehouse, stg["stg_prices"], replace=replace[0])
+        report = Q.run_checks(tables(spark, warehouse, sources, check_from, stg), checks.full_suite(expected))
+        found = report.collect()
+        kept = spark.createDataFrame(found, report.schema)
+    Q.enforce(kept)
+    Q.require_complete_day(warehouse.crypto_daily.read(spark), Q.expected_keys(spark, expected), day)
+    return kept

@@ -38,12 +38,14 @@ FEEDS = {
 def ingest(name: str, documents: DataFrame, root: str, day: dt.date, **options) -> dict[str, int]:
     """Land one day of a feed under ``root/<folder>/<day>/status=...``, replacing that day.
 
-    Raises when the payload unfolds to nothing or no record is valid; quarantined records
-    are kept next to the valid ones. Returns the counts.
+    Raises when the payload unfolds to nothing or no record is valid, and then leaves the day as it
+    was; quarantined records, and documents that are no JSON, are kept next to the valid ones.
+    Returns the counts.
     """
     feed = FEEDS[name]
     rows = require_rows(feed.flatten(documents, **options), feed.folder)
-    return K.land(rows, feed.contract, f"{root}/{feed.folder}/{day}")
+    broken = payloads.broken_documents(documents)
+    return K.land(rows, feed.contract, f"{root}/{feed.folder}/{day}", unreadable=broken)
 
 
 def ingest_posts_or_fallback(
@@ -53,7 +55,8 @@ def ingest_posts_or_fallback(
     feed = FEEDS["raw_posts"]
     fallback = payloads.fallback_posts(spark, **options).withColumn("score", F.col("score").cast("string"))
     rows = payloads.or_fallback(feed.flatten(documents), fallback)
-    return K.land(rows, feed.contract, f"{root}/{feed.folder}/{day}")
+    broken = payloads.broken_documents(documents)
+    return K.land(rows, feed.contract, f"{root}/{feed.folder}/{day}", unreadable=broken)
 
 
 def bronze(

@@ -82,6 +82,15 @@ _VIEWS = {
         SELECT CASE lower(symbol) WHEN 'click' THEN 'CLK' WHEN 'view' THEN 'VW' ELSE upper(symbol) END AS symbol,
                price, moment, dt
         FROM prices""",
+    "ungated": """
+        SELECT coin_id, recorded_at, max(price_usd) AS price_usd FROM loose
+        WHERE coin_id IS NOT NULL AND recorded_at IS NOT NULL GROUP BY ALL
+        UNION ALL (SELECT coin_id, recorded_at, price_usd FROM loose WHERE coin_id IS NULL OR recorded_at IS NULL
+                   ORDER BY recorded_at DESC NULLS LAST, price_usd DESC NULLS LAST, coin_id DESC NULLS LAST LIMIT 1)""",
+    "loose": """
+        SELECT CASE WHEN user_id % 20 <> 3 THEN lower(event_type) END AS coin_id, value AS price_usd,
+               CASE WHEN user_id % 20 <> 4 THEN date_trunc('hour', ts) END AS recorded_at
+        FROM events""",
     "drifting": f"""
         SELECT event_id, user_id % 15 AS k, event_type, value - 5 AS price,
                strftime(ts, {_TS}) AS timestamp, strftime(ts, '%Y-%m-%d') AS ingestion_date
@@ -109,6 +118,7 @@ _NEEDS = {
     "said": ["texts"],
     "listing": ["prices"],
     "closed": ["messages"],
+    "ungated": ["loose"],
 }
 
 
@@ -575,6 +585,49 @@ def _suite() -> list[tuple[str, str, str]]:
 
 oracle("dq_full_suite", ("insights",), _report(*_suite()))
 
+_BAD_PRICES = """SELECT CASE WHEN user_id % 20 <> 3 THEN lower(event_type) END AS coin_id,
+           CASE WHEN user_id % 20 <> 5 THEN value * 8000 - 400000 END AS price,
+           CASE WHEN user_id % 20 <> 4 THEN date_trunc('hour', ts) END AS moment FROM events"""
+_BAD_POSTS = f"""SELECT CASE WHEN conv_id % 9 <> 0 THEN CAST(conv_id AS VARCHAR) END AS id,
+           CASE WHEN conv_id % 7 <> 0 THEN {_DAY} + to_days({_uneven_day("conv_id")}) + to_minutes(turn) END AS created FROM conversations"""
+_BAD_INDEX = """SELECT CASE WHEN o_orderkey % 11 <> 0 THEN 1704067200 + (o_orderkey % 28) * 86400 + o_orderkey % 86400 END AS sec,
+           CASE WHEN o_orderkey % 5 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) % 301 - 100 END AS value, o_orderpriority AS class FROM orders"""
+_BAD_VIEWS = f"""WITH p AS ({_BAD_PRICES}), c AS ({_BAD_POSTS}), i AS ({_BAD_INDEX}),
+sp AS (SELECT coin_id, moment, max(price) AS price FROM p WHERE coin_id IS NOT NULL AND moment IS NOT NULL GROUP BY 1, 2
+       UNION ALL (SELECT coin_id, moment, price FROM p WHERE coin_id IS NULL OR moment IS NULL
+                  ORDER BY moment DESC NULLS LAST, price DESC NULLS LAST, coin_id DESC NULLS LAST LIMIT 1)),
+sc AS (SELECT id, max(created) AS created FROM c GROUP BY id),
+si AS (SELECT DISTINCT ON (day) * FROM (SELECT CAST(make_timestamp(sec * 1000000) AS DATE) AS day, * FROM i)
+       ORDER BY day, sec DESC NULLS LAST, value DESC NULLS LAST, class DESC NULLS LAST)
+"""
+
+
+def _planted() -> list[tuple[str, str, str]]:
+    def nulls(table: str, view: str, **columns: str) -> list[tuple[str, str, str]]:
+        return [_nulls(table, view, c, source) for c, source in columns.items()]
+
+    def twice(table: str, column: str, view: str, key: str) -> tuple[str, str, str]:
+        return table, f"unique({column})", f"SELECT count(*) FROM (SELECT {key} AS k FROM {view} GROUP BY 1 HAVING count(*) > 1) WHERE k IS NOT NULL"
+
+    tick = f"coin_id || '_' || strftime(moment, {_TS})"
+    return [
+        *nulls("raw_prices", "p", symbol="coin_id", price="price"),
+        *nulls("raw_posts", "c", id="id"),
+        *nulls("raw_index", "i", timestamp="sec", value="value"),
+        *nulls("stg_prices", "sp", record_id=f"({tick})", coin_id="coin_id", price_usd="price", recorded_at="moment"),
+        *nulls("stg_posts", "sc", record_id="id", post_id="id", report_date="created"),
+        *nulls("stg_index", "si", record_id="day", report_date="day", fng_value="value"),
+        twice("stg_prices", "record_id", "sp", tick),
+        twice("stg_posts", "record_id", "sc", "id"),
+        twice("stg_posts", "post_id", "sc", "id"),
+        twice("stg_index", "record_id", "si", "day"),
+        ("stg_prices", "accepted_range(price_usd, 0..1000000)", "SELECT count(*) FROM sp WHERE price NOT BETWEEN 0 AND 1000000"),
+        ("stg_index", "accepted_range(fng_value, 0..100)", "SELECT count(*) FROM si WHERE value NOT BETWEEN 0 AND 100"),
+    ]
+
+
+oracle("dq_planted_violations", (), _BAD_VIEWS + _report(*_planted()))
+
 # Payloads and contracts.
 oracle(
     "json_map_flatten",
@@ -607,13 +660,46 @@ oracle(
 oracle(
     "fallback_rows",
     ("turns",),
-    """SELECT id, text AS title, length(text) AS score, '2024-01-01 00:00:00' AS created_utc, '' AS url, 'user' AS feed
-FROM turns WHERE role = 'user'
+    """SELECT id, text AS title, length(text) AS score, '2024-01-01 00:00:00' AS created_utc, '' AS url, 'all' AS feed
+FROM turns
 UNION ALL SELECT 'fallback-bitcoin-20240105', 'Bitcoin market discussion fallback record', 1, '2024-01-05 10:00:00',
        'https://www.reddit.com/r/Bitcoin/', 'nobody'
 UNION ALL SELECT 'fallback-ethereum-20240105', 'Ethereum market discussion fallback record', 1, '2024-01-05 10:00:00',
        'https://www.reddit.com/r/ethereum/', 'nobody'""",
 )
+oracle(
+    "payload_string_prices",
+    (),
+    f"""SELECT event_type AS symbol, round(value, 8) AS price, strftime(ts, {_TS}) AS timestamp, strftime(ts, '%Y-%m-%d') AS ingestion_date
+FROM events WHERE user_id % 3 < 2 AND value >= 0""",
+)
+oracle(
+    "payload_broken_documents",
+    (),
+    """SELECT CASE WHEN event_id % 5 = 0 THEN 'quarantined' ELSE 'valid' END AS status,
+       CASE WHEN event_id % 5 = 0 THEN 'document: not a JSON object' ELSE '' END AS errors, count(*) AS records
+FROM events GROUP BY 1, 2""",
+)
+oracle(
+    "payload_index_values",
+    (),
+    """SELECT CASE o_orderkey % 5 WHEN 3 THEN -n ELSE n END AS value, 'c' AS value_classification, 1704067200 + o_orderkey AS timestamp,
+       strftime(make_timestamp((1704067200 + o_orderkey) * 1000000), '%Y-%m-%d') AS ingestion_date
+FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) % 101 AS n FROM orders) WHERE o_orderkey % 5 IN (0, 2, 3)""",
+)
+oracle(
+    "trades_rejected",
+    (),
+    """SELECT 'tick' AS kind, count(*) AS n FROM events WHERE event_id % 10 IN (0, 6, 7, 8, 9)
+UNION ALL SELECT 'rejected', count(*) FROM events WHERE event_id % 10 IN (1, 2, 5)""",
+)
+oracle(
+    "contract_index",
+    (),
+    """SELECT o_orderkey, v AS value, coalesce(v BETWEEN 0 AND 100, false) AS ok,
+       CASE WHEN v IS NULL THEN 'value: not a bigint' WHEN v > 100 THEN 'value: above 100' WHEN v < 0 THEN 'value: below 0' ELSE '' END AS errors
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) % 121 - 10 END AS v FROM orders)""",
+)
 _PROBLEMS = """nullif(concat_ws(',', CASE k WHEN 7 THEN 'symbol: too short' WHEN 8 THEN 'symbol: missing' END,
          CASE WHEN k = 9 THEN 'price: not a double' WHEN price < 0 THEN 'price: below 0' END), '')"""
 oracle(
@@ -632,6 +718,18 @@ oracle(
     ("drifting",),
     f"SELECT CASE WHEN {_PROBLEMS} IS NULL THEN 'valid' ELSE 'quarantined' END AS status, count(*) AS records FROM drifting GROUP BY 1",
 )
+oracle(
+    "land_keeps_good_day",
+    ("drifting",),
+    f"""SELECT CASE WHEN {_PROBLEMS} IS NULL THEN 'valid' ELSE 'quarantined' END AS status, count(*) AS records, true AS refused
+FROM drifting GROUP BY 1""",
+)
+oracle(
+    "publish_keeps_good_file",
+    ("prices",),
+    """SELECT symbol, count(*) AS n, round(max(price), 8) AS high, true AS refused, (SELECT count(*) FROM prices) AS published
+FROM prices GROUP BY symbol""",
+)
 oracle(
     "contract_json_defaults",
     ("turns",),
@@ -648,6 +746,54 @@ FROM (SELECT lower(event_type) AS coin_id, date_trunc('second', ts) AS sec, max(
 )
 
 # Incremental facts and lake files.
+oracle(
+    "inc_late_data",
+    ("price_days",),
+    """SELECT 'daily' AS fact, strftime(moment, '%Y-%m-%d') AS report_date, coin_id, round(avg(p), 8) AS avg_price FROM (
+  SELECT lower(symbol) AS coin_id, moment, max(price + CASE WHEN dt = (SELECT max(dt) FROM prices) - 1 THEN 1000 ELSE 0 END) AS p
+  FROM prices GROUP BY 1, 2) GROUP BY 2, 3
+UNION ALL SELECT 'insights', CAST(report_date AS VARCHAR), coin_id, round(avg_price, 8) FROM price_days""",
+)
+oracle(
+    "backfill_dimensions",
+    (),
+    "\nUNION ALL ".join(
+        f"SELECT '{fact}' AS \"table\", 'relationship({link})' AS \"check\", CAST(0 AS BIGINT) AS failures, "
+        "(SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) AS days"
+        for fact in ("fct_crypto_daily", "fct_market_insights")
+        for link in ("report_date -> dim_date.date", "coin_id -> dim_coin.coin_id")
+    ),
+)
+oracle("stg_prices_ungated", ("ungated",), f"SELECT coin_id, round(price_usd, 8) AS price_usd, strftime(recorded_at, {_TS}) AS recorded_at FROM ungated")
+oracle(
+    "staging_views",
+    ("ticks", "post_versions", "index_days", "trend_days"),
+    """SELECT 'stg_prices' AS view, count(*) AS n, count(DISTINCT coin_id) AS keys FROM ticks
+UNION ALL SELECT 'stg_posts', count(*), count(DISTINCT id) FROM post_versions
+UNION ALL SELECT 'stg_index', count(*), count(DISTINCT report_date) FROM index_days
+UNION ALL SELECT 'stg_trending', count(*), count(DISTINCT coin_id) FROM trend_days""",
+)
+oracle(
+    "gates",
+    (),
+    """WITH n AS (SELECT count(*) AS n FROM events), g AS (SELECT unnest(['partition_rows', 'required_lines', 'source_rows']) AS gate)
+SELECT gate, 'full' AS "case", 'ok' AS outcome, n AS rows FROM g, n
+UNION ALL SELECT gate, 'empty', 'refused', 0 FROM g
+UNION ALL SELECT 'landing_day', 'missing', 'refused', 0""",
+)
+oracle(
+    "external_lake_tables",
+    ("readings",),
+    f"""SELECT 'reddit_posts' AS "table", CAST(CAST({_DAY} AS DATE) + {_uneven_day("conv_id")} AS VARCHAR) AS dt, count(*) AS n FROM conversations GROUP BY 2
+UNION ALL SELECT 'fear_greed_index', CAST(dt AS VARCHAR), count(*) FROM readings GROUP BY 2
+UNION ALL SELECT 'coingecko_trending', strftime(ts, '%Y-%m-%d'), count(*) FROM events GROUP BY 2""",
+)
+oracle(
+    "mixed_json_compaction",
+    (),
+    f"""SELECT event_id, event_type, round(value, 8) AS value, strftime(ts, {_TS}) AS ts,
+       (SELECT count(*) FROM events WHERE event_id % 50 = 4) AS skipped_lines FROM events""",
+)
 oracle(
     "upsert_no_delete",
     ("fact",),

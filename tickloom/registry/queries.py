@@ -21,7 +21,7 @@ from tickloom.operators.dedup import distinct_ticks, latest_per_key
 from tickloom.operators.joins import left_with_defaults
 from tickloom.operators.ticks import with_previous
 from tickloom.plans import checks, daily, ingest, marts, staging
-from tickloom.session import fit_shuffles, path_bytes, prepare, scratch_dir
+from tickloom.session import prepare, scratch_dir
 from tickloom.sources import catalog, lake, payloads, sample, sinks
 from tickloom.streaming import trades
 
@@ -53,8 +53,7 @@ def shown(df: DataFrame) -> DataFrame:
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fit_shuffles(prepare(spark), path_bytes(spark, sf_dir))
-        return shown(fn(spark, sf_dir))
+        return shown(fn(prepare(spark), sf_dir))
 
     QUERIES[fn.__name__] = run
     return run
@@ -84,7 +83,7 @@ def stg_trending_dedup(spark, d):
 
 
 def _ticks(spark, d):
-    return staging.stage_prices(sample.prices(spark, d), gated=True)
+    return staging.stage_prices(sample.prices(spark, d))
 
 
 def _prices(spark, d):
@@ -188,7 +187,7 @@ def is_trending_flag(spark, d):
 
 @query
 def dim_coin(spark, d):
-    return marts.dim_coin_of_raw(sample.prices(spark, d))
+    return marts.dim_coin(_ticks(spark, d))
 
 
 @query
@@ -376,8 +375,8 @@ def dq_price_spike(spark, d):
 @query
 def previous_event(spark, d):
     """Every distinct event time of a type next to the value before it, at full precision."""
-    e = sample.events(spark, d).where("event_type is not null and ts is not null")
-    ticks = distinct_ticks(e.withColumnRenamed("event_type", "coin_id"), "coin_id", "ts", "value", identified=True)
+    e = sample.events(spark, d).select(F.col("event_type").alias("coin_id"), "ts", "value")
+    ticks = distinct_ticks(e, "coin_id", "ts", "value")
     return with_previous(ticks, "coin_id", "ts", "value", "previous")
 
 
@@ -385,7 +384,7 @@ def previous_event(spark, d):
 def dq_price_positive(spark, d):
     """Events below one, standing for prices that are not positive."""
     shifted = sample.prices(spark, d).withColumn("price", F.col("price") - 1)
-    return staging.stage_prices(shifted, gated=True).where(checks.price_positive().failing())
+    return staging.stage_prices(shifted).where(checks.price_positive().failing())
 
 
 @query
@@ -424,6 +423,30 @@ def dq_full_suite(spark, d):
     return Q.run_checks(daily.tables(spark, warehouse, sources), checks.DECLARED)
 
 
+@query
+def dq_planted_violations(spark, d):
+    """The checks of raw and staged prices, posts and index readings over rows of which many break them."""
+    u, c, o = F.col("user_id"), F.col("conv_id"), F.col("o_orderkey")
+    e, posts = sample.events(spark, d), sample.posts(spark, d)
+    prices = e.select(
+        F.when(u % 20 != 3, F.col("event_type")).alias("symbol"),
+        F.when(u % 20 != 5, F.col("value") * 8000 - 400000).alias("price"),
+        F.when(u % 20 != 4, F.date_trunc("HOUR", "ts")).alias("timestamp"),
+    )
+    posts = posts.withColumn("conv_id", F.col("id").cast("bigint"))
+    posts = posts.withColumn("id", F.when(c % 9 != 0, F.col("id"))).withColumn("created_utc", F.when(c % 7 != 0, F.col("created_utc")))
+    index = sample.table(spark, d, "orders").select(
+        F.when(o % 11 != 0, F.lit(1704067200) + (o % 28) * 86400 + o % 86400).alias("timestamp"),
+        F.when(o % 5 != 0, (F.floor("o_totalprice") % 301 - 100).cast("bigint")).alias("value"),
+        F.col("o_orderpriority").alias("value_classification"),
+    )
+    tables = {
+        "raw_prices": prices, "raw_posts": posts, "raw_index": index,
+        "stg_prices": staging.stage_prices(prices), "stg_posts": staging.stage_posts(posts), "stg_index": staging.stage_index(index),
+    }
+    return Q.run_checks(tables, [x for x in checks.DECLARED if x.table in tables])
+
+
 @query
 def dq_health(spark, d):
     t = {n: sample.table(spark, d, n) for n in ("events", "orders", "customer")}
@@ -452,7 +475,70 @@ def json_map_flatten(spark, d):
         ),
     )
     docs = sample.events(spark, d).select("ts", F.to_json(quotes).alias("payload"))
-    return payloads.flatten_prices(docs, fetched_at=F.col("ts"))
+    return payloads.flatten_prices(docs, fetched_at=F.col("ts")).withColumn("price", C.safe_double("price"))
+
+
+@query
+def payload_string_prices(spark, d):
+    """Quotes in quotes: every third price is text, some of it no number. The contract reads or rejects them."""
+    k = F.col("user_id") % 3
+    quote = F.when(k == 0, F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"'))).when(k == 1, F.col("value").cast("string"))
+    text = F.concat(F.lit('{"'), F.col("event_type"), F.lit('": {"usd": '), F.coalesce(quote, F.lit('"n/a"')), F.lit("}}"))
+    rows = payloads.flatten_prices(sample.events(spark, d).select("ts", text.alias("payload")), fetched_at=F.col("ts"))
+    return K.valid_records(K.annotate(rows, K.PRICES))
+
+
+@query
+def payload_broken_documents(spark, d):
+    """Every fifth document is cut short; what lands, by status, adds up to the input."""
+    path = scratch_dir(spark, "broken")
+    whole = F.to_json(F.map_from_arrays(F.array("event_type"), F.array(F.struct(F.col("value").alias("usd")))))
+    text = F.when(F.col("event_id") % 5 == 0, F.expr("substring(w, 1, length(w) - 1)")).otherwise(F.col("w"))
+    docs = sample.events(spark, d).withColumn("w", whole).select("ts", text.alias("payload"))
+    ingest.ingest("raw_prices", docs, path, dt.date(2024, 2, 1), fetched_at=F.col("ts"))
+    landed = spark.read.parquet(f"{path}/coingecko/2024-02-01")
+    errors = F.coalesce(F.concat_ws(",", K.ERRORS), F.lit(""))
+    return landed.groupBy("status", errors.alias("errors")).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def payload_index_values(spark, d):
+    """One value per order, in five JSON forms; text has to be whole, numbers are cut, the rest is dropped."""
+    k, n = F.col("o_orderkey") % 5, (F.floor("o_totalprice") % 101).cast("string")
+    value = (
+        F.when(k == 0, F.concat(F.lit('"'), n, F.lit('"')))
+        .when(k == 1, F.concat(F.lit('"'), n, F.lit('.0"')))
+        .when(k == 2, F.concat(n, F.lit(".7")))
+        .when(k == 3, F.concat(F.lit("-"), n, F.lit(".7")))
+        .otherwise(F.lit("null"))
+    )
+    stamp = (F.lit(1704067200) + F.col("o_orderkey")).cast("string")
+    text = F.concat(F.lit('{"data": [{"value": '), value, F.lit(', "value_classification": "c", "timestamp": "'), stamp, F.lit('"}]}'))
+    return payloads.flatten_index(sample.table(spark, d, "orders").select(text.alias("payload")))
+
+
+def _odd_messages(spark, d):
+    """Trade messages of which some are empty, carry no number as a price, lack a symbol or are no JSON."""
+    k = F.col("event_id") % 10
+    price = F.when(k == 1, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    symbol = F.when(k != 2, F.col("event_type"))
+    whole = F.to_json(F.struct(F.unix_millis("ts").alias("E"), symbol.alias("s"), price.alias("p")))
+    return sample.events(spark, d).select(
+        "event_id", F.when(k == 3, F.lit("{}")).when(k == 4, F.lit("")).when(k == 5, F.lit("{broken")).otherwise(whole).alias("payload")
+    )
+
+
+@query
+def trades_rejected(spark, d):
+    """A stream with bad messages: ticks and rejected messages land side by side and nothing stops."""
+    path = scratch_dir(spark, "odd")
+    _odd_messages(spark, d).select("payload").write.text(f"{path}/in")
+    stream = trades.file_stream(spark, f"{path}/in", T.StructType([T.StructField("value", T.StringType())]), "text")
+    for q in trades.append_ticks(stream, "value", f"{path}/ticks", f"{path}/rejected", f"{path}/state"):
+        q.awaitTermination()
+    ticks = spark.read.parquet(f"{path}/ticks").select(F.lit("tick").alias("kind"))
+    rejected = spark.read.parquet(f"{path}/rejected").select(F.lit("rejected").alias("kind"))
+    return ticks.unionByName(rejected).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -506,21 +592,21 @@ def json_trending_flatten(spark, d):
 
 @query
 def fallback_rows(spark, d):
-    """Posts by a role nobody has fall back to placeholders; posts by users do not."""
+    """An empty feed falls back to placeholders; the feed of all turns does not."""
     at = F.lit("2024-01-05 10:00:00").cast("timestamp")
     turns = sample.table(spark, d, "conversations")
 
-    def feed(role):
-        rows = turns.where(F.col("role") == role).select(
+    def feed(name, turns):
+        rows = turns.select(
             F.concat_ws("-", "conv_id", "turn").alias("id"),
             F.col("text").alias("title"),
             F.length("text").cast("bigint").alias("score"),
             F.lit("2024-01-01 00:00:00").alias("created_utc"),
             F.lit("").alias("url"),
         )
-        return payloads.or_fallback(rows, payloads.fallback_posts(spark, at)).withColumn("feed", F.lit(role))
+        return payloads.or_fallback(rows, payloads.fallback_posts(spark, at)).withColumn("feed", F.lit(name))
 
-    return feed("nobody").unionByName(feed("user"))
+    return feed("nobody", turns.where(F.col("role") == "nobody")).unionByName(feed("all", turns))
 
 
 def _drifting_prices(spark, d):
@@ -555,6 +641,52 @@ def contract_land(spark, d):
     return spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("records"))
 
 
+@query
+def contract_index(spark, d):
+    """Order prices as index values around the bounds 0 and 100, with the reasons of those turned away."""
+    k = F.col("o_orderkey")
+    value = F.when(k % 7 == 0, F.lit("n/a")).otherwise(((F.floor("o_totalprice") % 121) - 10).cast("string"))
+    rows = sample.table(spark, d, "orders").select(
+        "o_orderkey", value.alias("value"), F.col("o_orderpriority").alias("value_classification"),
+        F.when(k % 2 == 0, k.cast("string")).alias("timestamp"), F.lit("2024-01-01").alias("ingestion_date"),
+    )
+    judged = K.annotate(rows, K.INDEX, keep=("o_orderkey",))
+    return judged.select("o_orderkey", "value", K.OK, F.concat_ws(",", K.ERRORS).alias("errors")).withColumnRenamed(K.OK, "ok")
+
+
+@query
+def land_keeps_good_day(spark, d):
+    """A good batch, then one in which every record is invalid: the landed day is the first one."""
+    path = scratch_dir(spark, "good-day")
+    good = _drifting_prices(spark, d)
+    K.land(good, K.PRICES, path)
+    try:
+        K.land(good.withColumn("symbol", F.lit("")), K.PRICES, path)
+        refused = False
+    except K.AllRecordsInvalid:
+        refused = True
+    back = spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("records"))
+    return back.withColumn("refused", F.lit(refused))
+
+
+@query
+def publish_keeps_good_file(spark, d):
+    """JSON lines published as Parquet under a day key; a later empty file is refused and changes nothing."""
+    path = scratch_dir(spark, "publish")
+    rows = sample.prices(spark, d).select("symbol", "price", F.date_format("timestamp", C.SECOND_FORMAT).alias("timestamp"))
+    sinks.save_day(rows, path, "coingecko", "2024-01-01")
+    sinks.save_day(rows.limit(0), path, "empty", "2024-01-01")
+    schema, key = schemas.LAKE_TABLES["coingecko_prices"], f"{path}/raw/coingecko/2024-01-01/data.parquet"
+    published = sinks.publish_parquet(spark, f"{path}/coingecko/2024-01-01", key, schema)
+    try:
+        sinks.publish_parquet(spark, f"{path}/empty/2024-01-01", key, schema)
+        refused = False
+    except Q.QualityError:
+        refused = True
+    back = spark.read.parquet(key).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("high"))
+    return back.withColumn("refused", F.lit(refused)).withColumn("published", F.lit(published).cast("bigint"))
+
+
 @query
 def contract_json_defaults(spark, d):
     """Post records as JSON text: a key the text lacks gets its default, a null stays null."""
@@ -618,6 +750,34 @@ def inc_insights_emit_max(spark, d):
     return warehouse.market_insights.read(spark)
 
 
+@query
+def inc_late_data(spark, d):
+    """A price rises late on a day before the newest one: the next run has it in the daily fact, whose lookback
+    covers it, and not in the insights, which emit the newest day alone."""
+    warehouse, good = daily.Warehouse(scratch_dir(spark, "late")), sample.sources(spark, d)
+    newest = _latest_landed(spark, d)
+    late = F.col("dt") == F.lit(newest - dt.timedelta(days=1))
+    raised = F.when(late, F.col("price") + 1000).otherwise(F.col("price"))
+    changed = good.replaced(raw_prices=lambda: good("raw_prices").withColumn("price", raised))
+    daily.build(spark, warehouse, good)
+    daily.build(spark, warehouse, changed)
+    short = warehouse.crypto_daily.read(spark).select(F.lit("daily").alias("fact"), "report_date", "coin_id", "avg_price")
+    wide = warehouse.market_insights.read(spark).select(F.lit("insights").alias("fact"), "report_date", "coin_id", "avg_price")
+    return short.unionByName(wide)
+
+
+@query
+def backfill_dimensions(spark, d):
+    """Days 10 to 30, then a backfill of the days before: no fact row is without its day or coin."""
+    warehouse, good = daily.Warehouse(scratch_dir(spark, "backfill-dims")), sample.sources(spark, d)
+    recent = F.col("dt") >= F.lit(dt.date(2024, 1, 10))
+    daily.build(spark, warehouse, good.replaced(raw_prices=lambda: good("raw_prices").where(recent)))
+    daily.backfill(spark, warehouse, good, dt.date(2024, 1, 1), dt.date(2024, 1, 9))
+    report = Q.run_checks(daily.tables(spark, warehouse, good), checks.RELATIONSHIPS)
+    days = warehouse.crypto_daily.read(spark).agg(F.count_distinct("report_date").alias("days"))
+    return report.withColumn("days", F.lit(days.first()[0]))
+
+
 @query
 def upsert_no_delete(spark, d):
     """Days with posts get a new score, one coin is new, everything else must survive."""
@@ -653,7 +813,75 @@ def backfill_range(spark, d):
 def reappend_idempotent(spark, d):
     """Staging the raw rows appended twice."""
     raw = sample.prices(spark, d)
-    return staging.stage_prices(raw.unionByName(raw), gated=True)
+    return staging.stage_prices(raw.unionByName(raw))
+
+
+@query
+def stg_prices_ungated(spark, d):
+    """Prices that passed no contract: rows without a symbol or time collapse into one, the latest and highest."""
+    k = F.col("user_id") % 20
+    raw = sample.events(spark, d).select(
+        F.when(k != 3, F.col("event_type")).alias("symbol"),
+        F.col("value").alias("price"),
+        F.when(k != 4, F.date_trunc("HOUR", "ts")).alias("timestamp"),
+    )
+    return staging.stage_prices(raw).select("coin_id", "price_usd", "recorded_at")
+
+
+@query
+def staging_views(spark, d):
+    """Staging registered as views and queried by name."""
+    ingest.register_views({n: df for n, df in daily.staged(sample.sources(spark, d)).items()})
+    return spark.sql(
+        """
+        SELECT 'stg_prices' AS view, count(*) AS n, count(DISTINCT coin_id) AS keys FROM stg_prices
+        UNION ALL SELECT 'stg_posts', count(*), count(DISTINCT post_id) FROM stg_posts
+        UNION ALL SELECT 'stg_index', count(*), count(DISTINCT report_date) FROM stg_index
+        UNION ALL SELECT 'stg_trending', count(*), count(DISTINCT coin_id) FROM stg_trending
+        """
+    )
+
+
+def _outcome(action: Callable[[], object], error: type[Exception]) -> str:
+    """'ok', or 'refused' if the action raised."""
+    try:
+        action()
+    except error:
+        return "refused"
+    return "ok"
+
+
+@query
+def gates(spark, d):
+    """Every gate that raises, on data that passes and on data that does not, with the rows it saw."""
+    path, sources = scratch_dir(spark, "gates"), sample.sources(spark, d)
+    rows = sample.prices(spark, d).select("symbol", "price", F.date_format("timestamp", C.SECOND_FORMAT).alias("timestamp"))
+    sinks.save_day(rows, path, "full", "2024-01-01")
+    sinks.save_day(rows.limit(0), path, "empty", "2024-01-01")
+    schema = schemas.LAKE_TABLES["coingecko_prices"]
+    full, empty = f"{path}/full/2024-01-01", f"{path}/empty/2024-01-01"
+    quotes = F.map_from_arrays(F.array("event_type"), F.array(F.struct("value").alias("usd")))
+    docs = sample.events(spark, d).select("ts", F.to_json(quotes).alias("payload"))
+    hollow = docs.withColumn("payload", F.lit("{}"))
+    newest, days = _latest_landed(spark, d), dt.timedelta(days=1)
+
+    def run(day):
+        return daily.run(spark, daily.Warehouse(f"{path}/warehouse"), sources, expected="click,view", report_date=day)
+
+    def flattened(docs):
+        return Q.require_rows(payloads.flatten_prices(docs, fetched_at=F.col("ts")), "prices")
+
+    seen = Q.require_partition_rows(spark, full)
+    found = [
+        ("partition_rows", "full", _outcome(lambda: Q.require_partition_rows(spark, full), Q.QualityError), seen),
+        ("partition_rows", "empty", _outcome(lambda: Q.require_partition_rows(spark, empty), Q.QualityError), 0),
+        ("required_lines", "full", _outcome(lambda: lake.read_required_json_lines(spark, full, schema), Q.QualityError), seen),
+        ("required_lines", "empty", _outcome(lambda: lake.read_required_json_lines(spark, empty, schema), Q.QualityError), 0),
+        ("source_rows", "full", _outcome(lambda: flattened(docs), Q.QualityError), seen),
+        ("source_rows", "empty", _outcome(lambda: flattened(hollow), Q.QualityError), 0),
+        ("landing_day", "missing", _outcome(lambda: run(newest + 400 * days), Q.QualityError), 0),
+    ]
+    return spark.createDataFrame(found, "gate string, case string, outcome string, rows long")
 
 
 # Lake files.
@@ -687,6 +915,24 @@ def external_table(spark, d):
     return spark.table(name).groupBy("dt", "symbol").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("high"))
 
 
+@query
+def external_lake_tables(spark, d):
+    """Posts, index and trending as catalog tables over day folders, one of them with bare dates."""
+    path = scratch_dir(spark, "lake")
+    posts = sample.posts(spark, d).withColumn("created_utc", F.date_format("created_utc", C.SECOND_FORMAT))
+    index = sample.index(spark, d).withColumn("timestamp", F.col("timestamp").cast("string"))
+    trending = sample.trending(spark, d).withColumn("timestamp", F.date_format("timestamp", C.SECOND_FORMAT))
+    frames = {"reddit_posts": posts, "fear_greed_index": index, "coingecko_trending": trending}
+    out = []
+    for table, df in frames.items():
+        root = f"{path}/{catalog.LAKE_FOLDERS[table]}"
+        df.hint("rebalance", "dt").write.partitionBy("dt").parquet(root)
+        name = catalog.register_lake_table(spark, f"lake_{path[-32:]}", table, root, database_location=f"{path}-db")
+        counts = spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+        out.append(counts.select(F.lit(table).alias("table"), "dt", "n"))
+    return lake.union_by_name(out)
+
+
 @query
 def union_by_name(spark, d):
     """Customers and suppliers under the union of their columns."""
@@ -707,6 +953,42 @@ def compaction(spark, d):
     return spark.read.schema(schemas.RAW_POSTS).parquet(out)
 
 
+def _renamed(spark, folder: str, suffixes: dict[str, str]) -> None:
+    """Give the files below a folder other suffixes."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, files = fs.listFiles(where, True), []
+    while found.hasNext():
+        files.append(found.next().getPath())
+    for f in files:
+        for old, new in suffixes.items():
+            if f.getName().endswith(old):
+                fs.rename(f, f.suffix("").getParent().suffix(f"/{f.getName().removesuffix(old)}{new}"))
+                break
+
+
+@query
+def mixed_json_compaction(spark, d):
+    """Events in five shapes, named alike: lines as .json and .jsonl, compressed lines, arrays over many lines
+    and on one. Compacted and read back they are the table; broken lines are counted."""
+    raw, out = scratch_dir(spark, "mixed"), scratch_dir(spark, "mixed-out")
+    e = sample.events(spark, d).select("event_id", "event_type", "value", F.date_format("ts", C.SECOND_FORMAT).alias("ts"))
+    k = F.col("event_id") % 5
+    line = e.select(F.to_json(F.struct(*e.columns)).alias("value"), "event_id")
+    line.where(k == 0).select("value").write.text(f"{raw}/lines")
+    line.where(k == 1).select("value").write.option("compression", "gzip").text(f"{raw}/gz")
+    listed = line.groupBy(F.floor(F.col("event_id") / 500).alias("b"), k.alias("k")).agg(F.sort_array(F.collect_list("value")).alias("v"))
+    spread = F.concat(F.lit("[\n  "), F.array_join("v", ",\n  "), F.lit("\n]"))
+    close = F.concat(F.lit("["), F.array_join("v", ","), F.lit("]"))
+    listed.where("k = 2").select(spread.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{raw}/documents")
+    listed.where("k = 3").select(close.alias("value")).write.text(f"{raw}/arrays")
+    bad = F.when(F.col("event_id") % 50 == 4, F.array("value", F.lit("{broken"))).otherwise(F.array("value"))
+    line.where(k == 4).select(F.explode(bad).alias("value")).write.text(f"{raw}/broken")
+    _renamed(spark, raw, {".txt.gz": ".jsonl.gz", ".txt": ".json"})
+    report = sinks.compact_report(spark, raw, out, e.schema)
+    return spark.read.schema(e.schema).parquet(out).withColumn("skipped_lines", F.lit(report["skipped_lines"]).cast("bigint"))
+
+
 @query
 def append_observed(spark, d):
     """Two appends to one raw table with the rows each load reported."""

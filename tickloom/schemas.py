@@ -58,8 +58,9 @@ DIM_COIN = _struct(coin_id=S)
 DIM_DATE = _struct(date=DAY, year=L, month=L, day=L)
 
 # API payloads before flattening. Whole numbers stay text: the contract coerces or rejects them.
-PRICE_PAYLOAD = "map<string, struct<usd: double>>"
-INDEX_PAYLOAD = "struct<data: array<struct<value: string, value_classification: string, timestamp: string>>>"
+PRICE_PAYLOAD = "map<string, struct<usd: string>>"
+# Index values keep their JSON type, as a number and the same digits in quotes are read differently.
+INDEX_PAYLOAD = "struct<data: array<struct<value: variant, value_classification: string, timestamp: variant>>>"
 POST_PAYLOAD = (
     "struct<data: struct<children: array<struct<data: struct<"
     "id: string, title: string, score: string, created_utc: string, url: string>>>>>"

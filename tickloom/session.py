@@ -1,9 +1,10 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, and files and folders on whatever filesystem a path names."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +14,6 @@ REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(app_name: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; cluster sizing stays with spark-submit."""
@@ -32,61 +31,111 @@ def build_session(app_name: str = "tickloom", master: str | None = None, **conf:
         builder = builder.master(master)
     for key, value in {**REQUIRED_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return prepare(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the required settings on a session somebody else created."""
+    """A session in which the required settings hold: the given one, or a sibling if they differ there.
+
+    The given session is never changed.
+    """
+    if all(spark.conf.get(key).lower() == value.lower() for key, value in REQUIRED_CONF.items()):
+        return spark
+    own = spark.newSession()
     for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+        own.conf.set(key, value)
+    return own
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+def shuffle_partitions(input_bytes: int, per_partition: int = 256 << 20) -> int:
+    """Partitions a shuffle of that much input should start with.
 
-    Only a local-mode session, where every task shares the driver's disk, may
-    fall back to a temporary folder.
+    For whoever submits the job, as ``spark.sql.shuffle.partitions`` or
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``: adaptive execution merges
+    partitions that turn out small but never adds any.
     """
+    return max(1, -(-input_bytes // per_partition))
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, or under the warehouse if that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        root = _local_scratch[app]
-    return f"{root.rstrip('/')}/{app}/{label}-{uuid.uuid4().hex}"
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total size below a path, from the filesystem's own summary."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(where).getLength()
+@contextmanager
+def scratch_space(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch folder that is deleted in the end, whatever happens."""
+    path = scratch_dir(spark, label)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)
 
 
-def fit_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20, most: int = 20_000) -> int:
-    """Start shuffles with enough partitions for the input.
+def stored(spark: SparkSession, df: DataFrame, label: str, below: str | None = None) -> DataFrame:
+    """``df`` written to scratch and read back: computed once, and safe when executors are lost.
 
-    Adaptive execution merges partitions that turn out small but never adds any, so the
-    first number has to suit the data. It is only ever raised above the session's own.
+    ``below`` is the scratch space it goes to and disappears with.
     """
-    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(own, min(most, -(-input_bytes // per_partition)))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
+    path = f"{below}/{label}" if below else scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists on whatever filesystem the path names."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+def _filesystem(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to scratch and read back: computed once, and safe when executors are lost."""
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size below a path, from the filesystem's own summary."""
+    fs, where = _filesystem(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists."""
+    fs, where = _filesystem(spark, path)
+    return fs.exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    fs, where = _filesystem(spark, path)
+    fs.delete(where, True)
+
+
+def beside(path: str) -> str:
+    """A fresh hidden sibling of a path: on the same filesystem, and passed over by readers of its parent."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staged-{name}-{uuid.uuid4().hex}"
+
+
+def swap(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of another one; the old one goes once the new one is there."""
+    fs, new = _filesystem(spark, staged)
+    _, place = _filesystem(spark, target)
+    if not fs.exists(new):
+        raise FileNotFoundError(staged)
+    old = None
+    if fs.exists(place):
+        _, old = _filesystem(spark, beside(target))
+        if not fs.rename(place, old):
+            raise OSError(f"cannot move {target} aside")
+    fs.mkdirs(place.getParent())
+    if not fs.rename(new, place):
+        if old is not None:
+            fs.rename(old, place)
+        raise OSError(f"cannot move {staged} to {target}")
+    if old is not None:
+        fs.delete(old, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it is missing. One listing, no file is opened."""
+    fs, where = _filesystem(spark, path)
+    if not fs.exists(where):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(where)]

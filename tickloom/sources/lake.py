@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -48,37 +49,79 @@ def read_required_json_lines(spark: SparkSession, path: str, schema: T.StructTyp
     return require_rows(read_strict_json_lines(spark, path, schema), path)
 
 
-def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
-    """Every ``*.json*`` file below a folder, by line or as a whole document.
-
-    ``.jsonl`` files and Spark's own ``part-*`` files hold one record per line. The test
-    on the file name is settled before any file is opened. Files and records that are no
-    JSON are skipped; a record with one field of the wrong type stays, that field NULL.
+class MixedJson:
+    """Every ``*.json*`` file below a folder, compressed or not, read by what it holds rather than by its name.
 
-    Without a schema the columns are those found in the files, at the price of reading
-    them twice; both kinds are then united by column name.
+    A line that is a whole JSON object is a record; one that is a whole array holds one per element.
+    A file of which less than half the lines are whole may be a document over many lines: if its
+    text, of at most ``document_bytes``, is one JSON object or array, it is read as such. All other
+    lines are skipped, and counted by :meth:`skipped`.
     """
-    by_line = F.col("_metadata.file_name").rlike(r"\.jsonl$|^part-")
-
-    def load(whole: bool) -> DataFrame:
-        reader = (
-            spark.read.option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.json*")
-            .option("multiLine", str(whole).lower())
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("ignoreCorruptFiles", "true")
+
+    def __init__(self, spark: SparkSession, folder: str, document_bytes: int = 64 << 20):
+        self.spark, self.folder, self.document_bytes = spark, folder, document_bytes
+        self._files = self._lines().groupBy("file").agg(
+            F.count(F.lit(1)).alias("lines"), F.count_if("whole").alias("whole"), F.max("size").alias("size")
         )
-        if schema is not None:
-            reader = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        rows = reader.json(folder)
-        names = [c for c in rows.columns if c != CORRUPT]
-        rows = rows.where(~by_line if whole else by_line)
-        if CORRUPT in rows.columns:
-            rows = rows.where(_readable(names))
-        return rows.select(*names)
-
-    return load(whole=False).unionByName(load(whole=True), allowMissingColumns=True)
+
+    def _text(self, whole: bool) -> DataFrame:
+        reader = self.spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
+        text = F.btrim("value", F.lit(" \t\r\n")).alias("text")
+        where = F.col("_metadata.file_path").alias("file")
+        return reader.text(self.folder, wholetext=whole).select(where, F.col("_metadata.file_size").alias("size"), text)
+
+    def _lines(self) -> DataFrame:
+        return self._text(whole=False).where("text <> ''").withColumn("whole", _whole_json("text"))
+
+    def _documents(self) -> DataFrame:
+        """``file, text`` of the files that are one document."""
+        wanted = self._files.where(F.col("whole") * 2 < F.col("lines")).select("file")
+        small = self._text(whole=True).where(F.col("size") <= self.document_bytes)
+        return small.join(wanted, "file", "left_semi").where(_whole_json("text")).select("file", "text")
+
+    def records(self) -> DataFrame:
+        """One JSON object per row, as text."""
+        lines = self._lines().where("whole").select("file", "text")
+        lines = lines.join(self._documents().select("file"), "file", "left_anti")
+        texts = lines.unionByName(self._documents()).select("text")
+        elements = F.transform(F.try_variant_get(F.try_parse_json("text"), "$", "array<variant>"), lambda v: F.to_json(v))
+        one = F.when(F.col("text").startswith("["), elements).otherwise(F.array("text"))
+        return texts.select(F.explode(one).alias("record"))
+
+    def rows(self, schema: T.StructType | None = None) -> DataFrame:
+        """Records under ``schema``; a field of the wrong type is NULL. Without one, under the columns found in them."""
+        records = self.records()
+        if schema is None:
+            schema = _found_schema(records)
+        fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        parsed = records.select(F.from_json("record", fields, {"columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("r.*")
+        return parsed.where(_readable(schema.names)).select(*schema.names) if schema.names else parsed.drop(CORRUPT)
+
+    def skipped(self) -> DataFrame:
+        """``file, skipped``: lines that gave no record, for each file that has any."""
+        left = self._files.join(self._documents().select("file"), "file", "left_anti")
+        return left.where("lines > whole").select("file", (F.col("lines") - F.col("whole")).alias("skipped"))
+
+
+def _whole_json(text: str) -> Column:
+    """Whether a text is a JSON object or array from its first to its last character."""
+    c = F.col(text)
+    closed = (c.startswith("{") & c.endswith("}")) | (c.startswith("[") & c.endswith("]"))
+    return F.when(closed, F.try_parse_json(text).isNotNull()).otherwise(F.lit(False))
+
+
+def _found_schema(records: DataFrame) -> T.StructType:
+    """The columns of all records. Numbers with a fraction are doubles, columns of mixed kinds text."""
+    found = records.agg(F.schema_of_variant_agg(F.try_parse_json("record"))).first()[0] or "OBJECT<>"
+    ddl = re.sub(r"DECIMAL\(\d+, ?\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    ddl = re.sub(r"\b(VARIANT|VOID)\b", "STRING", ddl)
+    empty = records.sparkSession.sql(f"SELECT CAST(NULL AS {ddl}) AS r")
+    return empty.schema["r"].dataType if ddl.startswith("STRUCT") else T.StructType()
+
+
+def read_mixed_json(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of :class:`MixedJson`."""
+    return MixedJson(spark, folder).rows(schema)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """API payload text to flat raw rows.
 
 Each function takes a frame with one JSON document per row in ``col``; fields the
-document lacks become NULL and are judged by the contract, not here.
+document lacks become NULL and are judged by the contract, not here. A text that is no JSON
+object unfolds to nothing; :func:`broken_documents` gives these texts, for the quarantine.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tickloom import fixed_values as V
 from tickloom import schemas
-from tickloom.functions.columns import SECOND_FORMAT, epoch_text, safe_bigint
+from tickloom.functions.columns import SECOND_FORMAT, epoch_text, json_int
+from tickloom.operators.contracts import ERRORS, RECORD
 from tickloom.sources.lake import DAY_FOLDER, DAY_IN_PATH, read_documents, read_mixed_json
 
 
@@ -22,8 +24,14 @@ def _stamped(df: DataFrame, at: Column | None) -> DataFrame:
     return stamped.withColumn("_fetched_day", F.substring("_fetched", 1, 10))
 
 
+def broken_documents(df: DataFrame, col: str = "payload") -> DataFrame:
+    """Documents that are no JSON object, as ``_record`` (the text) and ``_errors``."""
+    broken = df.where(F.json_object_keys(col).isNull())
+    return broken.select(F.col(col).alias(RECORD), F.array(F.lit("document: not a JSON object")).alias(ERRORS))
+
+
 def flatten_prices(df: DataFrame, col: str = "payload", fetched_at: Column | None = None) -> DataFrame:
-    """{coin: {usd}} to one row per coin, stamped with the fetch time."""
+    """{coin: {usd}} to one row per coin, stamped with the fetch time. The price is text, for the contract to read."""
     entries = F.explode(F.from_json(col, schemas.PRICE_PAYLOAD)).alias("symbol", "quote")
     return (
         _stamped(df, fetched_at)
@@ -43,10 +51,10 @@ def flatten_index(df: DataFrame, col: str = "payload") -> DataFrame:
     The ingestion date is the reading's own UTC date.
     """
     items = df.select(F.inline(F.from_json(col, schemas.INDEX_PAYLOAD)["data"]))
-    parsed = items.select(
-        safe_bigint("value").alias("value"), "value_classification", safe_bigint("timestamp").alias("timestamp")
-    )
-    return parsed.where("value is not null and timestamp is not null").withColumn(
+    parsed = items.select(json_int("value").alias("value"), "value_classification", json_int("timestamp").alias("timestamp"))
+    # Outside years 1..9999 there is no calendar date.
+    dated = F.col("timestamp").between(-62135596800, 253402300799)
+    return parsed.where(F.col("value").isNotNull() & dated).withColumn(
         "ingestion_date", F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd")
     )
 
@@ -87,15 +95,35 @@ def flatten_trending(df: DataFrame, col: str = "payload", fetched_at: Column | N
 
 
 def flatten_trades(df: DataFrame, col: str = "payload") -> DataFrame:
-    """Trade messages {E, s, p} to ticks at second precision (UTC). Works on batch and stream."""
+    """Trade messages {E, s, p} to ticks at second precision (UTC). Works on batch and stream.
+
+    Empty messages are skipped, unreadable ones left to :func:`rejected_trades`.
+    """
     m = df.select(F.from_json(col, schemas.TRADE_MESSAGE).alias("m")).select("m.*")
-    return m.where(F.coalesce(F.col("E").cast("string"), "s", "p").isNotNull()).select(
+    return m.where(_readable_trade()).select(
         F.date_trunc("SECOND", F.timestamp_millis("E")).alias("event_time"),
         F.col("s").alias("symbol"),
         F.col("p").cast("double").alias("price"),
     )
 
 
+def _readable_trade() -> Column:
+    """Time, symbol and price are there, and time and price can be read."""
+    # Outside years 1..9999 there is no time to format.
+    timed = F.col("E").between(-62135596800000, 253402300799999)
+    return F.coalesce(timed & F.col("s").isNotNull() & F.col("p").try_cast("double").isNotNull(), F.lit(False))
+
+
+def rejected_trades(df: DataFrame, col: str = "payload") -> DataFrame:
+    """Messages that are not empty and yet give no tick, as ``_record`` (the text). Works on batch and stream.
+
+    One such message stops neither batch nor stream; a side output keeps them to be counted.
+    """
+    m = df.select(F.col(col).alias(RECORD), F.from_json(col, schemas.TRADE_MESSAGE).alias("m")).select(RECORD, "m.*")
+    empty = F.trim(RECORD).isin("", "{}", "null") | F.col(RECORD).isNull()
+    return m.where(~empty & ~_readable_trade()).select(RECORD)
+
+
 def fallback_posts(spark: SparkSession, at: Column | None = None) -> DataFrame:
     """Two placeholder posts whose ids carry the day."""
     at = F.current_timestamp() if at is None else at

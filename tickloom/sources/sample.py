@@ -19,16 +19,9 @@ NAMES = {"click": "CLK", "view": "VW"}
 MENTIONS = {"ETH": ("eth",), "DOT": ("dot", "polkadot"), "THE": ("the ", "der "), "NONE": ("qqqq", "bitcoin")}
 
 
-_tables: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Its files are listed once per application, not once per use."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _tables:
-        _tables[key] = spark.read.parquet(path)
-    return _tables[key]
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +37,8 @@ def _uneven_day(key: str):
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price rows as the contract lets them through: symbol and time are present."""
-    return events(spark, sf_dir).where("event_type is not null and ts is not null").select(
+    """Price rows as a feed delivers them, NULLs included."""
+    return events(spark, sf_dir).select(
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
         F.date_trunc("HOUR", "ts").alias("timestamp"),
@@ -61,6 +54,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").cast("bigint").alias("score"),
         F.timestamp_add("MINUTE", F.col("turn").cast("int"), day).alias("created_utc"),
         F.concat(F.lit("/c/"), F.col("conv_id").cast("string")).alias("url"),
+        F.to_date(day).alias("dt"),
     )
 
 
@@ -86,6 +80,7 @@ def trending(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("market_cap_rank"),
         (F.col("user_id") % 15).alias("score"),
         F.timestamp_add("DAY", -back, F.col("ts")).alias("timestamp"),
+        F.to_date("ts").alias("dt"),
     )
 
 
@@ -101,7 +96,6 @@ def lake_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(
-        gated=True,
         raw_prices=lambda: prices(spark, sf_dir),
         raw_posts=lambda: posts(spark, sf_dir),
         raw_index=lambda: index(spark, sf_dir),

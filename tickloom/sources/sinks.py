@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.quality import QualityError, counted
-from tickloom.session import path_exists
-from tickloom.sources.lake import read_mixed_json, read_strict_json_lines
+from tickloom.session import beside, delete_path, path_exists, swap
+from tickloom.sources.lake import MixedJson, read_strict_json_lines
 
 
 def save_day(df: DataFrame, root: str, source: str, day: str) -> str:
@@ -33,11 +33,19 @@ def save_days(df: DataFrame, path: str, day: str = "dt") -> None:
 
 
 def publish_parquet(spark: SparkSession, json_path: str, parquet_path: str, schema: T.StructType) -> int:
-    """JSONL to Snappy Parquet; raises on a broken line and when there was nothing to convert."""
+    """JSONL to Snappy Parquet; raises on a broken line and when there was nothing to convert.
+
+    The target is replaced only by a conversion that succeeded.
+    """
     rows, seen = counted(read_strict_json_lines(spark, json_path, schema))
-    rows.write.mode("overwrite").option("compression", "snappy").parquet(parquet_path)
-    if seen.get["rows"] == 0:
-        raise QualityError(f"no records in {json_path}")
+    staged = beside(parquet_path)
+    try:
+        rows.write.option("compression", "snappy").parquet(staged)
+        if seen.get["rows"] == 0:
+            raise QualityError(f"no records in {json_path}")
+        swap(spark, staged, parquet_path)
+    finally:
+        delete_path(spark, staged)
     return seen.get["rows"]
 
 
@@ -61,26 +69,36 @@ def folder_bytes(spark: SparkSession, folder: str, glob: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def compact(
-    spark: SparkSession,
-    folder: str,
-    out: str,
-    schema: T.StructType | None = None,
-    target_bytes: int = 256 << 20,
-    json_to_parquet: float = 0.3,
-) -> int:
+def compact_report(
+    spark: SparkSession, folder: str, out: str, schema: T.StructType | None = None, target_bytes: int = 256 << 20
+) -> dict[str, int]:
     """Many small JSON files to few Snappy Parquet files of about ``target_bytes``.
 
-    The scan already packs small files into splits, so narrowing the number of tasks is
-    enough; no shuffle. Returns the number of rows, 0 when there was nothing to do.
+    The files are parsed by as many tasks as they make splits; how many files the result takes
+    follows from the Parquet bytes that came out. Returns ``rows``, and the ``skipped_lines`` of
+    ``skipped_files`` that hold lines that are no records. With nothing to do nothing is written.
     """
-    size = folder_bytes(spark, folder, "*.json*") if path_exists(spark, folder) else 0
-    if size == 0:
-        return 0
-    n = max(1, ceil(size * json_to_parquet / target_bytes))
-    rows, seen = counted(read_mixed_json(spark, folder, schema).coalesce(n))
-    rows.write.mode("overwrite").option("compression", "snappy").parquet(out)
-    return seen.get["rows"]
+    nothing = {"rows": 0, "skipped_lines": 0, "skipped_files": 0}
+    if not path_exists(spark, folder) or not folder_bytes(spark, folder, "*.json*"):
+        return nothing
+    mixed, parsed, staged = MixedJson(spark, folder), beside(out), beside(out)
+    try:
+        rows, seen = counted(mixed.rows(schema))
+        rows.write.option("compression", "snappy").parquet(parsed)
+        n = max(1, ceil(folder_bytes(spark, parsed, "*.parquet") / target_bytes))
+        again = spark.read.schema(rows.schema).parquet(parsed).repartition(n)
+        again.write.option("compression", "snappy").parquet(staged)
+        swap(spark, staged, out)
+    finally:
+        delete_path(spark, parsed)
+        delete_path(spark, staged)
+    lines, files = mixed.skipped().agg(F.coalesce(F.sum("skipped"), F.lit(0)), F.count(F.lit(1))).first()
+    return {"rows": seen.get["rows"], "skipped_lines": lines, "skipped_files": files}
+
+
+def compact(spark: SparkSession, folder: str, out: str, schema: T.StructType | None = None, target_bytes: int = 256 << 20) -> int:
+    """The same; returns the number of rows alone."""
+    return compact_report(spark, folder, out, schema, target_bytes)["rows"]
 
 
 def compact_all(spark: SparkSession, raw_root: str, out_root: str, schemas: dict[str, T.StructType]) -> dict[str, int]:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.sources import payloads
+
 
 def file_stream(
     spark: SparkSession,
@@ -17,8 +19,10 @@ def file_stream(
 ) -> DataFrame:
     """New files below ``path`` (or matching it) as a stream.
 
-    ``max_files`` bounds one micro-batch; files are then expected in the order of their
-    events, since rows older than the watermark count as late.
+    ``max_files`` bounds one micro-batch, and with it what enters the state before any of it is
+    evicted; set it for long histories. Files are then expected in the order of their events: rows
+    of files that come out of order count as late once the watermark has passed them, and are
+    dropped by the closed ticks and averages. Without it all files present are one batch.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files:
@@ -37,6 +41,19 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     )
 
 
+def append_ticks(
+    messages: DataFrame, col: str, path: str, rejected: str, checkpoint: str, trigger: dict | None = None
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Ticks of a message stream to ``path``, and messages that cannot be read to ``rejected``.
+
+    Two queries over the same source, each with a checkpoint of its own: a bad message stops neither.
+    """
+    return (
+        append_sink(payloads.flatten_trades(messages, col), path, f"{checkpoint}/ticks", trigger),
+        append_sink(payloads.rejected_trades(messages, col), rejected, f"{checkpoint}/rejected", trigger),
+    )
+
+
 def closed_ticks(trades: DataFrame, delay: str = "2 days") -> DataFrame:
     """One tick per (symbol, event time), the highest price winning, once the watermark passed it.
 
