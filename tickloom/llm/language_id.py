@@ -181,13 +181,17 @@ def learn(docs: DataFrame, chars_a_language: int = CHARS_A_LANGUAGE) -> CrossPar
     rows = docs.select(column("doc_id").alias("doc_id"), column("text").alias("text"), column("lang").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     keys = rows.select("lang", F.xxhash64("doc_id").alias("h"), F.length("text").alias("n")).where("n > 0")
-    # Hashes below a threshold per language: those are expected to hold twice the bound, and twenty rows at least.
-    sizes = keys.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
-    share = F.greatest(F.lit(2.0 * chars_a_language) / F.col("total"), F.lit(20.0) / F.col("rows"))
+    # Hashes below a threshold per language: those are expected to hold twice the bound, and twenty rows at
+    # least. Known to the plan as literals, one per language, so other rows are left out before any shuffle.
+    sizes = keys.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("rows")).collect()
+    if not sizes:
+        return CrossParser({})
+    shares = {r["lang"]: max(2.0 * chars_a_language / r["total"], 20.0 / r["rows"]) for r in sizes}
+    limits = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
     position = (F.col("h") / F.lit(2.0**64)) + F.lit(0.5)
     order = Window.partitionBy("lang").orderBy("h")
     taken = (
-        keys.join(sizes, "lang").where(position <= share)
+        keys.where(position <= limits[F.col("lang")])
         .withColumn("before", F.sum("n").over(order) - F.col("n")).where(F.col("before") < chars_a_language)
         .select(F.col("lang").alias("l"), F.col("h").alias("k"))
     )
