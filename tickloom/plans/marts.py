@@ -105,11 +105,6 @@ def dim_coin(stg_prices: DataFrame) -> DataFrame:
     return stg_prices.select("coin_id").distinct()
 
 
-def dim_coin_of_raw(raw_prices: DataFrame) -> DataFrame:
-    """The same for gated raw prices: deduplication keeps a row of every coin, so it can be left out."""
-    return raw_prices.select(F.lower("symbol").alias("coin_id")).distinct()
-
-
 def dim_date(fct_crypto_daily: DataFrame) -> DataFrame:
     return fct_crypto_daily.select(F.col("report_date").alias("date")).distinct().select(
         "date",
