@@ -100,12 +100,16 @@ def common_words(docs: DataFrame) -> dict[bytes, int]:
 
     def run(batches):
         counts: Counter = Counter()
+        total = 0
         for batch in slices(batches):
             for text in bytes_of(batch):
-                counts.update(text.lower().split())
-            if len(counts) > 2_000_000:  # rare words go; the common ones have long been counted
-                counts = Counter({w: c for w, c in counts.items() if c > 1})
-        total = sum(counts.values())
+                words = text.lower().split()
+                counts.update(words)
+                total += len(words)
+            rare = 1
+            while len(counts) > 600_000:  # rare words go; the common ones are seen again and again
+                counts = Counter({w: c for w, c in counts.items() if c > rare})
+                rare *= 2
         own = [(w, c) for w, c in counts.items() if c << COMMON_BITS + 1 > total]
         cols = [pa.array([w for w, _ in own], type=pa.binary()), pa.array([c for _, c in own], type=pa.int64())]
         yield pa.RecordBatch.from_arrays(cols, names=["word", "c"])
