@@ -41,9 +41,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     if all(spark.conf.get(key).lower() == value.lower() for key, value in REQUIRED_CONF.items()):
         return spark
+    return sibling(spark, REQUIRED_CONF)
+
+
+def sibling(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
+    """A session beside the given one, with its settings and then ``conf``. A bare new session would start from defaults."""
     own = spark.newSession()
-    for key, value in REQUIRED_CONF.items():
-        own.conf.set(key, value)
+    for key, value in {**spark.conf.getAll, **conf}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
     return own
 
 
