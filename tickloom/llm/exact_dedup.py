@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import column, documents, scratch, stored
-from tickloom.session import path_exists
+from tickloom.session import path_exists, sibling
 
 ARRIVAL = "doc_id long, digest string, locator string"
 #: Rows of one digest that one task compares.
@@ -66,9 +66,7 @@ def run_stream(spark: SparkSession, arrivals: str, state: str, bytes_a_batch: in
 
     A session of its own carries the state store's settings, so the caller's are left alone.
     """
-    own = spark.newSession()
-    for key, value in STATE_CONF.items():
-        own.conf.set(key, value)
+    own = sibling(spark, STATE_CONF)
     rows = own.readStream.schema(ARRIVAL).option("maxBytesPerTrigger", bytes_a_batch).parquet(f"{arrivals}/*")
     kept = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "locator")).alias("stays"), F.count("*").alias("group_size"))
     query = kept.writeStream.format("noop").outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start()
@@ -77,9 +75,7 @@ def run_stream(spark: SparkSession, arrivals: str, state: str, bytes_a_batch: in
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
     """``digest, keep_id, locator, group_size``: the keyed state after its last batch."""
-    own = spark.newSession()
-    for key, value in STATE_CONF.items():
-        own.conf.set(key, value)
+    own = sibling(spark, STATE_CONF)
     if not path_exists(spark, f"{state}/state/0"):
         return spark.createDataFrame([], "digest string, keep_id long, locator string, group_size long")
     rows = own.read.format("statestore").load(state)
