@@ -36,6 +36,8 @@ PART = 1000
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    # A store is closed when its task ends: a worker holds open only the partitions it is at.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
 
