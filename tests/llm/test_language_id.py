@@ -101,6 +101,35 @@ def test_long_documents_still_teach(frame):
     assert lid.learn(docs, 1000).names == ["en"]
 
 
+def test_a_language_of_one_short_row_takes_nothing_from_the_others(spark, learned):
+    alone, beside = lid.CrossParser(learned), lid.CrossParser({**learned, "a": lid.letters("ok")})
+    r = random.Random(11)
+    texts = [" ".join("".join(r.choice(parts) for _ in range(3)) for _ in range(20)) for parts in (["the", "and", "ing", "er"], ["eau", "ment", "éle", "qui"]) for _ in range(20)]
+    want = ["x"] * 20 + ["y"] * 20
+    assert [n for n, _ in alone.predict(texts)] == want == [n for n, _ in beside.predict(texts)]
+    assert beside.predict(["OK, ok!"])[0][0] == "a" and beside.lengths == [2, 1500, 1500]
+
+
+def test_stray_label_in_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    stray = spark.createDataFrame([(10**9 + 3, "ok", "xx")], docs.schema)
+    parser = lid.learn(docs.unionByName(stray), 3000)
+    assert dict(zip(parser.names, parser.lengths)) == {"de": 3000, "en": 3000, "es": 3000, "fr": 3000, "xx": 3}
+    got = lid.identify(docs, parser).join(docs.select("doc_id", "lang"), "doc_id").where(lid.held_out(F.col("doc_id"))).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got)
+
+
+@pytest.mark.parametrize("short, long", [("the and", "1" * 3_000_000), ("an " + "1" * 300, "an")])
+def test_the_bound_is_filled_with_letters(frame, short, long):
+    """One huge row beside short ones, and rows that hold few letters."""
+    docs = frame(*((i, short, "en") for i in range(4000)), (10**9 + 3, long, "en"))
+    assert lid.learn(docs, 1000).lengths == [1000]
+
+
+def test_rows_without_id_teach(frame):
+    assert lid.learn(frame(*((None, f"the and {'x' * (i % 50 + 1)}", "en") for i in range(400))), 500).lengths == [500]
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     got = lid.op6_language_id(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()

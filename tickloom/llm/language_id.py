@@ -2,17 +2,20 @@
 
 For each language a suffix automaton of labelled text knows every substring of that text. A document
 is parsed from left to right into phrases, each the longest match the automaton still knows; a text
-in the automaton's language falls into few long phrases, any other into many short ones. The
-language that needs the fewest phrases per symbol wins, ties going to the first name.
+in the automaton's language falls into few long phrases, any other into many short ones. A phrase
+costs the log of the length of the text it was found in, since any place there may be meant, so
+languages that learned from little text compare with those that learned from much. A letter that a
+language has not learned costs as much as a phrase of the longest text. The language with the least
+cost wins, ties going to the first name; among equally long texts that is the fewest phrases.
 
 Texts are reduced to lower-case letters with one space between runs of them; letters beyond the
 learned alphabet match nothing. All automata are dense tables of (state, symbol), so a batch of
 documents is parsed at once: whole texts are laid out as rows of ``BLOCK`` symbols, phrases end with
 their row, and one numpy lookup per symbol moves all rows and languages on.
 
-Learning reads at most ``chars_a_language`` characters per language, from rows chosen by a hash, and
-this bound fixes the size of the model whatever the corpus holds. All languages learn from equally
-long text, so their phrase counts compare.
+Learning keeps at most ``chars_a_language`` characters per language, letters and the spaces between
+words, from rows chosen by a hash; this bound fixes the size of the model whatever the corpus holds.
+A language with less labelled text than that learns from all of it.
 
 Null text, or text without a letter, is ``und`` with score 0. Repeated rows each get a row. Without
 a labelled row nothing can be predicted, and every text is ``und``. Only the named columns are read.
@@ -23,10 +26,11 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import column, documents, find_package, per_row, texts_of
+from tickloom.llm.common import column, documents, find_package, per_row, slices, texts_of
 
 BLOCK = 512
 ALPHABET = 62  # symbols of a table's row, with the space and the unknown letter: 64
@@ -107,10 +111,14 @@ class CrossParser:
             counts.update(codes.tolist())
         common = sorted((c for c in counts if c != 32), key=lambda c: (-counts[c], c))[:ALPHABET]
         self.alphabet, self.width = np.array(sorted(common), dtype=np.uint32), ALPHABET + 2
-        length = min((len(x) for x in learned.values()), default=0)
+        self.lengths = [len(learned[name]) for name in self.names]
+        self.costs = np.log(np.array(self.lengths, dtype=np.float64) + 1)
+        self.foreign = np.ones((self.width, len(self.names)), dtype=np.int64)
         tables, self.starts, at = [], [], 0
         for name in self.names:
-            moves = suffix_automaton(self.symbols(learned[name][:length]).tolist(), self.width)
+            own = self.symbols(learned[name])
+            self.foreign[own[own < self.width - 1], len(tables)] = 0
+            moves = suffix_automaton(own.tolist(), self.width)
             first = moves[0]
             begun = np.where(moves > 0, moves, first[None, :])
             new = (moves == 0) | (np.arange(len(moves)) == 0)[:, None]
@@ -154,18 +162,27 @@ class CrossParser:
             np.add.at(total[:, k], owner, count)
         return total
 
+    def cost(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Nats per (text, language): phrases by the length of the language's text, letters it lacks by the greatest such."""
+        lacking = np.zeros((len(texts), len(self.names)), dtype=np.int64)
+        for i, x in enumerate(texts):
+            times = np.bincount(x)
+            seen = np.flatnonzero(times)
+            lacking[i] = times[seen] @ self.foreign[seen]
+        return self.phrases(texts) * self.costs + lacking * (self.costs.max(initial=0) - self.costs)
+
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         codes = [letters(t) for t in texts]
-        counts = self.phrases([self.symbols(c) for c in codes])
+        costs = self.cost([self.symbols(c) for c in codes])
         out = []
-        for c, row in zip(codes, counts):
+        for c, row in zip(codes, costs):
             if not len(c) or not self.names:
                 out.append(("und", 0.0))
             elif len(row) == 1:
                 out.append((self.names[0], 1.0))
             else:
                 best = int(np.argmin(row))
-                second = int(np.partition(row, 1)[1])
+                second = np.partition(row, 1)[1]
                 out.append((self.names[best], float(1 - row[best] / second) if second else 0.0))
         return out
 
@@ -173,40 +190,50 @@ class CrossParser:
 def learn(docs: DataFrame, chars_a_language: int = CHARS_A_LANGUAGE) -> CrossParser:
     """A parser from rows that are not held out and have a language.
 
-    Per language, rows are taken in the order of a hash of their id until their letters fill the
-    bound; a threshold on the hash leaves a few rows per language before these are put in order, so a
-    language with most of the rows is not sorted in one task. At most the bound, and the row that reaches it, come to the driver.
+    Per language, rows are taken in the order of a hash until their letters fill the bound. A threshold
+    on the hash leaves a few rows per language before these are put in order, so a language with most
+    of the rows is not sorted in one task; where these rows do not fill the bound, the threshold is
+    raised until they do or all rows are in. At most the bound, and the row that reaches it, come to the driver.
     """
     find_package(docs.sparkSession)
     rows = docs.select(column("doc_id").alias("doc_id"), column("text").alias("text"), column("lang").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    keys = rows.select("lang", F.xxhash64("doc_id").alias("h"), F.length("text").alias("n")).where("n > 0")
-    # Hashes below a threshold per language: those are expected to hold twice the bound, and twenty rows at
-    # least. Known to the plan as literals, one per language, so other rows are left out before any shuffle.
-    sizes = keys.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("rows")).collect()
-    if not sizes:
-        return CrossParser({})
-    shares = {r["lang"]: max(2.0 * chars_a_language / r["total"], 20.0 / r["rows"]) for r in sizes}
+    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), "text")
+    # Hashes below a threshold per language: those are expected to hold three times the bound, and twenty rows
+    # at least. Known to the plan as literals, one per language, so other rows are left out before any shuffle.
+    usable = F.least(F.length("text"), F.lit(chars_a_language))
+    sizes = rows.where("text <> ''").groupBy("lang").agg(F.sum(usable).alias("total"), F.count("*").alias("rows")).collect()
+    shares = {r["lang"]: max(3.0 * chars_a_language / r["total"], 20.0 / r["rows"]) for r in sizes}
+    joined = {}
+    while shares:
+        got = _letters_below(rows, shares, chars_a_language)
+        joined |= got
+        shares = {x: 8 * s for x, s in shares.items() if s < 1 and len(got.get(x, ())) < chars_a_language}
+    return CrossParser({lang: whole for lang, whole in joined.items() if len(whole)})
+
+
+def _letters_below(rows: DataFrame, shares: dict[str, float], most: int) -> dict[str, np.ndarray]:
+    """Up to ``most`` letters and spaces per language, from the rows whose hash lies in the first share of all hashes."""
     limits = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
     position = (F.col("h") / F.lit(2.0**64)) + F.lit(0.5)
-    order = Window.partitionBy("lang").orderBy("h")
-    taken = (
-        keys.where(position <= limits[F.col("lang")])
-        .withColumn("before", F.sum("n").over(order) - F.col("n")).where(F.col("before") < chars_a_language)
-        .select(F.col("lang").alias("l"), F.col("h").alias("k"))
-    )
-    chosen = rows.join(taken, (F.col("lang") == F.col("l")) & (F.xxhash64("doc_id") == F.col("k")), "left_semi")
-    cut = chosen.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, chars_a_language).alias("text"))
-    learned: dict[str, list[np.ndarray]] = {}
-    for lang, _, text in sorted(tuple(r) for r in cut.collect()):
-        learned.setdefault(lang, []).append(letters(text))
-    joined = {}
-    for lang, parts in learned.items():
-        space = np.array([32], dtype=np.uint32)
-        whole = np.concatenate([x for p in parts if len(p) for x in (p, space)] or [space])[:chars_a_language]
-        if is_letter(whole).any():
-            joined[lang] = whole
-    return CrossParser(joined)
+    below = rows.where(position <= F.try_element_at(limits, F.col("lang")))
+
+    def run(batches):
+        for batch in slices(batches):
+            texts = [letters(x)[:most] for x in texts_of(batch)]
+            plain = pa.array([x.astype("<u4").tobytes().decode("utf-32-le") for x in texts], type=pa.string())
+            sizes = pa.array([len(x) + 1 for x in texts], type=pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), sizes, plain], names=["lang", "h", "n", "plain"])
+
+    # Equal rows teach once, and are combined before the shuffle.
+    reduced = below.mapInArrow(run, "lang string, h long, n long, plain string").where("n > 1")
+    once = reduced.groupBy("lang", "h").agg(F.first("n").alias("n"), F.first("plain").alias("plain"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("h")) - F.col("n")
+    taken = once.withColumn("before", before).where(F.col("before") < most).select("lang", "h", "plain")
+    parts: dict[str, list[str]] = {}
+    for lang, _, plain in sorted(tuple(r) for r in taken.collect()):
+        parts.setdefault(lang, []).append(plain)
+    return {lang: np.frombuffer("".join(p + " " for p in own).encode("utf-32-le"), dtype=np.uint32)[:most] for lang, own in parts.items()}
 
 
 def identify(docs: DataFrame, parser: CrossParser) -> DataFrame:
