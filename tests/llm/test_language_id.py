@@ -130,6 +130,37 @@ def test_rows_without_id_teach(frame):
     assert lid.learn(frame(*((None, f"the and {'x' * (i % 50 + 1)}", "en") for i in range(400))), 500).lengths == [500]
 
 
+def scripts():
+    """Words over Cyrillic, Hangul and Han: 32, 400 and 900 letters."""
+    r = random.Random(7)
+    parts = {"ru": [chr(c) for c in range(0x430, 0x450)], "ko": [chr(c) for c in range(0xAC00, 0xAD90)], "zh": [chr(c) for c in range(0x4E00, 0x5184)]}
+    words = {k: ["".join(r.choice(v) for _ in range(r.randint(1, 4))) for _ in range(800)] for k, v in parts.items()}
+    return {k: lambda n, v=v: " ".join(r.choice(v) for _ in range(n)) for k, v in words.items()}
+
+
+def test_scripts_with_many_letters(learned):
+    make = scripts()
+    learned = {**learned, **{k: lid.letters(f(1500)) for k, f in make.items()}}
+    parser = lid.CrossParser(learned)
+    assert len(parser.alphabet) > 1000
+    tests = [(k, f(n)) for k, f in make.items() for n in (3, 30, 300) for _ in range(10)]
+    for (want, _), (got, score) in zip(tests, parser.predict([t for _, t in tests])):
+        assert got == want and score > 0
+    texts = [t for _, t in tests] + [make["zh"](40) + " the eau " + make["ru"](40), "\u9fa5" + make["zh"](2), make["ko"](1)]
+    counts = parser.phrases([parser.symbols(lid.letters(t)) for t in texts])
+    for t, row in zip(texts, counts):
+        assert row.tolist() == [plain_phrases(parser, n, learned, t) for n in parser.names]
+
+
+def test_one_language_beyond_the_table():
+    """Every letter differs, so moves by all but the most common ones are listed."""
+    learned = {"zh": lid.letters("".join(map(chr, range(0x4E00, 0x4E00 + 500)))), "ja": lid.letters("".join(map(chr, range(0x4E00 + 499, 0x4E00 - 1, -1))))}
+    parser = lid.CrossParser(learned)
+    texts = ["".join(map(chr, range(0x4E00 + 100, 0x4E00 + 180))), "".join(map(chr, range(0x4E00 + 180, 0x4E00 + 100, -1)))]
+    assert parser.phrases([parser.symbols(lid.letters(t)) for t in texts]).tolist() == [[80, 1], [1, 80]]
+    assert [n for n, _ in parser.predict(texts)] == ["zh", "ja"]
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     got = lid.op6_language_id(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()

@@ -8,10 +8,11 @@ languages that learned from little text compare with those that learned from muc
 language has not learned costs as much as a phrase of the longest text. The language with the least
 cost wins, ties going to the first name; among equally long texts that is the fewest phrases.
 
-Texts are reduced to lower-case letters with one space between runs of them; letters beyond the
-learned alphabet match nothing. All automata are dense tables of (state, symbol), so a batch of
-documents is parsed at once: whole texts are laid out as rows of ``BLOCK`` symbols, phrases end with
-their row, and one numpy lookup per symbol moves all rows and languages on.
+Texts are reduced to lower-case letters with one space between runs of them; letters that no language
+has learned match nothing. An automaton is a dense table of (state, symbol) for the ``COMMON`` most
+frequent letters of its language, and a sorted list of moves for all others. A batch of documents
+is parsed at once: whole texts are laid out as rows of ``BLOCK`` symbols, phrases end with their
+row, and one numpy lookup per symbol, with a search for letters beyond the table, moves all rows on.
 
 Learning keeps at most ``chars_a_language`` characters per language, letters and the spaces between
 words, from rows chosen by a hash; this bound fixes the size of the model whatever the corpus holds.
@@ -23,8 +24,6 @@ a labelled row nothing can be predicted, and every text is ``und``. Only the nam
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import column, documents, find_package, per_row, slices, texts_of
 
 BLOCK = 512
-ALPHABET = 62  # symbols of a table's row, with the space and the unknown letter: 64
+COMMON = 62  # letters in a table's row, with the space and the unknown letter: 64; moves by other letters are listed
 CHARS_A_LANGUAGE = 40_000
 
 
@@ -66,10 +65,8 @@ def is_letter(codes: np.ndarray) -> np.ndarray:
     return own
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions (state, symbol) -> state of the suffix automaton of a sequence; 0 (the start) means none."""
-    size = 2 * max(1, len(symbols))
-    moves = np.zeros((size, width), dtype=np.int32)
+def suffix_edges(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions symbol -> state of each state of the suffix automaton of a sequence; 0 is the start."""
     edges: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -95,38 +92,79 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = copy
         last = now
+    return edges
+
+
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+    """The same as a table (state, symbol) -> state; 0 (the start) means none."""
+    return dense(suffix_edges(symbols), width)
+
+
+def dense(edges: list[dict[int, int]], width: int) -> np.ndarray:
+    """The moves by symbols below ``width`` as a table (state, symbol) -> state."""
+    moves = np.zeros((len(edges), width), dtype=np.int32)
     for state, out in enumerate(edges):
         for c, to in out.items():
-            moves[state, c] = to
-    return moves[: len(edges)]
+            if c < width:
+                moves[state, c] = to
+    return moves
+
+
+class Automaton:
+    """One language. ``table[state * width + column]`` is ``2 * width * next + new phrase``; states are kept times the width.
+
+    Columns: 0 the space, then the common letters, ``width - 1`` a letter the language lacks, and from
+    ``width`` on the other letters, whose moves are ``listed`` under ``state * width * letters + column``.
+    """
+
+    def __init__(self, own: np.ndarray, symbols: int):
+        found, times = np.unique(own[own > 0], return_counts=True)
+        found = found[np.lexsort((found, -times))]
+        self.width = min(len(found), COMMON) + 2
+        self.columns = np.full(symbols, self.width - 1, dtype=np.int32)
+        self.columns[0] = 0
+        self.columns[found[:COMMON]] = np.arange(1, self.width - 1)
+        self.columns[found[COMMON:]] = np.arange(self.width, self.width + len(found) - self.width + 2)
+        self.letters = len(found) + 2
+        self.foreign = self.columns == self.width - 1
+        self.foreign[0] = not (own == 0).any()
+        edges = suffix_edges(self.columns[own].tolist())
+        moves = dense(edges, self.width)
+        begun = np.where(moves > 0, moves, moves[0][None, :]).astype(np.int64)
+        new = (moves == 0) | (np.arange(len(moves)) == 0)[:, None]
+        begun[:, self.width - 1] = 0  # an unknown letter is a phrase, and nothing goes on from it
+        state = np.int32 if 2 * self.width * len(moves) < 2**31 else np.int64
+        self.table = (begun * self.width * 2 + new).astype(state).ravel()
+        more = sorted((at * self.width * self.letters + c, 2 * self.width * to + (at == 0)) for at, out in enumerate(edges) for c, to in out.items() if c >= self.width)
+        self.listed = np.array([k for k, _ in more], dtype=np.int64)
+        self.targets = np.array([to for _, to in more], dtype=state)
+
+    def after(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """What the table would hold for letters beyond it; the start has a move for each."""
+        keys = state.astype(np.int64) * self.letters + column
+        place = np.minimum(np.searchsorted(self.listed, keys), len(self.listed) - 1)
+        none = self.listed[place] != keys
+        place[none] = column[none] - self.width  # the start's moves come first, in the order of columns
+        return self.targets[place]
 
 
 class CrossParser:
-    """Automata of all languages in one table. ``table[state * width + symbol]`` is ``2 * next + new phrase``."""
+    """The automata of all languages over all letters they have learned."""
 
     def __init__(self, learned: dict[str, np.ndarray]):
         self.names = sorted(learned)
-        counts = Counter()
-        for codes in learned.values():
-            counts.update(codes.tolist())
-        common = sorted((c for c in counts if c != 32), key=lambda c: (-counts[c], c))[:ALPHABET]
-        self.alphabet, self.width = np.array(sorted(common), dtype=np.uint32), ALPHABET + 2
+        codes = np.unique(np.concatenate([np.zeros(0, dtype=np.uint32), *learned.values()]))
+        self.alphabet = codes[codes != 32].astype(np.uint32)
+        self.width = len(self.alphabet) + 2
         self.lengths = [len(learned[name]) for name in self.names]
         self.costs = np.log(np.array(self.lengths, dtype=np.float64) + 1)
-        self.foreign = np.ones((self.width, len(self.names)), dtype=np.int64)
-        tables, self.starts, at = [], [], 0
-        for name in self.names:
-            own = self.symbols(learned[name])
-            self.foreign[own[own < self.width - 1], len(tables)] = 0
-            moves = suffix_automaton(own.tolist(), self.width)
-            first = moves[0]
-            begun = np.where(moves > 0, moves, first[None, :])
-            new = (moves == 0) | (np.arange(len(moves)) == 0)[:, None]
-            begun[:, self.width - 1] = 0  # an unknown letter is a phrase, and nothing goes on from it
-            tables.append(((begun.astype(np.int64) + at) * self.width * 2 + new).astype(np.int32))
-            self.starts.append(at * self.width)
-            at += len(moves)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, dtype=np.int32)
+        self.automata = [Automaton(self.symbols(learned[name]), self.width) for name in self.names]
+        self.foreign = np.stack([a.foreign for a in self.automata], axis=1).astype(np.int64) if self.names else np.zeros((self.width, 0), dtype=np.int64)
+
+    @property
+    def table(self) -> np.ndarray:
+        """The tables of all languages, one behind the other."""
+        return np.concatenate([np.zeros(0, dtype=np.int32), *(a.table for a in self.automata)])
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         """0 the space, 1.. the alphabet, the last the unknown letter."""
@@ -149,14 +187,20 @@ class CrossParser:
             laid[:n, k] = texts[i][at : at + n]
         active = np.searchsorted(-lengths, -np.arange(BLOCK), side="left")  # rows longer than the step
         owner = np.array([i for i, _, _ in blocks])
-        for k, start in enumerate(self.starts):
-            state = np.full(len(blocks), start, dtype=np.int32)
+        for k, own in enumerate(self.automata):
+            columns = own.columns[laid]
+            beyond = len(own.listed) and columns >= own.width
+            within = np.where(beyond, own.width - 1, columns) if np.any(beyond) else columns
+            state = np.zeros(len(blocks), dtype=own.table.dtype)
             count = np.zeros(len(blocks), dtype=np.int32)
             for step in range(BLOCK):
                 n = active[step]
                 if not n:
                     break
-                found = self.table[state[:n] + laid[step, :n]]
+                found = own.table[state[:n] + within[step, :n]]
+                if within is not columns:
+                    at = np.flatnonzero(beyond[step, :n])
+                    found[at] = own.after(state[at], columns[step, at])
                 count[:n] += found & 1
                 state[:n] = found >> 1
             np.add.at(total[:, k], owner, count)
