@@ -71,6 +71,27 @@ def test_mixed_json_goes_by_content(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 9
 
 
+def test_mixed_json_reads_large_documents(spark, tmp_path):
+    """Above 64 MB, and above a limit that only holds for single records."""
+    records = [{**json.loads(line(f"s{i}", float(i))), "note": 'a "quoted, [{text}]" \\ ' + "x" * 1_000_000} for i in range(70)]
+    write(tmp_path / "a/large.json", json.dumps(records, indent=2))
+    write(tmp_path / "b/many.json", json.dumps([json.loads(line(f"s{i}", float(i))) for i in range(30_000)], indent=2))
+    write(tmp_path / "b/cut.json", json.dumps([json.loads(line(f"s{i}", float(i))) for i in range(30_000)], indent=2)[:-1])
+    write(tmp_path / "b/comma.json", json.dumps([1, 2], indent=2)[:-2] + ",\n]")
+    mixed = lake.MixedJson(spark, str(tmp_path / "a"))
+    assert rows(mixed.rows(PRICES).select("symbol", "price")) == sorted((f"s{i}", float(i)) for i in range(70))
+    assert mixed.skipped().isEmpty()
+    mixed = lake.MixedJson(spark, str(tmp_path / "b"), document_bytes=1000)
+    assert mixed.rows(PRICES).select("symbol").distinct().count() == mixed.rows(PRICES).count() == 30_000
+    assert sorted(f.rsplit("/", 1)[1] for f, _ in rows(mixed.skipped())) == ["comma.json", "cut.json"]
+
+
+def test_mixed_json_names_the_file_of_a_record_beyond_the_limit(spark, tmp_path):
+    write(tmp_path / "a/huge.json", json.dumps([{"symbol": "a"}, {"symbol": "b", "note": ["x" * 100] * 20}], indent=2))
+    with pytest.raises(Exception, match="huge.json holds a JSON record"):
+        lake.MixedJson(spark, str(tmp_path / "a"), document_bytes=1000).rows(PRICES).collect()
+
+
 def test_mixed_json_without_schema_keeps_drifting_columns(spark, tmp_path):
     write(tmp_path / "a/one.jsonl", '{"symbol": "a", "price": 1.5}\n{"symbol": "b", "venue": "x"}\n')
     write(tmp_path / "a/two.json", '[{"symbol": "c", "rank": 3}]')

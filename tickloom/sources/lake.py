@@ -6,8 +6,10 @@ import datetime as dt
 import re
 from collections.abc import Callable
 from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,30 +56,36 @@ class MixedJson:
 
     A line that is a whole JSON object is a record; one that is a whole array holds one per element.
     A file of which less than half the lines are whole may be a document over many lines: if its
-    text, of at most ``document_bytes``, is one JSON object or array, it is read as such. All other
-    lines are skipped, and counted by :meth:`skipped`.
+    text is one JSON object or array, it is read as such, an array of any size in parts. A single record
+    of more than ``document_bytes`` characters in one raises an error. All other lines are skipped, and
+    counted by :meth:`skipped`.
     """
 
     def __init__(self, spark: SparkSession, folder: str, document_bytes: int = 64 << 20):
         self.spark, self.folder, self.document_bytes = spark, folder, document_bytes
         self._files = self._lines().groupBy("file").agg(
-            F.count(F.lit(1)).alias("lines"), F.count_if("whole").alias("whole"), F.max("size").alias("size")
+            F.count(F.lit(1)).alias("lines"), F.count_if("whole").alias("whole")
         )
 
-    def _text(self, whole: bool) -> DataFrame:
+    def _text(self) -> DataFrame:
+        """``file, block, at, text`` of lines that are not blank; block and at give their order in the file."""
         reader = self.spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
         text = F.btrim("value", F.lit(" \t\r\n")).alias("text")
-        where = F.col("_metadata.file_path").alias("file")
-        return reader.text(self.folder, wholetext=whole).select(where, F.col("_metadata.file_size").alias("size"), text)
+        where, block = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+        return reader.text(self.folder).select(where, block, F.monotonically_increasing_id().alias("at"), text).where("text <> ''")
 
     def _lines(self) -> DataFrame:
-        return self._text(whole=False).where("text <> ''").withColumn("whole", _whole_json("text"))
+        return self._text().withColumn("whole", _whole_json("text"))
 
     def _documents(self) -> DataFrame:
-        """``file, text`` of the files that are one document."""
+        """``file, text`` of the files that are one document: the object, or the array in parts."""
         wanted = self._files.where(F.col("whole") * 2 < F.col("lines")).select("file")
-        small = self._text(whole=True).where(F.col("size") <= self.document_bytes)
-        return small.join(wanted, "file", "left_semi").where(_whole_json("text")).select("file", "text")
+        # The window keeps the lines of a file together and in order, whatever adaptive execution does to the join.
+        number = F.row_number().over(Window.partitionBy("file").orderBy("block", "at")).alias("line")
+        ordered = self._text().join(wanted, "file", "left_semi").select("file", number, "text")
+        parts = ordered.mapInArrow(_document_parts(self.document_bytes), "file string, text string")
+        broken = parts.where(~_whole_json("text")).select("file").distinct()
+        return parts.join(broken, "file", "left_anti")
 
     def records(self) -> DataFrame:
         """One JSON object per row, as text."""
@@ -103,6 +111,66 @@ class MixedJson:
         return left.where("lines > whole").select("file", (F.col("lines") - F.col("whole")).alias("skipped"))
 
 
+def _document_parts(most: int, part: int = 1 << 20) -> Callable:
+    """From the ordered lines of files to ``file, text``: an object as it is, an array as arrays of about ``part`` characters.
+
+    Only the outline is followed; whether a text is JSON is for the caller to see. A file that is no
+    single object or array has a row with a NULL text. Strings never span lines in JSON.
+    """
+    token = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|[\[\]{},]')
+
+    def pieces(file, lines):
+        kind, depth, held, size, item, cut, closed, long = "", 0, [], 0, 0, False, False, False
+        for text in lines:
+            if closed or (not kind and text[0] not in "[{"):
+                yield None
+                return
+            begin = 0
+            if not kind:
+                kind = text[0]
+                begin = int(kind == "[")
+                depth = begin
+            for found in token.finditer(text, begin):
+                c = text[found.start()]
+                if c in "[{":
+                    depth += 1
+                elif c in "]}":
+                    depth -= 1
+                    if not depth:
+                        closed = True
+                        if text[found.end() :].strip():
+                            yield None
+                            return
+                        text = text[: found.start()] if kind == "[" else text
+                        break
+                elif c == "," and depth == 1 and kind == "[":
+                    here = size + found.start() - begin
+                    long, item = long or here - item > most, here + 1
+                    if here >= part:
+                        own = "\n".join([*held, text[begin : found.start()]])
+                        yield f"[{own}]" if own.strip() else None
+                        held, size, item, begin, cut = [], 0, 0, found.end(), True
+            held.append(text[begin:])
+            size += len(text) - begin + 1
+            if size - 1 - item > most:
+                held, long = [], True
+        if not closed:
+            yield None
+        elif long:
+            raise ValueError(f"{file} holds a JSON record of more than {most} characters")
+        else:
+            own = "\n".join(held)
+            yield own if kind == "{" else f"[{own}]" if own.strip() or not cut else None
+
+    def run(batches):
+        rows = (r for b in batches for r in zip(b.column("file").to_pylist(), b.column("text").to_pylist()))
+        for file, lines in groupby(rows, key=lambda r: r[0]):
+            for text in pieces(file, (t for _, t in lines)):
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([text], type=pa.string())], names=["file", "text"])
+
+    return run
+
+
 def _whole_json(text: str) -> Column:
     """Whether a text is a JSON object or array from its first to its last character."""
     c = F.col(text)
