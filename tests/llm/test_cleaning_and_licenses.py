@@ -71,6 +71,12 @@ def test_plain_lines_stay(line):
     assert text.decode() == f"{PROSE}\n\n{line}" and figures["n_removed_lines"] == 0
 
 
+@pytest.mark.parametrize("odd", ["|", "_", "=", "a$b", "x^2"])
+def test_one_symbol_does_not_excuse_missing_sentence_marks(odd):
+    line = f"home news sport weather culture travel science money {odd} jobs cars maps shop"
+    assert lc.line_fails(line.encode(), line.encode().split(), set())
+
+
 def test_documents_that_lose_too_much_go():
     junk = "\n".join(f"Home{i} | About{i} | Contact{i} | News{i}" for i in range(60))
     text, figures = lc.clean_text(f"{PROSE}\n{junk}".encode())

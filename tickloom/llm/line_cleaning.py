@@ -68,12 +68,11 @@ def line_fails(line: bytes, words: list[bytes], seen: set[bytes]) -> bool:
     n = len(words)
     if line in seen:
         return True
-    if ODD_WORD.search(line):
-        if 3 * sum(1 for w in words if ODD_WORD.search(w)) > n or 4 * sum(1 for w in words if w in SEPARATORS) >= n:
-            return True
-    elif n >= LONG_LINE and not SENTENCE_MARKS.search(line):
+    if n >= LONG_LINE and not SENTENCE_MARKS.search(line):
         return True
-    elif 4 * sum(1 for w in words if w in SEPARATORS) >= n:
+    if ODD_WORD.search(line) and 3 * sum(1 for w in words if ODD_WORD.search(w)) > n:
+        return True
+    if 4 * sum(1 for w in words if w in SEPARATORS) >= n:
         return True
     return n <= MOST_BOILERPLATE_WORDS and SOME_BOILERPLATE.search(line.lower()) is not None
 
