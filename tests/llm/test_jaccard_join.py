@@ -100,6 +100,15 @@ def test_keep_first(frame, edge):
     assert {r.doc_id for r in jj.keep_first(frame(*docs)).collect()} == {c for _, c in want.values()}
 
 
+def test_keep_first_goes_by_row(frame):
+    """One of each group stays: with an id of two texts, with a null id beside a clean one, with null ids alone."""
+    one, two, near = "a b c d e f", "u v w x y z", "A  b c d E f"
+    kept = lambda *docs: sorted(((r.doc_id, r.text) for r in jj.keep_first(frame(*docs), 3, 90).collect()), key=repr)
+    assert kept((1, one), (1, two), (2, one), (0, two)) == [(0, two), (1, one)]
+    assert kept((None, one), (None, two), (5, near)) == [(5, near), (None, two)]
+    assert len(kept((None, one), (None, near), (None, two))) == 2
+
+
 def test_prefixes_of_similar_sets_meet_under_every_order():
     r = np.random.default_rng(2)
     for _ in range(300):

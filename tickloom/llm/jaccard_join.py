@@ -384,6 +384,11 @@ def block_links(lists: DataFrame, texts: Texts, size: int, percent: int, words,
 
 def groups(docs: DataFrame, size: int = 5, percent: int = 80, long_list: int = LONG_LIST, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``; the id is the smallest of the row's group."""
+    return _grouped(docs, size, percent, long_list, block_tokens).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, long_list: int = LONG_LIST, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """The same with the ``hash`` of the text and the ``root`` of the group, which tells groups that share an id apart; NULL without shingles."""
     spark = docs.sparkSession
     find_package(spark)
     words = spark.sparkContext.broadcast(common_words(docs))
@@ -408,19 +413,23 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, long_list: int = L
     own = classes.select("cid", "class").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     placed = own.select("class", F.coalesce("root", "cid").alias("root")).join(least, "class")
     first = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = placed.select("class", "root").join(first, "root").select("class", "component_id")
-    out = rows.select("doc_id", "n", "class").join(of_class, "class", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    of_class = placed.select("class", "root").join(first, "root").select("class", "root", "component_id")
+    out = rows.select("doc_id", "hash", "n", "class").join(of_class, "class", "left")
+    return out.select("doc_id", "hash", "root", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their group, with all their columns.
+    """One text of each group, that of the smallest id (any id before null), with all columns.
 
-    Rows go by their id: those that repeat the id that stays all stay.
+    Rows go by id and text: those that repeat both, of the row that stays, all stay.
     """
-    out = groups(docs, size, percent)
-    dropped = out.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, column("doc_id").eqNullSafe(F.col("__dropped")), "left_anti")
+    out = stored(_grouped(docs, size, percent).where("root IS NOT NULL").select("doc_id", "hash", "root"), "grouped")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    stays = out.groupBy("root").agg(F.min(order).alias("stays"))
+    gone = out.join(stays, "root").where(~(F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("hash") == F.col("stays.hash"))))
+    gone = gone.select(F.col("doc_id").alias("__dropped"), F.col("hash").alias("__hash")).distinct()
+    same = column("doc_id").eqNullSafe(F.col("__dropped")) & (F.xxhash64(column("text")) == F.col("__hash"))
+    return docs.join(gone, same, "left_anti")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
