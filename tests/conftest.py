@@ -31,9 +31,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def rows(df, *order):
-    """Collected rows as tuples, sorted by the given columns or by text."""
-    got = [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
-    return got if order else sorted(got, key=repr)

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from pyspark.sql import types as T
 
 from tickloom import schemas

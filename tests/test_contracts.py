@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tickloom.operators import contracts as K
 

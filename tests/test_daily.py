@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tickloom.operators import merge as M
 from tickloom.operators import quality as Q

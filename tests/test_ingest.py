@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tickloom.operators import contracts as K

@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tickloom import schemas
 from tickloom.operators import merge as M

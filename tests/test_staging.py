@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from conftest import rows
+from helpers import rows
 
 from tickloom.operators.dedup import latest_per_key
 from tickloom.plans import staging

@@ -1,7 +1,7 @@
 import json
 import os
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import types as T
 
 from tickloom.operators import quality as Q
