@@ -1,0 +1,115 @@
+"""Runs against a plain scan over all periods."""
+
+import random
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tickloom.llm import periodic_runs as p
+from tickloom.llm.common import documents
+
+
+def brute(words, least=24, times=3):
+    """All runs by comparing every word with the one q before it, smallest periods first."""
+    found, n = {}, len(words)
+    for q in range(1, n // times + 1):
+        start = 0
+        for i in range(q, n + 1):
+            if i == n or words[i] != words[i - q]:
+                if i - start >= max(least, times * q):
+                    found.setdefault((start, i), q)
+                start = i - q + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def digests(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    return sha256(lines.encode()).hexdigest(), sha256(kept.encode()).hexdigest()
+
+
+def plainly(doc_id, text):
+    words = [w.decode() for w in p.repeated_tail(doc_id, (text or "").encode().split())]
+    runs = brute(words)
+    best = None
+    for r in runs:
+        if best is None or r[1] * best[2] > best[1] * r[2]:
+            best = r
+    start, length, period = best or (None, None, None)
+    return (doc_id, len(runs), start, length, period, 1000 * length // period if best else None, *digests(words, runs))
+
+
+def got_of(words):
+    return [tuple(map(int, r)) for r in p.runs_of(np.array(words, dtype=np.int64))]
+
+
+def woven(rng):
+    """Runs within runs: blocks of few letters repeated, cut and repeated again."""
+    out = []
+    for _ in range(rng.randint(1, 6)):
+        unit = [rng.randint(0, rng.choice([1, 2, 5])) for _ in range(rng.randint(1, 12))]
+        unit = unit * rng.randint(1, 9)
+        if rng.random() < 0.6:
+            unit = unit[: rng.randint(1, len(unit))] + [rng.randint(0, 6)]
+        unit = unit * rng.randint(1, 5)
+        out += unit[rng.randint(0, len(unit) - 1) :]
+    return out
+
+
+def test_runs_within_runs():
+    rng = random.Random(7)
+    for _ in range(1500):
+        words = woven(rng)
+        assert got_of(words) == brute(words), words
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 1), max_size=200))
+def test_two_words(words):
+    assert got_of(words) == brute(words)
+
+
+def test_progression_of_a_periodic_block():
+    # Period 100 made of one word and one mark: all blocks of up to 64 are periodic themselves.
+    words = ([0] * 99 + [1]) * 4 + [2] + [0] * 50
+    assert got_of(words) == brute(words)
+    words = [0] * 70 + ([0] * 40 + [1] * 60) * 5 + [1] * 30
+    assert got_of(words) == brute(words)
+
+
+def test_texts_are_kept_apart():
+    texts = [[], [b"a"] * 30, [b"a"] * 30, [b"b", b"c"] * 20, [], [b"c", b"b"] * 20]
+    got = [[tuple(map(int, r)) for r in runs] for runs in p.runs_of_texts(texts)]
+    assert got == [brute(words) for words in texts]
+
+
+def test_query(spark, sf_dir):
+    rows = [tuple(r) for r in p.op12_periodic_runs(spark, sf_dir).collect()]
+    docs = [(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()]
+    short = [(d, t) for d, t in docs if len((t or "").split()) < 1500]
+    want = {d: plainly(d, t) for d, t in short}
+    assert sorted(d for d, *_ in rows) == sorted(d for d, _ in docs)
+    assert len(want) > 150 and sum(w[1] for w in want.values()) > 10
+    assert all(r == want[r[0]] for r in rows if r[0] in want)
+
+
+def test_edges(edge, nothing):
+    rows = {(r.doc_id, r.n_words): r for r in p.find_runs(edge).collect()}
+    assert p.find_runs(edge).count() == edge.count() and p.find_runs(nothing).count() == 0
+    assert [rows[k].collapsed for k in ((2, 0), (3, 0), (4, 0))] == ["", "", ""]
+    assert rows[6, 60_000].starts == []
+    assert next(r for (d, _), r in rows.items() if d is None).n_words == 9
+
+
+@pytest.mark.parametrize("unit", [["a"], ["a", "b", "c"], ["w"] * 999 + ["x"]])
+def test_long_text_of_one_run(frame, unit):
+    words = unit * (300_000 // len(unit))
+    [row] = p.find_runs(frame((1, " ".join(words)))).collect()
+    runs = list(zip(row.starts, row.lengths, row.periods))
+    assert (0, len(words), len(unit)) in runs
+    inner = 0 if len(unit) < 1000 else len(words) // 1000
+    assert len(runs) == 1 + inner and row.collapsed == " ".join(dict.fromkeys(unit))

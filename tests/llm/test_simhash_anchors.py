@@ -1,0 +1,145 @@
+"""Fingerprints, codes and groups against plain loops."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from tickloom.llm import simhash_anchors as s
+from tickloom.llm.common import documents, stored
+
+
+def plain_print(text, size=4):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\n", " ")
+    words = [w for w in words.translate({i: " " for i in range(9, 14)}).split(" ") if w]
+    shingles = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def brute(docs, size=4, distance=4):
+    """(doc_id, print) of every row to its group's smallest id."""
+    prints = {(d, t): plain_print(t, size) for d, t in docs}
+    distinct = np.array(sorted(set(prints.values())), dtype=np.uint64)
+    group = list(range(len(distinct)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(distinct)):
+        for j in np.flatnonzero(np.bitwise_count(distinct ^ distinct[i]) <= distance):
+            group[max(top(i), top(j))] = min(top(i), top(j))
+    place = {int(p): top(i) for i, p in enumerate(distinct)}
+    least = {}
+    for (d, _), p in prints.items():
+        if d is not None:
+            least[place[p]] = min(d, least.get(place[p], d))
+    return Counter((d, prints[d, t], least.get(place[prints[d, t]])) for d, t in docs)
+
+
+def got(out):
+    return Counter((r.doc_id, r.print % (1 << 64), r.component_id) for r in out.collect())
+
+
+@pytest.mark.parametrize("code", s.CODES)
+def test_codes_cover(code):
+    """Every string is within the radius of an anchor, and all anchors within radius + threshold are found."""
+    rng = np.random.default_rng(3)
+    for segment in s.Covering.of(code, 4).segments:
+        prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 300, dtype=np.uint64)
+        row, anchor, home = segment.visits(prints)
+        words = (prints >> np.uint64(segment.shift)) & np.uint64((1 << segment.width) - 1)
+        words, anchor = words.astype(np.int64), anchor >> 2
+        far = np.bitwise_count(words[row] ^ anchor)
+        assert (segment.syndrome(anchor) == 0).all() and far.max() <= segment.radius + segment.threshold
+        assert home.sum() == 300 and far[home].max(initial=0) <= segment.radius
+        if segment.anchors < 1 << 18:
+            every = np.flatnonzero(segment.syndrome(np.arange(1 << segment.width)) == 0)
+            for i in range(5):
+                near = every[np.bitwise_count(every ^ words[i]) <= segment.radius + segment.threshold]
+                assert sorted(anchor[row == i]) == sorted(near)
+
+
+def flipped(rng, value, bits):
+    for b in rng.sample(range(64), bits):
+        value ^= 1 << b
+    return value
+
+
+def chains(rng, many=40):
+    """Chains of prints 0 to 6 bits apart, and lone ones."""
+    out = []
+    for _ in range(many):
+        at = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 12)):
+            out.append(at)
+            at = flipped(rng, at, rng.randint(0, 6))
+    return out
+
+
+@pytest.mark.parametrize("code", s.CODES)
+@pytest.mark.parametrize("block", [1, 3, 1 << 13])
+def test_links_of_every_code(spark, code, block):
+    rng = random.Random(block)
+    prints = sorted({np.uint64(p).astype(np.int64).item() for p in chains(rng)})
+    df = stored(spark.createDataFrame([(p,) for p in prints], "print long"), "prints")
+    roots = {r.node: r.root for r in s.components(stored(s.links(df, 4, s.Covering.of(code, 4), block), "links")).collect()}
+    bits = np.array(prints, dtype=np.int64).view(np.uint64)
+    group = list(range(len(prints)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(bits ^ bits[i]) <= 4):
+            group[max(top(i), top(int(j)))] = min(top(i), top(int(j)))
+    assert {p: roots.get(p, p) for p in prints} == {p: prints[top(i)] for i, p in enumerate(prints)}
+
+
+def test_finer_codes_for_more_fingerprints():
+    sizes = [s.covering(n, 4).segments[0].reached for n in (10, 10**6, 10**9, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] < sizes[-1]
+
+
+def test_query(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()]
+    want = brute(docs)
+    rows = s.op11_simhash_anchors(spark, sf_dir).collect()
+    assert Counter((r.doc_id, int(r.fingerprint, 16), r.component_id) for r in rows) == want
+    assert all(len(r.fingerprint) == 16 and r.fingerprint == r.fingerprint.lower() for r in rows)
+    assert any(d != c for d, _, c in want)
+
+
+def test_edges(edge, nothing, frame):
+    docs = [(r.doc_id, r.text) for r in edge.collect()]
+    assert got(s.groups(edge, size=4)) == brute(docs)
+    assert s.groups(nothing).count() == 0
+    alone = frame((None, "a b c d e f"), (None, "a b c d e f"), (None, "something else entirely in here"))
+    assert {r.component_id for r in s.groups(alone).collect()} == {None} and s.groups(alone).count() == 3
+    mixed = frame((None, "a b c d e f"), (7, "A  b c\td e f"), (9, None), (8, " "), (3, "ünï côdé"))
+    assert got(s.groups(mixed, size=4)) == brute([(r.doc_id, r.text) for r in mixed.collect()])
+
+
+def test_long_texts():
+    rng = random.Random(1)
+    text = " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(40_000))
+    assert s.fingerprint(text.encode(), 4) == plain_print(text)
+    assert s.fingerprint(b"x" * 5_000_000, 4) == plain_print("x" * 5_000_000)
+
+
+def test_large_group_of_near_copies(spark):
+    """Thousands of fingerprints around one: a place returns a link a fingerprint, not all pairs."""
+    rng = random.Random(5)
+    at = rng.getrandbits(64)
+    prints = sorted({np.uint64(flipped(rng, at, rng.randint(0, 2))).astype(np.int64).item() for _ in range(3000)})
+    df = stored(spark.createDataFrame([(p,) for p in prints], "print long"), "prints")
+    found = stored(s.links(df, 4, s.covering(len(prints), 4), 256), "links")
+    roots = s.components(found)
+    assert roots.select("root").distinct().count() == 1 and roots.count() == len(prints)
+    assert found.count() < 300 * len(prints)

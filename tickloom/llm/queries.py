@@ -7,7 +7,10 @@ from tickloom.llm.language_id import op6_language_id
 from tickloom.llm.license_scan import op3_license_scan
 from tickloom.llm.line_cleaning import op2_line_cleaning
 from tickloom.llm.mixing import OP4_SQL, op4_mixing
+from tickloom.llm.periodic_runs import op12_periodic_runs
+from tickloom.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from tickloom.llm.quality_rules import op8_quality_rules
+from tickloom.llm.simhash_anchors import op11_simhash_anchors
 from tickloom.llm.token_counts import op5_token_counts
 from tickloom.llm.token_shards import op1_token_shards
 
@@ -24,6 +27,9 @@ LLM_QUERIES = {
         op8_quality_rules,
         op9_jaccard_join,
         op10_exact_dedup,
+        op11_simhash_anchors,
+        op12_periodic_runs,
+        op13_prefix_trie,
     )
 }
-LLM_ORACLES = {"op4_mixing": OP4_SQL, "op10_exact_dedup": OP10_SQL}
+LLM_ORACLES = {"op4_mixing": OP4_SQL, "op10_exact_dedup": OP10_SQL, "op13_prefix_trie": OP13_SQL}
