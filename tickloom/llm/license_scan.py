@@ -2,8 +2,8 @@
 
 Phrases are found on words: letters A to Z in lower case, words of letters, digits and any
 character beyond ASCII, all else apart. Identifier tags (``SPDX-License-Identifier:``) are found in
-the text itself; the licence expression behind a tag is read to the end of its line by a
-shunting-yard parser (WITH before AND before OR, parentheses) and evaluated: its licences become
+the text itself; the licence expression behind a tag is read to the end of its line, of the comment
+or to the next tag by a shunting-yard parser (WITH before AND before OR, parentheses) and evaluated: its licences become
 labels, and an expression is permissive if OR has a permissive side, AND only permissive ones.
 
 Null text has no words. Broken expressions give the labels of the identifiers they name and no
@@ -39,6 +39,8 @@ FAMILIES = (
 PERMISSIVE = frozenset({"apache", "mit", "bsd", "isc", "cc0", "cc-by", "public-domain", "bsl"})
 PRIORITY = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
+#: What ends a comment, and an expression within it.
+_CLOSED = re.compile(r"\*/|-->|#\}")
 _APART = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 FIELDS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, permissive boolean, n_tags long"
 
@@ -86,17 +88,27 @@ def evaluate(text: str) -> tuple[set[str], bool | None]:
     postfix = to_postfix(text)
     if postfix is None:
         return {family(t) for t in _TOKEN.findall(text) if t not in PRIORITY and t not in "()"} & {n for _, n in FAMILIES}, None
-    stack: list[tuple[set[str], bool]] = []
+    # Labels stay apart until the end, a pair for each operator: a long expression is walked once.
+    stack: list[tuple[object, bool]] = []
     for token in postfix:
         if token in PRIORITY:
-            right, left = stack.pop(), stack.pop()
+            (right, free), (left, also_free) = stack.pop(), stack.pop()
             if token == "with":  # an exception only adds permissions
-                stack.append(left)
+                stack.append((left, also_free))
             else:
-                stack.append((left[0] | right[0], left[1] or right[1] if token == "or" else left[1] and right[1]))
+                stack.append(((left, right), also_free or free if token == "or" else also_free and free))
         else:
-            stack.append(({family(token)}, family(token) in PERMISSIVE))
-    return stack.pop()
+            name = family(token)
+            stack.append((name, name in PERMISSIVE))
+    tree, permissive = stack.pop()
+    labels, waiting = set(), [tree]
+    while waiting:
+        part = waiting.pop()
+        if isinstance(part, str):
+            labels.add(part)
+        else:
+            waiting += part
+    return labels, permissive
 
 
 @lru_cache(maxsize=1)
@@ -116,31 +128,30 @@ def scan_text(data: bytes) -> tuple:
     words = data.translate(_APART).split()
     joined = f" {b' '.join(words).decode()} "
     labels, base, first, last, places = set(), set(), None, None, 0
-    word, counted, hits = 0, 0, 0
+    word, counted = 0, 0
     found = [(end - length + 1, label, own) for end, (length, label, own) in phrases.iter(joined)]
     for at, label, own in sorted(found):
         word, counted = word + joined.count(" ", counted, at), at
         labels.add(label)
-        hits += label != "notice"
         if own:
             base.add(label)
             places += 1
             first, last = word if first is None else first, word
-    verdicts, n_tags = [], 0
+    verdicts, ends = [], []
     lower = data.lower()
-    if TAG.encode() in lower:
+    if TAG.encode() in lower:  # most texts have no tag, and are not decoded for them
         text = lower.decode()
-        for end, _ in tags.iter(text):
-            n_tags += 1
-            line = text[end + 1 :].split("\n", 1)[0] if text.find("\n", end) < 0 else text[end + 1 : text.find("\n", end)]
-            own_labels, verdict = evaluate(re.split(r"\*/|-->|#\}", line)[0])
+        ends = [end + 1 for end, _ in tags.iter(text)]
+        for at, upto in zip(ends, [e - len(TAG) for e in ends[1:]] + [len(text)]):
+            line = text.find("\n", at, upto)
+            own_labels, verdict = evaluate(_CLOSED.split(text[at : line if line >= 0 else upto], maxsplit=1)[0])
             labels |= own_labels
             verdicts.append(verdict)
     known = [v for v in verdicts if v is not None]
     score = 1.0 if known else 0.9 if base else 0.7 if labels - {"notice", "all-rights-reserved"} else 0.3 if labels else 0.0
     return (
         len(words), places, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score,
-        all(known) if known else None, n_tags,
+        all(known) if known else None, len(ends),
     )
 
 
