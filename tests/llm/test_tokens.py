@@ -31,7 +31,8 @@ def odd_texts():
     r = random.Random(7)
     parts = ["a", "ab", "ha", "  ", " ", "\n", "\n\n", "\t", "é", "中文", "ا", "\U0001f600", "12", "--", "==", "'s", "'", "<|endoftext|>"]
     parts += [".", ",", "word.", "\nNext", "a.\n", "9,", "é.", "<|ENDOFTEXT|>", "<|startoftext|>", "\x1c", "\x85", "\xa0", " ", "The", " the", "aba", "é", "́", "ΑΣ", "İ"]
-    mixed = ["".join(r.choice(parts) for _ in range(r.randint(0, 50))) for _ in range(3000)]
+    parts += ["$$$", "&&", "!?", ":)", '"', "(", ")", "*", "_", "-", "[", "]", "@", "#", "%", "~", "è", "ÿ", "ß", "è.", "ouch!", "œ", "łó", "n't", "x's", "<", ">", "|", "÷", "ª", "º"]
+    mixed = ["".join(r.choice(parts) for _ in range(r.randint(0, 50))) for _ in range(6000)]
     runs = [x * k for x in ("a", "ab", "aba", "-", " ", "\n", "0", "é") for k in (1, 2, 3, 7, 20, 65)]
     return mixed + runs
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 from array import array
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import public_tokenizers
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from tickloom.llm.common import bytes_of, documents, per_row, texts_of
-from tickloom.llm.pieces import PieceCache, shared_cache
+from tickloom.llm.pieces import PieceCache, byte_characters, shared_cache
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -34,13 +35,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def byte_characters() -> list[str]:
-    """A visible character per byte: printable Latin-1 bytes as themselves, the others from 256 on, in order."""
-    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
-
-
 class ByteBpe:
     """Encoder and decoder of one rank file."""
 
@@ -70,19 +64,31 @@ class ByteBpe:
         """Ids by the definition: of all neighbours whose bytes are a token, the lowest rank, leftmost first, joins."""
         out = []
         for match in self.pattern.findall(piece):
-            parts = [bytes([b]) for b in match.encode()]
-            whole = b"".join(parts)
-            if whole in self.ranks:
-                out.append(self.ranks[whole])
-                continue
-            while len(parts) > 1:
-                best = min((self.ranks.get(parts[i] + parts[i + 1], len(self.ranks)), i) for i in range(len(parts) - 1))
-                if best[0] == len(self.ranks):
-                    break
-                parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-            out += [self.ranks[p] for p in parts]
+            data = match.encode()
+            out += [self.ranks[data]] if data in self.ranks else self._merge(data)
         return out
 
+    def _merge(self, data: bytes) -> list[int]:
+        """Pairs wait in a heap by rank and place; parts are a linked list by the places where they begin."""
+        n, rank_of = len(data), self.ranks.get
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that begins at a place
+        waiting = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(data[i : i + 2])) is not None]
+        heapify(waiting)
+        while waiting:
+            _, at, upto = heappop(waiting)
+            middle = end[at]
+            if middle <= at or middle >= n or end[middle] != upto:  # one of the two has been joined since
+                continue
+            end[at], end[middle] = upto, -1
+            if upto < n:
+                before[upto] = at
+                if (r := rank_of(data[at : end[upto]])) is not None:
+                    heappush(waiting, (r, at, end[upto]))
+            left = before[at]
+            if left >= 0 and (r := rank_of(data[left:upto])) is not None:
+                heappush(waiting, (r, left, upto))
+        return [self.ranks[data[i:e]] for i, e in enumerate(end) if e > i]
+
     def settled(self, piece: str, ids: list[int]) -> list[int]:
         """The library's ids, settled by the definition where the order of pairs could matter."""
         return ids if self.unsure.isdisjoint(ids) else self.merged(piece)

@@ -3,8 +3,9 @@
 A tokenizer that splits text before its merges never lets a token reach from a visible character
 into the white space after it, nor from a letter into a full stop or comma after it. Text may
 therefore be cut at such places and the pieces encoded apart: their ids, joined, are those of the
-whole text. Pieces repeat far more often than texts do, so a bounded memory of them takes most of
+whole text; other marks at the end of a piece are cut off likewise. Pieces repeat far more often than texts do, so a bounded memory of them takes most of
 the work off the library. It lives as long as its Python worker, over all tasks the worker runs.
+Words of plain letters, which normalisation and splitting leave as they are, go to the library's merges directly.
 """
 
 from __future__ import annotations
@@ -19,11 +20,28 @@ os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 from tokenizers import Tokenizer  # noqa: E402
 
+#: Pieces of more characters are encoded each time: remembered ones are short, so their number bounds their memory.
+LONGEST = 64
+
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _SPACE_CUT = re.compile(r"(?<=\S)(?= )")
 _LINE_CUT = re.compile(r"(?<=\S)(?=\n)")
 
 
+def byte_characters() -> list[str]:
+    """A visible character per byte: printable Latin-1 bytes as themselves, the others from 256 on, in order."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
+#: No pattern lets a letter or digit reach into these; apostrophes begin endings, and < | > special strings.
+MARKS = ".,;:!?\"#$%&()*+-=@[]^_{}~"
+#: Words that no normalisation changes and no pattern splits: lower-case letters, each a character of its own.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+_SHOWN = dict(enumerate(byte_characters()))
+
+
 @lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
@@ -40,6 +58,13 @@ def line_parts(piece: str) -> list[str]:
     return out
 
 
+def _ends_plain(word: str | bytes) -> bool:
+    """Whether the last character is a letter or digit of ASCII, or one of the letters of ``_PLAIN``."""
+    if word[-1:].isascii():
+        return word[-1:].isalnum()
+    return _PLAIN.fullmatch(word[-1] if isinstance(word, str) else word.decode()[-1]) is not None
+
+
 class PieceCache:
     """Values of pieces under one tokenizer. Values are joined by ``+``.
 
@@ -50,16 +75,36 @@ class PieceCache:
     """
 
     def __init__(self, library: Tokenizer, value: Callable, spaced: bool = True, most: int = 1_000_000):
+        self.model = library.model
         self.library, self.value, self.spaced, self.most = library, value, spaced, most
         self.first: dict[str | bytes, object] = {}
         self.rest: dict[str | bytes, object] = {} if spaced else self.first
+        self.passing: list[tuple[dict, str | bytes]] = []  # long pieces, kept until their batch is done
 
     def _encode(self, cache: dict, missing: list, lead: str) -> None:
+        missing = self._encode_plain(cache, missing, lead)
         for at in range(0, len(missing), 1024):
             part = missing[at : at + 1024]
             texts = [lead + w for w in part] if self.spaced else [w.decode() for w in part]
             for word, encoding in zip(part, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-                cache[word] = self.value(lead + word if self.spaced else word, encoding.ids)
+                self._put(cache, word, self.value(lead + word if self.spaced else word, encoding.ids))
+
+    def _encode_plain(self, cache: dict, missing: list, lead: str) -> list:
+        """Encode words of ``_PLAIN`` letters by the merges alone, and return the others."""
+        others, tokenize = [], self.model.tokenize
+        for word in missing:
+            text = word if self.spaced else word.decode()
+            if len(word) > LONGEST or not _PLAIN.fullmatch(text):
+                others.append(word)
+                continue
+            shown = (lead + text).encode().decode("latin-1").translate(_SHOWN)
+            cache[word] = self.value(lead + word if self.spaced else word, [t.id for t in tokenize(shown)])
+        return others
+
+    def _put(self, cache: dict, word: str | bytes, value: object) -> None:
+        cache[word] = value
+        if len(word) > LONGEST:
+            self.passing.append((cache, word))
 
     def _room(self, cache: dict, words: set) -> None:
         """Make room: what this batch needs stays, and with it the common words."""
@@ -69,16 +114,16 @@ class PieceCache:
             cache.update(kept)
 
     def _fill(self, cache: dict, words: set, lead: str) -> None:
-        """Values for ``words``. A full stop or comma behind a letter or digit is encoded apart, and so are lines."""
+        """Values for ``words``. Marks at the end behind a letter or digit are encoded apart, and so are lines."""
         self._room(cache, words)
-        ends = b".," if isinstance(next(iter(words), ""), bytes) else ".,"
+        ends = MARKS.encode() if isinstance(next(iter(words), ""), bytes) else MARKS
         whole, stems, tails, cut, lines = set(), set(), set(), [], []
         for w in words.difference(cache):
             if lead and "\n" in w:
                 lines.append((w, line_parts(lead + w)))
                 continue
             stem = w.rstrip(ends)
-            if len(stem) < len(w) and stem and stem[-1:].isascii() and stem[-1:].isalnum():
+            if len(stem) < len(w) and stem and _ends_plain(stem):
                 tail = w[len(stem) :]
                 stems.add(stem)
                 tails.add(tail)
@@ -94,12 +139,12 @@ class PieceCache:
         self._encode(cache, list((whole | stems).difference(cache)), lead)
         self._encode(self.first, list(tails.difference(self.first)), "")
         for w, stem, tail in cut:
-            cache[w] = cache[stem] + self.first[tail]
+            self._put(cache, w, cache[stem] + self.first[tail])
         for w, parts in lines:
             value = cache[parts[0][len(lead) :]] if parts[0].startswith(lead) else self.first[parts[0]]
             for x in parts[1:]:
                 value = value + self.first[x]
-            cache[w] = value
+            self._put(cache, w, value)
 
     def pieces(self, text: bytes) -> list:
         """Spaced: the first piece as it is, the others without the space they begin with. Else: words in lower case."""
@@ -114,6 +159,13 @@ class PieceCache:
 
     def values(self, texts: list[bytes]) -> list[list]:
         """Per text the values of its pieces, in order."""
+        out = self._values(texts)
+        for cache, word in self.passing:
+            cache.pop(word, None)
+        self.passing.clear()
+        return out
+
+    def _values(self, texts: list[bytes]) -> list[list]:
         cut = [self.pieces(t) for t in texts]
         if self.first is self.rest:
             self._fill(self.rest, set().union(*cut), "")
