@@ -162,11 +162,12 @@ def visits(prints: DataFrame, code: Covering) -> DataFrame:
 def dealt(sent: DataFrame, block: int) -> DataFrame:
     """``anchor, bx, by, print, home, guest``: each home block of an anchor beside each of its visitor blocks.
 
-    Nearly all anchors have one of each, and then a row of a home is both. Counts are made in the map side first.
+    Nearly all anchors have one of each, and then a row of a home is both. Only crowded ones are looked up.
     """
-    counts = sent.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if("home").alias("h")).where((F.col("n") > 1) & (F.col("h") > 0))
+    counts = sent.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if("home").alias("h"))
     many = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("long")
-    rows = sent.join(counts.select("anchor", many("h").alias("nx"), many("n").alias("ny")), "anchor")
+    crowded = counts.where((F.col("n") > block) & (F.col("h") > 0)).select("anchor", many("h").alias("nx"), many("n").alias("ny"))
+    rows = sent.join(crowded, "anchor", "left").fillna(1, ["nx", "ny"])
     mine = lambda count: F.pmod(F.xxhash64("print"), F.col(count))
     each = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
     one = (F.col("nx") == 1) & (F.col("ny") == 1)
