@@ -70,19 +70,46 @@ def test_words_are_counted(edge):
         assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id] or ""))
 
 
-def test_words_taken_come_near_the_targets(spark):
-    """Many documents of like size: the share drawn is the fraction, for every seed."""
-    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("source"))
-    for seed in (0, 1):
-        out = mixing.plan(docs, seed).groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken"))
-        for r in out.collect():
-            assert r.taken == pytest.approx(r.target, rel=0.06)
+def test_words_taken_come_near_the_targets(spark, frame, sf_dir):
+    """Each source takes its target to half a document, whatever the documents are like and for every seed."""
+    like = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("source"))
+    odd = frame(*((i, "w " * (5000 if i % 50 == 0 else i % 9), "en", f"s{i % 4}") for i in range(400)))
+    for docs in (like, odd, spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/../sf0.01/documents.parquet")):
+        for seed in (0, 1):
+            rows = mixing.plan(docs, seed)
+            out = rows.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("size").alias("longest"))
+            for r in out.collect():
+                assert abs(r.taken - r.target) <= r.longest / 2 + 1e-6
+
+
+def test_bounds_equal_a_plain_walk(spark, edge):
+    rows = [("a", i * i % 13, (i * 7919 + 3) % 50 << 31 | i % 3) for i in range(300)] + [("b", 5, 9), ("b", 7, 9), (None, 0, 4), ("c", 1000, 1), ("d", 1, 1 << 39)]
+    df = spark.createDataFrame(rows, "source string, size long, draw long")
+    for r in mixing.bounds(df).collect():
+        own = sorted((d, s) for source, s, d in rows if source == r.source)
+        need = r.target - r.whole * r.source_size
+        taken = sum(s for d, s in own if d <= r.upto)
+        sums, total = [0], 0
+        for d in sorted({d for d, _ in own}):
+            total += sum(s for x, s in own if x == d)
+            sums.append(total)
+        assert abs(taken - need) == min(abs(x - need) for x in sums)
 
 
 def test_draws_are_fixed_and_differ_by_seed(spark):
-    ids = spark.range(1000).select(F.col("id").alias("doc_id"))
+    ids = spark.range(1000).selectExpr("id AS doc_id", "'x' AS text")
     one, again, other = ([r[0] for r in ids.select(mixing.draw(s)).collect()] for s in (0, 0, 1))
-    assert one == again != other and all(0 <= x < 1 for x in one) and 0.45 < sum(one) / 1000 < 0.55
+    assert one == again != other and all(0 <= x < 1 << 40 for x in one) and 0.45 < sum(one) / 1000 / 2**40 < 0.55
+    lone = spark.createDataFrame([(None, "a"), (None, "b"), (None, "a")], "doc_id long, text string").select(mixing.draw(0)).collect()
+    assert lone[0] == lone[2] != lone[1]
+
+
+@pytest.mark.parametrize("name", ["draw", "__draw", "copy", "of", "whole", "upto", "rate", "OF", "size", "target"])
+def test_clashing_names(frame, name):
+    docs = frame(*((i, "some words " * i, "en", "ab"[i % 2]) for i in range(9))).withColumn(name, F.concat(F.lit("own "), F.col("doc_id").cast("string")))
+    out = mixing.mix(docs)
+    assert out.columns == docs.columns and out.count() > 0
+    assert all(r[name] == f"own {r.doc_id}" for r in out.collect())
 
 
 def test_sql(spark, sf_dir):

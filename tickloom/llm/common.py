@@ -33,6 +33,18 @@ def column(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns to add to ``df``: those given, made longer where ``df`` has them in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

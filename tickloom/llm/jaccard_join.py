@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import bytes_of, column, documents, find_package, per_row, slices, stored
+from tickloom.llm.common import bytes_of, column, documents, find_package, fresh, per_row, slices, stored
 
 LONG_LIST = 16
 MOST_SHARED = 1 << 18
@@ -427,8 +427,9 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
     stays = out.groupBy("root").agg(F.min(order).alias("stays"))
     gone = out.join(stays, "root").where(~(F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("hash") == F.col("stays.hash"))))
-    gone = gone.select(F.col("doc_id").alias("__dropped"), F.col("hash").alias("__hash")).distinct()
-    same = column("doc_id").eqNullSafe(F.col("__dropped")) & (F.xxhash64(column("text")) == F.col("__hash"))
+    dropped, text_hash = fresh(docs, "dropped", "text_hash")
+    gone = gone.select(F.col("doc_id").alias(dropped), F.col("hash").alias(text_hash)).distinct()
+    same = column("doc_id").eqNullSafe(F.col(dropped)) & (F.xxhash64(column("text")) == F.col(text_hash))
     return docs.join(gone, same, "left_anti")
 
 
