@@ -33,7 +33,7 @@ ARRIVAL = "doc_id long, digest string, locator string"
 #: Rows of one digest that one task compares.
 PART = 64
 #: Micro-batches of a run, so that later rows meet the state of earlier ones at any size; and the most bytes of keys in one.
-BATCHES, MOST_BYTES = 4, 64 << 30
+BATCHES, MOST_BYTES = 3, 64 << 30
 #: State on disk, with a small write buffer a partition: its log is allocated ahead at the buffer's size.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -41,6 +41,9 @@ STATE_CONF = {
     # A store is closed when its task ends: a worker holds open only the partitions it is at.
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.minBatchesToRetain": "2",
+    # One cache for all partitions a worker opens in turn; one of each would stay behind when it is closed.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
 }
 
 
