@@ -120,7 +120,41 @@ def test_prefixes_of_similar_sets_meet_under_every_order():
             p, q = jj.prefix_length(len(a), 80), jj.prefix_length(len(b), 80)
             assert jj.meet(a[:p], b[:q])
             for order in (1, 3):
-                assert jj.meet(jj.first_under(a, order, p), jj.first_under(b, order, q))
+                assert len(np.intersect1d(jj.first_under(a, order, p), jj.first_under(b, order, q)))
+                assert len(jj.first_under(a, order, p)) == p
+
+
+def test_other_orders_drop_candidates_before_texts_move(spark, monkeypatch, frame):
+    """Texts that share a rare beginning and nothing else are candidates of order 1; the others drop nearly all."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(50_000)]
+    docs = []
+    for g in range(60):
+        begin = [f"rare{g}-{k}" for k in range(6)]
+        docs += [" ".join([*begin, *r.sample(words, 60)]) for _ in range(4)]
+    docs += [docs[0] + " end", docs[100] + " end"]
+    docs = list(enumerate(docs))
+    seen = []
+    own = jj.agreed
+
+    def counted(pairs, classes):
+        out = jj.stored(own(pairs, classes), "counted")
+        seen.append((pairs.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jj, "agreed", counted)
+    assert joined(frame(*docs), size=3, percent=80) == brute(docs, 3, 80)
+    [(before, after)] = seen
+    assert before > 250 and 2 <= after < before / 4
+
+
+def test_members_that_meet_no_other_under_every_order_leave_their_list(spark):
+    classes = spark.createDataFrame(
+        [(1, [1, 2], [7]), (2, [2, 2], [8]), (3, [3], [7]), (4, [1], [7, 9]), (5, [5, 5], [9])], "cid long, second array<int>, third array<int>"
+    )
+    lists = spark.createDataFrame([(1, c, 5, c, c != 1) for c in (1, 2, 3, 4, 5)] + [(9, 4, 5, 4, False), (9, 1, 5, 1, False)], "leader long, cid long, n long, root long, open boolean")
+    # 2 meets 1 under the second order only, 3 meets under the third only, 5 only itself; in the list of 9 none is open.
+    assert sorted((r.leader, r.cid) for r in jj.able(lists, classes).collect()) == [(1, 1), (1, 4)]
 
 
 def test_components(spark):

@@ -8,8 +8,9 @@ pass for every order:
 * order 1 puts rare tokens first: first those made of rare words, and last of all those that many
   prefixes share. It forms the candidates, as rare tokens make short lists; lengths and positions of
   the shared token are tested in the join.
-* orders 2 and 3 are two permutations of the tokens. A candidate whose prefixes have no token in
-  common under either is dropped before the sets themselves are compared.
+* orders 2 and 3 are two permutations of the tokens. Each class carries its prefixes under both, 32 bits
+  a token, and a candidate whose prefixes have none in common under either is dropped before any text is
+  fetched. So are members of a long list that meet no other one under both orders.
 
 A list of at most ``LONG_LIST`` classes under a token yields its pairs. A longer one is never paired
 up: each member meets the list's leader (the one that shares most tokens with others), and since only
@@ -128,9 +129,10 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def first_under(tokens: np.ndarray, order: int, length: int) -> np.ndarray:
-    """The first tokens under order 2 or 3, ascending."""
+    """32 bits of each of the first tokens under order 2 or 3; equal tokens agree in them, so none that meet are lost."""
     keys = mixed((tokens.view(np.uint64) ^ _K[order]) * _K[order + 1])
-    return np.sort(tokens[np.argsort(keys, kind="stable")[:length]])
+    first = tokens[np.argpartition(keys, length - 1)[:length]] if 0 < length < len(tokens) else tokens[:length]
+    return first.astype(np.uint32).view(np.int32)
 
 
 def _class_of(tokens: np.ndarray) -> bytes | None:
@@ -138,19 +140,25 @@ def _class_of(tokens: np.ndarray) -> bytes | None:
 
 
 def with_prefix(docs: DataFrame, size: int, percent: int, words, shared: np.ndarray | None = None) -> DataFrame:
-    """``doc_id, hash, n, class, prefix``: the prefix under order 1, given the common words and the shared tokens."""
+    """``doc_id, hash, n, class, prefix``: the prefix under order 1, given the common words and the shared tokens.
+
+    With the shared tokens also ``second, third``: the prefixes under the other orders, 32 bits of each token.
+    """
     late = docs.sparkSession.sparkContext.broadcast(shared) if shared is not None else None
 
     def make():
         shingler = Shingler(size, words.value)
 
         def run(batch):
-            out = {"n": [], "class": [], "prefix": []}
+            out = {"n": [], "class": [], "prefix": [], "second": [], "third": []}
             for text in bytes_of(batch):
                 tokens = shingler.tokens(text)
                 length = prefix_length(len(tokens), percent)
                 front = tokens
-                if late is not None and len(tokens):
+                if late is not None:
+                    out["second"].append(first_under(tokens, 1, length))
+                    out["third"].append(first_under(tokens, 3, length))
+                if late is not None and len(late.value) and len(tokens):
                     place = np.minimum(np.searchsorted(late.value, tokens), len(late.value) - 1)
                     is_late = late.value[place] == tokens
                     if is_late[:length].any():
@@ -163,7 +171,8 @@ def with_prefix(docs: DataFrame, size: int, percent: int, words, shared: np.ndar
         return run
 
     keep = [("doc_id", "doc_id"), ("hash", "hash"), ("text", "text")]
-    return per_row(named(docs), make, keep, "n long, class binary, prefix array<long>")
+    others = ", second array<int>, third array<int>" if late is not None else ""
+    return per_row(named(docs), make, keep, "n long, class binary, prefix array<long>" + others)
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -248,29 +257,32 @@ class Texts:
         return met.select(*rows.columns, name)
 
 
+def agreed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The candidates whose prefixes meet under orders 2 and 3 as well. Prefixes travel, texts do not."""
+    prefixes = classes.select("cid", "second", "third")
+    a, b = (prefixes.select(*(F.col(c).alias(f"{c}_{side}") for c in prefixes.columns)) for side in "xy")
+    both = pairs.join(a, F.col("x") == F.col("cid_x")).join(b, F.col("y") == F.col("cid_y"))
+    return both.where(F.arrays_overlap("second_x", "second_y") & F.arrays_overlap("third_x", "third_y")).select("x", "y")
+
+
 def verified(pairs: DataFrame, texts: Texts, size: int, percent: int, words) -> DataFrame:
-    """The pairs that pass the other orders and then are similar indeed."""
+    """The pairs that are similar indeed."""
     met = texts.join(texts.join(pairs, "x", "a"), "y", "b")
 
     def run(batches):
         shingler = Shingler(size, words.value)
-        known: dict[int, tuple] = {}
+        known: dict[int, np.ndarray] = {}
 
-        def parts(cid, text):
+        def tokens(cid, text):
             if cid not in known:
                 if len(known) >= 512:
                     known.clear()
-                tokens = shingler.tokens(text)
-                length = prefix_length(len(tokens), percent)
-                known[cid] = (first_under(tokens, 1, length), first_under(tokens, 3, length), tokens)
+                known[cid] = shingler.tokens(text)
             return known[cid]
 
         for batch in slices(batches, 256):
-            keep = []
             rows = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), bytes_of(batch, "a"), bytes_of(batch, "b"))
-            for x, y, one, other in rows:
-                p, q = parts(x, one), parts(y, other)
-                keep.append(meet(p[0], q[0]) > 0 and meet(p[1], q[1]) > 0 and similar(p[2], q[2], percent))
+            keep = [similar(tokens(x, one), tokens(y, other), percent) for x, y, one, other in rows]
             yield batch.select(["x", "y"]).filter(pa.array(keep, type=pa.bool_()))
 
     return met.mapInArrow(run, "x long, y long")
@@ -355,6 +367,20 @@ def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return known.join(known.where("open").select("leader").distinct(), "leader", "left_semi")
 
 
+def able(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of ``lists`` that meet another one, one of the two open, under order 2 and under order 3.
+
+    Tokens are counted per list, before the shuffle, so no list is held and no pairs are made.
+    """
+    out = lists
+    for order in ("second", "third"):
+        rows = out.join(classes.select("cid", order), "cid").select("leader", "cid", "open", F.explode(F.array_distinct(order)).alias("token"))
+        counts = rows.groupBy("leader", "token").agg(F.count("*").alias("c"), F.bool_or("open").alias("any"))
+        meeting = rows.join(counts.where((F.col("c") > 1) & F.col("any")).select("leader", "token"), ["leader", "token"], "left_semi")
+        out = out.join(meeting.select("leader", "cid").distinct(), ["leader", "cid"], "left_semi")
+    return out.select(*lists.columns)
+
+
 def block_links(lists: DataFrame, texts: Texts, size: int, percent: int, words, block_tokens: int) -> DataFrame:
     """Links ``x, y`` of the open members of lists with any member of their list.
 
@@ -394,7 +420,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, long_list: int = LONG_LIS
     words = spark.sparkContext.broadcast(common_words(docs))
     rows = stored(with_prefix(docs, size, percent, words), "prefixes")
     late = shared_tokens(rows, long_list, MOST_SHARED)
-    ordered = with_prefix(docs, size, percent, words, late) if len(late) else rows
+    ordered = with_prefix(docs, size, percent, words, late)
     each = ordered.where("n > 0").dropDuplicates(["class"]).withColumn("cid", F.monotonically_increasing_id())
     classes = stored(each.withColumnRenamed("doc_id", "stands"), "classes")
     pairs, members = candidates(classes, percent, long_list)
@@ -402,10 +428,11 @@ def _grouped(docs: DataFrame, size: int, percent: int, long_list: int = LONG_LIS
     def texts(cids: DataFrame) -> Texts:
         return Texts(docs, classes.select("cid", "stands", "hash").join(cids.distinct(), "cid"), FILTER_BITS)
 
+    pairs = stored(agreed(pairs, classes), "agreed")
     ends = pairs.select(F.col("x").alias("cid")).unionByName(pairs.select(F.col("y").alias("cid")))
     links = stored(verified(pairs, texts(ends), size, percent, words), "links")
     roots = components(links)
-    lists = stored(unsettled(members, roots), "unsettled")
+    lists = stored(able(stored(unsettled(members, roots), "unsettled"), classes), "able")
     if not lists.isEmpty():
         more = stored(block_links(lists, texts(lists.select("cid")), size, percent, words, block_tokens), "more-links")
         roots = components(links.unionByName(more))
