@@ -74,7 +74,7 @@ def test_plain_lines_stay(line):
 @pytest.mark.parametrize("odd", ["|", "_", "=", "a$b", "x^2"])
 def test_one_symbol_does_not_excuse_missing_sentence_marks(odd):
     line = f"home news sport weather culture travel science money {odd} jobs cars maps shop"
-    assert lc.line_fails(line.encode(), line.encode().split(), set())
+    assert lc.line_fails(line.encode(), line.encode().split(), set(), lc.phrases(()))
 
 
 def test_documents_that_lose_too_much_go():
@@ -164,3 +164,29 @@ def test_tags(frame, nothing):
     got = {r.doc_id: (r.labels, r.permissive, r.n_tags) for r in ls.scan(docs).collect()}
     assert got == {1: ("apache,mit", True, 1), 2: ("gpl,mit", False, 1), 3: ("", None, 1), 4: ("gpl,mit", False, 2)}
     assert ls.scan(nothing).count() == 0
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "यह एक लंबा वाक्य है जिसमें दस से अधिक शब्द हैं और यह यहाँ समाप्त होता है।",
+        "یہ ایک لمبا جملہ ہے جس میں دس سے زیادہ الفاظ ہیں اور یہ یہاں ختم ہوتا ہے۔",
+        "هل هذه جملة طويلة فيها أكثر من عشر كلمات وتنتهي هنا بعلامة استفهام؟",
+        "ይህ ከአስር በላይ ቃላት ያለው ረጅም ዓረፍተ ነገር ነው እና እዚህ ላይ ያበቃል።",
+        "ဒါ က စကား လုံး ဆယ် လုံး ထက် ပို တဲ့ ရှည် လျား တဲ့ ဝါကျ ဖြစ် တယ်။",
+        "นี่ คือ ประโยค ยาว ที่ มี คำ มาก กว่า สิบ คำ และ จบ ตรง นี้",
+        "これ は 十 語 より 長い 文 で あり ここ で 終わり ます。",
+    ],
+)
+def test_sentences_of_other_scripts_stay(line):
+    assert len(line.split()) >= lc.LONG_LINE
+    assert lc.clean_text(line.encode())[0].decode() == line
+
+
+def test_phrases_are_a_table_by_language():
+    for notice in ("Alle Rechte vorbehalten", "Tous droits réservés", "Todos los derechos reservados"):
+        assert lc.clean_text(f"{PROSE}\n{notice}".encode())[0].decode() == PROSE
+    own = {"eo": ("ĉiuj rajtoj",)}
+    assert lc.clean_text(f"{PROSE}\nĉiuj rajtoj".encode(), own)[0].decode() == PROSE
+    assert lc.clean_text(f"{PROSE}\nAll rights reserved.".encode(), own)[0].decode().endswith("reserved.")
+    assert lc.clean_text(f"{PROSE}\nAll rights reserved.".encode(), {})[0].decode().endswith("reserved.")

@@ -2,7 +2,8 @@
 
 A line fails
 * the punctuation rule, if more than a third of its words carry a symbol, a repeated mark or a mark
-  glued behind another, or if it has ten words or more and not one mark of a sentence;
+  glued behind another, or if it has ten words or more and not one mark that ends or divides sentences in any
+  script (lines in Thai or Lao, which do without, are let off);
 * the navigation rule, if separators make up a quarter of its words or more;
 * the boilerplate rule, if it holds one of ``BOILERPLATE`` and at most 30 words, or repeats an
   earlier line of the document.
@@ -16,22 +17,32 @@ rows each get a row. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.common import bytes_of, documents, per_row
 
 SYMBOLS = b"#*$%&|<>"
 SEPARATORS = frozenset([b"|", b"||", b">", b">>", b"/", "»".encode(), "›".encode(), "•".encode(), "·".encode()])
-BOILERPLATE = (
-    b"all rights reserved", b"licensed under", b"released under the", b"cookie", b"privacy policy", b"terms of use",
-    b"terms of service", b"subscribe to our", b"sign up for", b"click here", b"enable javascript", b"lorem ipsum",
-    b"skip to content", b"back to top", b"share this", b"read more",
-)
-SENTENCE_MARKS = re.compile(b"[.,;:!?]|" + b"|".join(c.encode() for c in "…。！？，、،؛"))
+#: Phrases by language; texts are held against all of them, as a page may carry another language's notices.
+BOILERPLATE = {
+    "en": (
+        "all rights reserved", "licensed under", "released under the", "cookie", "privacy policy", "terms of use",
+        "terms of service", "subscribe to our", "sign up for", "click here", "enable javascript", "lorem ipsum",
+        "skip to content", "back to top", "share this", "read more",
+    ),
+    "de": ("alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "jetzt anmelden", "weiterlesen"),
+    "fr": ("tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "lire la suite"),
+    "es": ("todos los derechos reservados", "política de privacidad", "condiciones de uso", "leer más"),
+    "it": ("tutti i diritti riservati", "informativa sulla privacy", "condizioni d'uso", "leggi tutto"),
+    "pt": ("todos os direitos reservados", "política de privacidade", "termos de uso", "leia mais"),
+}
+#: Thai and Lao, as UTF-8 begins their letters: they end sentences by a space.
+UNMARKED = re.compile(rb"\xe0[\xb8-\xbb]")
 ODD_WORD = re.compile(rb"[#*$%&|<>{}\\^~=_]|[!?]{2}")
-SOME_BOILERPLATE = re.compile(b"|".join(re.escape(x) for x in BOILERPLATE))
 LONG_LINE, MOST_BOILERPLATE_WORDS, MIN_WORDS, MIN_KEPT_SHARE = 10, 30, 50, 0.6
 FIELDS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
@@ -39,6 +50,18 @@ FIELDS = (
 )
 
 
+@lru_cache(maxsize=1)
+def sentence_marks() -> re.Pattern:
+    """Marks that end or divide sentences in any script, as the Unicode standard lists them, and the ellipsis."""
+    marks = regex.findall(r"\p{Terminal_Punctuation}", "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000))
+    return re.compile(b"|".join(re.escape(c.encode()) for c in [*marks, "…"]))
+
+
+@lru_cache(maxsize=4)
+def phrases(boilerplate: tuple[tuple[str, ...], ...]) -> re.Pattern:
+    return re.compile(b"|".join(re.escape(x.encode().lower()) for own in boilerplate for x in own) or b"(?!)")
+
+
 def characters(data: bytes) -> int:
     """Code points of UTF-8 bytes."""
     return len(data) - (np.count_nonzero((np.frombuffer(data, dtype=np.uint8) & 0xC0) == 0x80) if not data.isascii() else 0)
@@ -64,21 +87,22 @@ def repeated_words(words: list[bytes], size: int = 3) -> int:
     return int(covered.sum())
 
 
-def line_fails(line: bytes, words: list[bytes], seen: set[bytes]) -> bool:
+def line_fails(line: bytes, words: list[bytes], seen: set[bytes], boilerplate: re.Pattern) -> bool:
     n = len(words)
     if line in seen:
         return True
-    if n >= LONG_LINE and not SENTENCE_MARKS.search(line):
+    if n >= LONG_LINE and not sentence_marks().search(line) and not UNMARKED.search(line):
         return True
     if ODD_WORD.search(line) and 3 * sum(1 for w in words if ODD_WORD.search(w)) > n:
         return True
     if 4 * sum(1 for w in words if w in SEPARATORS) >= n:
         return True
-    return n <= MOST_BOILERPLATE_WORDS and SOME_BOILERPLATE.search(line.lower()) is not None
+    return n <= MOST_BOILERPLATE_WORDS and boilerplate.search(line.lower()) is not None
 
 
-def clean_text(data: bytes) -> tuple[bytes, dict]:
+def clean_text(data: bytes, boilerplate: dict[str, tuple[str, ...]] = BOILERPLATE) -> tuple[bytes, dict]:
     """The text without failing lines, and the document's figures."""
+    notices = phrases(tuple(map(tuple, boilerplate.values())))
     words = data.split()
     word_chars = characters(b"".join(words))
     seen: set[bytes] = set()
@@ -88,7 +112,7 @@ def clean_text(data: bytes) -> tuple[bytes, dict]:
         if own:
             lines += 1
             duplicates += line in seen
-            if line_fails(line, own, seen):
+            if line_fails(line, own, seen, notices):
                 removed += 1
                 seen.add(line)
                 continue
@@ -112,10 +136,10 @@ def clean_text(data: bytes) -> tuple[bytes, dict]:
     return b"\n".join(keep), figures
 
 
-def _make(with_text: bool):
+def _make(with_text: bool, boilerplate: dict[str, tuple[str, ...]]):
     def make():
         def run(batch):
-            out = [clean_text(x) for x in bytes_of(batch)]
+            out = [clean_text(x, boilerplate) for x in bytes_of(batch)]
             new = {name.split()[0]: [f[name.split()[0]] for _, f in out] for name in FIELDS.split(", ")}
             if with_text:
                 new["cleaned"] = [t.decode() for t, _ in out]
@@ -126,10 +150,13 @@ def _make(with_text: bool):
     return make
 
 
-def clean(docs: DataFrame, with_text: bool = True) -> DataFrame:
-    """Per row: ``doc_id``, the figures, ``kept``, and with ``with_text`` the text ``cleaned`` of failing lines."""
+def clean(docs: DataFrame, with_text: bool = True, boilerplate: dict[str, tuple[str, ...]] = BOILERPLATE) -> DataFrame:
+    """Per row: ``doc_id``, the figures, ``kept``, and with ``with_text`` the text ``cleaned`` of failing lines.
+
+    ``boilerplate``: phrases by language, in lower case as far as A to Z go.
+    """
     fields = FIELDS + ", cleaned string" * with_text
-    return per_row(docs, _make(with_text), [("doc_id", "doc_id"), ("text", "text")], fields)
+    return per_row(docs, _make(with_text, boilerplate), [("doc_id", "doc_id"), ("text", "text")], fields)
 
 
 def op2_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
