@@ -67,7 +67,7 @@ def test_mixed_json_goes_by_content(spark, tmp_path):
     assert rows(mixed.rows(PRICES).select("symbol", "price")) == [(c, float(i + 1)) for i, c in enumerate("abcdefghi")]
     assert sorted((f.rsplit("/", 1)[1], n) for f, n in rows(mixed.skipped())) == [("half.jsonl", 2), ("none.json", 2)]
     report = sinks.compact_report(spark, str(tmp_path / "a"), str(tmp_path / "out"), PRICES)
-    assert report == {"rows": 9, "skipped_lines": 4, "skipped_files": 2}
+    assert report == {"rows": 9, "skipped_lines": 4, "skipped_files": 2, "set_aside": 1}
     assert spark.read.parquet(str(tmp_path / "out")).count() == 9
 
 
@@ -86,10 +86,50 @@ def test_mixed_json_reads_large_documents(spark, tmp_path):
     assert sorted(f.rsplit("/", 1)[1] for f, _ in rows(mixed.skipped())) == ["comma.json", "cut.json"]
 
 
-def test_mixed_json_names_the_file_of_a_record_beyond_the_limit(spark, tmp_path):
-    write(tmp_path / "a/huge.json", json.dumps([{"symbol": "a"}, {"symbol": "b", "note": ["x" * 100] * 20}], indent=2))
-    with pytest.raises(Exception, match="huge.json holds a JSON record"):
-        lake.MixedJson(spark, str(tmp_path / "a"), document_bytes=1000).rows(PRICES).collect()
+def test_mixed_json_sets_files_aside_by_name(spark, tmp_path):
+    """Too large a record and no record at all: these files are named, the others are read and compacted."""
+    root = tmp_path / "odd name #1"
+    write(root / "a/huge.json", json.dumps([{"symbol": "a"}, {"symbol": "b", "note": ["x" * 100] * 20}], indent=2))
+    write(root / "a/late.json", json.dumps([{"symbol": f"s{i}"} for i in range(100)] + [{"note": ["x" * 100] * 20}]).replace("}, {", "},\n{"))
+    write(root / "a/none.json", "{broken\nand more\n")
+    write(root / "a/good.json", json.dumps([{"symbol": "c", "price": 1.0}], indent=2))
+    write(root / "a/lines.jsonl", line("d", 2.0) + "broken\n" + line("e", 3.0))
+    mixed = lake.MixedJson(spark, f"{root}/a", document_bytes=1000)
+    assert rows(mixed.rows(PRICES).select("symbol", "price")) == [("c", 1.0), ("d", 2.0), ("e", 3.0)]
+    got = {f.rsplit("/", 1)[1]: tuple(rest) for f, *rest in rows(mixed.files())}
+    large = "a record of more than 1000 characters"
+    n_lines = len((root / "a/huge.json").read_text().splitlines())
+    assert got == {
+        "huge.json": ("set aside", n_lines, large), "late.json": ("set aside", 101, large), "none.json": ("set aside", 2, "no record"),
+        "good.json": ("document", 0, None), "lines.jsonl": ("lines", 1, None),
+    }
+    with pytest.warns(UserWarning, match="huge.json set aside"):
+        report = sinks.compact_report(spark, f"{root}/a", f"{root}/out", PRICES, document_bytes=1000)
+    assert report == {"rows": 3, "skipped_lines": n_lines + 104, "skipped_files": 4, "set_aside": 3}
+    assert rows(spark.read.parquet(f"{root}/out").select("symbol")) == [("c",), ("d",), ("e",)]
+
+
+def test_compaction_reads_little_and_shuffles_nothing(spark, tmp_path):
+    for i in range(30):
+        write(tmp_path / f"raw/{i}.jsonl", "".join(line(f"s{i}-{k}", float(k)) for k in range(200)))
+    write(tmp_path / "raw/doc.json", json.dumps([json.loads(line("z", 1.0))], indent=1))
+    mixed = lake.MixedJson(spark, f"{tmp_path}/raw")
+    plan = mixed.records()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and plan.count("MapInArrow") == 0
+    folders, rows_of = mixed.parsed(PRICES, f"{tmp_path}/parsed")
+    again = rows_of(spark.read.parquet(*folders))
+    assert "Exchange hashpartitioning" not in again._jdf.queryExecution().executedPlan().toString() and again.count() == 6001
+
+
+def test_compacted_files_are_near_the_target(spark, tmp_path):
+    for i in range(40):
+        write(tmp_path / f"raw/{i}.jsonl", "".join(line(f"{i}-{k * 7919 % 10007}", k * 0.37) for k in range(400)))
+    sinks.compact(spark, f"{tmp_path}/raw", f"{tmp_path}/one", PRICES)
+    whole = sinks.folder_bytes(spark, f"{tmp_path}/one", "*.parquet")
+    target = whole // 3
+    assert sinks.compact(spark, f"{tmp_path}/raw", f"{tmp_path}/few", PRICES, target_bytes=target) == 16_000
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "few").iterdir() if f.name.endswith(".parquet"))
+    assert 3 <= len(sizes) <= 8 and sizes[-1] <= 1.2 * target
 
 
 def test_mixed_json_without_schema_keeps_drifting_columns(spark, tmp_path):
@@ -177,7 +217,7 @@ def test_compaction_of_all_sources(spark, tmp_path):
         write(tmp_path / f"raw/coingecko/2024-01-{i + 1:02d}/data.jsonl", line("a", float(i)))
     (tmp_path / "raw/reddit").mkdir(parents=True)
     got = sinks.compact_all(spark, str(tmp_path / "raw"), str(tmp_path / "out"), {"coingecko": PRICES, "reddit": schemas.RAW_POSTS, "absent": PRICES})
-    assert got == {"coingecko": 20, "reddit": 0, "absent": 0}
+    assert {name: report["rows"] for name, report in got.items()} == {"coingecko": 20, "reddit": 0, "absent": 0}
     files = [f.name for f in (tmp_path / "out/coingecko").iterdir() if f.name.startswith("part-")]
     assert len(files) == 1 and files[0].endswith(".snappy.parquet")
     many = sinks.compact(spark, str(tmp_path / "raw/coingecko"), str(tmp_path / "many"), PRICES, target_bytes=200)

@@ -52,12 +52,30 @@ def test_relationship_counts_child_rows(spark):
     assert list(got.values()) == [2]
 
 
-def test_relationship_reduces_both_sides_before_the_join(spark):
-    df = Q.orphans(spark.range(9), "id", spark.range(5), "id")
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    join = next(i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line)
-    assert sum("Aggregate" in line for line in plan.splitlines()[join:]) == 2
-    assert rows(df) == [(5, 1), (6, 1), (7, 1), (8, 1)]
+def test_keys_of_other_types_and_odd_values(spark):
+    child = spark.createDataFrame([("1", 0.0), ("02", -0.0), ("x", float("nan")), (None, float("nan"))], "k string, v double")
+    parent = spark.createDataFrame([(1, 1.5), (2, None), (None, 1.5)], "k long, v double")
+    assert failures(spark, child, Q.relationship("t", "k", "p", "k"), p=parent) == {"relationship(k -> p.k)": 1}
+    report = Q.run_checks({"t": child, "p": parent}, [Q.unique("t", "v"), Q.unique("p", "v"), Q.unique("t", "k")])
+    assert rows(report) == [("p", "unique(v)", 1), ("t", "unique(k)", 0), ("t", "unique(v)", 2)]
+
+
+def test_all_keys_are_counted_in_one_pass_and_one_aggregate(spark, tmp_path):
+    for name, n in (("child", 9), ("parent", 5)):
+        spark.range(n).selectExpr("id", "id % 3 AS part").write.parquet(f"{tmp_path}/{name}")
+    tables = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("child", "parent")}
+    found = [
+        Q.relationship("child", "id", "parent", "id"), Q.relationship("child", "part", "parent", "id"), Q.unique("child", "id"),
+        Q.unique("child", "part"), Q.unique("parent", "part"), Q.not_null("child", "id"), Q.accepted_range("parent", "part", 0, 1),
+    ]
+    report = Q.run_checks(tables, found)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("keys=[check") == 4  # by check and key, then by check, each partial first
+    got = {(r.table, r["check"]): r.failures for r in report.collect()}
+    assert got == {
+        ("child", "relationship(id -> parent.id)"): 4, ("child", "relationship(part -> parent.id)"): 0, ("child", "unique(id)"): 0,
+        ("child", "unique(part)"): 3, ("parent", "unique(part)"): 2, ("child", "not_null(id)"): 0, ("parent", "accepted_range(part, 0..1)"): 1,
+    }
 
 
 def test_checks_on_an_empty_table_report_zero(spark):

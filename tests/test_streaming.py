@@ -85,3 +85,59 @@ def test_freshness_of_the_sink(spark, tmp_path):
     sink = spark.read.parquet(str(tmp_path / "out"))
     assert Q.freshness(sink, as_of=F.lit("2024-01-01 01:05:00").cast("timestamp")).first().status == "fresh"
     assert Q.freshness(sink, as_of=F.lit("2024-01-01 01:15:00").cast("timestamp")).first().status == "delayed"
+
+
+def test_bad_messages_and_ticks_come_from_one_scan_and_a_batch_run_again_adds_nothing(spark, tmp_path):
+    src, out, bad, state = tmp_path / "in", f"{tmp_path}/out", f"{tmp_path}/bad", f"{tmp_path}/state"
+    land(src, "a.txt", [msg(0, 1.5), None, {}, msg(1, "n/a")])
+    stream = trades.file_stream(spark, str(src), TEXT, "text")
+    query = trades.append_ticks(stream, "value", out, bad, state)
+    query.awaitTermination()
+    assert len(query.recentProgress) == 1 and query.lastProgress.sources[0].numInputRows == 4
+    count = lambda: (spark.read.parquet(out).count(), spark.read.parquet(bad).count())
+    assert count() == (1, 1)
+    # The batch was landed, but its commit was lost: it runs again.
+    for name in os.listdir(f"{state}/commits"):
+        os.rename(f"{state}/commits/{name}", f"{tmp_path}/{name}")
+    land(src, "b.txt", [msg(2, 2.5), msg(3, "n/a")])
+    trades.append_ticks(trades.file_stream(spark, str(src), TEXT, "text"), "value", out, bad, state).awaitTermination()
+    assert count() == (2, 2)
+
+
+def follow(spark, tmp_path, averages):
+    query = averages.start(ticks(spark, tmp_path / "in"), f"{tmp_path}/state")
+    query.awaitTermination()
+    got = rows(averages.averages(spark).selectExpr("string(report_date)", "coin_id", "avg_price"))
+    late = rows(averages.progress(spark).select("batch", "late", "open_from"), "batch")
+    return got, [(b, n, str(d)) for b, n, d in late]
+
+
+def test_late_ticks_are_counted_and_correct_their_day(spark, tmp_path):
+    averages = trades.DailyAverages(f"{tmp_path}/out", "1 day")
+    src = tmp_path / "in"
+    land(src, "a.txt", [msg(1, 10, "A"), msg(2, 20, "A"), msg(26, 5, "B"), msg(60, 1, "A")])
+    got, late = follow(spark, tmp_path, averages)
+    assert got == [("2024-01-01", "A", 15.0)] and late == [(0, 0, "2024-01-02")]
+    land(src, "b.txt", [msg(3, 60, "A"), msg(2, 40, "A"), msg(30, 15, "B"), msg(90, 1, "A")])
+    got, late = follow(spark, tmp_path, averages)
+    assert got == [("2024-01-01", "A", (10 + 40 + 60) / 3), ("2024-01-02", "B", 10.0)]
+    assert late == [(0, 0, "2024-01-02"), (1, 2, "2024-01-03")]
+    land(src, "c.txt", [msg(5, 2, "C")])  # no time passes, and a closed day grows by a symbol
+    got, late = follow(spark, tmp_path, averages)
+    assert ("2024-01-01", "C", 2.0) in got and late[-1] == (2, 1, "2024-01-03") and len(got) == 3
+
+
+def test_a_batch_of_averages_run_again_changes_nothing(spark, tmp_path):
+    averages = trades.DailyAverages(f"{tmp_path}/out", "1 day")
+    src = tmp_path / "in"
+    land(src, "a.txt", [msg(1, 10, "A"), msg(60, 1, "A")])
+    follow(spark, tmp_path, averages)
+    land(src, "b.txt", [msg(2, 30, "A"), None, msg(61, 1, "A")])
+    first = follow(spark, tmp_path, averages)
+    batch = payloads.flatten_trades(spark.read.text(f"{src}/b.txt"), "value")
+    averages.land(batch, 1)
+    got = rows(averages.averages(spark).selectExpr("string(report_date)", "coin_id", "avg_price"))
+    assert (got, 1) == (first[0], averages.progress(spark).where("batch = 1").first()["late"])
+    assert averages.ticks(spark).count() == 4
+    averages.land(batch.limit(0), 2)
+    assert rows(averages.averages(spark).selectExpr("string(report_date)", "coin_id", "avg_price")) == got

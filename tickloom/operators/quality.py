@@ -1,7 +1,8 @@
 """Declarative data checks, reported as one (table, check, failures) frame.
 
-All row-level checks of a table share one scan and one aggregate. Key checks
-pre-aggregate by key before they shuffle or join, so a hot key costs one row per task.
+All row-level and key checks share one scan of each table and one aggregate over all tables: a row gives
+its keys and the checks it fails, tagged by check, and these are counted before they are shuffled, so a hot
+key or a check that all rows fail costs one row per task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.columns import split_list
 
@@ -32,10 +34,20 @@ class FrameCheck:
     table: str
     name: str
     rows: Callable[[dict[str, DataFrame]], DataFrame]
-    weight: str | None = None
 
 
-Check = RowCheck | FrameCheck
+@dataclass(frozen=True)
+class KeyCheck:
+    """Counts values of ``column`` that occur more than once, or rows whose value ``parent`` lacks. NULL is neither."""
+
+    table: str
+    name: str
+    column: str
+    parent: str | None = None
+    parent_column: str | None = None
+
+
+Check = RowCheck | FrameCheck | KeyCheck
 
 
 def not_null(table: str, column: str) -> RowCheck:
@@ -56,51 +68,91 @@ def expression_is_true(table: str, expression: str) -> RowCheck:
     return RowCheck(table, f"expression_is_true({expression})", lambda: ~F.expr(expression))
 
 
-def unique(table: str, column: str) -> FrameCheck:
+def unique(table: str, column: str) -> KeyCheck:
     """Failures = number of values that occur more than once."""
-    return FrameCheck(table, f"unique({column})", lambda t: duplicated(t[table], column))
+    return KeyCheck(table, f"unique({column})", column)
 
 
-def relationship(table: str, column: str, parent: str, parent_column: str) -> FrameCheck:
+def relationship(table: str, column: str, parent: str, parent_column: str) -> KeyCheck:
     """Failures = child rows whose non-NULL value the parent lacks."""
-    return FrameCheck(
-        table,
-        f"relationship({column} -> {parent}.{parent_column})",
-        lambda t: orphans(t[table], column, t[parent], parent_column),
-        weight="rows",
-    )
-
+    return KeyCheck(table, f"relationship({column} -> {parent}.{parent_column})", column, parent, parent_column)
 
-def duplicated(df: DataFrame, column: str) -> DataFrame:
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.where("rows > 1")
 
+def _key(column: str, own: T.DataType, wanted: T.DataType) -> Column:
+    """A value as text that is equal exactly where the values are, under the type ``wanted``.
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child values missing in the parent, with their row counts. Each side joins one row per value.
-
-    Written as an outer join: an anti join would be pushed below the aggregate and meet
-    the child rows unreduced.
+    A value that this type cannot hold equals none that it can.
     """
-    counts = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    keys = parent.select(F.col(parent_column).alias(column)).distinct().withColumn("_present", F.lit(True))
-    return counts.join(keys, column, "left").where(F.col("_present").isNull()).drop("_present")
+    if own != wanted:
+        as_wanted = _text(F.col(column).try_cast(wanted), wanted)
+        return F.coalesce(as_wanted, F.concat(F.lit("no such value: "), _text(F.col(column), own)))
+    return _text(F.col(column), own)
+
+
+def _text(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0).cast(kind)  # one zero
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    return F.hex(value) if isinstance(kind, T.BinaryType) else value.cast("string")
+
+
+def _tagged(tables: dict[str, DataFrame], table: str, checks: list[RowCheck | KeyCheck]) -> DataFrame:
+    """``check`` (its number), ``key``, ``rows`` and ``present`` for all checks that a table's rows take part in."""
+
+    def entry(number: int, when: Column, key: Column, rows: int) -> Column:
+        whole = F.struct(F.lit(number).alias("check"), key.alias("key"), F.lit(rows).alias("rows"), F.lit(rows == 0).alias("present"))
+        return F.when(when, whole)
+
+    entries, none = [], F.lit(None).cast("string")
+    for number, c in enumerate(checks):
+        if isinstance(c, RowCheck):
+            if c.table == table:
+                entries.append(entry(number, c.failing(), none, 1))
+            continue
+        own = tables[c.table].schema[c.column].dataType
+        wanted = tables[c.parent].schema[c.parent_column].dataType if c.parent else own
+        if c.table == table:
+            entries.append(entry(number, F.col(c.column).isNotNull(), _key(c.column, own, wanted), 1))
+        if c.parent == table:
+            entries.append(entry(number, F.col(c.parent_column).isNotNull(), _key(c.parent_column, wanted, wanted), 0))
+    return tables[table].select(F.inline(F.array_compact(F.array(*entries))))
+
+
+def _key_report(tables: dict[str, DataFrame], checks: list[RowCheck | KeyCheck]) -> DataFrame:
+    """Row-level and key checks together: each table is read once, and all keys are counted by one aggregate."""
+    used = dict.fromkeys(t for c in checks for t in (c.table, getattr(c, "parent", None)) if t)
+    rows = reduce(DataFrame.unionByName, [_tagged(tables, t, checks) for t in used])
+    counts = rows.groupBy("check", "key").agg(F.sum("rows").alias("rows"), F.bool_or("present").alias("present"))
+    literal = lambda f: F.array(*(F.lit(f(c)) for c in checks))
+    repeated = F.get(literal(lambda c: isinstance(c, KeyCheck) and c.parent is None), "check")
+    failures = F.when(repeated, (F.col("rows") > 1).cast("long")).when(F.col("present"), 0).otherwise(F.col("rows"))
+    found = counts.groupBy("check").agg(F.sum(failures).alias("failures"))
+    every = rows.sparkSession.range(len(checks)).select(F.col("id").cast("int").alias("check"))
+    named = every.join(found, "check", "left")
+    return named.select(
+        F.get(literal(lambda c: c.table), "check").alias("table"),
+        F.get(literal(lambda c: c.name), "check").alias("check"),
+        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
+    )
 
 
 def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check with its number of failures."""
     checks = list(checks)
-    parts: list[DataFrame] = []
-    for table in dict.fromkeys(c.table for c in checks):
+    keys = [c for c in checks if isinstance(c, KeyCheck)]
+    keyed = {t for c in keys for t in (c.table, c.parent)}
+    fused = keys + [c for c in checks if isinstance(c, RowCheck) and c.table in keyed]
+    parts: list[DataFrame] = [_key_report(tables, fused)] if fused else []
+    for table in dict.fromkeys(c.table for c in checks if c.table not in keyed):
         rows = [c for c in checks if isinstance(c, RowCheck) and c.table == table]
         if rows:
             parts.append(_row_report(tables[table], table, rows))
     for c in checks:
         if isinstance(c, FrameCheck):
-            failures = F.count(F.lit(1)) if c.weight is None else F.coalesce(F.sum(c.weight), F.lit(0))
             parts.append(
                 c.rows(tables)
-                .agg(failures.cast("bigint").alias("failures"))
+                .agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
                 .select(F.lit(c.table).alias("table"), F.lit(c.name).alias("check"), "failures")
             )
     return reduce(DataFrame.unionByName, parts)

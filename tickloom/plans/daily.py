@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom import fixed_values as V
 from tickloom import schemas
 from tickloom.operators import merge as M
 from tickloom.operators import quality as Q
+from tickloom.operators.snapshots import Snapshots, VersionedFact, read_table, write_table
 from tickloom.plans import checks, marts, staging
 from tickloom.session import beside, delete_path, path_exists, scratch_space, stored, swap
 from tickloom.sources.lake import Sources
@@ -36,6 +39,61 @@ class Warehouse:
     def dim(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def change(self, spark: SparkSession) -> AbstractContextManager[None]:
+        """What is written inside belongs together. Plain tables are replaced one by one."""
+        return nullcontext()
+
+    def read_dim(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame | None:
+        """A dimension; None before it is first written."""
+        return spark.read.schema(schema).parquet(self.dim(name)) if path_exists(spark, self.dim(name)) else None
+
+    def replace_dim(self, spark: SparkSession, name: str, df: DataFrame) -> None:
+        """Replace a dimension that ``df`` may itself read."""
+        new = beside(self.dim(name))
+        try:
+            df.coalesce(1).write.parquet(new)
+            swap(spark, new, self.dim(name))
+        finally:
+            delete_path(spark, new)
+
+
+class VersionedWarehouse(Warehouse):
+    """The same tables in versions: a run shows all it has written at once, by one manifest, and needs no rename.
+
+    ``version`` pins what is read; without it every read takes the latest version.
+    """
+
+    def __init__(self, root: str, version: int | None = None):
+        super().__init__(root)
+        object.__setattr__(self, "snapshots", Snapshots(root))
+        object.__setattr__(self, "version", version)
+
+    def _fact(self, name: str, schema: T.StructType) -> VersionedFact:
+        return VersionedFact(f"{self.root}/{name}", schema, snapshots=self.snapshots, version=self.version)
+
+    @property
+    def crypto_daily(self) -> VersionedFact:
+        return self._fact("fct_crypto_daily", schemas.FCT_CRYPTO_DAILY)
+
+    @property
+    def market_insights(self) -> VersionedFact:
+        return self._fact("fct_market_insights", schemas.FCT_MARKET_INSIGHTS)
+
+    def pinned(self, spark: SparkSession) -> VersionedWarehouse:
+        """The latest version, which later runs do not change."""
+        return VersionedWarehouse(self.root, max(self.snapshots.versions(spark)))
+
+    def change(self, spark: SparkSession) -> AbstractContextManager[None]:
+        return self.snapshots.change(spark)
+
+    def read_dim(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame | None:
+        if name not in self.snapshots.tables(spark, self.version):
+            return None
+        return read_table(spark, self.snapshots, name, schema, self.version)
+
+    def replace_dim(self, spark: SparkSession, name: str, df: DataFrame) -> None:
+        write_table(self.snapshots, df, name)
+
 
 def since_landed(raw: DataFrame, start: dt.date | None, day: str = "dt", slack_days: int = 1) -> DataFrame:
     """Bronze rows that can hold events from ``start`` on.
@@ -155,29 +213,20 @@ def _write_both(
     _store(spark, warehouse.market_insights, market_insights_rows(days, insight_bounds), replace[1])
 
 
-def _replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace a small table that ``df`` may itself read."""
-    new = beside(path)
-    try:
-        df.coalesce(1).write.parquet(new)
-        swap(spark, new, path)
-    finally:
-        delete_path(spark, new)
-
-
 def update_dimensions(spark: SparkSession, warehouse: Warehouse, stg_prices: DataFrame, replace: bool) -> None:
     """Dates from the stored fact; coins from the staged prices, added to the known ones unless all is rebuilt."""
-    _replace_table(spark, marts.dim_date(warehouse.crypto_daily.read(spark)), warehouse.dim("dim_date"))
-    coins, path = marts.dim_coin(stg_prices), warehouse.dim("dim_coin")
-    if not replace and path_exists(spark, path):
-        coins = spark.read.schema(schemas.DIM_COIN).parquet(path).unionByName(coins).distinct()
-    _replace_table(spark, coins, path)
+    warehouse.replace_dim(spark, "dim_date", marts.dim_date(warehouse.crypto_daily.read(spark)))
+    coins = marts.dim_coin(stg_prices)
+    known = None if replace else warehouse.read_dim(spark, "dim_coin", schemas.DIM_COIN)
+    if known is not None:
+        coins = known.unionByName(coins).distinct()
+    warehouse.replace_dim(spark, "dim_coin", coins)
 
 
 def backfill(spark: SparkSession, warehouse: Warehouse, sources: Sources, start: dt.date, end: dt.date) -> None:
     """Rebuild [start, end] from bronze and merge it, including later days whose windows changed, and the dimensions."""
     bounds = M.backfill_bounds(start, end, rolling=False), M.backfill_bounds(start, end, rolling=True)
-    with scratch_space(spark, "backfill") as space:
+    with scratch_space(spark, "backfill") as space, warehouse.change(spark):
         stg = store_staged(spark, sources, _start(*bounds), space)
         _write_both(spark, warehouse, stg, *bounds, replace=(False, False), space=space)
         update_dimensions(spark, warehouse, stg["stg_prices"], replace=False)
@@ -197,7 +246,7 @@ def _next_bounds(spark: SparkSession, warehouse: Warehouse, full_refresh: bool)
 def build(spark: SparkSession, warehouse: Warehouse, sources: Sources, full_refresh: bool = False) -> None:
     """Facts, then the dimensions that depend on them."""
     *bounds, replace = _next_bounds(spark, warehouse, full_refresh)
-    with scratch_space(spark, "build") as space:
+    with scratch_space(spark, "build") as space, warehouse.change(spark):
         stg = store_staged(spark, sources, _start(*bounds), space)
         _write_both(spark, warehouse, stg, *bounds, replace=replace, space=space)
         update_dimensions(spark, warehouse, stg["stg_prices"], replace=replace[0])
@@ -219,8 +268,8 @@ def tables(
         **(staged(sources, landed_from) if stg is None else stg),
         "fct_crypto_daily": warehouse.crypto_daily.read(spark),
         "fct_market_insights": warehouse.market_insights.read(spark),
-        "dim_date": spark.read.parquet(warehouse.dim("dim_date")),
-        "dim_coin": spark.read.parquet(warehouse.dim("dim_coin")),
+        "dim_date": warehouse.read_dim(spark, "dim_date", schemas.DIM_DATE),
+        "dim_coin": warehouse.read_dim(spark, "dim_coin", schemas.DIM_COIN),
     }
 
 
@@ -251,8 +300,9 @@ def run(
     start = _start(*bounds, M.Bounds(read_from=check_from))
     with scratch_space(spark, "run") as space:
         stg = store_staged(spark, sources, start, space)
-        _write_both(spark, warehouse, stg, *bounds, replace=replace, space=space)
-        update_dimensions(spark, warehouse, stg["stg_prices"], replace=replace[0])
+        with warehouse.change(spark):
+            _write_both(spark, warehouse, stg, *bounds, replace=replace, space=space)
+            update_dimensions(spark, warehouse, stg["stg_prices"], replace=replace[0])
         report = Q.run_checks(tables(spark, warehouse, sources, check_from, stg), checks.full_suite(expected))
         found = report.collect()
         kept = spark.createDataFrame(found, report.schema)

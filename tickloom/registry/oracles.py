@@ -792,7 +792,7 @@ oracle(
     "mixed_json_compaction",
     (),
     f"""SELECT event_id, event_type, round(value, 8) AS value, strftime(ts, {_TS}) AS ts,
-       (SELECT count(*) FROM events WHERE event_id % 50 = 4) AS skipped_lines FROM events""",
+       (SELECT count(*) + 4 FROM events WHERE event_id % 50 = 4) AS skipped_lines, CAST(2 AS BIGINT) AS set_aside FROM events""",
 )
 oracle(
     "upsert_no_delete",
@@ -855,3 +855,19 @@ oracle(
 FROM closed WHERE date_trunc('day', event_time) + INTERVAL 1 DAY <= (SELECT max(event_time) FROM closed)
 GROUP BY 1, 2""",
 )
+oracle(
+    "stream_late_corrected",
+    (),
+    """SELECT strftime(day, '%Y-%m-%d') AS report_date, event_type AS coin_id, round(avg(price), 8) AS avg_price,
+       (SELECT count(*) FROM events WHERE CAST(floor(epoch(ts)) AS BIGINT) % 7 = 0 AND CAST(ts AS DATE) <
+        (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) FROM events WHERE CAST(floor(epoch(ts)) AS BIGINT) % 7 <> 0)) AS late_rows
+FROM (SELECT CAST(ts AS DATE) AS day, event_type, ts, max(value) AS price FROM events GROUP BY ALL)
+WHERE day < (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) FROM events) GROUP BY day, event_type""",
+)
+oracle(
+    "inc_versions",
+    ("fact",),
+    """SELECT CAST(report_date AS VARCHAR) AS report_date, coin_id, round(avg_price, 8) AS avg_price, version
+FROM fact, (VALUES (CAST(1 AS BIGINT), 2), (CAST(2 AS BIGINT), 0)) v (version, back)
+WHERE report_date <= (SELECT max(report_date) FROM fact) - back * INTERVAL 1 DAY""",
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Callable
 from functools import wraps
 
@@ -534,8 +535,7 @@ def trades_rejected(spark, d):
     path = scratch_dir(spark, "odd")
     _odd_messages(spark, d).select("payload").write.text(f"{path}/in")
     stream = trades.file_stream(spark, f"{path}/in", T.StructType([T.StructField("value", T.StringType())]), "text")
-    for q in trades.append_ticks(stream, "value", f"{path}/ticks", f"{path}/rejected", f"{path}/state"):
-        q.awaitTermination()
+    trades.append_ticks(stream, "value", f"{path}/ticks", f"{path}/rejected", f"{path}/state").awaitTermination()
     ticks = spark.read.parquet(f"{path}/ticks").select(F.lit("tick").alias("kind"))
     rejected = spark.read.parquet(f"{path}/rejected").select(F.lit("rejected").alias("kind"))
     return ticks.unionByName(rejected).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
@@ -750,6 +750,23 @@ def inc_insights_emit_max(spark, d):
     return warehouse.market_insights.read(spark)
 
 
+@query
+def inc_versions(spark, d):
+    """A warehouse in versions: two runs, of which the second leaves what a reader of the first version sees. In each
+    version both facts hold the same days and coins."""
+    warehouse = daily.VersionedWarehouse(scratch_dir(spark, "versions"))
+    daily.build(spark, warehouse, _until(spark, d, _latest_landed(spark, d) - dt.timedelta(days=2)))
+    first = warehouse.pinned(spark)
+    daily.build(spark, warehouse, sample.sources(spark, d))
+
+    def seen(w: daily.VersionedWarehouse) -> DataFrame:
+        wide = w.market_insights.read(spark).select("record_id")
+        both = w.crypto_daily.read(spark).join(wide, "record_id", "left_semi")
+        return both.select("report_date", "coin_id", "avg_price", F.lit(w.version).cast("bigint").alias("version"))
+
+    return seen(first).unionByName(seen(warehouse.pinned(spark)))
+
+
 @query
 def inc_late_data(spark, d):
     """A price rises late on a day before the newest one: the next run has it in the daily fact, whose lookback
@@ -970,8 +987,9 @@ def _renamed(spark, folder: str, suffixes: dict[str, str]) -> None:
 @query
 def mixed_json_compaction(spark, d):
     """Events in five shapes, named alike: lines as .json and .jsonl, compressed lines, arrays over many lines
-    and on one. Compacted and read back they are the table; broken lines are counted."""
-    raw, out = scratch_dir(spark, "mixed"), scratch_dir(spark, "mixed-out")
+    and on one. Compacted and read back they are the table; broken lines are counted. A record beyond the limit,
+    and a file without any, are set aside."""
+    raw, out, limit = scratch_dir(spark, "mixed"), scratch_dir(spark, "mixed-out"), 1 << 20
     e = sample.events(spark, d).select("event_id", "event_type", "value", F.date_format("ts", C.SECOND_FORMAT).alias("ts"))
     k = F.col("event_id") % 5
     line = e.select(F.to_json(F.struct(*e.columns)).alias("value"), "event_id")
@@ -984,9 +1002,16 @@ def mixed_json_compaction(spark, d):
     listed.where("k = 3").select(close.alias("value")).write.text(f"{raw}/arrays")
     bad = F.when(F.col("event_id") % 50 == 4, F.array("value", F.lit("{broken"))).otherwise(F.array("value"))
     line.where(k == 4).select(F.explode(bad).alias("value")).write.text(f"{raw}/broken")
+    large = F.concat(F.lit('{\n"event_id": 1, "pad": "'), F.expr(f"repeat(value, CAST({limit} div length(value) + 1 AS INT))"), F.lit('"\n}'))
+    first = line.orderBy("event_id").limit(1)
+    first.select(F.regexp_replace("value", '"', "'").alias("value")).select(large.alias("value")).write.text(f"{raw}/large")
+    first.select(F.lit("{no record").alias("value")).write.text(f"{raw}/none")
     _renamed(spark, raw, {".txt.gz": ".jsonl.gz", ".txt": ".json"})
-    report = sinks.compact_report(spark, raw, out, e.schema)
-    return spark.read.schema(e.schema).parquet(out).withColumn("skipped_lines", F.lit(report["skipped_lines"]).cast("bigint"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        report = sinks.compact_report(spark, raw, out, e.schema, document_bytes=limit)
+    counts = {name: F.lit(report[name]).cast("bigint") for name in ("skipped_lines", "set_aside")}
+    return spark.read.schema(e.schema).parquet(out).withColumns(counts)
 
 
 @query
@@ -1059,6 +1084,23 @@ def stream_daily_avg(spark, d):
     return _streamed(spark, trades.closed_daily_average(_hourly(spark, d)), "averages")
 
 
+@query
+def stream_late_corrected(spark, d):
+    """Ticks in three files, the last of which holds every seventh tick of all days: the days that were closed by
+    then are corrected, and the rows that came late are counted."""
+    path = scratch_dir(spark, "late")
+    ticks = sample.events(spark, d).select(F.col("ts").cast("timestamp").alias("event_time"), F.col("event_type").alias("symbol"), F.col("value").alias("price"))
+    late = F.unix_seconds("event_time") % 7 == 0
+    early = F.col("event_time") < F.lit("2024-01-16").cast("timestamp")
+    follow = trades.DailyAverages(f"{path}/out", delay="1 day")
+    for part in (~late & early, ~late & ~early, late):
+        ticks.where(part).write.mode("append").parquet(f"{path}/in")
+        stream = trades.file_stream(spark, f"{path}/in", ticks.schema, "parquet")
+        follow.start(stream, f"{path}/state").awaitTermination()
+    late_rows = follow.progress(spark).agg(F.sum("late")).first()[0]
+    return follow.averages(spark).withColumn("late_rows", F.lit(late_rows).cast("bigint"))
+
+
 @query
 def stream_freshness(spark, d):
     ticks = _streamed(spark, payloads.flatten_trades(_messages(spark, d)), "fresh")

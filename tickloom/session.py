@@ -90,26 +90,33 @@ def stored(spark: SparkSession, df: DataFrame, label: str, below: str | None = N
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _filesystem(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it takes it."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def file_path(spark: SparkSession, uri: str) -> str:
+    """The path that readers take for a file as ``_metadata.file_path`` names it, where odd characters are encoded."""
+    java = spark.sparkContext._jvm
+    return java.org.apache.hadoop.fs.Path(java.java.net.URI(uri)).toString()
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size below a path, from the filesystem's own summary."""
-    fs, where = _filesystem(spark, path)
+    fs, where = file_system(spark, path)
     return fs.getContentSummary(where).getLength()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists."""
-    fs, where = _filesystem(spark, path)
+    fs, where = file_system(spark, path)
     return fs.exists(where)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds, if it is there."""
-    fs, where = _filesystem(spark, path)
+    fs, where = file_system(spark, path)
     fs.delete(where, True)
 
 
@@ -121,13 +128,13 @@ def beside(path: str) -> str:
 
 def swap(spark: SparkSession, staged: str, target: str) -> None:
     """Put a finished folder in the place of another one; the old one goes once the new one is there."""
-    fs, new = _filesystem(spark, staged)
-    _, place = _filesystem(spark, target)
+    fs, new = file_system(spark, staged)
+    _, place = file_system(spark, target)
     if not fs.exists(new):
         raise FileNotFoundError(staged)
     old = None
     if fs.exists(place):
-        _, old = _filesystem(spark, beside(target))
+        _, old = file_system(spark, beside(target))
         if not fs.rename(place, old):
             raise OSError(f"cannot move {target} aside")
     fs.mkdirs(place.getParent())
@@ -141,7 +148,7 @@ def swap(spark: SparkSession, staged: str, target: str) -> None:
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none if it is missing. One listing, no file is opened."""
-    fs, where = _filesystem(spark, path)
+    fs, where = file_system(spark, path)
     if not fs.exists(where):
         return []
     return [s.getPath().getName() for s in fs.listStatus(where)]

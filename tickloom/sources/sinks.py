@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from math import ceil
+import warnings
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.quality import QualityError, counted
-from tickloom.session import beside, delete_path, path_exists, swap
+from tickloom.session import beside, delete_path, file_system, path_exists, scratch_space, sibling, swap
 from tickloom.sources.lake import MixedJson, read_strict_json_lines
 
 
@@ -59,41 +60,50 @@ def append_checked(df: DataFrame, path: str) -> int:
 
 
 def folder_bytes(spark: SparkSession, folder: str, glob: str) -> int:
-    """Total size of matching files; only file listings are read, never their content."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(folder)
-    )
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    """Total size of the files below a folder that match, from the file system's listing."""
+    fs, where = file_system(spark, folder)
+    found, total = fs.listFiles(where, True), 0
+    while found.hasNext():
+        f = found.next()
+        if fnmatch(f.getPath().getName(), glob):
+            total += f.getLen()
+    return total
 
 
 def compact_report(
-    spark: SparkSession, folder: str, out: str, schema: T.StructType | None = None, target_bytes: int = 256 << 20
+    spark: SparkSession, folder: str, out: str, schema: T.StructType | None = None, target_bytes: int = 256 << 20, document_bytes: int = 64 << 20
 ) -> dict[str, int]:
     """Many small JSON files to few Snappy Parquet files of about ``target_bytes``.
 
-    The files are parsed by as many tasks as they make splits; how many files the result takes
-    follows from the Parquet bytes that came out. Returns ``rows``, and the ``skipped_lines`` of
-    ``skipped_files`` that hold lines that are no records. With nothing to do nothing is written.
+    The files are parsed by as many tasks as they make splits. What came out is measured and packed into
+    tasks of ``target_bytes`` of Parquet, each of which reads its parts and writes one file: nothing is
+    shuffled. Returns ``rows``, the ``skipped_lines`` of ``skipped_files`` that hold lines that are no
+    records, and the number of files ``set_aside``, which a warning names. The rest is compacted all the
+    same. With nothing to do nothing is written.
     """
-    nothing = {"rows": 0, "skipped_lines": 0, "skipped_files": 0}
+    nothing = {"rows": 0, "skipped_lines": 0, "skipped_files": 0, "set_aside": 0}
     if not path_exists(spark, folder) or not folder_bytes(spark, folder, "*.json*"):
         return nothing
-    mixed, parsed, staged = MixedJson(spark, folder), beside(out), beside(out)
-    try:
-        rows, seen = counted(mixed.rows(schema))
-        rows.write.option("compression", "snappy").parquet(parsed)
-        n = max(1, ceil(folder_bytes(spark, parsed, "*.parquet") / target_bytes))
-        again = spark.read.schema(rows.schema).parquet(parsed).repartition(n)
-        again.write.option("compression", "snappy").parquet(staged)
-        swap(spark, staged, out)
-    finally:
-        delete_path(spark, parsed)
-        delete_path(spark, staged)
-    lines, files = mixed.skipped().agg(F.coalesce(F.sum("skipped"), F.lit(0)), F.count(F.lit(1))).first()
-    return {"rows": seen.get["rows"], "skipped_lines": lines, "skipped_files": files}
+    staged = beside(out)
+    with scratch_space(spark, "compaction") as below:
+        try:
+            mixed = MixedJson(spark, folder, document_bytes, below)
+            schema = mixed.schema() if schema is None else schema
+            folders, rows_of = mixed.parsed(schema, f"{below}/parsed")
+            # Parts are packed by Spark, the largest first, as many as fit the target; a part is split at its row groups.
+            packed = sibling(spark, {"spark.sql.files.maxPartitionBytes": str(target_bytes), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"})
+            rows, seen = counted(rows_of(packed.read.schema(spark.read.parquet(folders[0]).schema).parquet(*folders)))
+            rows.write.option("compression", "snappy").parquet(staged)
+            swap(spark, staged, out)
+        finally:
+            delete_path(spark, staged)
+        files = mixed.files()
+        aside = F.col("verdict") == "set aside"
+        lines, n, left = files.agg(F.coalesce(F.sum("skipped"), F.lit(0)), F.count_if(F.col("skipped") > 0), F.count_if(aside)).first()
+        if left:
+            for r in files.where(aside).orderBy("file").limit(20).collect():
+                warnings.warn(f"{r.file} set aside: {r.reason}", stacklevel=2)
+    return {"rows": seen.get["rows"], "skipped_lines": lines, "skipped_files": n, "set_aside": left}
 
 
 def compact(spark: SparkSession, folder: str, out: str, schema: T.StructType | None = None, target_bytes: int = 256 << 20) -> int:
@@ -101,6 +111,6 @@ def compact(spark: SparkSession, folder: str, out: str, schema: T.StructType | N
     return compact_report(spark, folder, out, schema, target_bytes)["rows"]
 
 
-def compact_all(spark: SparkSession, raw_root: str, out_root: str, schemas: dict[str, T.StructType]) -> dict[str, int]:
-    """Compact every source folder under ``raw_root``."""
-    return {name: compact(spark, f"{raw_root}/{name}", f"{out_root}/{name}", schema) for name, schema in schemas.items()}
+def compact_all(spark: SparkSession, raw_root: str, out_root: str, schemas: dict[str, T.StructType]) -> dict[str, dict[str, int]]:
+    """Compact every source folder under ``raw_root``; the report of each."""
+    return {name: compact_report(spark, f"{raw_root}/{name}", f"{out_root}/{name}", schema) for name, schema in schemas.items()}
