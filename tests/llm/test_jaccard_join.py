@@ -134,14 +134,19 @@ def test_other_orders_drop_candidates_before_texts_move(spark):
 
 
 def test_no_text_is_fetched_for_dropped_candidates(monkeypatch, frame):
-    """All texts hold one passage. Candidates that the other orders drop never reach the texts, and no link is lost."""
-    docs, seen = near_copies(3, 40, 40, 60, 4), []
+    """Texts that share a beginning of rare words and nothing else: candidates of order 1 that the others drop for the most part."""
+    r, seen = random.Random(8), []
+    docs = []
+    for g in range(60):
+        begin = [f"rare{g}-{k}" for k in range(6)]
+        docs += [" ".join([*begin, *(f"w{r.randrange(40)}" for _ in range(60))]) for _ in range(4)]
+    docs = list(enumerate([*docs, docs[0] + " end", docs[100] + " end"]))
     own = jj.verified
     monkeypatch.setattr(jj, "verified", lambda pairs, *rest: seen.append(pairs.count()) or own(pairs, *rest))
     agreed, made = jj.agreed, []
     monkeypatch.setattr(jj, "agreed", lambda pairs, classes: made.append(pairs.count()) or agreed(pairs, classes))
-    assert joined(frame(*docs), size=3, percent=90) == brute(docs, 3, 90)
-    assert len(made) == len(seen) == 1 and seen[0] < made[0]
+    assert joined(frame(*docs), size=3, percent=80) == brute(docs, 3, 80)
+    assert len(made) == len(seen) == 1 and made[0] > 200 and 2 <= seen[0] < 0.8 * made[0]
 
 
 def test_members_that_meet_no_other_under_every_order_leave_their_list(spark):

@@ -49,7 +49,7 @@ def operators():
         "op3": license_scan.scan,
         "op4": mixing.mix,
         "op5": lambda docs: token_counts.count_tokens(docs, byte),
-        "op6": lambda docs: language_id.predict(docs, docs),
+        "op6": lambda docs: language_id.identify(docs, language_id.learn(docs)),
         "op7": lambda docs: byte_bpe.round_trip(docs, ranks),
         "op8": lambda docs: quality_rules.classify(docs, labelled(docs)),
         "op9": lambda docs: jaccard_join.groups(docs),
