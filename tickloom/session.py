@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,10 +65,27 @@ def shuffle_partitions(input_bytes: int, per_partition: int = 256 << 20) -> int:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, or under the warehouse if that is unset."""
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, or under the warehouse if that is unset.
+
+    Folders lie below one of the application's, which is deleted when the driver ends: frames that are handed
+    out read from it, so it cannot go earlier.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    own = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if own not in _TO_CLEAR:
+        _TO_CLEAR.add(own)
+        atexit.register(_clear, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
+
+
+_TO_CLEAR: set[str] = set()
+
+
+def _clear(java, conf, folder: str) -> None:
+    with suppress(Exception):  # the JVM may be gone by then
+        where = java.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(conf).delete(where, True)
 
 
 @contextmanager
