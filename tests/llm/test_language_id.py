@@ -165,3 +165,17 @@ def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     got = lid.op6_language_id(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(got) > 250 and sum(r.lang == r.lang_pred for r in got) >= 0.98 * len(got)
+
+
+def test_many_languages_share_a_bound(spark, frame):
+    """Two hundred languages, each of words of its own: the model stays within its bound and still tells them apart."""
+    r = random.Random(4)
+    words = {f"l{k:03d}": ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 7))) for _ in range(40)] for k in range(200)}
+    text = lambda k, n: " ".join(r.choice(words[k]) for _ in range(n))
+    docs = frame(*((i, text(k, 150), k, "s") for i, k in enumerate(list(words) * 4)))
+    parser = lid.learn(docs, chars_in_all=100_000)
+    assert len(parser.names) == 200 and max(parser.lengths) <= 500
+    assert sum(a.table.nbytes for a in parser.automata) < 40 << 20
+    got = parser.predict([text(k, 60) for k in list(words)[:40]])
+    assert sum(name == k for (name, _), k in zip(got, words)) >= 38
+    assert len(lid.learn(docs, most_languages=7).names) == 7

@@ -188,3 +188,15 @@ def test_queries_against_libraries(spark, sf_dir, reference):
         ids = reference.encode_ordinary(docs[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_shards_go_where_spark_reads(spark, frame, tmp_path):
+    """A path without a scheme gets that of Spark's file system; one that tasks cannot open fails before anything is written."""
+    assert token_shards.qualified(spark, f"{tmp_path}/x") == f"file:{tmp_path}/x"
+    for uri in (f"{tmp_path}/a", f"file:{tmp_path}/a", f"file://{tmp_path}/a"):
+        where, path = token_shards.place(uri)
+        assert path == f"{tmp_path}/a" and where.type_name == "local"
+    with pytest.raises(Exception, match="gopher"):
+        token_shards.write_shards(frame((1, "a")), WORD, "gopher://nowhere/x")
+    token_shards.write_shards(frame((1, "a b"), (2, "c")), WORD, f"{tmp_path}/plain", end_id=1)
+    assert [r.doc_id for r in token_shards.read_shards(spark, f"{tmp_path}/plain").orderBy("doc_id").collect()] == [1, 2]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.session import scratch_dir
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: White space between words: the space and \x09 to \x0D, nothing else.
@@ -50,9 +51,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder in the shared ``spark.checkpoint.dir``; without that setting, in the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder in the shared ``spark.checkpoint.dir`` (without that setting, in the warehouse), there until the driver ends."""
+    return scratch_dir(spark, label)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

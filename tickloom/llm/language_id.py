@@ -15,8 +15,9 @@ is parsed at once: whole texts are laid out as rows of ``BLOCK`` symbols, phrase
 row, and one numpy lookup per symbol, with a search for letters beyond the table, moves all rows on.
 
 Learning keeps at most ``chars_a_language`` characters per language, letters and the spaces between
-words, from rows chosen by a hash; this bound fixes the size of the model whatever the corpus holds.
-A language with less labelled text than that learns from all of it.
+words, from rows chosen by a hash, and ``chars_in_all`` of all languages together, in equal parts; these
+bounds fix the size of the model whatever the corpus holds. A language with less labelled text than its
+part learns from all of it. Of more than ``most_languages`` labels, those with the most text are learned.
 
 Null text, or text without a letter, is ``und`` with score 0. Repeated rows each get a row. Without
 a labelled row nothing can be predicted, and every text is ``und``. Only the named columns are read.
@@ -34,6 +35,9 @@ from tickloom.llm.common import column, documents, find_package, per_row, slices
 BLOCK = 512
 COMMON = 62  # letters in a table's row, with the space and the unknown letter: 64; moves by other letters are listed
 CHARS_A_LANGUAGE = 40_000
+#: Letters of all languages together: 26 languages learn 40,000 each, 200 languages 5,000, in tables of some 240 MB for 26 letters.
+CHARS_IN_ALL = 1 << 20
+MOST_LANGUAGES = 1000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -231,7 +235,7 @@ class CrossParser:
         return out
 
 
-def learn(docs: DataFrame, chars_a_language: int = CHARS_A_LANGUAGE) -> CrossParser:
+def learn(docs: DataFrame, chars_a_language: int = CHARS_A_LANGUAGE, chars_in_all: int = CHARS_IN_ALL, most_languages: int = MOST_LANGUAGES) -> CrossParser:
     """A parser from rows that are not held out and have a language.
 
     Per language, rows are taken in the order of a hash until their letters fill the bound. A threshold
@@ -246,7 +250,9 @@ def learn(docs: DataFrame, chars_a_language: int = CHARS_A_LANGUAGE) -> CrossPar
     # Hashes below a threshold per language: those are expected to hold three times the bound, and twenty rows
     # at least. Known to the plan as literals, one per language, so other rows are left out before any shuffle.
     usable = F.least(F.length("text"), F.lit(chars_a_language))
-    sizes = rows.where("text <> ''").groupBy("lang").agg(F.sum(usable).alias("total"), F.count("*").alias("rows")).collect()
+    counts = rows.where("text <> ''").groupBy("lang").agg(F.sum(usable).alias("total"), F.count("*").alias("rows"))
+    sizes = counts.orderBy(F.desc("total"), "lang").limit(most_languages).collect()
+    chars_a_language = min(chars_a_language, max(1, chars_in_all // max(1, len(sizes))))
     shares = {r["lang"]: max(3.0 * chars_a_language / r["total"], 20.0 / r["rows"]) for r in sizes}
     joined = {}
     while shares:

@@ -14,6 +14,7 @@ first; repeated rows are written and read once each. An empty table gives no sha
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from array import array
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import bytes_of, column, documents, find_package, scratch, slices
 from tickloom.llm.pieces import PieceCache, shared_cache, tokenizer
+from tickloom.session import file_system
 
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_TOKENS = 1 << 18
@@ -124,8 +126,21 @@ class ShardReader:
 
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI or an absolute path."""
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    """File system and path of a URI; one without a scheme is an absolute path of this machine."""
+    if ":/" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", re.sub("^s3[an]://", "s3://", uri)))
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme Spark would read it by, so that tasks write where the manifest goes.
+
+    Raises before anything is written if that file system is not one that tasks can open.
+    """
+    system, where = file_system(spark, folder)
+    out = where.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    place(out)
+    return out
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int | None = None, shards: int | None = None, frame_tokens: int = FRAME_TOKENS) -> DataFrame:
@@ -136,6 +151,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     """
     spark = docs.sparkSession
     find_package(spark)
+    folder = qualified(spark, folder)
     width = 2 if max(tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id or 0) <= 1 << 16 else 4
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").alias("text"))
