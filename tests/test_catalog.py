@@ -56,3 +56,34 @@ def test_warehouse_tables_in_sql(spark, sf_dir, tmp_path):
     daily.build(spark, w, sample.sources(spark, sf_dir))
     catalog.register_warehouse(spark, "marts_test", w.root)
     assert spark.table("marts_test.fct_crypto_daily").count() == 150
+
+
+def test_discovery_reads_changed_folders_alone(spark, tmp_path):
+    root = f"{tmp_path}/prices"
+    day = lambda df, d: df.write.mode("overwrite").parquet(f"{root}/dt={d}")
+    for d in ("2024-01-01", "2024-01-02"):
+        day(spark.createDataFrame([("a", 1.0)], "symbol string, price double"), d)
+    columns, read = catalog.discover(spark, root)
+    assert columns.names == ["symbol", "price"] and read == ["dt=2024-01-01", "dt=2024-01-02"]
+    assert catalog.discover(spark, root) == (columns, [])
+    day(spark.createDataFrame([("b", 2.0, 3)], "symbol string, price double, rank long"), "2024-01-03")
+    columns, read = catalog.discover(spark, root)
+    assert columns.names == ["symbol", "price", "rank"] and read == ["dt=2024-01-03"]
+    day(spark.createDataFrame([("a",)], "symbol string"), "2024-01-01")  # written again, with less
+    columns, read = catalog.discover(spark, root)
+    assert columns.names == ["symbol", "price", "rank"] and read == ["dt=2024-01-01"]
+    where = (f"found_{tmp_path.name}", "prices", root, f"{tmp_path}/db")
+    name, _ = catalog.register_discovered(spark, *where)
+    assert rows(spark.table(name).select("symbol", "price", "rank")) == [("a", 1.0, None), ("a", None, None), ("b", 2.0, 3)]
+    day(spark.createDataFrame([(1.5,)], "symbol double"), "2024-01-04")
+    try:
+        catalog.discover(spark, root)
+        raise AssertionError("columns of two kinds were taken")
+    except ValueError as error:
+        assert "symbol is double" in str(error)
+
+
+def test_discovery_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    columns, read = catalog.discover(spark, f"{tmp_path}/none")
+    assert columns.names == [] and read == []

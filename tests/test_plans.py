@@ -12,7 +12,8 @@ EAGER = {
     "contract_land", "bronze_daily_price", "jsonl_roundtrip", "path_date_partition", "external_table", "compaction",
     "append_observed", "stream_trades_append", "stream_dedup", "stream_daily_avg", "stream_freshness",
     "payload_broken_documents", "trades_rejected", "land_keeps_good_day", "publish_keeps_good_file", "inc_late_data",
-    "backfill_dimensions", "gates", "external_lake_tables", "mixed_json_compaction",
+    "backfill_dimensions", "gates", "external_lake_tables", "mixed_json_compaction", "inc_versions", "stream_late_corrected",
+    "schema_discovery",
 }
 
 

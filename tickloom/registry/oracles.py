@@ -871,3 +871,9 @@ oracle(
 FROM fact, (VALUES (CAST(1 AS BIGINT), 2), (CAST(2 AS BIGINT), 0)) v (version, back)
 WHERE report_date <= (SELECT max(report_date) FROM fact) - back * INTERVAL 1 DAY""",
 )
+oracle(
+    "schema_discovery",
+    ("prices",),
+    """SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS n, count(symbol) FILTER (WHERE dt = (SELECT max(dt) FROM prices)) AS n_venues,
+       CAST(1 AS BIGINT) AS folders_read FROM prices GROUP BY prices.dt""",
+)

@@ -932,6 +932,22 @@ def external_table(spark, d):
     return spark.table(name).groupBy("dt", "symbol").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("high"))
 
 
+@query
+def schema_discovery(spark, d):
+    """A lake table that finds its columns: the newest day brings one more, and that day alone is looked into."""
+    path = scratch_dir(spark, "found")
+    rows = sample.prices(spark, d).select("symbol", "price", "dt")
+    newest = F.col("dt") == F.lit(_latest_landed(spark, d))
+    where = {"database": f"found_{path[-32:]}", "table": "prices", "root": path, "database_location": f"{path}-db"}
+    rows.where(~newest).hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    catalog.register_discovered(spark, **where)
+    more = rows.where(newest).withColumn("venue", F.upper("symbol"))
+    more.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
+    name, read = catalog.register_discovered(spark, **where)
+    found = spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.count("venue").alias("n_venues"))
+    return found.withColumn("folders_read", F.lit(len(read)).cast("bigint"))
+
+
 @query
 def external_lake_tables(spark, d):
     """Posts, index and trending as catalog tables over day folders, one of them with bare dates."""

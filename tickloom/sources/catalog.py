@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from hashlib import sha256
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tickloom import schemas
+from tickloom.session import child_names, file_system
 from tickloom.sources.lake import DAY_FOLDER
 
 DT = T.StructField("dt", T.DateType())
@@ -95,3 +99,69 @@ def register_warehouse(spark: SparkSession, database: str, root: str, database_l
         register(spark, database, "dim_coin", f"{root}/dim_coin", schemas.DIM_COIN),
         register(spark, database, "dim_date", f"{root}/dim_date", schemas.DIM_DATE),
     ]
+
+
+#: Beside the day folders, and hidden from their readers: what is known of them.
+KNOWN = "_columns.json"
+
+
+def _fingerprints(spark: SparkSession, root: str) -> dict[str, str]:
+    """A digest of names, sizes and times of the files in each day folder, from listings alone."""
+    out = {}
+    for day in child_names(spark, root):
+        if day[0] in "._":
+            continue
+        fs, where = file_system(spark, f"{root}/{day}")
+        found, files = fs.listFiles(where, True), []
+        while found.hasNext():
+            f = found.next()
+            if f.getPath().getName()[0] not in "._":
+                files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        if files:
+            out[day] = sha256(repr(sorted(files)).encode()).hexdigest()
+    return out
+
+
+def discover(spark: SparkSession, root: str) -> tuple[T.StructType, list[str]]:
+    """The columns of all Parquet day folders below ``root``, and the folders that had to be looked into.
+
+    What is known is kept beside the folders: their fingerprints, and the columns found so far. Only the
+    footers of new or changed folders are read, so a column that the newest day brings costs that day
+    alone. Columns are never lost; folders whose columns contradict those known raise an error.
+    """
+    fs, where = file_system(spark, f"{root}/{KNOWN}")
+    known = {"folders": {}, "columns": T.StructType().jsonValue()}
+    if fs.exists(where):
+        stream = fs.open(where)
+        try:
+            known = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+    columns, now = T.StructType.fromJson(known["columns"]), _fingerprints(spark, root)
+    changed = sorted(day for day, mark in now.items() if known["folders"].get(day) != mark)
+    if changed:
+        found = spark.read.option("mergeSchema", "true").parquet(*(f"{root}/{day}" for day in changed)).schema
+        types = {f.name.lower(): f for f in columns}
+        for f in found:
+            old = types.get(f.name.lower())
+            if old is None:
+                columns = T.StructType([*columns, T.StructField(f.name, f.dataType)])
+            elif old.dataType != f.dataType:
+                raise ValueError(f"{root}: {f.name} is {f.dataType.simpleString()} in one of {changed[:3]}, {old.dataType.simpleString()} before")
+    if now != known["folders"]:
+        stream = fs.create(where, True)
+        try:
+            stream.write(bytearray(json.dumps({"folders": now, "columns": columns.jsonValue()}).encode()))
+        finally:
+            stream.close()
+    return columns, changed
+
+
+def register_discovered(spark: SparkSession, database: str, table: str, root: str, database_location: str | None = None) -> tuple[str, list[str]]:
+    """A lake table over day folders under the columns found in them; again, to take in new days and columns.
+
+    Returns its name and the folders that were looked into.
+    """
+    columns, changed = discover(spark, root)
+    create_database(spark, database, database_location)
+    return register(spark, database, table, root, columns, DT), changed
