@@ -1,7 +1,9 @@
 """Rules from trees, their weights as a column, held-out ranking."""
 
 import math
+import re
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +92,47 @@ def test_held_out_ranking_and_kept_rows(spark):
     kept = q.keep_good(docs, labels)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows.where("predicted = 1").collect()}
+
+
+def plain_statistics(text):
+    """The statistics by their names, word by word and line by line."""
+    data = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+    lines = [x for x in data.split(b"\n") if re.search(rb"[^\x20\x09-\x0D]", x)]
+    n, chars, many = max(1, len(words)), max(1, sum(map(len, words))), max(1, len(lines))
+    windows = Counter(zip(words, words[1:], words[2:]))
+    repeated = {i + k for i, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for k in range(3)}
+    count = lambda pattern: len(re.findall(pattern, data))
+    separators = {x.encode() for x in ("|", "||", ">", ">>", "/", "»", "›", "•", "·")}
+    return {
+        "words": len(words), "word_length": sum(map(len, words)) / n, "line_words": len(words) / many,
+        "symbol_share": count(rb"[#*$%&|<>]") / chars,
+        "odd_word_share": sum(bool(re.search(rb"[#*$%&|<>{}\\^~=_]|[!?]{2}", w)) for w in words) / n,
+        "separator_share": sum(w in separators for w in words) / n,
+        "upper_share": count(rb"[A-Z]") / max(1, count(rb"[A-Za-z]")), "digit_share": count(rb"[0-9]") / chars,
+        "distinct_share": len(set(words)) / n, "repeat_share": len(repeated) / n, "dup_line_share": 1 - len(set(lines)) / many,
+        "sentence_end_share": sum(bool(re.search('([.!?…。]|\\.")$', x.decode().rstrip(" \t\r\x0b\x0c"))) for x in lines) / many,
+        "comma_share": count(b",") / n, "longest_word": max(map(len, words), default=0),
+    }
+
+
+def test_query_against_a_plain_recomputation(spark, edge):
+    """Statistics, rules and the score of every row, from the learned rules and weights alone; ties at 0.5 count as 1."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    stats, model = q.learned(docs, labels)
+    assert len(model.weights) > 3
+    got = {r.doc_id: r for r in stats.select("*", model.score().alias("score")).collect()}
+    texts = docs.select("doc_id", "text").collect()
+    assert len(texts) == len(got)
+    for d in texts:
+        own = plain_statistics(d.text)
+        assert {s: got[d.doc_id][s] for s in q.STATISTICS} == pytest.approx(own, abs=1e-12)
+        own = {s: got[d.doc_id][s] for s in q.STATISTICS}
+        total = model.intercept
+        for rule, weight in model.weights.items():
+            if all(own[s] <= v if op == "<=" else own[s] > v for s, op, v in rule):
+                total += weight
+        assert got[d.doc_id].score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
+    half = q.Constant(0.5)
+    assert {r.p for r in edge.select((half.score() >= 0.5).cast("int").alias("p")).collect()} == {1}

@@ -11,7 +11,7 @@ hash of the id when there are more. With no label at all every score is 0.5; wit
 is that class's smoothed share.
 
 Null text counts as empty, and empty texts get a score like any other. Repeated rows each get a
-row; a document with several labels counts with each. Only ``doc_id``, ``text`` and the label are read.
+row; a document with several labels counts with each. A score of 0.5 itself counts as accepted. Only ``doc_id``, ``text`` and the label are read.
 """
 
 from __future__ import annotations
