@@ -75,15 +75,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     own = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
     if own not in _TO_CLEAR:
         _TO_CLEAR.add(own)
-        atexit.register(_clear, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), own)
+        atexit.register(_clear, spark.sparkContext, own)
     return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 _TO_CLEAR: set[str] = set()
 
 
-def _clear(java, conf, folder: str) -> None:
+def _clear(context, folder: str) -> None:
     with suppress(Exception):  # the JVM may be gone by then
+        java = context._jvm
+        conf = context._jsc.hadoopConfiguration() if context._jsc else java.org.apache.hadoop.conf.Configuration()
         where = java.org.apache.hadoop.fs.Path(folder)
         where.getFileSystem(conf).delete(where, True)
 
