@@ -174,7 +174,8 @@ def test_many_languages_share_a_bound(spark, frame):
     text = lambda k, n: " ".join(r.choice(words[k]) for _ in range(n))
     docs = frame(*((i, text(k, 150), k, "s") for i, k in enumerate(list(words) * 4)))
     parser = lid.learn(docs, chars_in_all=100_000)
-    assert len(parser.names) == 200 and max(parser.lengths) <= 500
+    learnable = {k for i, k in enumerate(list(words) * 4) if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert parser.names == sorted(learnable) and max(parser.lengths) <= 100_000 // len(learnable)
     assert sum(a.table.nbytes for a in parser.automata) < 40 << 20
     got = parser.predict([text(k, 60) for k in list(words)[:40]])
     assert sum(name == k for (name, _), k in zip(got, words)) >= 38
