@@ -73,7 +73,7 @@ class _Words(dict):
 class Shingler:
     """Sets of shingles in order 1, as far as words settle it: the classes of a shingle's words are its leading bits."""
 
-    def __init__(self, size: int, classes: dict[bytes, int], most_words: int = 500_000):
+    def __init__(self, size: int, classes: dict[bytes, int], most_words: int = 300_000):
         self.size, self.words = size, _Words(classes, most_words)
         self.weights = mixed(np.arange(1, size + 1, dtype=np.uint64) * _K[0]) | np.uint64(1)
 
