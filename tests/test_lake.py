@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tickloom import schemas
+from tickloom import schemas, session
 from tickloom.operators.quality import QualityError
 from tickloom.sources import lake, payloads, sinks
 
@@ -352,3 +352,21 @@ def test_day_globs_name_exactly_the_range(start, days):
     wanted = {start + dt.timedelta(days=i) for i in range(days + 1)}
     got = expand(lake.day_folders(start, start + dt.timedelta(days=days)))
     assert got == {f"{d}" for d in wanted} | {f"dt={d}" for d in wanted}
+
+
+def test_compaction_lists_no_permissions_and_few_tasks(spark, tmp_path, monkeypatch):
+    """Whether there is anything ends at the first file, and named files are listed by a bounded number of tasks."""
+    for i in range(90):
+        write(tmp_path / f"raw/a{i % 3}/odd #{i} é%.json", json.dumps([json.loads(line(f"s{i}", 1.0))], indent=1))
+    seen = []
+    monkeypatch.setattr(sinks, "files_below", lambda *a: (seen.append(f) or f for f in session.files_below(*a)))
+    assert sinks.holds_bytes(spark, str(tmp_path / "raw"), "*.json*") and len(seen) == 1
+    assert not sinks.holds_bytes(spark, str(tmp_path / "raw"), "*.parquet") and len(seen) == 91
+    spark.sparkContext.setJobGroup("by-name", "files by name")
+    monkeypatch.setattr(lake, "LISTING_TASKS", 7)
+    assert lake.read_mixed_json(spark, str(tmp_path / "raw"), PRICES).count() == 90
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("by-name") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [s.numTasks for s in stages if s]
+    assert 7 in tasks and max(tasks) < 90

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import warnings
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from tickloom.operators.dedup import distinct_ticks, latest_per_key
 from tickloom.operators.joins import left_with_defaults
 from tickloom.operators.ticks import with_previous
 from tickloom.plans import checks, daily, ingest, marts, staging
-from tickloom.session import prepare, scratch_dir
+from tickloom.session import child_names, file_system, prepare, scratch_dir
 from tickloom.sources import catalog, lake, payloads, sample, sinks
 from tickloom.streaming import trades
 
@@ -987,17 +988,19 @@ def compaction(spark, d):
 
 
 def _renamed(spark, folder: str, suffixes: dict[str, str]) -> None:
-    """Give the files below a folder other suffixes."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, files = fs.listFiles(where, True), []
-    while found.hasNext():
-        files.append(found.next().getPath())
-    for f in files:
-        for old, new in suffixes.items():
-            if f.getName().endswith(old):
-                fs.rename(f, f.suffix("").getParent().suffix(f"/{f.getName().removesuffix(old)}{new}"))
-                break
+    """Give the files in the folders of a folder other suffixes, many at a time."""
+    fs, _ = file_system(spark, folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def rename(f: str) -> None:
+        old = next((s for s in suffixes if f.endswith(s)), None)
+        if old is not None and not fs.rename(path(f), path(f.removesuffix(old) + suffixes[old])):
+            raise OSError(f"cannot rename {f}")
+
+    with ThreadPoolExecutor(16) as pool:
+        for below in child_names(spark, folder):
+            for _ in pool.map(rename, [f"{folder}/{below}/{name}" for name in child_names(spark, f"{folder}/{below}")]):
+                pass
 
 
 @query

@@ -6,6 +6,7 @@ import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -116,10 +117,24 @@ def file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def file_path(spark: SparkSession, uri: str) -> str:
+def file_path(uri: str) -> str:
     """The path that readers take for a file as ``_metadata.file_path`` names it, where odd characters are encoded."""
-    java = spark.sparkContext._jvm
-    return java.org.apache.hadoop.fs.Path(java.java.net.URI(uri)).toString()
+    return unquote(uri)
+
+
+def files_below(spark: SparkSession, folder: str) -> Iterator[tuple[str, int]]:
+    """Name and size of every file below a folder, as the listing goes on.
+
+    Plain statuses: those of ``listFiles`` carry permissions, which cost a local file system a process each.
+    """
+    fs, where = file_system(spark, folder)
+    todo = [where]
+    while todo:
+        for status in fs.listStatus(todo.pop()):
+            if status.isDirectory():
+                todo.append(status.getPath())
+            else:
+                yield status.getPath().getName(), status.getLen()
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:

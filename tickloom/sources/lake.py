@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.quality import require_rows
-from tickloom.session import file_path, scratch_dir, stored
+from tickloom.session import file_path, scratch_dir, sibling, stored
 
+#: Tasks that list files which are given by name: Spark would take one for each, up to 10,000.
+LISTING_TASKS = 64
 CORRUPT = "_corrupt_record"
 DAY_FOLDER = "{dt=,}[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 DAY_IN_PATH = "/(?:dt=)?([0-9]{4}-[0-9]{2}-[0-9]{2})/"
@@ -73,7 +75,8 @@ class MixedJson:
 
     def _text(self, *paths: str) -> DataFrame:
         """``file, block, at, text`` of lines that are not blank; block and at give their order in the file."""
-        reader = self.spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
+        spark = sibling(self.spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(LISTING_TASKS)}) if paths else self.spark
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
         text = F.btrim("value", F.lit(" \t\r\n")).alias("text")
         where, block = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
         rows = reader.text(list(paths) or self.folder)
@@ -92,7 +95,7 @@ class MixedJson:
     def _parts(self) -> DataFrame:
         """``file, text, oversized`` of files that may be documents: the object, the array in parts, or NULL."""
         found = self._outline.where(F.col("whole") * 2 < F.col("lines")).select("file").toLocalIterator()
-        files = [file_path(self.spark, r.file) for r in found]
+        files = [file_path(r.file) for r in found]
         schema = "file string, text string, oversized boolean"
         if not files:
             return self.spark.createDataFrame([], schema + ", good boolean")

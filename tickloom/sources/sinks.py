@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.quality import QualityError, counted
-from tickloom.session import beside, delete_path, file_system, path_exists, scratch_space, sibling, swap
+from tickloom.session import beside, delete_path, files_below, path_exists, scratch_space, sibling, swap
 from tickloom.sources.lake import MixedJson, read_strict_json_lines
 
 
@@ -61,13 +61,12 @@ def append_checked(df: DataFrame, path: str) -> int:
 
 def folder_bytes(spark: SparkSession, folder: str, glob: str) -> int:
     """Total size of the files below a folder that match, from the file system's listing."""
-    fs, where = file_system(spark, folder)
-    found, total = fs.listFiles(where, True), 0
-    while found.hasNext():
-        f = found.next()
-        if fnmatch(f.getPath().getName(), glob):
-            total += f.getLen()
-    return total
+    return sum(size for name, size in files_below(spark, folder) if fnmatch(name, glob))
+
+
+def holds_bytes(spark: SparkSession, folder: str, glob: str) -> bool:
+    """Whether a file below a folder matches and is not empty; the listing ends at the first one."""
+    return any(size and fnmatch(name, glob) for name, size in files_below(spark, folder))
 
 
 def compact_report(
@@ -82,7 +81,7 @@ def compact_report(
     same. With nothing to do nothing is written.
     """
     nothing = {"rows": 0, "skipped_lines": 0, "skipped_files": 0, "set_aside": 0}
-    if not path_exists(spark, folder) or not folder_bytes(spark, folder, "*.json*"):
+    if not path_exists(spark, folder) or not holds_bytes(spark, folder, "*.json*"):
         return nothing
     staged = beside(out)
     with scratch_space(spark, "compaction") as below:
