@@ -179,3 +179,41 @@ def test_query_against_all_pairs(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.op9_jaccard_join(spark, sf_dir).collect()}
     assert got == brute(docs, 3, 90)
+
+
+def test_texts_are_cut_up_once(monkeypatch, frame):
+    """One pass makes all prefixes; only texts whose beginning is all shared tokens are looked at again, each once."""
+    r = random.Random(3)
+    common = [f"head{k}" for k in range(120)]
+    docs = [" ".join([*r.choices([f"w{k}" for k in range(5000)], k=200)]) for _ in range(40)]
+    # The beginnings that 30 texts share are rarer than the words that follow, and longer than what is kept of a prefix.
+    docs += [" ".join([*common, *(f"x{(i * 7 + k) % 50}" for k in range(160))]) for i in range(30)]
+    docs += [docs[0], docs[0] + " end", docs[45] + " end"]
+    passes, again = [], []
+    own, fetched = jj.with_prefix, jj.from_texts
+    monkeypatch.setattr(jj, "SPARE", 0)
+    monkeypatch.setattr(jj, "with_prefix", lambda *a: passes.append(1) or own(*a))
+    monkeypatch.setattr(jj, "from_texts", lambda short, *a: again.append(short.count()) or fetched(short, *a))
+    rows = list(enumerate(docs)) + [(50, docs[50])]
+    got = jj.groups(frame(*rows), 3, 80)
+    want = brute(list(enumerate(docs)), 3, 80)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got.collect()} == want
+    assert got.count() == len(rows)
+    assert len(passes) == 1 and (not again or 0 < again[0] < 40)
+
+
+def test_prefix_under_late_tokens():
+    r = np.random.default_rng(4)
+    reached = 0
+    for _ in range(500):
+        n = int(r.integers(1, 60))
+        tokens = np.unique(r.integers(0, 1 << 40, n))
+        late = np.sort(tokens[r.random(len(tokens)) < r.random()])
+        length = jj.prefix_length(len(tokens), 80)
+        want = np.concatenate([tokens[~np.isin(tokens, late)], tokens[np.isin(tokens, late)]])[:length]
+        kept = tokens[: length + length // 2]
+        got = jj.front(kept, jj.is_in(kept, late), length, len(kept) == len(tokens))
+        assert got is None or got.tolist() == want.tolist()
+        assert jj.front(tokens, jj.is_in(tokens, late), length, True).tolist() == want.tolist()
+        reached += got is not None
+    assert 100 < reached < 500

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import bytes_of, column, documents, find_package, fresh, per_row, slices, stored
+from tickloom.session import scratch_space
 
 LONG_LIST = 16
 MOST_SHARED = 1 << 18
@@ -46,6 +47,8 @@ FILTER_BITS = 1 << 24
 #: Words with a share of all words above 2**-COMMON_BITS are common; their class is 0 to 15.
 COMMON_BITS = 16
 BLOCK_TOKENS = 1 << 15
+#: Tokens that a prefix is kept longer than half as long again.
+SPARE = 16
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -139,12 +142,27 @@ def _class_of(tokens: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None
 
 
-def with_prefix(docs: DataFrame, size: int, percent: int, words, shared: np.ndarray | None = None) -> DataFrame:
-    """``doc_id, hash, n, class, prefix``: the prefix under order 1, given the common words and the shared tokens.
+def front(tokens: np.ndarray, is_late: np.ndarray, length: int, whole: bool) -> np.ndarray | None:
+    """The first ``length`` of a set when late tokens go last, given its beginning (or the ``whole`` set); None if that does not reach."""
+    if not is_late[:length].any():
+        return tokens[:length]
+    early = tokens[~is_late]
+    if len(early) >= length:
+        return early[:length]
+    return np.concatenate([early, tokens[is_late]])[:length] if whole else None
 
-    With the shared tokens also ``second, third``: the prefixes under the other orders, 32 bits of each token.
+
+def is_in(tokens: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    if not len(ascending):
+        return np.zeros(len(tokens), dtype=bool)
+    return ascending[np.minimum(np.searchsorted(ascending, tokens), len(ascending) - 1)] == tokens
+
+
+def with_prefix(docs: DataFrame, size: int, percent: int, words) -> DataFrame:
+    """``doc_id, hash, n, class, prefix, second, third``: the prefixes under all orders, 32 bits of each token under the last two.
+
+    That under order 1 goes by the common words alone and is half as long again, for tokens that turn out to be shared.
     """
-    late = docs.sparkSession.sparkContext.broadcast(shared) if shared is not None else None
 
     def make():
         shingler = Shingler(size, words.value)
@@ -154,25 +172,49 @@ def with_prefix(docs: DataFrame, size: int, percent: int, words, shared: np.ndar
             for text in bytes_of(batch):
                 tokens = shingler.tokens(text)
                 length = prefix_length(len(tokens), percent)
-                front = tokens
-                if late is not None:
-                    out["second"].append(first_under(tokens, 1, length))
-                    out["third"].append(first_under(tokens, 3, length))
-                if late is not None and len(late.value) and len(tokens):
-                    place = np.minimum(np.searchsorted(late.value, tokens), len(late.value) - 1)
-                    is_late = late.value[place] == tokens
-                    if is_late[:length].any():
-                        front = np.concatenate([tokens[~is_late], tokens[is_late]])
                 out["n"].append(len(tokens))
                 out["class"].append(_class_of(tokens))
-                out["prefix"].append(front[:length])
+                out["prefix"].append(tokens[: length + (length >> 1) + SPARE])
+                out["second"].append(first_under(tokens, 1, length))
+                out["third"].append(first_under(tokens, 3, length))
             return out
 
         return run
 
     keep = [("doc_id", "doc_id"), ("hash", "hash"), ("text", "text")]
-    others = ", second array<int>, third array<int>" if late is not None else ""
-    return per_row(named(docs), make, keep, "n long, class binary, prefix array<long>" + others)
+    return per_row(named(docs), make, keep, "n long, class binary, prefix array<long>, second array<int>, third array<int>")
+
+
+def late_last(rows: DataFrame, percent: int, late) -> DataFrame:
+    """``rows`` of :func:`with_prefix` with the prefix under order 1; NULL where its text is needed for that."""
+    find_package(rows.sparkSession)
+
+    def run(batches):
+        for batch in slices(batches, 2048):
+            held = batch.column("prefix")
+            at = held.offsets.to_numpy()
+            tokens, at = held.values.to_numpy()[at[0] : at[-1]], at - at[0]
+            is_late, out = is_in(tokens, late.value), []
+            for n, begin, end in zip(batch.column("n").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                out.append(front(tokens[begin:end], is_late[begin:end], prefix_length(n, percent), end - begin == n))
+            yield batch.set_column(batch.schema.get_field_index("prefix"), "prefix", pa.array(out, type=pa.list_(pa.int64())))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def from_texts(classes: DataFrame, texts: Texts, size: int, percent: int, words, late) -> DataFrame:
+    """``classes`` with the prefix under order 1, from their texts."""
+
+    def run(batches):
+        shingler = Shingler(size, words.value)
+        for batch in slices(batches):
+            found = [shingler.tokens(text) for text in bytes_of(batch)]
+            out = [front(t, is_in(t, late.value), prefix_length(len(t), percent), True) for t in found]
+            batch = batch.drop_columns(["text"])
+            yield batch.set_column(batch.schema.get_field_index("prefix"), "prefix", pa.array(out, type=pa.list_(pa.int64())))
+
+    # Rows that repeat id and text come as often as they are there.
+    return texts.join(classes, "cid", "text").mapInArrow(run, classes.schema).dropDuplicates(["cid"])
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -181,9 +223,10 @@ def named(docs: DataFrame) -> DataFrame:
     return rows.withColumn("hash", F.xxhash64("text"))
 
 
-def shared_tokens(prefixes: DataFrame, long_list: int, most: int) -> np.ndarray:
+def shared_tokens(prefixes: DataFrame, percent: int, long_list: int, most: int) -> np.ndarray:
     """Tokens in more than ``long_list`` prefixes, ascending; the commonest ``most`` if there are more."""
-    counts = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
+    own = F.slice("prefix", 1, F.expr(f"CAST(n - ({percent} * n + 99) div 100 + 1 AS INT)"))  # prefix_length
+    counts = prefixes.select(F.explode(own).alias("token")).groupBy("token").agg(F.count("*").alias("c"))
     top = counts.where(F.col("c") > long_list).orderBy(F.desc("c"), "token").limit(most).select("token")
     return np.sort(top.toArrow()["token"].to_numpy())
 
@@ -218,13 +261,10 @@ def candidates(classes: DataFrame, percent: int, long_list: int) -> tuple[DataFr
     return stored(pairs.unionByName(star).distinct(), "pairs"), members
 
 
-def bits_of(ids: DataFrame, slot: Column, bits: int) -> np.ndarray:
-    """A bitmap of fixed size with the slots of all rows set."""
+def bits_of(ids: DataFrame, slot: Column) -> DataFrame:
+    """``w, b``: a bitmap with the slots of all rows set, in words of 64; as many rows at most as it has words."""
     words = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w"))
-    found = words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("b")).toArrow()
-    out = np.zeros(bits // 64, dtype=np.int64)
-    out[found["w"].to_numpy()] = found["b"].to_numpy()
-    return out
+    return words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("b"))
 
 
 class Texts:
@@ -238,15 +278,9 @@ class Texts:
         slot = F.pmod(F.xxhash64(F.col("doc_id"), F.col("hash")), F.lit(bits)).cast("long")
         self.needed = stored(needed.select("cid", "stands", "hash"), "needed")
         of_needed = self.needed.select(F.col("stands").alias("doc_id"), "hash")
-        bitmap = docs.sparkSession.sparkContext.broadcast(bits_of(of_needed, slot, bits))
-
-        def run(batches):
-            for batch in slices(batches, 2048):
-                slots = batch.column("slot").to_numpy()
-                yield batch.filter(pa.array((bitmap.value[slots >> 6] >> (slots & 63)) & 1 == 1)).drop_columns(["slot"])
-
-        rows = named(docs).withColumn("slot", slot)
-        self.kept = stored(rows.mapInArrow(run, "doc_id long, text string, hash long"), "texts")
+        bitmap = F.broadcast(bits_of(of_needed, slot))
+        rows = named(docs).withColumn("slot", slot).join(bitmap, F.shiftright("slot", 6) == F.col("w"))
+        self.kept = stored(rows.where(F.expr("shiftright(b, CAST(slot & 63 AS INT)) & 1 = 1")).select("doc_id", "text", "hash"), "texts")
 
     def join(self, rows: DataFrame, cid: str, name: str) -> DataFrame:
         """``rows`` with the text of the class in column ``cid`` as ``name``: one shuffle of the texts."""
@@ -418,16 +452,22 @@ def _grouped(docs: DataFrame, size: int, percent: int, long_list: int = LONG_LIS
     spark = docs.sparkSession
     find_package(spark)
     words = spark.sparkContext.broadcast(common_words(docs))
-    rows = stored(with_prefix(docs, size, percent, words), "prefixes")
-    late = shared_tokens(rows, long_list, MOST_SHARED)
-    ordered = with_prefix(docs, size, percent, words, late)
-    each = ordered.where("n > 0").dropDuplicates(["class"]).withColumn("cid", F.monotonically_increasing_id())
-    classes = stored(each.withColumnRenamed("doc_id", "stands"), "classes")
-    pairs, members = candidates(classes, percent, long_list)
+    with scratch_space(spark, "prefixes") as path:
+        with_prefix(docs, size, percent, words).write.parquet(path)
+        full = spark.read.parquet(path)
+        late = spark.sparkContext.broadcast(shared_tokens(full, percent, long_list, MOST_SHARED))
+        each = late_last(full.where("n > 0"), percent, late).dropDuplicates(["class"]).withColumn("cid", F.monotonically_increasing_id())
+        classes = stored(each.withColumnRenamed("doc_id", "stands"), "classes")
+        rows = stored(full.select("doc_id", "hash", "n", "class"), "rows")
 
     def texts(cids: DataFrame) -> Texts:
         return Texts(docs, classes.select("cid", "stands", "hash").join(cids.distinct(), "cid"), FILTER_BITS)
 
+    short = classes.where("prefix IS NULL")
+    if not short.isEmpty():
+        reached = stored(from_texts(short, texts(short.select("cid")), size, percent, words, late), "reached")
+        classes = classes.where("prefix IS NOT NULL").unionByName(reached)
+    pairs, members = candidates(classes, percent, long_list)
     pairs = stored(agreed(pairs, classes), "agreed")
     ends = pairs.select(F.col("x").alias("cid")).unionByName(pairs.select(F.col("y").alias("cid")))
     links = stored(verified(pairs, texts(ends), size, percent, words), "links")
