@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 from array import array
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from tickloom.llm.common import bytes_of, documents, per_row, texts_of
+from tickloom.llm.common import bytes_of, documents, kept, per_row, texts_of
 from tickloom.llm.pieces import PieceCache, byte_characters, shared_cache
 
 
@@ -105,9 +104,8 @@ class ByteBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+    return kept("ranks", (path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def _ids_of(bpe: ByteBpe, path: str, pattern: str):
@@ -135,7 +133,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
         return run
 
     fields = "ids array<int>" + ", starts array<int>, ends array<int>" * offsets
-    return per_row(docs, make, [("doc_id", "doc_id"), ("text", "text")], fields)
+    return per_row(docs, make, [("doc_id", "doc_id"), ("text", "text")], fields, keeps=True)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -150,7 +148,7 @@ def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTE
 
         return run
 
-    out = per_row(encoded, make, [("doc_id", "doc_id"), ("ids", "ids")], "bytes binary, decoded string")
+    out = per_row(encoded, make, [("doc_id", "doc_id"), ("ids", "ids")], "bytes binary, decoded string", keeps=True)
     return out.select("doc_id", "bytes", F.col("decoded").alias("text"))
 
 
@@ -167,7 +165,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
 
         return run
 
-    return per_row(docs, make, [("doc_id", "doc_id"), ("text", "text")], "ids array<int>, bytes binary")
+    return per_row(docs, make, [("doc_id", "doc_id"), ("text", "text")], "ids array<int>, bytes binary", keeps=True)
 
 
 def digests(rows: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -80,11 +83,52 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def per_row(docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], keep: list[tuple[str, str]], fields: str) -> DataFrame:
+_KEPT: dict[str, tuple[Hashable, object]] = {}
+
+
+def kept(kind: str, key: Hashable, make: Callable[[], object]):
+    """What this Python worker keeps over the tasks it runs: one value of each kind, that of the last key."""
+    if kind not in _KEPT or _KEPT[kind][0] != key:
+        _KEPT.pop(kind, None)
+        _KEPT[kind] = key, make()
+    return _KEPT[kind][1]
+
+
+def let_go() -> None:
+    """Drop what earlier tasks have kept. A worker outlives its operator, and its memory counts for the executor."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        hand_back()
+
+
+def hand_back() -> None:
+    """Return freed memory to the system, as far as the libraries in use can."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError, TypeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: bool = False) -> Callable:
+    """``run``, for ``mapInArrow``, without what other operators' tasks have kept (unless it ``keeps``); its own memory goes with it."""
+
+    def whole(batches):
+        if not keeps:
+            let_go()
+        yield from run(batches)
+        hand_back()
+
+    return whole
+
+
+def per_row(
+    docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], keep: list[tuple[str, str]], fields: str, keeps: bool = False
+) -> DataFrame:
     """One output row per input row: columns ``keep`` of ``docs`` unchanged, then those that the function adds.
 
     ``keep``: (column, name it gets). ``make`` runs once per task and returns a function from a
-    batch to ``fields`` (a DDL schema), as Arrow arrays or lists.
+    batch to ``fields`` (a DDL schema), as Arrow arrays or lists. ``keeps``: it uses what is :func:`kept`
+    in the worker, which any other task drops.
     """
     find_package(docs.sparkSession)
     own = docs.select(*(column(c).alias(name) for c, name in keep))
@@ -104,7 +148,7 @@ def per_row(docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]
                 arrays.append(value if isinstance(value, pa.Array) else pa.array(value, type=kind))
             yield pa.RecordBatch.from_arrays(arrays, names=[*out_names, *kinds])
 
-    return own.mapInArrow(run, schema)
+    return own.mapInArrow(tidy(run, keeps), schema)
 
 
 def arrow_types(ddl: str) -> dict[str, pa.DataType]:

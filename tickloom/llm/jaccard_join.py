@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import bytes_of, column, documents, find_package, fresh, per_row, slices, stored
+from tickloom.llm.common import bytes_of, column, documents, find_package, fresh, per_row, slices, stored, tidy
 from tickloom.session import scratch_space
 
 LONG_LIST = 16
@@ -119,7 +119,7 @@ def common_words(docs: DataFrame) -> dict[bytes, int]:
         yield pa.RecordBatch.from_arrays(cols, names=["word", "c"])
         yield pa.RecordBatch.from_arrays([pa.array([None], type=pa.binary()), pa.array([total], type=pa.int64())], names=["word", "c"])
 
-    found = docs.select(column("text").alias("text")).mapInArrow(run, "word binary, c long")
+    found = docs.select(column("text").alias("text")).mapInArrow(tidy(run), "word binary, c long")
     counts = stored(found.groupBy("word").agg(F.sum("c").alias("c")), "words")
     total = counts.where("word IS NULL").agg(F.sum("c")).first()[0] or 0
     top = counts.where(F.col("word").isNotNull() & (F.col("c") * (1 << COMMON_BITS) > total)).toArrow()
@@ -199,7 +199,7 @@ def late_last(rows: DataFrame, percent: int, late) -> DataFrame:
                 out.append(front(tokens[begin:end], is_late[begin:end], prefix_length(n, percent), end - begin == n))
             yield batch.set_column(batch.schema.get_field_index("prefix"), "prefix", pa.array(out, type=pa.list_(pa.int64())))
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def from_texts(classes: DataFrame, texts: Texts, size: int, percent: int, words, late) -> DataFrame:
@@ -214,7 +214,7 @@ def from_texts(classes: DataFrame, texts: Texts, size: int, percent: int, words,
             yield batch.set_column(batch.schema.get_field_index("prefix"), "prefix", pa.array(out, type=pa.list_(pa.int64())))
 
     # Rows that repeat id and text come as often as they are there.
-    return texts.join(classes, "cid", "text").mapInArrow(run, classes.schema).dropDuplicates(["cid"])
+    return texts.join(classes, "cid", "text").mapInArrow(tidy(run), classes.schema).dropDuplicates(["cid"])
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -319,7 +319,7 @@ def verified(pairs: DataFrame, texts: Texts, size: int, percent: int, words) ->
             keep = [similar(tokens(x, one), tokens(y, other), percent) for x, y, one, other in rows]
             yield batch.select(["x", "y"]).filter(pa.array(keep, type=pa.bool_()))
 
-    return met.mapInArrow(run, "x long, y long")
+    return met.mapInArrow(tidy(run), "x long, y long")
 
 
 def meet(a: np.ndarray, b: np.ndarray) -> int:

@@ -4,7 +4,7 @@ A tokenizer that splits text before its merges never lets a token reach from a v
 into the white space after it, nor from a letter into a full stop or comma after it. Text may
 therefore be cut at such places and the pieces encoded apart: their ids, joined, are those of the
 whole text; other marks at the end of a piece are cut off likewise. Pieces repeat far more often than texts do, so a bounded memory of them takes most of
-the work off the library. It lives as long as its Python worker, over all tasks the worker runs.
+the work off the library. It lives in its Python worker over all tasks of its operator, until a task of another one needs the room.
 Words of plain letters, which normalisation and splitting leave as they are, go to the library's merges directly.
 """
 
@@ -13,13 +13,14 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Hashable
-from functools import lru_cache
 
 # Spark runs one task a core; the library's own threads would only get in the way.
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 from tokenizers import Tokenizer  # noqa: E402
 
+from tickloom.llm.common import kept  # noqa: E402
+
 #: Pieces of more characters are encoded each time: remembered ones are short, so their number bounds their memory.
 LONGEST = 64
 
@@ -42,9 +43,8 @@ _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 _SHOWN = dict(enumerate(byte_characters()))
 
 
-@lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+    return kept("tokenizer", path, lambda: Tokenizer.from_file(path))
 
 
 def line_parts(piece: str) -> list[str]:
@@ -178,12 +178,6 @@ class PieceCache:
         return [[self.first[words[0]], *map(get, words[1:])] for words in cut]
 
 
-_SHARED: dict[Hashable, PieceCache] = {}
-
-
 def shared_cache(key: Hashable, make: Callable[[], PieceCache]) -> PieceCache:
     """This worker's cache for ``key``; another key's is let go."""
-    if key not in _SHARED:
-        _SHARED.clear()
-        _SHARED[key] = make()
-    return _SHARED[key]
+    return kept("pieces", key, make)

@@ -42,7 +42,7 @@ def encoded(rows: DataFrame, path: str) -> DataFrame:
         cache = shared_cache(("counts", path), lambda: PieceCache(tokenizer(path), lambda _, ids: len(ids)))
         return lambda batch: {"n_tokens": [sum(x) for x in cache.values(bytes_of(batch))]}
 
-    return per_row(rows, make, [("content", "content"), ("text", "text")], "n_tokens long")
+    return per_row(rows, make, [("content", "content"), ("text", "text")], "n_tokens long", keeps=True)
 
 
 def read_cache(spark: SparkSession, folder: str, tokenizer_version: str) -> DataFrame:
