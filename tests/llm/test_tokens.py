@@ -4,9 +4,11 @@ import base64
 import hashlib
 import random
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -200,3 +202,38 @@ def test_shards_go_where_spark_reads(spark, frame, tmp_path):
         token_shards.write_shards(frame((1, "a")), WORD, "gopher://nowhere/x")
     token_shards.write_shards(frame((1, "a b"), (2, "c")), WORD, f"{tmp_path}/plain", end_id=1)
     assert [r.doc_id for r in token_shards.read_shards(spark, f"{tmp_path}/plain").orderBy("doc_id").collect()] == [1, 2]
+
+
+def test_words_joined_by_arrow_are_those_of_the_library():
+    """Texts end to end and where each begins; more distinct words than are remembered, and a slice of a longer array."""
+    texts = [None, "", " \t\x0b\x0c\r\n", " Lead and TRAIL ", "Straße d'été, it's 12.5%... <|endoftext|> A<|b", "x" * 100 + "!", "a\x1fb\x85c d"]
+    texts += [f"Word{chr(97 + i % 26)}{chr(97 + i // 26)}, one more." for i in range(200)]
+    cache = PieceCache(Tokenizer.from_file(WORD), lambda _, ids: array("I", ids).tobytes(), spaced=False, most=50)
+    held = pa.array(["before", *texts, "behind"], type=pa.string()).slice(1, len(texts))
+    library = Tokenizer.from_file(WORD)
+    for _ in range(2):
+        ids, at = cache.joined(held)
+        assert len(at) == len(texts) + 1 and at[0] == 0 and at[-1] == len(ids)
+        found = [np.frombuffer(ids[a:b], dtype="<u4").tolist() for a, b in zip(at[:-1], at[1:])]
+        assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert found == [np.frombuffer(b"".join(x), dtype="<u4").tolist() for x in cache.values([(t or "").encode() for t in texts])]
+
+
+def test_words_are_looked_up_once_a_batch():
+    """Python's work follows the distinct words of a batch, not all of its words."""
+
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *x):
+            Counted.looked += 1
+            return super().get(*x)
+
+        def __getitem__(self, x):
+            Counted.looked += 1
+            return super().__getitem__(x)
+
+    cache = PieceCache(Tokenizer.from_file(WORD), lambda _, ids: array("I", ids).tobytes(), spaced=False)
+    cache.first = cache.rest = Counted()
+    ids, at = cache.joined(pa.array(["one two three " * 1000] * 5))
+    assert at.tolist() == [k * len(ids) // 5 for k in range(6)] and Counted.looked <= 20

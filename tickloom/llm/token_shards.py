@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import bytes_of, column, documents, find_package, scratch, slices
+from tickloom.llm.common import column, documents, find_package, scratch, slices
 from tickloom.llm.pieces import PieceCache, shared_cache, tokenizer
 from tickloom.session import file_system
 
@@ -163,14 +163,15 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
         cache = shared_cache(("ids", tokenizer_path), make)
         end = b"" if end_id is None else np.array([end_id], dtype=kind).tobytes()
         path, out, n, first, last = f"{folder}/shard-{uuid.uuid4().hex}.zst", None, 0, None, None
-        for batch in slices(batches, 256):
+        for batch in slices(batches, 512):
             if out is None and batch.num_rows:
                 where, name = place(path)
                 where.create_dir(name.rpartition("/")[0], recursive=True)
                 out = where.open_output_stream(name, compression=None)
                 shard = ShardWriter(out, width, frame_tokens)
-            for doc_id, parts in zip(batch.column("doc_id").to_pylist(), cache.values(bytes_of(batch))):
-                shard.add(doc_id, b"".join(parts) + end)
+            ids, at = cache.joined(batch.column("text"))
+            for doc_id, begin, upto in zip(batch.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                shard.add(doc_id, b"".join((ids[begin:upto], end)))
                 first, last, n = doc_id if not n else first, doc_id, n + 1
         if out is not None:
             shard.close()
