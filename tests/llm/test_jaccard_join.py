@@ -217,3 +217,18 @@ def test_prefix_under_late_tokens():
         assert jj.front(tokens, jj.is_in(tokens, late), length, True).tolist() == want.tolist()
         reached += got is not None
     assert 100 < reached < 500
+
+
+def test_phases_let_finished_queries_go(spark, frame, monkeypatch):
+    """What finished queries hold in the driver goes between phases and every few rounds, not when the heap is full."""
+    weak = spark.sparkContext._jvm.java.lang.ref.WeakReference(spark.sparkContext._jvm.java.lang.Object())
+    jj.let_finished_go(spark)
+    assert weak.get() is None
+    calls = []
+    monkeypatch.setattr(jj, "let_finished_go", calls.append)
+    rows = jj.groups(frame((1, "a b c d e f g h"), (2, "a b c d e f g  h"), (3, "x y z"), (4, None))).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 3, 4: 4} and len(calls) >= 4
+    calls.clear()
+    monkeypatch.setattr(jj, "ROUNDS", 1)
+    chain = jj.components(spark.createDataFrame([(i, i + 1) for i in range(40)], "x long, y long"))
+    assert {r.root for r in chain.collect()} == {0} and len(calls) >= 2

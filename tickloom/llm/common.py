@@ -66,6 +66,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_finished_go(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, between the phases of an operator that runs many queries.
+
+    Plans, broadcast tables and shuffle files of finished queries stay until the driver does so. Left to itself it
+    first lets its heap grow to all that it may have, and the executors' disks fill meanwhile.
+    """
+    gc.collect()  # the plans that Python still names
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The batch's texts; null counts as empty."""
     return pc.fill_null(batch.column(name), "").to_pylist()

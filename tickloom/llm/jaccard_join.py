@@ -31,6 +31,7 @@ Repeated rows each get a row. An empty table gives an empty result. Only ``doc_i
 from __future__ import annotations
 
 from collections import Counter
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import bytes_of, column, documents, find_package, fresh, per_row, slices, stored, tidy
+from tickloom.llm.common import bytes_of, column, documents, find_package, fresh, let_finished_go, per_row, slices, stored, tidy
 from tickloom.session import scratch_space
 
 LONG_LIST = 16
+#: Rounds of ``components`` from one collection of the driver's garbage to the next.
+ROUNDS = 4
 MOST_SHARED = 1 << 18
 FILTER_BITS = 1 << 24
 #: Words with a share of all words above 2**-COMMON_BITS are common; their class is 0 to 15.
@@ -348,7 +351,7 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select(F.col("x").alias("u"), F.col("y").alias("v")).unionByName(links.select(F.col("y").alias("u"), F.col("x").alias("v")))
     edges = stored(both.distinct(), "edges")
     roots = stored(edges.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("root")), "roots")
-    while True:
+    for k in count(1):
         near = edges.join(roots, edges["v"] == roots["node"]).groupBy("u").agg(F.min("root").alias("near"))
         taken = roots.join(near, roots["node"] == near["u"]).select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         up = roots.select(F.col("node").alias("at"), F.col("root").alias("up"))
@@ -356,6 +359,8 @@ def components(links: DataFrame) -> DataFrame:
         roots = new.select("node", "root")
         if new.where("old <> root").isEmpty():
             return roots
+        if k % ROUNDS == 0:
+            let_finished_go(links.sparkSession)
 
 
 def _forest(x: list, y: list, percent: int) -> list[tuple[int, int]]:
@@ -459,6 +464,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, long_list: int = LONG_LIS
         each = late_last(full.where("n > 0"), percent, late).dropDuplicates(["class"]).withColumn("cid", F.monotonically_increasing_id())
         classes = stored(each.withColumnRenamed("doc_id", "stands"), "classes")
         rows = stored(full.select("doc_id", "hash", "n", "class"), "rows")
+    let_finished_go(spark)
 
     def texts(cids: DataFrame) -> Texts:
         return Texts(docs, classes.select("cid", "stands", "hash").join(cids.distinct(), "cid"), FILTER_BITS)
@@ -468,14 +474,19 @@ def _grouped(docs: DataFrame, size: int, percent: int, long_list: int = LONG_LIS
         reached = stored(from_texts(short, texts(short.select("cid")), size, percent, words, late), "reached")
         classes = classes.where("prefix IS NOT NULL").unionByName(reached)
     pairs, members = candidates(classes, percent, long_list)
+    let_finished_go(spark)
     pairs = stored(agreed(pairs, classes), "agreed")
     ends = pairs.select(F.col("x").alias("cid")).unionByName(pairs.select(F.col("y").alias("cid")))
     links = stored(verified(pairs, texts(ends), size, percent, words), "links")
+    let_finished_go(spark)
     roots = components(links)
+    let_finished_go(spark)
     lists = stored(able(stored(unsettled(members, roots), "unsettled"), classes), "able")
     if not lists.isEmpty():
         more = stored(block_links(lists, texts(lists.select("cid")), size, percent, words, block_tokens), "more-links")
+        let_finished_go(spark)
         roots = components(links.unionByName(more))
+        let_finished_go(spark)
     least = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     own = classes.select("cid", "class").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     placed = own.select("class", F.coalesce("root", "cid").alias("root")).join(least, "class")
